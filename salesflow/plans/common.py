@@ -41,3 +41,16 @@ def null_every(col: str, key: str, modulus: int):
 
 def null_every_sql(col: str, key: str, modulus: int) -> str:
     return f"CASE WHEN {key} % {modulus} = 0 THEN NULL ELSE {col} END"
+
+
+def sig(col, digits: int = 9):
+    """Round to ``digits`` significant digits (for values that span many magnitudes, e.g. MAPE
+    with zero actuals, where fixed decimals would keep summation-order noise)."""
+    x = F.col(col) if isinstance(col, str) else col
+    e = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
+    return F.when((x == 0) | x.isNull(), x).otherwise(F.round(x / e, digits - 1) * e) + F.lit(0.0)
+
+
+def sig_sql(expr: str, digits: int = 9) -> str:
+    e = f"pow(10.0, floor(log10(abs({expr}))))"
+    return f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL THEN ({expr}) ELSE round(({expr}) / {e}, {digits - 1}) * {e} END + 0.0)"
