@@ -66,7 +66,7 @@ def days_between(end, start) -> Column:
 
 
 def hours_since(ts, as_of) -> Column:
-    return F.timestampdiff("HOUR", _c(ts), _c(as_of))
+    return F.timestamp_diff("HOUR", _c(ts), _c(as_of))
 
 
 # ---- S7 strings / lists ----------------------------------------------------------------------

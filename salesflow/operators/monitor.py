@@ -14,6 +14,8 @@ from salesflow.operators import windows as W
 from salesflow.operators.models import metric_exprs
 from salesflow.operators.relational import recent
 
+# Default baseline metrics of the reference monitoring job.
+DEFAULT_BASELINE = {"rmse": 100.0, "mae": 80.0, "r2": 0.85}
 # Degradation threshold (10 %), metrics that drive the overall flag,
 # retrain drift share (20 %), DATA_DRIFT HIGH above 30 %, HIGH_PSI above 0.2
 # (HIGH above 0.3), retrain cooldown 24 h.
@@ -115,19 +117,26 @@ def open_alerts(alerts: DataFrame, n: int = 10, by_rank: bool = False) -> DataFr
 # PM6 --------------------------------------------------------------------------------------------
 def retrain_gate(decision: DataFrame, last_training: Column, now: Column) -> DataFrame:
     """Proceed if retraining is requested and (>= 24 h since last training, or HIGH priority)."""
-    hours = F.timestampdiff("SECOND", last_training, now) / 3600.0
+    hours = F.timestamp_diff("SECOND", last_training, now) / 3600.0
     cooled = last_training.isNull() | (hours >= COOLDOWN_HOURS) | (F.col("priority") == "HIGH")
     return decision.withColumn("hours_since_training", hours).withColumn(
         "proceed", F.col("should_retrain") & cooled)
 
 
 # PM7 --------------------------------------------------------------------------------------------
-def monitoring_summary(ts: Column, drift_report: DataFrame, perf: DataFrame, alerts: DataFrame) -> DataFrame:
-    """One row: timestamp, drift summary, degradation flag, alert count, current metrics."""
-    cur = perf.groupBy().agg(*[F.max(F.when(F.col("metric") == m, F.col("current"))).alias(f"current_{m}")
-                               for m in METRICS], F.bool_or("degradation_detected").alias("degradation_detected"))
+def monitoring_summary(ts: Column, drift_report: DataFrame, perf: DataFrame, alerts: DataFrame,
+                       current_metrics: DataFrame) -> DataFrame:
+    """One row: timestamp, drift summary, degradation flag, alert count, current metrics.
+
+    Every input is a one-row report (or a few metric rows), so the constant-key
+    joins below combine single rows.
+    """
+    flag = perf.agg(F.coalesce(F.bool_or("degradation_detected"), F.lit(False)).alias("degradation_detected"))
+    cur = current_metrics.select(*[F.col(m).alias(f"current_{m}") for m in METRICS])
     ac = alerts.agg(F.count(F.lit(1)).alias("alert_count"))
     d = drift_report.select("has_drift", "drift_percentage", "drifted_features")
     k = "_one"
-    out = d.withColumn(k, F.lit(0)).join(cur.withColumn(k, F.lit(0)), k).join(ac.withColumn(k, F.lit(0)), k).drop(k)
-    return out.withColumn("timestamp", ts)
+    out = d.withColumn(k, F.lit(0))
+    for part in (flag, ac, cur):
+        out = out.join(F.broadcast(part.withColumn(k, F.lit(0))), k)
+    return out.drop(k).withColumn("timestamp", ts)
