@@ -116,6 +116,38 @@ def prefix_sums(df: DataFrame, group_cols, order_cols, value_cols, prefix: str =
     return out
 
 
+def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, prefix: str = "cum_",
+                         buckets: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``sum_cols`` per group in ascending ``value_col`` order.
+
+    For a numeric order key that is unique within a group (a value-count
+    table). Deterministic and JVM-only: per-group approximate-quantile
+    boundaries cut each group into ``buckets`` ranges of similar size, a
+    window runs inside each (group, bucket), and a carry-in from the bucket
+    totals (at most groups x buckets rows, broadcast) finishes the sum. A group
+    with billions of distinct values is therefore spread over many tasks.
+    """
+    group_cols, sum_cols = list(group_cols), list(sum_cols)
+    n = buckets or 2 * _num_partitions(df, None)
+    probs = [i / n for i in range(1, n)]
+    v = F.col(value_col).cast("double")
+    bounds = df.groupBy(*group_cols).agg(F.percentile_approx(v, probs, 10000).alias("_bounds"))
+    # groups x buckets numbers: the size bound of the broadcast side
+    j = df.join(F.broadcast(bounds), group_cols, "inner") if group_cols else \
+        attach(df, bounds)
+    j = j.withColumn("_bkt", F.size(F.filter(F.array_distinct("_bounds"), lambda b: b < v))).drop("_bounds")
+    w = Window.partitionBy(*group_cols, "_bkt").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = j.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in sum_cols])
+    tot = j.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    wo = (Window.partitionBy(*group_cols).orderBy("_bkt") if group_cols else Window.orderBy("_bkt")) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*group_cols, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}")
+                                            for c in sum_cols])
+    out = local.join(F.broadcast(off), group_cols + ["_bkt"], "inner")
+    return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).cast("double").alias(f"{prefix}{c}")
+                                     for c in sum_cols])
+
+
 def attach(df: DataFrame, stats: DataFrame, by=()) -> DataFrame:
     """Join per-group statistics back onto rows.
 
@@ -144,8 +176,8 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
     group_cols = list(group_cols)
     counts = (df.where(F.col(value_col).isNotNull())
               .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n")))
-    pre = prefix_sums(counts, group_cols, [value_col], ["_n"], num_partitions=num_partitions)
-    totals = pre.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
+    pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions)
+    totals = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     targets = (totals.select(*group_cols, "_total",
                              F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
                .withColumn("_pos", (F.col("_total") - 1) * F.col("p"))
@@ -189,28 +221,59 @@ def unpivot_numeric(df: DataFrame, cols, name: str = "column", value: str = "val
 def pair_moments(df: DataFrame, cols, pairs=None) -> DataFrame:
     """Long frame (a, b, n, mean_a, mean_b, cov, var_a, var_b), population moments.
 
-    One aggregation pass; each pair uses only rows where both values are
-    present (pandas pairwise-complete). Spark's covariance/variance aggregates
-    merge centred partial moments, so there is no sum-of-squares cancellation.
+    Pass 1 (d counts and means, collected: 2d scalars) gives each column's
+    shift. Pass 2 is one aggregation of plain sums of shifted values, so no
+    sum-of-squares cancellation and the aggregate stays in generated code.
+    Columns without NULLs share their sums across pairs; a pair with a column
+    that has NULLs uses sums masked to rows where both are present (pandas
+    pairwise-complete).
     """
     cols = list(cols)
     if pairs is None:
         pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    x = {c: F.when(F.isnan(F.col(c).cast("double")), None).otherwise(F.col(c).cast("double"))
-         for c in {c for p in pairs for c in p}}
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        both = x[a].isNotNull() & x[b].isNotNull()
-        xa, xb = F.when(both, x[a]), F.when(both, x[b])
-        aggs += [F.count(F.when(both, 1)).alias(f"n{i}"), F.avg(xa).alias(f"ma{i}"),
-                 F.avg(xb).alias(f"mb{i}"), F.covar_pop(xa, xb).alias(f"c{i}"),
-                 F.var_pop(xa).alias(f"va{i}"), F.var_pop(xb).alias(f"vb{i}")]
-    row = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"n{i}").alias("n"),
-                        F.col(f"ma{i}").alias("mean_a"), F.col(f"mb{i}").alias("mean_b"),
-                        F.col(f"c{i}").alias("cov"), F.col(f"va{i}").alias("var_a"),
-                        F.col(f"vb{i}").alias("var_b"))
-               for i, (a, b) in enumerate(pairs)]
+    used = sorted({c for p in pairs for c in p}, key=lambda c: cols.index(c) if c in cols else 0)
+    x = {c: F.when(F.isnan(F.col(c).cast("double")), None).otherwise(F.col(c).cast("double")) for c in used}
+    first = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(x[c]).alias(f"n_{c}") for c in used],
+                   *[F.avg(x[c]).alias(f"m_{c}") for c in used]).collect()[0]
+    total = first["_n"]
+    complete = {c: first[f"n_{c}"] == total for c in used}
+    mu = {c: first[f"m_{c}"] if first[f"m_{c}"] is not None else 0.0 for c in used}
+    d = {c: x[c] - F.lit(mu[c]) for c in used}
+    exprs, names = {}, {}
+
+    def add(key, expr):
+        if key not in exprs:
+            names[key] = f"s{len(exprs)}"
+            exprs[key] = expr.alias(names[key])
+        return names[key]
+
+    spec = []
+    for a, b in pairs:
+        if complete[a] and complete[b]:
+            n = F.lit(total)
+            ka, kb = add(("s", a), F.sum(d[a])), add(("s", b), F.sum(d[b]))
+            kaa, kbb = add(("ss", a), F.sum(d[a] * d[a])), add(("ss", b), F.sum(d[b] * d[b]))
+            kab = add(("x", a, b), F.sum(d[a] * d[b]))
+            spec.append((a, b, None, ka, kb, kaa, kbb, kab))
+        else:
+            both = x[a].isNotNull() & x[b].isNotNull()
+            kn = add(("n", a, b), F.count(F.when(both, 1)))
+            ka = add(("ms", a, b), F.sum(F.when(both, d[a])))
+            kb = add(("ms", b, a), F.sum(F.when(both, d[b])))
+            kaa = add(("mss", a, b), F.sum(F.when(both, d[a] * d[a])))
+            kbb = add(("mss", b, a), F.sum(F.when(both, d[b] * d[b])))
+            kab = add(("x", a, b), F.sum(F.when(both, d[a] * d[b])))
+            spec.append((a, b, kn, ka, kb, kaa, kbb, kab))
+    row = df.agg(*exprs.values())
+    structs = []
+    for a, b, kn, ka, kb, kaa, kbb, kab in spec:
+        n = F.col(kn) if kn else F.lit(total).cast("long")
+        ma, mb = F.col(ka) / n, F.col(kb) / n
+        structs.append(F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"), n.alias("n"),
+            (F.lit(mu[a]) + ma).alias("mean_a"), (F.lit(mu[b]) + mb).alias("mean_b"),
+            (F.col(kab) / n - ma * mb).alias("cov"), (F.col(kaa) / n - ma * ma).alias("var_a"),
+            (F.col(kbb) / n - mb * mb).alias("var_b")))
     return row.select(F.inline(F.array(*structs)))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, exact_quantiles, prefix_sums
+from salesflow.operators.blocks import attach, exact_quantiles, prefix_sums_by_value
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -36,7 +36,7 @@ def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_pa
     long = _long(df, features, period, by)
     counts = long.groupBy(*g, "value").agg(
         F.count_if(F.col(period) == REF).alias("c_ref"), F.count_if(F.col(period) == CUR).alias("c_cur"))
-    pre = prefix_sums(counts, g, ["value"], ["c_ref", "c_cur"], num_partitions=num_partitions)
+    pre = prefix_sums_by_value(counts, g, "value", ["c_ref", "c_cur"], buckets=num_partitions)
     totals = counts.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     j = attach(pre, totals, g)
     gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))

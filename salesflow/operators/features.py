@@ -83,8 +83,12 @@ def add_group_stats(df: DataFrame, target: str, keys, aggs=("mean", "sum", "std"
 # F5 ---------------------------------------------------------------------------------------------
 def add_all_features(df: DataFrame, target: str = "sales", group=("region", "product"), order=("date",),
                      lags=(1, 7, 30), windows=(7, 30), interaction_cols=("price", "quantity"),
-                     chunk_rows: int | None = None) -> DataFrame:
-    """F1 -> W1 -> W2 -> F3 in one plan; one shared window for lags and rolling stats."""
+                     chunk_rows="auto") -> DataFrame:
+    """F1 -> W1 -> W2 -> F3 in one plan; one shared window for lags and rolling stats.
+
+    ``chunk_rows="auto"`` measures the largest group first and switches to the
+    halo-chunked window only when a group is too big for one task.
+    """
     out = add_time_features(df)
     if target in out.columns:
         out = W.add_history(out, target, group, order, lags=lags, windows=windows, chunk_rows=chunk_rows)

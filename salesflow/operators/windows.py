@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, prefix_sums, row_index
+from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index
 
 AGG_FUNCS = {
     "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum,
@@ -39,12 +39,28 @@ def _chunked(df: DataFrame, group, order, halo: int, chunk_rows: int):
     return out.withColumn("_halo", F.col("_chunk") != F.col("_home")).drop("_home")
 
 
+AUTO_CHUNK_ROWS = 2_000_000
+
+
+def auto_chunk_rows(df: DataFrame, group) -> int | None:
+    """Size check: chunk only when the largest group exceeds AUTO_CHUNK_ROWS rows.
+
+    One partially aggregated count per group; the answer is a single number.
+    """
+    if not group:
+        return AUTO_CHUNK_ROWS
+    biggest = df.groupBy(*group).count().agg(F.max("count")).collect()[0][0] or 0
+    return AUTO_CHUNK_ROWS if biggest > AUTO_CHUNK_ROWS else None
+
+
 def add_history(df: DataFrame, target: str, group, order, lags=(1, 7, 30), windows=(7, 30),
                 aggs=("mean", "std", "min", "max"), min_periods: int = 1,
                 include_current: bool = True, chunk_rows: int | None = None) -> DataFrame:
     """W1 + W2: ``{t}_lag_{n}`` and ``{t}_rolling_{w}_{agg}`` per group, by rows."""
     group, order = list(group), list(order)
     lags, windows = list(lags or []), list(windows or [])
+    if chunk_rows == "auto":
+        chunk_rows = auto_chunk_rows(df, group)
     halo = max([0] + lags + [w - 1 + (0 if include_current else 1) for w in windows])
     if chunk_rows:
         base = _chunked(df, group, order, halo, chunk_rows)
@@ -128,18 +144,23 @@ def global_row_index(df: DataFrame, order, name: str = "row_idx") -> DataFrame:
 
 
 # W7 ---------------------------------------------------------------------------------------------
-def average_ranks(df: DataFrame, cols, key_cols) -> DataFrame:
-    """Average-tie ranks (1-based, pandas ``rank()``) of each column; NULL stays NULL.
+def average_ranks(df: DataFrame, cols, key_cols=None) -> DataFrame:
+    """Average-tie ranks (1-based, pandas ``rank()``) of each column as ``{c}_rank``; NULL stays NULL.
 
-    Value counts -> prefix sums over values (skew-safe block) -> rank of a value
-    = cum - (count - 1) / 2 -> joined back on (column, value).
+    One value-count table for all columns -> one grouped prefix sum over the
+    distinct values (skew-safe block) -> rank of a value = cum - (count - 1) / 2
+    -> joined back per column on the value.
     """
+    cols = list(cols)
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    pre = prefix_sums_by_value(counts, ["column"], "value", ["_n"])
+    ranks = pre.select("column", "value", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))
     out = df
     for c in cols:
-        counts = (df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n")))
-        pre = prefix_sums(counts, [], [c], ["_n"])
-        ranks = pre.select(c, (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias(f"{c}_rank"))
-        out = out.join(ranks, c, "left")
+        r = ranks.where(F.col("column") == c).select(F.col("value").alias("_rk"), F.col("rank").alias(f"{c}_rank"))
+        out = out.join(r, F.col(c).cast("double") == F.col("_rk"), "left").drop("_rk")
     return out
 
 

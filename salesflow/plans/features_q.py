@@ -77,7 +77,7 @@ SELECT {KEY_SQL}, date, region, product, price, quantity, sales, {TIME_SQL}, {_h
 FROM sales""", **SALES), ("F5", "F2"))
 def all_features(spark, sf_dir):
     s = sales(spark, sf_dir, KEY + ["l_extendedprice", "date", "region", "product", "price", "quantity", "sales"])
-    out = FE.add_all_features(s, "sales", ("region", "product"), fx.SALES_ORDER, chunk_rows=1000)
+    out = FE.add_all_features(s, "sales", ("region", "product"), fx.SALES_ORDER)
     out = out.drop("l_extendedprice")
     out = rounded(out, 6, cols=["month_sin", "month_cos", "day_of_week_sin", "day_of_week_cos"])
     return rounded(out, 4, cols=[c for c in out.columns if c.startswith("sales_rolling")])
