@@ -128,10 +128,11 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
     with billions of distinct values is therefore spread over many tasks.
     """
     group_cols, sum_cols = list(group_cols), list(sum_cols)
-    n = buckets or 2 * _num_partitions(df, None)
+    n = buckets or _num_partitions(df, None)
     probs = [i / n for i in range(1, n)]
     v = F.col(value_col).cast("double")
-    bounds = df.groupBy(*group_cols).agg(F.percentile_approx(v, probs, 10000).alias("_bounds"))
+    # boundaries only balance the buckets; their precision does not affect the result
+    bounds = df.groupBy(*group_cols).agg(F.percentile_approx(v, probs, 1000).alias("_bounds"))
     # groups x buckets numbers: the size bound of the broadcast side
     j = df.join(F.broadcast(bounds), group_cols, "inner") if group_cols else \
         attach(df, bounds)
@@ -170,12 +171,26 @@ def row_index(df: DataFrame, order_cols, group_cols=(), name: str = "row_idx",
     return out.withColumn(name, (F.col("cum__sf_one") - 1).cast("long")).drop("_sf_one", "cum__sf_one")
 
 
+def value_counts(df: DataFrame, group_cols, value_col: str, count_cols=None) -> DataFrame:
+    """(group..., value, counts) with NULL values dropped, materialised once.
+
+    The reduced table feeds several branches (bucket bounds, prefix sums,
+    totals); a reliable checkpoint in the shared folder computes it once and
+    cuts the lineage (it survives executor loss, unlike a local checkpoint).
+    ``count_cols`` maps output name -> condition for conditional counts.
+    """
+    checkpoint_dir(df.sparkSession)
+    aggs = ([F.count_if(cond).alias(name) for name, cond in count_cols.items()] if count_cols
+            else [F.count(F.lit(1)).alias("_n")])
+    counts = df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(*aggs)
+    return counts.checkpoint(eager=True)
+
+
 def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
                     num_partitions: int | None = None) -> DataFrame:
     """Rows (group..., p, q): quantile_cont of ``value_col`` per group (NULLs ignored)."""
     group_cols = list(group_cols)
-    counts = (df.where(F.col(value_col).isNotNull())
-              .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n")))
+    counts = value_counts(df, group_cols, value_col)
     pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions)
     totals = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     targets = (totals.select(*group_cols, "_total",

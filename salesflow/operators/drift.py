@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, exact_quantiles, prefix_sums_by_value
+from salesflow.operators.blocks import attach, exact_quantiles, prefix_sums_by_value, value_counts
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -34,8 +34,7 @@ def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_pa
     by = list(by)
     g = by + ["feature"]
     long = _long(df, features, period, by)
-    counts = long.groupBy(*g, "value").agg(
-        F.count_if(F.col(period) == REF).alias("c_ref"), F.count_if(F.col(period) == CUR).alias("c_cur"))
+    counts = value_counts(long, g, "value", {"c_ref": F.col(period) == REF, "c_cur": F.col(period) == CUR})
     pre = prefix_sums_by_value(counts, g, "value", ["c_ref", "c_cur"], buckets=num_partitions)
     totals = counts.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     j = attach(pre, totals, g)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.operators.blocks import attach, exact_quantiles, pair_moments, pearson
-from salesflow.operators.windows import average_ranks
+from salesflow.operators.windows import rank_table
 
 
 def _ranked(scores: DataFrame, score: str = "score", desc: bool = True) -> DataFrame:
@@ -35,14 +35,29 @@ def correlations(df: DataFrame, cols, target: str, method: str = "pearson", key=
     """(feature, corr) with the target; spearman = pearson on average-tie ranks."""
     cols = list(cols)
     if method == "spearman":
-        ranked = average_ranks(df.select(*cols, target), cols + [target], key)
-        df = ranked.select(*[F.col(f"{c}_rank").alias(c) for c in cols + [target]])
-    elif method != "pearson":
+        return _spearman(df, cols, target)
+    if method != "pearson":
         raise ValueError(f"unknown method {method}")
     m = pair_moments(df, cols + [target], pairs=[(c, target) for c in cols])
     return m.select(F.col("a").alias("feature"), pearson("cov", "var_a", "var_b").alias("corr"), "n")
 
 
+def _spearman(df: DataFrame, cols, target: str) -> DataFrame:
+    """Pearson on average-tie ranks, in long form: one rank table, two joins, one grouped pass."""
+    ranks = rank_table(df, cols + [target])
+    y = F.col(target).cast("double")
+    long = (df.select(y.alias("_y"), *[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot(["_y"], cols, "feature", "_x")
+            .where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
+    rx = ranks.where(F.col("column") != target).select(
+        F.col("column").alias("feature"), F.col("value").alias("_x"), F.col("rank").alias("rx"))
+    ry = ranks.where(F.col("column") == target).select(F.col("value").alias("_y"), F.col("rank").alias("ry"))
+    j = long.join(rx, ["feature", "_x"]).join(ry, "_y")
+    m = j.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.covar_pop("rx", "ry").alias("cov"),
+                                 F.var_pop("rx").alias("var_a"), F.var_pop("ry").alias("var_b"))
+    return m.select("feature", pearson("cov", "var_a", "var_b").alias("corr"), "n")
+
+
 def by_correlation(df: DataFrame, cols, target: str, threshold: float = 0.1, method: str = "pearson") -> DataFrame:
     c = correlations(df, cols, target, method)
     s = c.select("feature", "corr", F.abs("corr").alias("score"))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index
+from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index, value_counts
 
 AGG_FUNCS = {
     "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum,
@@ -144,6 +144,16 @@ def global_row_index(df: DataFrame, order, name: str = "row_idx") -> DataFrame:
 
 
 # W7 ---------------------------------------------------------------------------------------------
+def rank_table(df: DataFrame, cols) -> DataFrame:
+    """(column, value, rank): average-tie rank of every distinct value of each column."""
+    cols = list(cols)
+    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
+    counts = value_counts(long, ["column"], "value")
+    pre = prefix_sums_by_value(counts, ["column"], "value", ["_n"])
+    return pre.select("column", "value", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))
+
+
 def average_ranks(df: DataFrame, cols, key_cols=None) -> DataFrame:
     """Average-tie ranks (1-based, pandas ``rank()``) of each column as ``{c}_rank``; NULL stays NULL.
 
@@ -152,11 +162,7 @@ def average_ranks(df: DataFrame, cols, key_cols=None) -> DataFrame:
     -> joined back per column on the value.
     """
     cols = list(cols)
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
-    pre = prefix_sums_by_value(counts, ["column"], "value", ["_n"])
-    ranks = pre.select("column", "value", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))
+    ranks = rank_table(df, cols)
     out = df
     for c in cols:
         r = ranks.where(F.col("column") == c).select(F.col("value").alias("_rk"), F.col("rank").alias(f"{c}_rank"))
