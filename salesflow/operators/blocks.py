@@ -26,6 +26,19 @@ from pyspark.sql import types as T
 from salesflow.session import checkpoint_dir
 
 _PID = "_sf_pid"
+# Largest side (rows) broadcast without measurement by AQE: the per-group
+# tables below have (groups x buckets) rows, so their size is checked first.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def maybe_broadcast(df: DataFrame, rows_upper_bound: int) -> DataFrame:
+    """Broadcast hint only when the caller has proven the row bound; else leave it to AQE."""
+    return F.broadcast(df) if rows_upper_bound <= MAX_BROADCAST_ROWS else df
+
+
+def group_count(df: DataFrame, group_cols) -> int:
+    """Number of groups, counted on an (already materialised) reduced table."""
+    return df.select(*group_cols).distinct().count() if group_cols else 1
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
@@ -117,7 +130,7 @@ def prefix_sums(df: DataFrame, group_cols, order_cols, value_cols, prefix: str =
 
 
 def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, prefix: str = "cum_",
-                         buckets: int | None = None) -> DataFrame:
+                         buckets: int | None = None, n_groups: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per group in ascending ``value_col`` order.
 
     For a numeric order key that is unique within a group (a value-count
@@ -133,8 +146,9 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
     v = F.col(value_col).cast("double")
     # boundaries only balance the buckets; their precision does not affect the result
     bounds = df.groupBy(*group_cols).agg(F.percentile_approx(v, probs, 1000).alias("_bounds"))
-    # groups x buckets numbers: the size bound of the broadcast side
-    j = df.join(F.broadcast(bounds), group_cols, "inner") if group_cols else \
+    ng = n_groups if n_groups is not None else group_count(df, group_cols)
+    # bounds: one row per group (n - 1 numbers each); offsets: groups x buckets rows
+    j = df.join(maybe_broadcast(bounds, ng * n), group_cols, "inner") if group_cols else \
         attach(df, bounds)
     j = j.withColumn("_bkt", F.size(F.filter(F.array_distinct("_bounds"), lambda b: b < v))).drop("_bounds")
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
@@ -144,7 +158,7 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
         .rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*group_cols, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}")
                                             for c in sum_cols])
-    out = local.join(F.broadcast(off), group_cols + ["_bkt"], "inner")
+    out = local.join(maybe_broadcast(off, ng * n), group_cols + ["_bkt"], "inner")
     return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).cast("double").alias(f"{prefix}{c}")
                                      for c in sum_cols])
 
@@ -191,7 +205,8 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
     """Rows (group..., p, q): quantile_cont of ``value_col`` per group (NULLs ignored)."""
     group_cols = list(group_cols)
     counts = value_counts(df, group_cols, value_col)
-    pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions)
+    ng = group_count(counts, group_cols)
+    pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions, n_groups=ng)
     totals = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     targets = (totals.select(*group_cols, "_total",
                              F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
@@ -200,9 +215,8 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
                .withColumn("_hi", F.ceil("_pos").cast("long")))
     ranks = targets.select(*[F.col(g).alias(f"_k_{g}") for g in group_cols], "p", "_pos", "_lo", "_hi",
                            F.explode(F.array(F.col("_lo"), F.col("_hi"))).alias("_r")).distinct()
-    if not group_cols:
-        # no key: the target list has at most 2 x len(probs) rows -> broadcast it
-        ranks = F.broadcast(ranks)
+    # the target list has at most groups x 2 x len(probs) rows
+    ranks = maybe_broadcast(ranks, ng * 2 * len(list(probs)))
     cond = [F.col(g).eqNullSafe(F.col(f"_k_{g}")) for g in group_cols] + [
         (F.col("cum__n") - F.col("_n") <= F.col("_r")), (F.col("_r") < F.col("cum__n"))]
     hit = pre.join(ranks, cond).select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesflow.functions import exprs as X
 from salesflow.operators import windows as W
-from salesflow.operators.blocks import attach
+from salesflow.operators.blocks import attach, maybe_broadcast
 
 TIME_FEATURES = ("year", "month", "day", "day_of_week", "day_of_year", "week_of_year", "quarter",
                  "is_weekend", "is_month_start", "is_month_end", "is_quarter_start", "is_quarter_end",
@@ -120,11 +120,11 @@ def demand_index(df: DataFrame, date: str, region: str, product: str, actual: st
     base = df.groupBy(product).agg(F.avg(actual).alias("_base"))
     out = df.join(base, product, "left")
     if preferences is not None:  # (region, product, preference) - a small user table
-        out = out.join(F.broadcast(preferences), [region, product], "left")
+        out = out.join(maybe_broadcast(preferences, preferences.count()), [region, product], "left")
     else:
         out = out.withColumn("preference", F.lit(None).cast("double"))
     if weekend_boost is not None:  # (product, weekend_boost)
-        out = out.join(F.broadcast(weekend_boost), product, "left")
+        out = out.join(maybe_broadcast(weekend_boost, weekend_boost.count()), product, "left")
     else:
         out = out.withColumn("weekend_boost", F.lit(None).cast("double"))
     month_m = F.element_at(F.array(*[F.lit(x) for x in MONTH_MULTIPLIERS]), F.month(date))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach
+from salesflow.operators.blocks import attach, maybe_broadcast
 
 
 def _c(c) -> Column:
@@ -94,9 +94,12 @@ def attach_by_key(left: DataFrame, right: DataFrame, key, how: str = "left") ->
 
 
 # J2 ---------------------------------------------------------------------------------------------
-def lookup(df: DataFrame, dim: DataFrame, key, how: str = "left", small: bool = False) -> DataFrame:
-    """Dimension lookup. ``small=True`` only for dims with a fixed, known row bound."""
-    return df.join(F.broadcast(dim) if small else dim, key, how)
+def lookup(df: DataFrame, dim: DataFrame, key, how: str = "left", check_size: bool = True) -> DataFrame:
+    """Dimension lookup: broadcast only after counting the dimension under the row bound;
+    otherwise a shuffle join on the key (AQE may still convert it on measured size)."""
+    if check_size:
+        return df.join(maybe_broadcast(dim, dim.count()), key, how)
+    return df.join(dim, key, how)
 
 
 def map_lookup(col, mapping: dict, default=None) -> Column:
