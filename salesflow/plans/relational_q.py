@@ -160,3 +160,30 @@ def append_increments(spark, sf_dir):
 @register("u2_distinct_region_product", with_views("SELECT DISTINCT region, product FROM sales", **SALES), ("U2",))
 def distinct_region_product(spark, sf_dir):
     return sales(spark, sf_dir, ["region", "product"]).distinct()
+
+
+@register("s5_s8_scalar_functions", with_views(f"""
+SELECT prediction_id, coalesce(CASE WHEN actual_sales = 0 THEN NULL ELSE predicted_sales / actual_sales END, 0.0) AS ratio,
+  strftime("timestamp", '%Y-%m-%d %H:%M') AS ts_text, upper(trim('  ' || region || '  ')) AS region_trim,
+  array_to_string(string_split(region || ',' || CAST(product AS VARCHAR), ','), '|') AS joined,
+  least(greatest(predicted_sales, 10.0), 100.0) AS clipped, floor(predicted_sales) AS floored,
+  {rsql('sqrt(predicted_sales)')} AS root, {rsql('ln(predicted_sales + 1)')} AS log1,
+  round(predicted_sales, 1) AS rounded1, datediff('day', DATE '2024-01-01', CAST("timestamp" AS DATE)) AS days_in,
+  CAST(floor((epoch_us((SELECT max("timestamp") FROM predictions)) - epoch_us("timestamp")) / 3600000000) AS BIGINT)
+    AS hours_before_end
+FROM predictions""", **PRED), ("S5", "S6", "S7", "S8"))
+def scalar_functions(spark, sf_dir):
+    from salesflow.functions import exprs as X
+    p = fx.predictions(spark, sf_dir)
+    end = max_scalar(p, "timestamp")
+    out = p.select(
+        "prediction_id", X.safe_div("predicted_sales", "actual_sales", 0.0).alias("ratio"),
+        F.date_format("timestamp", "yyyy-MM-dd HH:mm").alias("ts_text"),
+        F.upper(F.trim(F.concat(F.lit("  "), "region", F.lit("  ")))).alias("region_trim"),
+        X.join_list(X.split_list(F.concat_ws(",", "region", F.col("product").cast("string"))), "|").alias("joined"),
+        X.clip("predicted_sales", 10.0, 100.0).alias("clipped"), F.floor("predicted_sales").cast("double").alias("floored"),
+        F.sqrt("predicted_sales").alias("root"), F.log1p("predicted_sales").alias("log1"),
+        F.round("predicted_sales", 1).alias("rounded1"),
+        X.days_between(F.to_date("timestamp"), F.lit("2024-01-01").cast("date")).cast("bigint").alias("days_in"),
+        X.hours_since("timestamp", end).cast("bigint").alias("hours_before_end"))
+    return rounded(out, cols=["root", "log1"])

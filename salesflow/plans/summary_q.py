@@ -48,18 +48,19 @@ def revenue_overview(spark, sf_dir):
 
 
 # A1 -------------------------------------------------------------------------------------------
-_A1_KEYS = {
-    "month": ("month(date)", F.month("date")),
-    "day_of_week": ("isodow(date) - 1", F.weekday("date")),
-    "region": ("region", F.col("region")),
-    "product": ("product", F.col("product")),
+_A1_KEYS = {  # key -> (oracle expression, Spark expression builder); no Column at import time
+    "month": ("month(date)", lambda: F.month("date")),
+    "day_of_week": ("isodow(date) - 1", lambda: F.weekday("date")),
+    "region": ("region", lambda: F.col("region")),
+    "product": ("product", lambda: F.col("product")),
 }
 
 
 def _a1(key):
-    sql_key, col = _A1_KEYS[key]
+    sql_key, make_col = _A1_KEYS[key]
 
     def build(spark, sf_dir):
+        col = make_col()
         s = sales(spark, sf_dir, ["date", "region", "product", "sales"]).withColumn(
             key, col.cast("bigint") if key in ("month", "day_of_week") else col)
         return rounded(S.group_totals(s, key, "sales"), 4, money=("total",))
