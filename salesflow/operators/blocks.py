@@ -185,7 +185,7 @@ def row_index(df: DataFrame, order_cols, group_cols=(), name: str = "row_idx",
     return out.withColumn(name, (F.col("cum__sf_one") - 1).cast("long")).drop("_sf_one", "cum__sf_one")
 
 
-def value_counts(df: DataFrame, group_cols, value_col: str, count_cols=None) -> DataFrame:
+def value_counts(df: DataFrame, group_cols, value_col: str, count_cols=None, drop_nulls: bool = True) -> DataFrame:
     """(group..., value, counts) with NULL values dropped, materialised once.
 
     The reduced table feeds several branches (bucket bounds, prefix sums,
@@ -196,15 +196,29 @@ def value_counts(df: DataFrame, group_cols, value_col: str, count_cols=None) ->
     checkpoint_dir(df.sparkSession)
     aggs = ([F.count_if(cond).alias(name) for name, cond in count_cols.items()] if count_cols
             else [F.count(F.lit(1)).alias("_n")])
-    counts = df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(*aggs)
+    src = df.where(F.col(value_col).isNotNull()) if drop_nulls else df
+    counts = src.groupBy(*group_cols, value_col).agg(*aggs)
     return counts.checkpoint(eager=True)
 
 
 def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
                     num_partitions: int | None = None) -> DataFrame:
     """Rows (group..., p, q): quantile_cont of ``value_col`` per group (NULLs ignored)."""
+    counts = value_counts(df, list(group_cols), value_col)
+    return quantiles_from_counts(counts, group_cols, value_col, probs, "_n", num_partitions)
+
+
+def quantiles_from_counts(counts: DataFrame, group_cols, value_col: str, probs, count_col: str = "_n",
+                          num_partitions: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles from a (group..., value, count) table.
+
+    The value at 0-based rank r is the value whose cumulative count interval
+    [cum - count, cum) contains r; q = v(floor(pos)) + frac * (v(ceil(pos)) - v(floor(pos))),
+    pos = (n - 1) p. Rows with a zero count are ignored.
+    """
     group_cols = list(group_cols)
-    counts = value_counts(df, group_cols, value_col)
+    counts = counts.where((F.col(count_col) > 0) & F.col(value_col).isNotNull()).select(
+        *group_cols, value_col, F.col(count_col).alias("_n"))
     ng = group_count(counts, group_cols)
     pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions, n_groups=ng)
     totals = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))

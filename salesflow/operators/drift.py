@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, exact_quantiles, prefix_sums_by_value, value_counts
+from salesflow.operators.blocks import attach, prefix_sums_by_value, quantiles_from_counts, value_counts
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -29,19 +29,26 @@ def _long(df: DataFrame, features, period: str, by=()) -> DataFrame:
     return long.where(F.col("value").isNotNull())
 
 
-def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_partitions=None) -> DataFrame:
-    """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values."""
-    by = list(by)
-    g = by + ["feature"]
+def period_counts(df: DataFrame, features, period: str = "period", by=()) -> DataFrame:
+    """(by..., feature, value, c_ref, c_cur), materialised once; KS and PSI both read it."""
+    g = list(by) + ["feature"]
     long = _long(df, features, period, by)
-    counts = value_counts(long, g, "value", {"c_ref": F.col(period) == REF, "c_cur": F.col(period) == CUR})
+    return value_counts(long, g, "value", {"c_ref": F.col(period) == REF, "c_cur": F.col(period) == CUR})
+
+
+def ks_from_counts(counts: DataFrame, by=(), num_partitions=None) -> DataFrame:
+    g = list(by) + ["feature"]
     pre = prefix_sums_by_value(counts, g, "value", ["c_ref", "c_cur"], buckets=num_partitions)
     totals = counts.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     j = attach(pre, totals, g)
     gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
-    out = j.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).groupBy(*g, "n_ref", "n_cur").agg(
+    return j.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).groupBy(*g, "n_ref", "n_cur").agg(
         F.max(gap).alias("ks_statistic"))
-    return out
+
+
+def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_partitions=None) -> DataFrame:
+    """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values."""
+    return ks_from_counts(period_counts(df, features, period, by), by, num_partitions)
 
 
 def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -59,9 +66,10 @@ def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Colu
 
 
 def ks_test(df: DataFrame, features, period: str = "period", threshold: float = DEFAULT_THRESHOLD,
-            by=(), num_partitions=None) -> DataFrame:
+            by=(), num_partitions=None, counts: DataFrame | None = None) -> DataFrame:
     """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected)."""
-    ks = ks_statistics(df, features, period, by, num_partitions)
+    counts = counts if counts is not None else period_counts(df, features, period, by)
+    ks = ks_from_counts(counts, by, num_partitions)
     p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     return ks.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
 
@@ -80,28 +88,27 @@ def drift_report(ks: DataFrame, features, threshold: float = DEFAULT_THRESHOLD,
                       F.lit(float(threshold)).alias("threshold"))
 
 
-def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=()) -> DataFrame:
+def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
+        counts: DataFrame | None = None) -> DataFrame:
     """PSI per feature with bins from reference percentiles (see SURVEY §8-D).
 
     edges = unique(percentiles 0..100 step 100/bins) of the reference rows;
     slot = number of edges[:-1] <= x (slot 0 is below the reference minimum);
     proportions + 1e-10 on both sides, PSI = sum (c - r) ln(c / r).
+    Everything is computed from the per-period value-count table.
     """
-    by = list(by)
-    g = by + ["feature"]
-    long = _long(df, features, period, by)
+    g = list(by) + ["feature"]
+    counts = counts if counts is not None else period_counts(df, features, period, by)
     probs = [i / bins for i in range(bins + 1)]
-    q = exact_quantiles(long.where(F.col(period) == REF), g, "value", probs)
+    q = quantiles_from_counts(counts, g, "value", probs, count_col="c_ref")
     edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-    j = attach(long, edges, g)
+    j = attach(counts, edges, g)
     inner = F.slice(F.col("edges"), 1, F.size("edges") - 1)
     slot = F.size(F.filter(inner, lambda e: e <= F.col("value")))
-    counts = j.groupBy(*g, slot.alias("slot")).agg(
-        F.count_if(F.col(period) == REF).alias("c_ref"), F.count_if(F.col(period) == CUR).alias("c_cur"))
-    totals = long.groupBy(*g).agg(F.count_if(F.col(period) == REF).alias("n_ref"),
-                                  F.count_if(F.col(period) == CUR).alias("n_cur"))
+    per_slot = j.groupBy(*g, slot.alias("slot")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    totals = counts.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     grid = edges.select(*g, F.explode(F.sequence(F.lit(0), F.size("edges") - 1)).alias("slot"))
-    full = grid.join(counts, g + ["slot"], "left").join(totals, g, "inner")
+    full = grid.join(per_slot, g + ["slot"], "left").join(totals, g, "inner")
     r = F.coalesce(F.col("c_ref"), F.lit(0)) / F.col("n_ref") + PSI_EPS
     c = F.coalesce(F.col("c_cur"), F.lit(0)) / F.col("n_cur") + PSI_EPS
     return full.groupBy(*g).agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
@@ -129,8 +136,9 @@ def monitoring_run(df: DataFrame, features, date: str = "date", as_of=None, days
     from salesflow.operators.relational import label_period
     as_of = as_of if as_of is not None else df.select(F.max(date)).scalar()
     lab = label_period(df, date, as_of, days)
-    ks = ks_test(lab, features, "period", threshold, by)
-    p = psi(lab, features, "period", bins, by)
+    counts = period_counts(lab, features, "period", by)  # one pass over the data for both tests
+    ks = ks_test(lab, features, "period", threshold, by, counts=counts)
+    p = psi(lab, features, "period", bins, by, counts=counts)
     g = list(by) + ["feature"]
     out = ks.join(p, g, "full")
     return out.select(*by, F.lit(as_of).cast("date").alias("as_of"), F.col("feature").alias("feature_name"),

@@ -2,9 +2,8 @@
 
 Report rows: (check, column, status in {passed, failed, warning}, observed).
 All scalar measures (null counts, range violations, date bounds, infinities,
-all-zero columns, the business rule) come from ONE aggregation pass; only
-duplicates (one groupBy each) and IQR outliers (quantile block) need their own
-jobs. Every group is aggregated map-side first, so a hot key costs nothing
+all-zero columns, the business rule) come from ONE aggregation pass; exact and
+key duplicates share one grouping; IQR outliers need one value-count pass. Every group is aggregated map-side first, so a hot key costs nothing
 extra.
 """
 
@@ -13,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, exact_quantiles, unpivot_numeric
+from salesflow.operators.blocks import attach, quantiles_from_counts, unpivot_numeric, value_counts
 from salesflow.functions.exprs import non_blank
 
 REQUIRED = ("date", "region", "product", "price", "quantity", "sales")
@@ -101,14 +100,15 @@ def scalar_checks(df: DataFrame, required=REQUIRED, critical=CRITICAL, as_of=Non
 def duplicate_checks(df: DataFrame, keys=KEYS) -> DataFrame:
     """Q7 exact duplicates (warning, observed = count) and Q8 key duplicates (failed).
 
-    NULLs compare equal (pandas ``duplicated``). Both are map-side combined
-    groupBy's, so a key holding a third of the rows costs one partial count.
+    NULLs compare equal (pandas ``duplicated``). One shuffle of the data:
+    groups over all columns refine the key groups, so the key counts are
+    re-aggregated from the (much smaller) all-column counts.
     """
-    exact = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c")).agg(
-        F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
+    full = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+    exact = full.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
     out = exact.select(F.inline(F.array(_row("duplicates", None, F.col("dup"), _status(F.col("dup") > 0, WARNING)))))
     if all(k in df.columns for k in keys):
-        kd = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).agg(
+        kd = full.groupBy(*keys).agg(F.sum("_c").alias("_c")).agg(
             F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
         out = out.unionByName(kd.select(F.inline(F.array(
             _row("key_duplicates", ",".join(keys), F.col("dup"), _status(F.col("dup") > 0, FAILED))))))
@@ -116,19 +116,25 @@ def duplicate_checks(df: DataFrame, keys=KEYS) -> DataFrame:
 
 
 def outlier_check(df: DataFrame, cols=NUMERIC_REQUIRED, k: float = 3.0, max_pct: float = 5.0) -> DataFrame:
-    """Q9: share of rows outside the k x IQR fences per column; warning above ``max_pct``."""
+    """Q9: share of rows outside the k x IQR fences per column; warning above ``max_pct``.
+
+    One pass over the data builds the (column, value, count) table; quartiles
+    and the outlier counts both come from that table.
+    """
     cols = [c for c in cols if c in df.columns]
-    long = unpivot_numeric(df, cols)
-    q = exact_quantiles(long, ["column"], "value", (0.25, 0.75))
+    # NULL values keep their own bucket: the row total (len(df)) comes from the same table
+    counts = value_counts(unpivot_numeric(df, cols), ["column"], "value", drop_nulls=False)
+    q = quantiles_from_counts(counts, ["column"], "value", (0.25, 0.75))
     f = q.groupBy("column").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                                 F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
-    j = attach(long, f, ["column"])
     iqr = F.col("q3") - F.col("q1")
     out_cond = (F.col("value") < F.col("q1") - k * iqr) | (F.col("value") > F.col("q3") + k * iqr)
-    counts = j.groupBy("column").agg(F.count_if(out_cond).alias("_o"), F.count(F.lit(1)).alias("_n"))
-    pct = F.round(F.col("_o") * 100.0 / F.col("_n"), 2)
-    return counts.select(F.lit("statistical_outliers").alias("check"), "column",
-                         _status(pct > max_pct, WARNING).alias("status"), pct.cast("double").alias("observed"))
+    per = attach(counts, f, ["column"]).groupBy("column").agg(
+        F.sum(F.when(out_cond, F.col("_n")).otherwise(0)).alias("_o"), F.sum("_n").alias("_n_rows"))
+    j = per
+    pct = F.round(F.col("_o") * 100.0 / F.col("_n_rows"), 2)
+    return j.select(F.lit("statistical_outliers").alias("check"), "column",
+                    _status(pct > max_pct, WARNING).alias("status"), pct.cast("double").alias("observed"))
 
 
 def validate(df: DataFrame, required=REQUIRED, keys=KEYS, as_of=None, outliers: bool = True) -> DataFrame:

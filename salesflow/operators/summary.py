@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.functions.exprs import nan_to_null
-from salesflow.operators.blocks import attach, exact_quantiles, unpivot_numeric
+from salesflow.operators.blocks import attach, exact_quantiles, quantiles_from_counts, unpivot_numeric
+from salesflow.operators.blocks import value_counts as value_counts_table
 
 
 def _c(c) -> Column:
@@ -77,25 +78,43 @@ DEFAULT_PERCENTILES = (0.25, 0.5, 0.75)
 
 def numeric_summary(df: DataFrame, cols, percentiles=DEFAULT_PERCENTILES,
                     with_missing: bool = False, approx: bool = False) -> DataFrame:
-    """describe(): count, mean, std, min, quantiles, max per column (+ missing count / %)."""
+    """describe(): count, mean, std, min, quantiles, max per column (+ missing count / %).
+
+    Exact mode reads the data once: a (column, value, count) table with a NULL
+    bucket gives the moments (centred on the mean in a second pass over the
+    small table), the missing counts and the quantiles. ``approx=True`` uses
+    one streaming aggregate with ``percentile_approx`` instead.
+    """
     long = unpivot_numeric(df, cols)
-    base = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"), F.count(F.lit(1)).alias("_rows"),
-        *([F.percentile_approx("value", list(percentiles), 10000).alias("_pq")] if approx else []))
     names = [f"p{int(round(p * 100))}" for p in percentiles]
     if approx:
+        base = long.groupBy("column").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+            F.max("value").alias("max"), F.count(F.lit(1)).alias("_rows"),
+            F.percentile_approx("value", list(percentiles), 10000).alias("_pq"))
         out = base.select("*", *[F.col("_pq")[i].alias(n) for i, n in enumerate(names)]).drop("_pq")
     else:
-        q = exact_quantiles(long, ["column"], "value", percentiles)
+        counts = value_counts_table(long, ["column"], "value", drop_nulls=False)
+        present = F.col("value").isNotNull()
+        m1 = counts.groupBy("column").agg(
+            F.sum("_n").alias("_rows"), F.sum(F.when(present, F.col("_n"))).alias("count"),
+            (F.sum(F.col("value") * F.col("_n")) / F.sum(F.when(present, F.col("_n")))).alias("mean"),
+            F.min("value").alias("min"), F.max("value").alias("max"))
+        ss = attach(counts, m1.select("column", F.col("mean").alias("_m")), ["column"]).groupBy("column").agg(
+            F.sum(F.col("_n") * (F.col("value") - F.col("_m")) * (F.col("value") - F.col("_m"))).alias("_ss"))
+        base = m1.join(ss, "column").withColumn(
+            "std", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))).drop("_ss")
+        q = quantiles_from_counts(counts, ["column"], "value", percentiles)
         qw = q.groupBy("column").agg(
             *[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(percentiles, names)])
         out = base.join(qw, "column", "left")
+        out = out.withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
     if with_missing:
         out = (out.withColumn("missing", F.col("_rows") - F.col("count"))
                .withColumn("missing_pct", F.col("missing") * 100.0 / F.col("_rows")))
-    return out.drop("_rows")
+    return out.select("column", "count", "mean", "std", "min", *names, "max",
+                      *(["missing", "missing_pct"] if with_missing else []))
 
 
 # A8 ---------------------------------------------------------------------------------------------
@@ -158,22 +177,25 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
 
 # A13 --------------------------------------------------------------------------------------------
 def box_stats(df: DataFrame, value: str, by=(), k: float = 1.5) -> DataFrame:
-    """Quartiles, IQR whiskers (most extreme points inside the fences) and outlier count."""
+    """Quartiles, IQR whiskers (most extreme values inside the fences) and outlier count.
+
+    One pass over the data: everything is computed from the (by..., value, count) table.
+    """
     by = list(by)
     v = nan_to_null(F.col(value).cast("double"))
-    base = df.select(*by, v.alias("value"))
-    q = exact_quantiles(base, by, "value", (0.25, 0.5, 0.75))
+    counts = value_counts_table(df.select(*by, v.alias("value")), by, "value")
+    q = quantiles_from_counts(counts, by, "value", (0.25, 0.5, 0.75))
     qw = q.groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                               for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - k * F.col("iqr")
     hi = F.col("q3") + k * F.col("iqr")
-    j = attach(base, qw, by)
+    j = attach(counts, qw, by)
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)
     return j.groupBy(*by, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.count_if(F.col("value").isNotNull() & ~inside).alias("n_outliers"))
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_outliers"))
 
 
 # A14 --------------------------------------------------------------------------------------------
