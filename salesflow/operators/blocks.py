@@ -168,13 +168,15 @@ def attach(df: DataFrame, stats: DataFrame, by=()) -> DataFrame:
 
     With keys the join is left to AQE (broadcast only under the measured size
     threshold). Without keys ``stats`` is a global aggregate with exactly one
-    row, so it is broadcast on a constant key: no shuffle, no cross join.
+    row: it becomes a scalar subquery (run once, then a literal) - no join.
     """
     by = list(by)
     if by:
         return df.join(stats, by, "inner")
-    k = "_sf_one_row"
-    return df.withColumn(k, F.lit(0)).join(F.broadcast(stats.withColumn(k, F.lit(0))), k).drop(k)
+    cols = stats.columns
+    s = stats.select(F.struct(*[F.col(c) for c in cols]).alias("_sf_s")).scalar()
+    return df.withColumn("_sf_s", s).select(
+        *[F.col(c) for c in df.columns], *[F.col("_sf_s").getField(c).alias(c) for c in cols])
 
 
 def row_index(df: DataFrame, order_cols, group_cols=(), name: str = "row_idx",
@@ -219,6 +221,8 @@ def quantiles_from_counts(counts: DataFrame, group_cols, value_col: str, probs,
     group_cols = list(group_cols)
     counts = counts.where((F.col(count_col) > 0) & F.col(value_col).isNotNull()).select(
         *group_cols, value_col, F.col(count_col).alias("_n"))
+    if not group_cols:
+        return _global_quantiles(counts, value_col, probs, num_partitions)
     ng = group_count(counts, group_cols)
     pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions, n_groups=ng)
     totals = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
@@ -244,6 +248,38 @@ def quantiles_from_counts(counts: DataFrame, group_cols, value_col: str, probs,
                       .otherwise(q).alias("q"))
 
 
+def _global_quantiles(counts: DataFrame, value_col: str, probs, num_partitions=None) -> DataFrame:
+    """No groups: the total is one number, so the target ranks are literals and the
+    rank lookup is a filter + one aggregate (no join)."""
+    import math
+    total = counts.agg(F.sum("_n")).collect()[0][0] or 0
+    spark = counts.sparkSession
+    if total == 0:
+        return spark.createDataFrame([(float(p), None) for p in probs], "p double, q double")
+    pre = prefix_sums_by_value(counts, [], value_col, ["_n"], buckets=num_partitions)
+    plan = []
+    for p in probs:
+        pos = (total - 1) * float(p)
+        plan.append((float(p), pos, math.floor(pos), math.ceil(pos)))
+    ranks = sorted({r for _, _, lo, hi in plan for r in (lo, hi)})
+    lo_edge = F.col("cum__n") - F.col("_n")
+
+    def holds(r):
+        return (lo_edge <= F.lit(r)) & (F.lit(r) < F.col("cum__n"))
+
+    any_rank = F.lit(False)
+    for r in ranks:
+        any_rank = any_rank | holds(r)
+    v = F.col(value_col).cast("double")
+    row = pre.where(any_rank).agg(*[F.max(F.when(holds(r), v)).alias(f"r{r}") for r in ranks])
+    items = []
+    for p, pos, lo, hi in plan:
+        vlo, vhi = F.col(f"r{lo}"), F.col(f"r{hi}")
+        q = vlo if lo == hi else vlo + (vhi - vlo) * F.lit(pos - lo)
+        items.append(F.struct(F.lit(p).alias("p"), q.alias("q")))
+    return row.select(F.inline(F.array(*items)))
+
+
 def quantile_columns(df: DataFrame, cols, probs, names=None) -> DataFrame:
     """One row per column: (column, q_<name>...) using ``exact_quantiles`` on the unpivoted frame."""
     long = unpivot_numeric(df, cols)

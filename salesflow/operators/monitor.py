@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.operators import windows as W
+from salesflow.operators.blocks import attach
 from salesflow.operators.models import metric_exprs
 from salesflow.operators.relational import recent
 
@@ -68,8 +69,7 @@ def retrain_decision(perf: DataFrame, drift: DataFrame | None = None, by=()) ->
     p = perf.groupBy(*by).agg(F.bool_or("degradation_detected").alias("degradation_detected"))
     if drift is not None:
         p = p.join(drift.select(*by, "has_drift", "drift_percentage"), by, "left") if by else \
-            p.withColumn("_k", F.lit(0)).join(drift.select("has_drift", "drift_percentage")
-                                                .withColumn("_k", F.lit(0)), "_k", "left").drop("_k")
+            attach(p, drift.select("has_drift", "drift_percentage"))
     else:
         p = p.withColumn("has_drift", F.lit(False)).withColumn("drift_percentage", F.lit(0.0))
     reasons = F.array_compact(F.array(
@@ -128,15 +128,13 @@ def monitoring_summary(ts: Column, drift_report: DataFrame, perf: DataFrame, ale
                        current_metrics: DataFrame) -> DataFrame:
     """One row: timestamp, drift summary, degradation flag, alert count, current metrics.
 
-    Every input is a one-row report (or a few metric rows), so the constant-key
-    joins below combine single rows.
+    Every input is a one-row report, attached as scalar subqueries.
     """
     flag = perf.agg(F.coalesce(F.bool_or("degradation_detected"), F.lit(False)).alias("degradation_detected"))
     cur = current_metrics.select(*[F.col(m).alias(f"current_{m}") for m in METRICS])
     ac = alerts.agg(F.count(F.lit(1)).alias("alert_count"))
     d = drift_report.select("has_drift", "drift_percentage", "drifted_features")
-    k = "_one"
-    out = d.withColumn(k, F.lit(0))
+    out = d
     for part in (flag, ac, cur):
-        out = out.join(F.broadcast(part.withColumn(k, F.lit(0))), k)
-    return out.drop(k).withColumn("timestamp", ts)
+        out = attach(out, part)
+    return out.withColumn("timestamp", ts)

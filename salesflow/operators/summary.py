@@ -7,7 +7,7 @@ block, never through a per-group value map.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.exprs import nan_to_null
@@ -68,8 +68,11 @@ def value_counts(df: DataFrame, cols) -> DataFrame:
     cols = list(cols)
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("column")  # <= distinct values per column, after aggregation
-    return counts.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(w))
+    # per-column totals as a small aggregate joined back (a high-cardinality column
+    # must not land in one window partition)
+    totals = counts.groupBy("column").agg(F.sum("count").alias("_total"))
+    return attach(counts, totals, ["column"]).select(
+        "column", "value", "count", (F.col("count") * 100.0 / F.col("_total")).alias("pct"))
 
 
 # A6 / A7 ------------------------------------------------------------------------------------------
@@ -200,9 +203,11 @@ def box_stats(df: DataFrame, value: str, by=(), k: float = 1.5) -> DataFrame:
 
 # A14 --------------------------------------------------------------------------------------------
 def share_of_total(df: DataFrame, key, value: str) -> DataFrame:
-    """(key, total, share_pct); the grand total is a window over the aggregated keys."""
+    """(key, total, share_pct); the grand total is a one-row aggregate attached as a scalar."""
     t = df.groupBy(key).agg(F.sum(value).alias("total"))
-    return t.withColumn("share_pct", F.col("total") * 100.0 / F.sum("total").over(Window.partitionBy()))
+    grand = t.agg(F.sum("total").alias("_grand"))  # one row -> scalar subquery
+    return attach(t, grand).select(*([key] if isinstance(key, str) else key), "total",
+                                   (F.col("total") * 100.0 / F.col("_grand")).alias("share_pct"))
 
 
 # A15 --------------------------------------------------------------------------------------------

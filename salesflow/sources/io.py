@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesflow.operators.blocks import attach
 from salesflow.operators.quality import load_checks
 
 # Schema of the raw sales file of the reference pipeline (IO1).
@@ -139,8 +140,7 @@ def dataset_info(df: DataFrame) -> DataFrame:
     files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
     fi = files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("s").alias("size_bytes"))
     n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    k = "_one"
-    out = n.withColumn(k, F.lit(0)).join(F.broadcast(fi.withColumn(k, F.lit(0))), k).drop(k)
+    out = attach(n, fi)
     return out.withColumn("n_columns", F.lit(len(df.columns))).withColumn(
         "columns", F.lit(",".join(df.columns)))
 
@@ -154,19 +154,22 @@ def fingerprint(df: DataFrame, name: str) -> DataFrame:
 
 
 def version_status(current: DataFrame, versions_path: str | None, spark: SparkSession) -> DataFrame:
-    """Compare with the last recorded version: new / unchanged / changed."""
+    """Compare a one-row fingerprint with the last recorded version: new / unchanged / changed."""
     if versions_path is None:
         return current.withColumn("status", F.lit("new"))
     try:
         prev = spark.read.parquet(versions_path)
     except Exception:  # noqa: BLE001 - no history yet
         return current.withColumn("status", F.lit("new"))
-    last = prev.groupBy("dataset").agg(F.max_by(F.struct("fingerprint", "n_rows"), F.col("recorded_at")).alias("l"))
-    j = current.join(last, "dataset", "left")
-    st = F.when(F.col("l").isNull(), F.lit("new")).when(
-        (F.col("l.fingerprint") == F.col("fingerprint")) & (F.col("l.n_rows") == F.col("n_rows")),
+    name = current.select("dataset").first()["dataset"]
+    last = prev.where(F.col("dataset") == name).agg(
+        F.max_by(F.struct(F.col("fingerprint").alias("last_fp"), F.col("n_rows").alias("last_rows")),
+                 F.col("recorded_at")).alias("l")).select("l.*")
+    j = attach(current, last)
+    st = F.when(F.col("last_fp").isNull(), F.lit("new")).when(
+        (F.col("last_fp") == F.col("fingerprint")) & (F.col("last_rows") == F.col("n_rows")),
         F.lit("unchanged")).otherwise(F.lit("changed"))
-    return j.withColumn("status", st).drop("l")
+    return j.withColumn("status", st).drop("last_fp", "last_rows")
 
 
 def record_version(fp: DataFrame, versions_path: str) -> None:
