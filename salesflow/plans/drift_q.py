@@ -95,7 +95,7 @@ def ks_test(spark, sf_dir):
   coalesce(array_to_string(list_sort(list(feature) FILTER (WHERE p_value < 0.05)), ','), '') AS drifted_features,
   count(*) FILTER (WHERE p_value < 0.05) AS drift_count, {len(FEATURES)} AS total_features,
   {rsql(f'count(*) FILTER (WHERE p_value < 0.05) * 100.0 / {len(FEATURES)}')} AS drift_percentage,
-  0.05 AS threshold FROM kp"""), ("D3",))
+  CAST(0.05 AS DOUBLE) AS threshold FROM kp"""), ("D3",))
 def drift_report(spark, sf_dir):
     rep = D.drift_report(D.ks_test(_labelled(spark, sf_dir), FEATURES, "period"), FEATURES)
     return rounded(rep)

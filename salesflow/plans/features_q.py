@@ -91,7 +91,7 @@ e AS (SELECT s.product, CAST(month(s.date) AS INTEGER) AS month, s.quantity,
         * CASE WHEN isodow(s.date) >= 6 THEN 1.0 ELSE [0.95, 1.0, 1.0, 1.05, 1.1][isodow(s.date)] END
         * (1.0 + 0.15 * (s.date - s0.start) / 365.25) AS expected
       FROM sales s JOIN b ON s.product = b.product CROSS JOIN s0)
-SELECT product, month, count(*) AS n_rows, {rsql('sum(quantity)', 2)} AS actual, {rsql('sum(expected)', 4)} AS expected,
+SELECT product, month, count(*) AS n_rows, {rsql('CAST(sum(quantity) AS DOUBLE)', 2)} AS actual, {rsql('sum(expected)', 4)} AS expected,
        {rsql('sum(quantity) / sum(expected)', 6)} AS demand_ratio
 FROM e GROUP BY product, month""", **SALES), ("F6",))
 def demand_index(spark, sf_dir):

@@ -99,7 +99,7 @@ def recent_runs(spark, sf_dir):
 
 
 @register("m9_improvement_gate", f"""
-SELECT run_id, test_rmse AS current, 2000.0 AS baseline, {rsql('(2000.0 - test_rmse) / 2000.0 * 100', 6)}
+SELECT run_id, test_rmse AS current, CAST(2000.0 AS DOUBLE) AS baseline, {rsql('(2000.0 - test_rmse) / 2000.0 * 100', 6)}
   AS improvement_pct, test_rmse < 2000.0 AS register FROM ({_RUNS_SQL})""", ("M9",))
 def improvement_gate(spark, sf_dir):
     return rounded(M.improvement_gate(_runs(spark, sf_dir), 2000.0), cols=["improvement_pct"])

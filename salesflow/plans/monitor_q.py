@@ -29,7 +29,7 @@ def _perf_sql(by=()):
     keys = "".join(f"{b}, " for b in by)
     grp = f"GROUP BY {', '.join(by)}" if by else ""
     part = f"PARTITION BY {', '.join(by)}" if by else ""
-    base = " UNION ALL ".join(f"SELECT '{k}' AS metric, {v} AS baseline" for k, v in BASE.items())
+    base = " UNION ALL ".join(f"SELECT '{k}' AS metric, CAST({v} AS DOUBLE) AS baseline" for k, v in BASE.items())
     return with_views(f"""
 WITH r AS (SELECT * FROM predictions WHERE "timestamp" >= (SELECT max("timestamp") FROM predictions) - INTERVAL 7 DAY),
 m AS (SELECT {keys}count(*) AS sample_size, sqrt(avg((actual_sales - predicted_sales) * (actual_sales - predicted_sales))) AS rmse,
@@ -128,7 +128,7 @@ def open_alerts(spark, sf_dir):
 
 
 @register("pm6_retrain_gate", f"""
-SELECT should_retrain, priority, 12.0 AS hours_since_training,
+SELECT should_retrain, priority, CAST(12.0 AS DOUBLE) AS hours_since_training,
   should_retrain AND (12.0 >= 24 OR priority = 'HIGH') AS proceed FROM ({_DECISION_SQL})""", ("PM6", "S6"))
 def retrain_gate(spark, sf_dir):
     p = fx.predictions(spark, sf_dir)
