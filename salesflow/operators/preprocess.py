@@ -82,11 +82,18 @@ def fit_scaler(df: DataFrame, cols=None) -> Scaler:
 
 
 # T4 / T5 ------------------------------------------------------------------------------------------
+# Domains up to this many levels are kept as literals on the driver (fitted state);
+# larger label domains become a distributed (value, code) table joined on the value.
+MAX_LITERAL_LEVELS = 10_000
+MAX_ONEHOT_LEVELS = 1_000
+
+
 @dataclass(frozen=True)
 class Encoder:
     method: str
     classes: dict = field(default_factory=dict)  # column -> sorted tuple of values
     unseen: str = "error"
+    tables: dict = field(default_factory=dict)  # column -> DataFrame(value, code) for large domains
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
@@ -99,25 +106,52 @@ class Encoder:
                 out = out.select(*keep, *new)
             else:
                 m = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(v), F.lit(i))])
-                code = F.element_at(m, F.col(c)) if values else F.lit(None).cast("int")
-                if self.unseen == "error":
-                    code = F.when(F.col(c).isNull() | code.isNotNull(), code).otherwise(
-                        F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col(c).cast("string"))))
-                out = out.withColumn(c, code.cast("int"))
+                code = F.element_at(m, F.col(c).cast("string")) if values else F.lit(None).cast("int")
+                out = out.withColumn(c, self._check(c, code).cast("int"))
+        for c, table in self.tables.items():
+            t = table.select(F.col("value").alias("_sf_v"), F.col("code").alias("_sf_code"))
+            j = out.join(t, F.col(c).cast("string") == F.col("_sf_v"), "left")
+            out = j.withColumn(c, self._check(c, F.col("_sf_code")).cast("int")).drop("_sf_v", "_sf_code")
         return out
 
+    def _check(self, c, code):
+        if self.unseen != "error":
+            return code
+        return F.when(F.col(c).isNull() | code.isNotNull(), code).otherwise(
+            F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col(c).cast("string"))))
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(c, v, i) for c, vs in self.classes.items() for i, v in enumerate(vs)]
-        return spark.createDataFrame(rows, "column string, value string, code int")
+        out = spark.createDataFrame(rows, "column string, value string, code int")
+        for c, t in self.tables.items():
+            out = out.unionByName(t.select(F.lit(c).alias("column"), "value", F.col("code").cast("int")))
+        return out
 
 
 def fit_encoder(df: DataFrame, cols, method: str = "onehot", unseen: str = "error") -> Encoder:
-    """Sorted distinct domain per categorical column (bounded by the category count)."""
+    """Sorted distinct domain per categorical column.
+
+    A size check first (approximate distinct count per column, one pass):
+    small domains are collected as literals; a label domain above
+    MAX_LITERAL_LEVELS stays distributed as a (value, code) table built with
+    the row-index block; one-hot refuses domains above MAX_ONEHOT_LEVELS.
+    """
     cols = list(cols)
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    dom = long.where(F.col("value").isNotNull()).distinct().collect()
-    classes = {c: tuple(sorted(r["value"] for r in dom if r["column"] == c)) for c in cols}
-    return Encoder(method, classes, unseen)
+    approx = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).collect()[0].asDict()
+    small = [c for c in cols if approx[c] <= MAX_LITERAL_LEVELS]
+    large = [c for c in cols if c not in small]
+    if method == "onehot" and any(approx[c] > MAX_ONEHOT_LEVELS for c in cols):
+        raise ValueError(f"one-hot domain too large: { {c: approx[c] for c in cols} }")
+    classes = {}
+    if small:
+        long = df.select(*[F.col(c).cast("string").alias(c) for c in small]).unpivot([], small, "column", "value")
+        dom = long.where(F.col("value").isNotNull()).distinct().collect()
+        classes = {c: tuple(sorted(r["value"] for r in dom if r["column"] == c)) for c in small}
+    tables = {}
+    for c in large:
+        distinct = df.select(F.col(c).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
+        tables[c] = row_index(distinct, ["value"], name="code").checkpoint(eager=True)
+    return Encoder(method, classes, unseen, tables)
 
 
 # T6 / T7 ------------------------------------------------------------------------------------------

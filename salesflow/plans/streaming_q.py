@@ -15,7 +15,7 @@ PRED = {"predictions": PREDICTIONS_SQL}
 
 
 def _events_stream(spark, sf_dir, name):
-    src = J.stage_source(fx.table(spark, sf_dir, "events"), name, files=4)
+    src = J.stage_source(fx.table(spark, sf_dir, "events"), name)
     return J.read_stream(spark, src)
 
 

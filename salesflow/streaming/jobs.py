@@ -24,7 +24,10 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def stage_source(df: DataFrame, name: str, files: int = 4, order: str = "ts") -> str:
+ROWS_PER_STAGED_FILE = 1_000_000
+
+
+def stage_source(df: DataFrame, name: str, files: int | None = None, order: str = "ts") -> str:
     """Stage a batch frame as a file-stream source whose arrival order follows ``order``.
 
     The file source hands out files by modification time, so the slices of
@@ -35,6 +38,8 @@ def stage_source(df: DataFrame, name: str, files: int = 4, order: str = "ts") ->
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"src-{name}")
+    if files is None:  # at most ROWS_PER_STAGED_FILE rows go through one writing task
+        files = max(4, -(-df.count() // ROWS_PER_STAGED_FILE))
     # files - 1 cut points of the event-time range (a sketch: bounded state, one small row back)
     edges = df.agg(F.percentile_approx(order, [i / files for i in range(1, files)], 10000).alias("b")) \
         .collect()[0]["b"] or []

@@ -89,3 +89,14 @@ def test_zscore_outliers_population_std(spark):
     got = P.remove_outliers(spark.createDataFrame(pdf), ["a"], "zscore", 1.5).count()
     z = (pdf.a - pdf.a.mean()).abs() / pdf.a.std(ddof=0)
     assert got == int((z < 1.5).sum())
+
+
+def test_label_encoder_large_domain_uses_code_table(spark, monkeypatch):
+    monkeypatch.setattr(P, "MAX_LITERAL_LEVELS", 3)
+    df = spark.createDataFrame([(f"v{i:02d}",) for i in range(10)] + [(None,)], "r string")
+    enc = P.fit_encoder(df, ["r"], "label")
+    assert "r" in enc.tables and not enc.classes
+    got = {r.r for r in enc.transform(df).collect()}
+    assert got == set(range(10)) | {None}
+    with pytest.raises(Exception):
+        enc.transform(spark.createDataFrame([("zzz",)], "r string")).collect()
