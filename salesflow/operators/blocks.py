@@ -1,18 +1,24 @@
 """Shared physical building blocks.
 
-* ``prefix_sums`` - running sums in a total order without a single-partition
-  window: range-partition on (group, order) so a hot group is split across
-  many tasks, running sums inside each partition (Arrow batches via
-  ``mapInPandas``), then a carry-in per (partition, group) from a table with at
-  most partitions + groups rows. The partitioned intermediate is checkpointed
-  so the sampled range bounds are fixed before the carry-in is computed.
-* ``row_index`` - a dense global (or per-group) index in a deterministic order.
-* ``exact_quantiles`` - linear-interpolated quantiles (pandas / DuckDB
-  ``quantile_cont`` / Spark ``percentile``) from value counts + prefix sums;
-  no task ever holds a whole group's distinct values.
-* ``moments`` - one aggregation pass giving n, means, centred second moments for
-  d columns (pairwise complete), the input of correlation, variance and
+* ``prefix_sums_by_value`` - running sums per group in the order of a numeric
+  key (value-count tables): per-group approximate-quantile buckets, a window
+  inside each (group, bucket), a carry-in from a groups x buckets table. JVM
+  only, deterministic, no single-partition window.
+* ``row_index`` - dense index in a composite order: range partitioning on the
+  full key (a hot group is split), ``monotonically_increasing_id`` after a
+  within-partition sort, checkpoint to fix the sampled bounds, carry-in from a
+  (partition, group) table. JVM only.
+* ``prefix_sums`` - general running sums in a composite order (range partition
+  + per-partition running sums in Arrow batches + carry-in).
+* ``value_counts`` / ``exact_quantiles`` / ``quantiles_from_counts`` -
+  linear-interpolated quantiles (pandas / DuckDB ``quantile_cont`` / Spark
+  ``percentile``) from a materialised value-count table; no task ever holds a
+  whole group's distinct values.
+* ``pair_moments`` - one pass of shifted sums for n, means and covariances of
+  column pairs (pairwise complete), the input of correlation, variance and
   regression statistics.
+* ``attach`` / ``maybe_broadcast`` - one-row statistics as scalar subqueries,
+  broadcasts only below a proven row bound.
 """
 
 from __future__ import annotations
@@ -181,10 +187,33 @@ def attach(df: DataFrame, stats: DataFrame, by=()) -> DataFrame:
 
 def row_index(df: DataFrame, order_cols, group_cols=(), name: str = "row_idx",
               num_partitions: int | None = None) -> DataFrame:
-    """0-based dense index in ``order_cols`` order (within ``group_cols`` if given)."""
-    tmp = df.withColumn("_sf_one", F.lit(1))
-    out = prefix_sums(tmp, group_cols, order_cols, ["_sf_one"], num_partitions=num_partitions)
-    return out.withColumn(name, (F.col("cum__sf_one") - 1).cast("long")).drop("_sf_one", "cum__sf_one")
+    """0-based dense index in ``order_cols`` order (within ``group_cols`` if given). JVM only.
+
+    Range-partition on (group, order) - a hot group is split across tasks -
+    and sort within partitions; ``monotonically_increasing_id`` then encodes
+    (partition, position). The partitioned copy is checkpointed so the sampled
+    range bounds (and thus the ids) are fixed. A table with one row per
+    (partition, group) gives each group's carry-in count and first position.
+    """
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    checkpoint_dir(df.sparkSession)
+    n = _num_partitions(df, num_partitions)
+    keys = group_cols + order_cols
+    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_sf_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    pid = F.shiftright(F.col("_sf_mid"), 33)
+    r = ranged.withColumn(_PID, pid).withColumn("_sf_pos", F.col("_sf_mid") - F.shiftleft(pid, 33))
+    stats = r.groupBy(_PID, *group_cols).agg(F.min("_sf_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy(_PID) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    stats = stats.select(F.col(_PID).alias("_s_pid"), *[F.col(g).alias(f"_s_{g}") for g in group_cols],
+                         "_first", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    # at most (partitions + groups) rows; counted before deciding on a broadcast
+    stats = maybe_broadcast(stats, stats.count()) if group_cols else F.broadcast(stats)
+    cond = [F.col(_PID) == F.col("_s_pid")] + [F.col(g).eqNullSafe(F.col(f"_s_{g}")) for g in group_cols]
+    j = r.join(stats, cond, "inner")
+    idx = (F.col("_off") + F.col("_sf_pos") - F.col("_first")).cast("long")
+    return j.select(*[F.col(c) for c in df.columns], idx.alias(name))
 
 
 def value_counts(df: DataFrame, group_cols, value_col: str, count_cols=None, drop_nulls: bool = True) -> DataFrame:
