@@ -67,7 +67,7 @@ def _hist_sql(lags=(1, 7, 30), windows=(7, 30)):
     for size in windows:
         fr = f"{w} ROWS BETWEEN {size - 1} PRECEDING AND CURRENT ROW"
         for a, fn in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max")):
-            cols.append(f"{rsql(f'{fn}(sales) OVER ({fr})', 4)} AS sales_rolling_{size}_{a}")
+            cols.append(f"{rsql(f'{fn}(sales) OVER ({fr})', 6)} AS sales_rolling_{size}_{a}")
     return ", ".join(cols)
 
 
@@ -80,7 +80,7 @@ def all_features(spark, sf_dir):
     out = FE.add_all_features(s, "sales", ("region", "product"), fx.SALES_ORDER)
     out = out.drop("l_extendedprice")
     out = rounded(out, 6, cols=["month_sin", "month_cos", "day_of_week_sin", "day_of_week_cos"])
-    return rounded(out, 4, cols=[c for c in out.columns if c.startswith("sales_rolling")])
+    return rounded(out, 6, cols=[c for c in out.columns if c.startswith("sales_rolling")])
 
 
 @register("f6_demand_index", with_views(f"""

@@ -222,10 +222,10 @@ def _pandas_rolling_mean(pdf: pd.DataFrame) -> pd.Series:
 
 
 @register("x2_group_apply", with_views(f"""
-SELECT {KEY_SQL}, region, product, {rsql('avg(sales) OVER (PARTITION BY region, product ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 4)} AS value
+SELECT {KEY_SQL}, region, product, {rsql('avg(sales) OVER (PARTITION BY region, product ORDER BY date, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)', 6)} AS value
 FROM sales""", **SALES), ("X2",))
 def group_apply(spark, sf_dir):
     s = sales(spark, sf_dir, KEY + ["l_extendedprice", "date", "region", "product", "sales"])
     out = U.apply_in_groups(s, _pandas_rolling_mean, ["region", "product"], list(fx.SALES_ORDER),
                             halo=6, chunk_rows=1000)
-    return rounded(out.select(*KEY, "region", "product", "value"), 4)
+    return rounded(out.select(*KEY, "region", "product", "value"), 6)

@@ -151,7 +151,9 @@ _A7_SRC = f"""SELECT {null_every_sql('price', 'l_orderkey', 17)} AS price,
   {null_every_sql('l_discount', 'l_linenumber', 5)} AS l_discount, c_acctbal FROM ({sales_sql()})"""
 
 register("a7_feature_summary", _describe_sql(_A7_COLS, "feat", _A7_SRC, missing=True), ("A7",))(
-    lambda spark, sf_dir: rounded(S.numeric_summary(_a7_frame(spark, sf_dir), _A7_COLS, with_missing=True), 4))
+    lambda spark, sf_dir: rounded(rounded(S.numeric_summary(_a7_frame(spark, sf_dir), _A7_COLS, with_missing=True),
+                                          6, cols=["missing_pct"]), 4,
+                                  cols=["mean", "std", "min", "p25", "p50", "p75", "max"]))
 
 
 # A8 -------------------------------------------------------------------------------------------

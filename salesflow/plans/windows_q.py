@@ -33,13 +33,14 @@ def lags(spark, sf_dir):
 
 @register("w2_rolling_halo", with_views(f"""
 SELECT {KEY_SQL}, region, product, sales, {', '.join(
-    f"{rsql(f'{fn}(sales) OVER ({WIN} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)', 4)} AS sales_rolling_{n}_{a}"
+    f"{rsql(f'{fn}(sales) OVER ({WIN} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)', 6)} AS sales_rolling_{n}_{a}"
     for n in (7, 30) for a, fn in (('mean', 'avg'), ('std', 'stddev_samp'), ('min', 'min'), ('max', 'max')))}
 FROM sales""", **SALES), ("W2",))
 def rolling(spark, sf_dir):
     # chunked path: each (region, product) group is split into 500-row chunks plus a 29-row halo
     out = W.add_rolling(_base(spark, sf_dir), "sales", ["region", "product"], fx.SALES_ORDER, chunk_rows=500)
-    return rounded(out.drop("l_extendedprice", "date"), 4)
+    # windows of <= 30 rows over 2-dp values cannot land on a 6-dp rounding tie
+    return rounded(out.drop("l_extendedprice", "date"), 6)
 
 
 @register("w5_hopping_windows", with_views("""
