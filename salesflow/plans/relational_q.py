@@ -187,3 +187,10 @@ def scalar_functions(spark, sf_dir):
         X.days_between(F.to_date("timestamp"), F.lit("2024-01-01").cast("date")).cast("bigint").alias("days_in"),
         X.hours_since("timestamp", end).cast("bigint").alias("hours_before_end"))
     return rounded(out, cols=["root", "log1"])
+
+
+@register("p2_point_sample", None, ("P2",))
+def point_sample(spark, sf_dir):
+    """Deterministic 1-in-100 (actual, predicted) sample for a scatter plot; the sample is the feature."""
+    s = sales(spark, sf_dir, KEY + ["sales", "predicted"])
+    return R.point_sample(s, KEY, every=100).select(*KEY, "sales", "predicted")

@@ -303,3 +303,23 @@ FROM drift_metrics WHERE "timestamp" = (SELECT max("timestamp") FROM drift_metri
           ("A21", "P10"))
 def drift_headline(spark, sf_dir):
     return rounded(S.drift_headline(fx.drift_metrics(spark, sf_dir)))
+
+
+# A12, two overlaid series: reference vs current period, each with its own 30 bins -------------
+_PERIOD_SQL = ("SELECT *, CASE WHEN date >= (SELECT max(date) FROM sales) - INTERVAL 30 DAY THEN 'current' "
+               "ELSE 'reference' END AS period FROM sales")
+
+
+@register("a12_histogram_by_period", with_views(f"""
+WITH r AS (SELECT period, min(price) AS mn, max(price) AS mx FROM lab GROUP BY period),
+c AS (SELECT l.period, CAST(CASE WHEN (mx - mn) / 30 > 0 THEN least(floor((price - mn) / ((mx - mn) / 30)), 29)
+                  ELSE 0 END AS INTEGER) AS bin, count(*) AS count FROM lab l JOIN r ON l.period = r.period GROUP BY 1, 2),
+g AS (SELECT period, mn, mx, CAST(unnest(range(0, 30)) AS INTEGER) AS bin FROM r)
+SELECT g.period, g.bin, {rsql('mn + g.bin * ((mx - mn) / 30)', 4)} AS lo, {rsql('mn + (g.bin + 1) * ((mx - mn) / 30)', 4)} AS hi,
+       coalesce(c.count, 0) AS count
+FROM g LEFT JOIN c ON g.period = c.period AND g.bin = c.bin""", sales=sales_sql(), lab=_PERIOD_SQL), ("A12", "P5"))
+def histogram_by_period(spark, sf_dir):
+    from salesflow.operators.relational import label_period
+    s = sales(spark, sf_dir, ["date", "price"])
+    lab = label_period(s, "date", max_scalar(s, "date"), 30)
+    return rounded(S.histogram(lab, "price", bins=30, by=["period"]), 4)
