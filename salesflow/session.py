@@ -8,8 +8,10 @@ production.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -41,12 +43,41 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     # runtime-settable SQL confs also apply to a session created elsewhere
     for k in ("spark.sql.session.timeZone",):
         spark.conf.set(k, DEFAULT_CONF[k])
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``salesflow`` importable on the Python workers (``--py-files`` equivalent).
+
+    Python UDF / mapInPandas / applyInPandas tasks unpickle functions that
+    reference this package; executors do not share the driver's sys.path, so
+    the package is zipped once on the driver and distributed with
+    ``addPyFile`` (served by the driver, cached by every executor).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="salesflow-pyfiles-"), "salesflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; a private one only when none is configured."""
     sc = spark.sparkContext
