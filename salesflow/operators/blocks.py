@@ -240,7 +240,7 @@ def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
 
 
 def quantiles_from_counts(counts: DataFrame, group_cols, value_col: str, probs, count_col: str = "_n",
-                          num_partitions: int | None = None) -> DataFrame:
+                          num_partitions: int | None = None, n_groups: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles from a (group..., value, count) table.
 
     The value at 0-based rank r is the value whose cumulative count interval
@@ -252,7 +252,8 @@ def quantiles_from_counts(counts: DataFrame, group_cols, value_col: str, probs,
         *group_cols, value_col, F.col(count_col).alias("_n"))
     if not group_cols:
         return _global_quantiles(counts, value_col, probs, num_partitions)
-    ng = group_count(counts, group_cols)
+    # the caller may know the group count (e.g. one group per unpivoted column)
+    ng = n_groups if n_groups is not None else group_count(counts, group_cols)
     pre = prefix_sums_by_value(counts, group_cols, value_col, ["_n"], buckets=num_partitions, n_groups=ng)
     totals = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     targets = (totals.select(*group_cols, "_total",

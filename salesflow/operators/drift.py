@@ -36,9 +36,10 @@ def period_counts(df: DataFrame, features, period: str = "period", by=()) -> Dat
     return value_counts(long, g, "value", {"c_ref": F.col(period) == REF, "c_cur": F.col(period) == CUR})
 
 
-def ks_from_counts(counts: DataFrame, by=(), num_partitions=None) -> DataFrame:
+def ks_from_counts(counts: DataFrame, by=(), num_partitions=None, n_features: int | None = None) -> DataFrame:
     g = list(by) + ["feature"]
-    pre = prefix_sums_by_value(counts, g, "value", ["c_ref", "c_cur"], buckets=num_partitions)
+    ng = n_features if (n_features is not None and not by) else None
+    pre = prefix_sums_by_value(counts, g, "value", ["c_ref", "c_cur"], buckets=num_partitions, n_groups=ng)
     totals = counts.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     j = attach(pre, totals, g)
     gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
@@ -48,7 +49,7 @@ def ks_from_counts(counts: DataFrame, by=(), num_partitions=None) -> DataFrame:
 
 def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_partitions=None) -> DataFrame:
     """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values."""
-    return ks_from_counts(period_counts(df, features, period, by), by, num_partitions)
+    return ks_from_counts(period_counts(df, features, period, by), by, num_partitions, len(list(features)))
 
 
 def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -69,7 +70,7 @@ def ks_test(df: DataFrame, features, period: str = "period", threshold: float =
             by=(), num_partitions=None, counts: DataFrame | None = None) -> DataFrame:
     """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected)."""
     counts = counts if counts is not None else period_counts(df, features, period, by)
-    ks = ks_from_counts(counts, by, num_partitions)
+    ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
     p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     return ks.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
 
@@ -100,7 +101,8 @@ def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
     g = list(by) + ["feature"]
     counts = counts if counts is not None else period_counts(df, features, period, by)
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles_from_counts(counts, g, "value", probs, count_col="c_ref")
+    q = quantiles_from_counts(counts, g, "value", probs, count_col="c_ref",
+                              n_groups=None if by else len(list(features)))
     edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
     j = attach(counts, edges, g)
     inner = F.slice(F.col("edges"), 1, F.size("edges") - 1)

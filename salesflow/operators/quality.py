@@ -124,7 +124,7 @@ def outlier_check(df: DataFrame, cols=NUMERIC_REQUIRED, k: float = 3.0, max_pct:
     cols = [c for c in cols if c in df.columns]
     # NULL values keep their own bucket: the row total (len(df)) comes from the same table
     counts = value_counts(unpivot_numeric(df, cols), ["column"], "value", drop_nulls=False)
-    q = quantiles_from_counts(counts, ["column"], "value", (0.25, 0.75))
+    q = quantiles_from_counts(counts, ["column"], "value", (0.25, 0.75), n_groups=len(cols))
     f = q.groupBy("column").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                                 F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")

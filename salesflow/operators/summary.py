@@ -108,7 +108,7 @@ def numeric_summary(df: DataFrame, cols, percentiles=DEFAULT_PERCENTILES,
             F.sum(F.col("_n") * (F.col("value") - F.col("_m")) * (F.col("value") - F.col("_m"))).alias("_ss"))
         base = m1.join(ss, "column").withColumn(
             "std", F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1)))).drop("_ss")
-        q = quantiles_from_counts(counts, ["column"], "value", percentiles)
+        q = quantiles_from_counts(counts, ["column"], "value", percentiles, n_groups=len(list(cols)))
         qw = q.groupBy("column").agg(
             *[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(percentiles, names)])
         out = base.join(qw, "column", "left")
