@@ -73,9 +73,12 @@ def add_group_stats(df: DataFrame, target: str, keys, aggs=("mean", "sum", "std"
     broadcasts the per-key table when its measured size is small).
     """
     out = df
+    t = F.col(target)
+    if dict(df.dtypes).get(target) in ("double", "float"):
+        t = F.when(F.isnan(target), None).otherwise(t)  # NaN is missing, as in pandas
     for k in keys:
         stats = df.where(F.col(k).isNotNull()).groupBy(k).agg(
-            *[GROUP_AGGS[a](target).alias(f"{target}_{k}_{a}") for a in aggs])
+            *[GROUP_AGGS[a](t).alias(f"{target}_{k}_{a}") for a in aggs])
         out = out.join(stats, k, "left")
     return out
 

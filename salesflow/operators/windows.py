@@ -69,6 +69,9 @@ def add_history(df: DataFrame, target: str, group, order, lags=(1, 7, 30), windo
         base, part, ordr = df, group, order
     w = Window.partitionBy(*part).orderBy(*ordr) if part else Window.orderBy(*ordr)
     present = _keys_present(group)
+    # pandas skips NaN in rolling statistics; Spark would propagate it
+    if dict(base.dtypes).get(target) in ("double", "float"):
+        base = base.withColumn(target, F.when(F.isnan(target), None).otherwise(F.col(target)))
     cols = []
     for n in lags:
         cols.append(F.when(present, F.lag(target, n).over(w)).alias(f"{target}_lag_{n}"))

@@ -77,3 +77,12 @@ def test_group_stats_null_key(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 3.0), (None, 5.0)], "region string, sales double")
     out = {r.sales: r.sales_region_mean for r in FE.add_group_stats(df, "sales", ["region"]).collect()}
     assert out[1.0] == 2.0 and out[5.0] is None
+
+
+def test_nan_is_missing_in_rolling_and_group_stats(spark):
+    rows = [(dt.date(2024, 1, d), "r", v) for d, v in ((1, 1.0), (2, float("nan")), (3, 3.0))]
+    df = spark.createDataFrame(rows, "date date, region string, sales double")
+    out = W.add_rolling(df, "sales", ["region"], ["date"], windows=(3,), aggs=("mean",)).toPandas()
+    assert out.sort_values("date")["sales_rolling_3_mean"].tolist()[-1] == 2.0
+    g = FE.add_group_stats(df, "sales", ["region"], aggs=("mean",)).first()
+    assert g.sales_region_mean == 2.0
