@@ -34,6 +34,17 @@ def max_scalar(df: DataFrame, col: str):
     return df.select(F.max(col)).scalar()
 
 
+def max_literal(df: DataFrame, col: str):
+    """max(col) resolved first (a one-column aggregate) and returned as a typed literal.
+
+    Used for time-window filters: a literal bound is pushed into the parquet
+    scan (row-group skipping on min/max statistics), a subquery bound is not.
+    """
+    dtype = dict(df.dtypes)[col]
+    value = df.agg(F.max(col)).collect()[0][0]
+    return F.lit(value).cast(dtype)
+
+
 def null_every(col: str, key: str, modulus: int):
     """Deterministic missing values: NULL where key % modulus = 0 (FIXTURES.md §2)."""
     return F.when(F.pmod(F.col(key), F.lit(modulus)) == 0, F.lit(None)).otherwise(F.col(col))

@@ -8,7 +8,7 @@ from salesflow.operators import drift as D
 from salesflow.operators import models as M
 from salesflow.operators import monitor as PM
 from salesflow.operators.relational import label_period, recent
-from salesflow.plans.common import max_scalar, rounded, rsql, sales, sig, sig_sql
+from salesflow.plans.common import max_literal, max_scalar, rounded, rsql, sales, sig, sig_sql
 from salesflow.plans.drift_q import FEATURES, _with
 from salesflow.plans.models_q import metric_sql
 from salesflow.plans.registry import register
@@ -22,7 +22,7 @@ BASE = PM.DEFAULT_BASELINE
 def _perf(spark, sf_dir, by=()):
     p = fx.predictions(spark, sf_dir)
     base = PM.baseline_frame(spark, BASE)
-    return PM.check_performance(p, base, "actual_sales", "predicted_sales", max_scalar(p, "timestamp"), 7, by=by)
+    return PM.check_performance(p, base, "actual_sales", "predicted_sales", max_literal(p, "timestamp"), 7, by=by)
 
 
 def _perf_sql(by=()):
@@ -149,7 +149,7 @@ SELECT d.has_drift, {rsql('d.drift_percentage')} AS drift_percentage, d.drifted_
 FROM ({_REPORT_SQL}) d, (SELECT {metric_sql('actual_sales', 'predicted_sales', prefix='current_')} FROM r) m""", ("PM7",))
 def monitoring_summary(spark, sf_dir):
     p = fx.predictions(spark, sf_dir)
-    as_of = max_scalar(p, "timestamp")
+    as_of = max_literal(p, "timestamp")
     rep, psi = _drift(spark, sf_dir)
     perf = _perf(spark, sf_dir)
     al = PM.generate_alerts(rep, psi, perf, as_of)

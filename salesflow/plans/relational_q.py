@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from salesflow.functions.exprs import SEASONS
 from salesflow.operators import relational as R
-from salesflow.plans.common import max_scalar, rounded, rsql, sales
+from salesflow.plans.common import max_literal, max_scalar, rounded, rsql, sales
 from salesflow.plans.registry import register
 from salesflow.sources import fixtures as fx
 from salesflow.sources.fixtures import ALERTS_SQL, PREDICTIONS_SQL, sales_sql, with_views
@@ -36,7 +36,7 @@ SELECT * FROM predictions WHERE "timestamp" >= (SELECT max("timestamp") FROM pre
                                      **PRED), ("P3",))
 def recent_7d(spark, sf_dir):
     p = fx.predictions(spark, sf_dir)
-    return R.recent(p, "timestamp", max_scalar(p, "timestamp"), 7)
+    return R.recent(p, "timestamp", max_literal(p, "timestamp"), 7)
 
 
 @register("p4_latest_1000", with_views("""

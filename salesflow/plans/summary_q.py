@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from salesflow.operators import summary as S
 from salesflow.operators import windows as W
 from salesflow.operators.blocks import pair_moments, pearson
-from salesflow.plans.common import max_scalar, null_every, null_every_sql, rounded, rsql, sales
+from salesflow.plans.common import max_literal, max_scalar, null_every, null_every_sql, rounded, rsql, sales
 from salesflow.plans.registry import register
 from salesflow.sources import fixtures as fx
 from salesflow.sources.fixtures import (ALERTS_SQL, DRIFT_METRICS_SQL, PREDICTIONS_SQL, sales_sql,
@@ -258,7 +258,7 @@ FROM predictions WHERE "timestamp" >= (SELECT max("timestamp") FROM predictions)
                                                              **PRED), ("A16", "P3"))
 def prediction_stats(spark, sf_dir):
     p = fx.predictions(spark, sf_dir)
-    return rounded(S.prediction_stats(p, max_scalar(p, "timestamp"), hours=24), 4)
+    return rounded(S.prediction_stats(p, max_literal(p, "timestamp"), hours=24), 4)
 
 
 @register("a17_prediction_headline", with_views(f"""
@@ -282,7 +282,7 @@ WHERE "timestamp" >= (SELECT max("timestamp") FROM predictions) - INTERVAL 7 DAY
                                                       **PRED), ("A19",))
 def daily_counts(spark, sf_dir):
     p = fx.predictions(spark, sf_dir)
-    return S.daily_counts(p, max_scalar(p, "timestamp"), days=7).orderBy(F.desc("date"))
+    return S.daily_counts(p, max_literal(p, "timestamp"), days=7).orderBy(F.desc("date"))
 
 
 # A20 / A21 on drift history -----------------------------------------------------------------------
