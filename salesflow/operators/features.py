@@ -119,7 +119,6 @@ def demand_index(df: DataFrame, date: str, region: str, product: str, actual: st
     base = mean ``actual`` per product; trend = 1 + 15 % x years since ``start``
     (default: the first date). Adds ``expected`` and ``demand_ratio``.
     """
-    spark = df.sparkSession
     base = df.groupBy(product).agg(F.avg(actual).alias("_base"))
     out = df.join(base, product, "left")
     if preferences is not None:  # (region, product, preference) - a small user table
@@ -141,7 +140,6 @@ def demand_index(df: DataFrame, date: str, region: str, product: str, actual: st
         out = out.withColumn("_start", F.lit(start).cast("date"))
     trend = 1.0 + ANNUAL_GROWTH * F.datediff(F.col(date), F.col("_start")) / 365.25
     expected = F.col("_base") * month_m * dow_m * F.coalesce(F.col("preference"), F.lit(1.0)) * trend
-    _ = spark
     return (out.withColumn("expected", expected)
             .withColumn("demand_ratio", F.try_divide(F.col(actual), F.col("expected")))
             .drop("_base", "_start", "preference", "weekend_boost"))
