@@ -65,3 +65,15 @@ def sig(col, digits: int = 9):
 def sig_sql(expr: str, digits: int = 9) -> str:
     e = f"pow(10.0, floor(log10(abs({expr}))))"
     return f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL THEN ({expr}) ELSE round(({expr}) / {e}, {digits - 1}) * {e} END + 0.0)"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame that several passes will read to the shared checkpoint folder.
+
+    Used by multi-pass reports over the joined ``sales`` view: the joins run
+    once instead of once per pass, and the lineage is cut (a reliable
+    checkpoint survives executor loss).
+    """
+    from salesflow.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

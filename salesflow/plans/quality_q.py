@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesflow.operators import quality as Q
-from salesflow.plans.common import max_scalar, null_every, null_every_sql, rounded, sales
+from salesflow.plans.common import materialize, max_scalar, null_every, null_every_sql, rounded, sales
 from salesflow.plans.registry import register
 from salesflow.sources.fixtures import sales_sql, with_views
 
@@ -54,7 +54,7 @@ def _scalar_sql() -> str:
 
 @register("q1_q6_scalar_checks", _scalar_sql(), ("Q1", "Q2", "Q3", "Q4", "Q5", "Q6", "Q14"))
 def scalar_checks(spark, sf_dir):
-    s = _frame(spark, sf_dir)
+    s = materialize(_frame(spark, sf_dir))  # read twice: as-of date, then the checks
     return rounded(Q.scalar_checks(s, as_of=max_scalar(s, "date")))
 
 
@@ -97,7 +97,7 @@ SELECT CAST(count(*) FILTER (WHERE status = 'passed') AS INTEGER) AS n_passed,
        count(*) FILTER (WHERE status = 'failed') = 0 AS is_valid
 FROM (({_scalar_sql()}) UNION ALL ({_dup_sql(COLS)}) UNION ALL ({_OUTLIER_SQL}))""", ("Q13",))
 def verdict(spark, sf_dir):
-    s = _frame(spark, sf_dir)
+    s = materialize(_frame(spark, sf_dir))  # one join, four passes (as-of, scalars, duplicates, outliers)
     rep = Q.validate(s, as_of=max_scalar(s, "date"))
     return Q.verdict(rep).select(F.col("n_passed").cast("int"), F.col("n_failed").cast("int"),
                                  F.col("n_warnings").cast("int"), "is_valid")
