@@ -233,12 +233,92 @@ def value_counts(df: DataFrame, group_cols, value_col: str, count_cols=None, dro
 
 
 def exact_quantiles(df: DataFrame, group_cols, value_col: str, probs,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Rows (group..., p, q): quantile_cont of ``value_col`` per group (NULLs ignored)."""
+                    num_partitions: int | None = None, method: str = "bracket") -> DataFrame:
+    """Rows (group..., p, q): quantile_cont of ``value_col`` per group (NULLs ignored).
+
+    ``bracket`` (default) never shuffles the full set of distinct values (see
+    ``bracket_quantiles``); ``counts`` sorts the whole value-count table.
+    """
+    if method == "bracket":
+        return bracket_quantiles(df, group_cols, value_col, probs, num_partitions=num_partitions)
     counts = value_counts(df, list(group_cols), value_col)
     return quantiles_from_counts(counts, group_cols, value_col, probs, "_n", num_partitions)
 
 
+BRACKET_ACCURACY = 10_000
+
+
+def bracket_quantiles(df: DataFrame, group_cols, value_col: str, probs, accuracy: int = BRACKET_ACCURACY,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles by bracket-and-select.
+
+    Pass 1 (one aggregate): per group n, min, max and approximate quantiles
+    (GK sketch, rank error <= n / accuracy) just below and above each target
+    -> a bracket [L, U] per (group, p). Pass 2 (one aggregate over the data,
+    the groups x probs bracket table broadcast): rows below L are counted and
+    only rows inside [L, U] (about 6 n / accuracy of them) are value-counted.
+    The target order statistics are then selected inside the small band.
+    Every target rank is verified to lie inside its band; if one does not,
+    the full value-count method answers instead, so the result is exact.
+    """
+    g = list(group_cols)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    probs = [float(p) for p in probs]
+    eps = 3.0 / accuracy
+    lows = [max(0.0, p - eps) for p in probs]
+    highs = [min(1.0, p + eps) for p in probs]
+    grid = sorted(set(lows + highs))
+    v = F.col(value_col).cast("double")
+    base = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull())
+    s1 = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+                              F.percentile_approx("_v", grid, accuracy).alias("_aq"))
+    items = []
+    for p, lo_q, hi_q in zip(probs, lows, highs):
+        lower = F.col("_min") if lo_q == 0.0 else F.col("_aq")[grid.index(lo_q)]
+        upper = F.col("_max") if hi_q == 1.0 else F.col("_aq")[grid.index(hi_q)]
+        items.append(F.struct(F.lit(p).alias("p"), lower.alias("_L"), upper.alias("_U")))
+    targets = (s1.select(*g, "_n", F.inline(F.array(*items)))
+               .withColumn("_pos", (F.col("_n") - 1) * F.col("p"))
+               .withColumn("_lo", F.floor("_pos").cast("long")).withColumn("_hi", F.ceil("_pos").cast("long")))
+    targets = targets.checkpoint(eager=True)  # groups x probs rows, read three times below
+    ng = group_count(targets, g)
+    tb = maybe_broadcast(targets.select(*g, "p", "_L", "_U"), ng * len(probs))
+    if g:
+        j = base.join(tb, g, "inner")
+    else:  # one group: the <= len(probs) brackets ride along as a scalar subquery, no join
+        arr = targets.agg(F.collect_list(F.struct("p", "_L", "_U")).alias("_br"))
+        j = attach(base, arr).select("_v", F.inline("_br"))
+    inb = (F.col("_v") >= F.col("_L")) & (F.col("_v") <= F.col("_U"))
+    band = (j.select(*g, "p", F.when(inb, F.col("_v")).alias("_bv"), (F.col("_v") < F.col("_L")).alias("_isb"))
+            .groupBy(*g, "p", "_bv").agg(F.count_if("_isb").alias("_below"), F.count(F.lit(1)).alias("_c")))
+    band = band.checkpoint(eager=True)  # small: the in-band distinct values and one row of below-counts
+    below = band.where(F.col("_bv").isNull()).groupBy(*g, "p").agg(F.sum("_below").alias("_below"))
+    inband = band.where(F.col("_bv").isNotNull()).select(*g, "p", "_bv", "_c")
+    tot = inband.groupBy(*g, "p").agg(F.sum("_c").alias("_inb"))
+    t2 = (targets.join(below, g + ["p"], "left").join(tot, g + ["p"], "left")
+          .withColumn("_below", F.coalesce("_below", F.lit(0))).withColumn("_inb", F.coalesce("_inb", F.lit(0))))
+    ok = (F.col("_lo") >= F.col("_below")) & (F.col("_hi") < F.col("_below") + F.col("_inb"))
+    if t2.where(~ok).limit(1).count() > 0:  # bracket missed (does not happen with the GK guarantee)
+        counts = value_counts(df, g, value_col)
+        return quantiles_from_counts(counts, g, value_col, probs, "_n", num_partitions)
+    pre = prefix_sums_by_value(inband.withColumnRenamed("p", "_p"), g + ["_p"], "_bv", ["_c"],
+                               buckets=num_partitions, n_groups=ng * len(probs)).withColumnRenamed("_p", "p")
+    ranks = t2.select(*[F.col(x).alias(f"_k_{x}") for x in g], F.col("p").alias("_kp"), "_pos", "_lo", "_hi",
+                      F.explode(F.array(F.col("_lo") - F.col("_below"), F.col("_hi") - F.col("_below"))).alias("_r"),
+                      F.col("_below").alias("_kb")).distinct()
+    ranks = maybe_broadcast(ranks, ng * len(probs) * 2)
+    cond = [F.col(x).eqNullSafe(F.col(f"_k_{x}")) for x in g] + [
+        F.col("p") == F.col("_kp"), F.col("cum__c") - F.col("_c") <= F.col("_r"), F.col("_r") < F.col("cum__c")]
+    hit = pre.join(ranks, cond).select(*[F.col(f"_k_{x}").alias(x) for x in g], F.col("_kp").alias("p"), "_pos",
+                                       "_lo", "_hi", (F.col("_r") + F.col("_kb")).alias("_r"), F.col("_bv").alias("_v"))
+    res = hit.groupBy(*g, "p", "_pos", "_lo", "_hi").agg(
+        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
+    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
+    return res.select(*g, "p", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(q).alias("q"))
+
+
 def quantiles_from_counts(counts: DataFrame, group_cols, value_col: str, probs, count_col: str = "_n",
                           num_partitions: int | None = None, n_groups: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles from a (group..., value, count) table.
