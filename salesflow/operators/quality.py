@@ -3,7 +3,7 @@
 Report rows: (check, column, status in {passed, failed, warning}, observed).
 All scalar measures (null counts, range violations, date bounds, infinities,
 all-zero columns, the business rule) come from ONE aggregation pass; exact and
-key duplicates share one grouping; IQR outliers need one value-count pass. Every group is aggregated map-side first, so a hot key costs nothing
+key duplicates share one grouping; IQR outliers use bracket-and-select quartiles. Every group is aggregated map-side first, so a hot key costs nothing
 extra.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, quantiles_from_counts, unpivot_numeric, value_counts
+from salesflow.operators.blocks import attach, exact_quantiles, unpivot_numeric
 from salesflow.functions.exprs import non_blank
 
 REQUIRED = ("date", "region", "product", "price", "quantity", "sales")
@@ -118,23 +118,23 @@ def duplicate_checks(df: DataFrame, keys=KEYS) -> DataFrame:
 def outlier_check(df: DataFrame, cols=NUMERIC_REQUIRED, k: float = 3.0, max_pct: float = 5.0) -> DataFrame:
     """Q9: share of rows outside the k x IQR fences per column; warning above ``max_pct``.
 
-    One pass over the data builds the (column, value, count) table; quartiles
-    and the outlier counts both come from that table.
+    Exact quartiles by bracket-and-select, then one aggregate over the rows
+    with the per-column fences attached (NULL values count in the denominator,
+    never as outliers).
     """
     cols = [c for c in cols if c in df.columns]
-    # NULL values keep their own bucket: the row total (len(df)) comes from the same table
-    counts = value_counts(unpivot_numeric(df, cols), ["column"], "value", drop_nulls=False)
-    q = quantiles_from_counts(counts, ["column"], "value", (0.25, 0.75), n_groups=len(cols))
+    long = unpivot_numeric(df, cols)
+    q = exact_quantiles(long, ["column"], "value", (0.25, 0.75))
     f = q.groupBy("column").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                                 F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     out_cond = (F.col("value") < F.col("q1") - k * iqr) | (F.col("value") > F.col("q3") + k * iqr)
-    per = attach(counts, f, ["column"]).groupBy("column").agg(
-        F.sum(F.when(out_cond, F.col("_n")).otherwise(0)).alias("_o"), F.sum("_n").alias("_n_rows"))
-    j = per
+    # the fence table has one row per column: broadcast by construction
+    per = long.join(F.broadcast(f), "column", "left").groupBy("column").agg(
+        F.count_if(F.coalesce(out_cond, F.lit(False))).alias("_o"), F.count(F.lit(1)).alias("_n_rows"))
     pct = F.round(F.col("_o") * 100.0 / F.col("_n_rows"), 2)
-    return j.select(F.lit("statistical_outliers").alias("check"), "column",
-                    _status(pct > max_pct, WARNING).alias("status"), pct.cast("double").alias("observed"))
+    return per.select(F.lit("statistical_outliers").alias("check"), "column",
+                      _status(pct > max_pct, WARNING).alias("status"), pct.cast("double").alias("observed"))
 
 
 def validate(df: DataFrame, required=REQUIRED, keys=KEYS, as_of=None, outliers: bool = True) -> DataFrame:

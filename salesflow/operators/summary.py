@@ -80,13 +80,14 @@ DEFAULT_PERCENTILES = (0.25, 0.5, 0.75)
 
 
 def numeric_summary(df: DataFrame, cols, percentiles=DEFAULT_PERCENTILES,
-                    with_missing: bool = False, approx: bool = False) -> DataFrame:
+                    with_missing: bool = False, approx: bool = False, method: str = "bracket") -> DataFrame:
     """describe(): count, mean, std, min, quantiles, max per column (+ missing count / %).
 
-    Exact mode reads the data once: a (column, value, count) table with a NULL
-    bucket gives the moments (centred on the mean in a second pass over the
-    small table), the missing counts and the quantiles. ``approx=True`` uses
-    one streaming aggregate with ``percentile_approx`` instead.
+    ``method="bracket"`` (default): moments and missing counts in one streaming
+    aggregate, exact quantiles by bracket-and-select (two more scans, no
+    shuffle of the distinct values). ``method="counts"``: everything from one
+    materialised (column, value, count) table - one scan, but the table holds
+    every distinct value. ``approx=True``: one aggregate with ``percentile_approx``.
     """
     long = unpivot_numeric(df, cols)
     names = [f"p{int(round(p * 100))}" for p in percentiles]
@@ -97,6 +98,16 @@ def numeric_summary(df: DataFrame, cols, percentiles=DEFAULT_PERCENTILES,
             F.max("value").alias("max"), F.count(F.lit(1)).alias("_rows"),
             F.percentile_approx("value", list(percentiles), 10000).alias("_pq"))
         out = base.select("*", *[F.col("_pq")[i].alias(n) for i, n in enumerate(names)]).drop("_pq")
+    elif method == "bracket":
+        # moments in one streaming aggregate; exact quantiles by bracket-and-select
+        base = long.groupBy("column").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+            F.max("value").alias("max"), F.count(F.lit(1)).alias("_rows"))
+        q = exact_quantiles(long, ["column"], "value", percentiles)
+        qw = q.groupBy("column").agg(
+            *[F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(percentiles, names)])
+        out = base.join(qw, "column", "left")
     else:
         counts = value_counts_table(long, ["column"], "value", drop_nulls=False)
         present = F.col("value").isNotNull()
@@ -182,23 +193,24 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
 def box_stats(df: DataFrame, value: str, by=(), k: float = 1.5) -> DataFrame:
     """Quartiles, IQR whiskers (most extreme values inside the fences) and outlier count.
 
-    One pass over the data: everything is computed from the (by..., value, count) table.
+    Exact quartiles by bracket-and-select, then one aggregate over the rows
+    with the per-group fences attached.
     """
     by = list(by)
     v = nan_to_null(F.col(value).cast("double"))
-    counts = value_counts_table(df.select(*by, v.alias("value")), by, "value")
-    q = quantiles_from_counts(counts, by, "value", (0.25, 0.5, 0.75))
+    base = df.select(*by, v.alias("value"))
+    q = exact_quantiles(base, by, "value", (0.25, 0.5, 0.75))
     qw = q.groupBy(*by).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                               for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     qw = qw.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - k * F.col("iqr")
     hi = F.col("q3") + k * F.col("iqr")
-    j = attach(counts, qw, by)
+    j = attach(base.where(F.col("value").isNotNull()), qw, by)
     inside = (F.col("value") >= lo) & (F.col("value") <= hi)
     return j.groupBy(*by, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("n_outliers"))
+        F.count_if(~inside).alias("n_outliers"))
 
 
 # A14 --------------------------------------------------------------------------------------------
