@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, prefix_sums_by_value, quantiles_from_counts, value_counts
+from salesflow.operators.blocks import (attach, exact_quantiles, prefix_sums_by_value, quantiles_from_counts,
+                                       value_counts)
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -96,19 +97,27 @@ def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
     edges = unique(percentiles 0..100 step 100/bins) of the reference rows;
     slot = number of edges[:-1] <= x (slot 0 is below the reference minimum);
     proportions + 1e-10 on both sides, PSI = sum (c - r) ln(c / r).
-    Everything is computed from the per-period value-count table.
+    Standalone: bracket-and-select deciles and one counting pass; with a
+    shared per-period value-count table (D7), everything comes from that table.
     """
     g = list(by) + ["feature"]
-    counts = counts if counts is not None else period_counts(df, features, period, by)
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles_from_counts(counts, g, "value", probs, count_col="c_ref",
-                              n_groups=None if by else len(list(features)))
-    edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-    j = attach(counts, edges, g)
+    if counts is None:
+        # standalone: exact reference deciles by bracket-and-select, then one pass counting rows per slot
+        long = _long(df, features, period, by)
+        q = exact_quantiles(long.where(F.col(period) == REF), g, "value", probs)
+        edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
+        rows = attach(long, edges, g).select(*g, "edges", "value", (F.col(period) == REF).cast("int").alias("c_ref"),
+                                             (F.col(period) == CUR).cast("int").alias("c_cur"))
+    else:
+        q = quantiles_from_counts(counts, g, "value", probs, count_col="c_ref",
+                                  n_groups=None if by else len(list(features)))
+        edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
+        rows = attach(counts, edges, g)
     inner = F.slice(F.col("edges"), 1, F.size("edges") - 1)
     slot = F.size(F.filter(inner, lambda e: e <= F.col("value")))
-    per_slot = j.groupBy(*g, slot.alias("slot")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
-    totals = counts.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
+    per_slot = rows.groupBy(*g, slot.alias("slot")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    totals = per_slot.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     grid = edges.select(*g, F.explode(F.sequence(F.lit(0), F.size("edges") - 1)).alias("slot"))
     full = grid.join(per_slot, g + ["slot"], "left").join(totals, g, "inner")
     r = F.coalesce(F.col("c_ref"), F.lit(0)) / F.col("n_ref") + PSI_EPS
