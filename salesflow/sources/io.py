@@ -32,6 +32,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """
     reader = spark.read.option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
     df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", False).csv(path)
+    if validate and header:
+        # Spark renames duplicate header names (region0, region2); check the raw header line
+        first = spark.read.text(path).limit(1).collect()
+        if first:
+            names = [c.strip().strip('"') for c in first[0][0].split(",")]
+            dups = sorted({c for c in names if names.count(c) > 1})
+            if dups:
+                raise ValueError(f"duplicate column names in {path}: {dups}")
     if validate:
         rep = load_checks(df).where(F.col("status") == "failed").collect()
         if rep:

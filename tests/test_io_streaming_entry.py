@@ -70,3 +70,19 @@ def test_queries_match_duckdb_on_small_scale(spark, name):
     exp = con.execute(E.oracle_sql()[name]).df()
     ok, msg = compare(got, exp)
     assert ok, msg
+
+
+def test_duplicate_header_names_rejected(spark):
+    # header + one row written as text into a single file
+    p2 = scratch_path(spark, "t-dupcsv")
+    spark.createDataFrame([("date,region,region,sales",), ("2024-01-01,north,north,100",)], "value string") \
+        .coalesce(1).write.text(p2)
+    with pytest.raises(ValueError):
+        IO.read_csv(spark, p2, validate=True)
+
+
+def test_empty_csv_rejected(spark):
+    p = scratch_path(spark, "t-emptycsv")
+    spark.createDataFrame([("date,region",)], "value string").coalesce(1).write.text(p)
+    with pytest.raises(ValueError):
+        IO.read_csv(spark, p, "date string, region string", validate=True)
