@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, exact_quantiles, unpivot_numeric
+from salesflow.operators.blocks import exact_quantiles, unpivot_numeric
 from salesflow.functions.exprs import non_blank
 
 REQUIRED = ("date", "region", "product", "price", "quantity", "sales")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from salesflow.operators import drift as D
 from salesflow.operators.relational import label_period
 from salesflow.plans.common import max_scalar, rounded, rsql, sales

@@ -8,7 +8,7 @@ from salesflow.operators import drift as D
 from salesflow.operators import models as M
 from salesflow.operators import monitor as PM
 from salesflow.operators.relational import label_period, recent
-from salesflow.plans.common import max_literal, max_scalar, rounded, rsql, sales, sig, sig_sql
+from salesflow.plans.common import max_literal, max_scalar, rounded, rsql, sales, sig
 from salesflow.plans.drift_q import FEATURES, _with
 from salesflow.plans.models_q import metric_sql
 from salesflow.plans.registry import register
