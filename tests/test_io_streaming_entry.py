@@ -55,7 +55,8 @@ def test_entry_smoke(spark):
 
 
 @pytest.mark.parametrize("name", ["a2_daily_revenue_ma", "w2_rolling_halo", "d2_ks_test", "q1_q6_scalar_checks",
-                                  "st1_ingest_gate", "st2_daily_windows", "st4_dedupe_keys", "st6_latest_status",
+                                  "st1_ingest_gate", "st2_daily_windows", "st3_sliding_metrics", "st4_dedupe_keys",
+                                  "st5_stream_scoring", "st6_latest_status",
                                   "fs5_mutual_info", "pm2_performance_trend", "a6_numeric_summary", "t8_iqr_outliers",
                                   "io6_split_bundle", "p3_recent_7d"])
 def test_queries_match_duckdb_on_small_scale(spark, name):
