@@ -6,11 +6,10 @@ common-table expression used by the oracle queries. Both must stay in step.
 ``sales`` joins lineitem to its order, customer, nation, region and part.
 Every foreign key matches, so a dimension join that contributes no requested
 column is skipped (``columns=``): at 100 TB each skipped join is a full
-shuffle of the fact table saved. nation/region are fixed 25/5-row TPC-H
-domains and are broadcast explicitly; the data-sized dimensions (orders,
-customer, part) are left to AQE, which broadcasts them only when the measured
-size is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise runs a
-sort-merge join on the key.
+shuffle of the fact table saved. All dimension joins are left to the planner
+and AQE, which broadcast a side only when its measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` (nation and region always are) and
+otherwise run a sort-merge join on the key.
 """
 
 from __future__ import annotations
@@ -79,8 +78,10 @@ def sales(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
                     "n_regionkey")
                 region = table(spark, sf_dir, "region").select(
                     F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
-                geo = nation.join(F.broadcast(region), "n_regionkey")
-                cust = cust.join(F.broadcast(geo), "c_nationkey")
+                # nation / region are tiny: the planner broadcasts them on their measured
+                # size (autoBroadcastJoinThreshold), no unconditional hint
+                geo = nation.join(region, "n_regionkey")
+                cust = cust.join(geo, "c_nationkey")
             orders = orders.join(cust, "o_custkey")
         df = df.join(orders, "l_orderkey")
     return df.select(*cols)
