@@ -220,20 +220,28 @@ def score(df: DataFrame, model, key, model_name: str, version, ts=None,
 
 
 # X1 ---------------------------------------------------------------------------------------------
-def score_with_python(df: DataFrame, predict_fn: Callable[[pd.DataFrame], "pd.Series"], features,
-                      prediction: str = "prediction") -> DataFrame:
-    """Foreign model (anything with ``predict``) applied in Arrow batches via ``mapInPandas``.
+def score_with_python(df: DataFrame, model, features, prediction: str = "prediction") -> DataFrame:
+    """Foreign model applied in Arrow batches via ``mapInPandas``.
 
-    ``predict_fn`` is pickled once per task with its captured model; it sees
-    pandas batches of the feature columns and returns one value per row.
+    ``model`` is an object with ``.predict(pandas.DataFrame)`` (scikit-learn
+    style) or a plain function of the feature batch. Objects are shipped once
+    as a broadcast variable and deserialised once per Python worker, not with
+    every task.
     """
     schema = T.StructType(df.schema.fields + [T.StructField(prediction, T.DoubleType())])
     feats = list(features)
+    if hasattr(model, "predict"):
+        bc = df.sparkSession.sparkContext.broadcast(model)
+
+        def predict(x):
+            return bc.value.predict(x)
+    else:
+        predict = model
 
     def run(batches):
         for pdf in batches:
             out = pdf.copy()
-            out[prediction] = pd.Series(predict_fn(pdf[feats]), index=pdf.index).astype("float64")
+            out[prediction] = pd.Series(predict(pdf[feats]), index=pdf.index).astype("float64")
             yield out
 
     return df.mapInPandas(run, schema)

@@ -92,3 +92,14 @@ def test_consensus_votes_and_fallback(spark):
     out = FS.consensus({"m1": mk(["a", "b"]), "m2": mk(["a", "c"]), "m3": mk(["b", "a"])}, k=2)
     sel = [r.feature for r in out.where(F.col("selected")).orderBy("rank").collect()]
     assert sel == ["a", "b"]
+
+
+class _Doubler:
+    def predict(self, x):
+        return x["v"] * 2.0
+
+
+def test_foreign_model_object_is_broadcast(spark):
+    df = spark.range(5).selectExpr("id", "cast(id as double) as v")
+    out = M.score_with_python(df, _Doubler(), ["v"]).orderBy("id").collect()
+    assert [r.prediction for r in out] == [0.0, 2.0, 4.0, 6.0, 8.0]
