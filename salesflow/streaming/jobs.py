@@ -78,18 +78,30 @@ def as_predictions(stream: DataFrame) -> DataFrame:
 
 
 # ST1 --------------------------------------------------------------------------------------------
-def ingest_with_gate(stream: DataFrame, good_path: str, bad_path: str, checkpoint: str) -> None:
-    """Good rows appended to ``good_path``, rejected rows (with reasons) to ``bad_path``."""
+def gate_batch_writer(good_path: str, bad_path: str):
+    """foreachBatch function of ST1: validate, then write each epoch to its own partition.
+
+    Idempotent per micro-batch: each epoch overwrites its own ``epoch=``
+    partition (dynamic partition overwrite), so a batch replayed after a
+    failure replaces its output instead of appending it twice.
+    """
+
+    def write(df: DataFrame, path: str):
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("epoch").parquet(path))
 
     def batch(df: DataFrame, epoch_id: int):
-        v = validate_records(df).withColumn("epoch", F.lit(epoch_id))
-        v = v.persist()
-        v.where(F.col("accepted")).drop("reasons").write.mode("append").parquet(good_path)
-        v.where(~F.col("accepted")).withColumn("reasons", F.array_join("reasons", ";")) \
-            .write.mode("append").parquet(bad_path)
+        v = validate_records(df).withColumn("epoch", F.lit(epoch_id)).persist()
+        write(v.where(F.col("accepted")).drop("reasons"), good_path)
+        write(v.where(~F.col("accepted")).withColumn("reasons", F.array_join("reasons", ";")), bad_path)
         v.unpersist()
 
-    _run(stream.writeStream.foreachBatch(batch), checkpoint)
+    return batch
+
+
+def ingest_with_gate(stream: DataFrame, good_path: str, bad_path: str, checkpoint: str) -> None:
+    """Good rows appended to ``good_path``, rejected rows (with reasons) to ``bad_path``."""
+    _run(stream.writeStream.foreachBatch(gate_batch_writer(good_path, bad_path)), checkpoint)
 
 
 # ST2 --------------------------------------------------------------------------------------------
