@@ -102,3 +102,13 @@ def test_gate_batch_replay_is_idempotent(spark):
     batch(df, 0)  # replay of the same epoch after a failure
     batch(df, 1)
     assert spark.read.parquet(good).count() == 2 and spark.read.parquet(bad).count() == 2
+
+
+def test_version_status_new_unchanged_changed(spark):
+    df = spark.range(50).withColumn("v", F.col("id") % 7)
+    path = scratch_path(spark, "t-versions")
+    assert IO.version_status(IO.fingerprint(df, "t"), path, spark).first().status == "new"
+    IO.record_version(IO.fingerprint(df, "t"), path)
+    assert IO.version_status(IO.fingerprint(df.orderBy(F.desc("id")), "t"), path, spark).first().status == "unchanged"
+    changed = df.withColumn("v", F.when(F.col("id") == 3, 99).otherwise(F.col("v")))
+    assert IO.version_status(IO.fingerprint(changed, "t"), path, spark).first().status == "changed"
