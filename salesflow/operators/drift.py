@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import (attach, exact_quantiles, prefix_sums_by_value, quantiles_from_counts,
-                                       value_counts)
+from salesflow.operators.blocks import (attach, exact_quantiles, group_count, maybe_broadcast, prefix_sums_by_value,
+                                       quantiles_from_counts, value_counts)
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -48,11 +48,70 @@ def ks_from_counts(counts: DataFrame, by=(), num_partitions=None, n_features: in
         F.max(gap).alias("ks_statistic"))
 
 
-def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_partitions=None) -> DataFrame:
+def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_partitions=None,
+                  method: str = "pruned") -> DataFrame:
     """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values."""
+    if method == "pruned":
+        return ks_pruned(df, features, period, by)
     return ks_from_counts(period_counts(df, features, period, by), by, num_partitions, len(list(features)))
 
 
+KS_BUCKETS = 1000
+
+
+def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: int = KS_BUCKETS) -> DataFrame:
+    """Exact two-sample KS statistic without sorting every distinct value.
+
+    1. Per group, approximate quantiles of the pooled values cut the value
+       range into buckets (bucket b holds bound[b-1] < v <= bound[b]).
+    2. Per-bucket counts give the exact ECDF gap at every bucket end (the
+       largest value in it): LB = max of those is attained. Inside a bucket
+       both ECDFs only rise by the bucket's mass, so the gap there is at most
+       UB_b = max(|R_end - C_start|, |R_start - C_end|).
+    3. Only buckets with UB_b > LB can hold the supremum; their values are
+       value-counted and swept exactly (bucketed prefix sums). D = max(LB, sweep).
+    """
+    by = list(by)
+    g = by + ["feature"]
+    long = _long(df, features, period, by).withColumn("_r", (F.col(period) == REF).cast("long")) \
+        .withColumn("_c", (F.col(period) == CUR).cast("long"))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = long.groupBy(*g).agg(F.array_sort(F.array_distinct(
+        F.percentile_approx("value", probs, 10 * buckets))).alias("_bounds"))
+    bounds = bounds.checkpoint(eager=True)  # groups x buckets numbers, read twice
+    ng = group_count(bounds, g)
+    with_b = long.join(maybe_broadcast(bounds, ng * buckets), g, "inner") \
+        .withColumn("_b", F.size(F.filter("_bounds", lambda x: x < F.col("value")))).drop("_bounds")
+    bc = with_b.groupBy(*g, "_b").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
+    w = Window.partitionBy(*g).orderBy("_b")  # <= buckets rows per group
+    tot = Window.partitionBy(*g)
+    bc = (bc.withColumn("n_ref", F.sum("c_ref").over(tot)).withColumn("n_cur", F.sum("c_cur").over(tot))
+          .withColumn("_re", F.sum("c_ref").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+          .withColumn("_ce", F.sum("c_cur").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+          .where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)))
+    rs, re_ = (F.col("_re") - F.col("c_ref")) / F.col("n_ref"), F.col("_re") / F.col("n_ref")
+    cs, ce = (F.col("_ce") - F.col("c_cur")) / F.col("n_cur"), F.col("_ce") / F.col("n_cur")
+    bc = bc.withColumn("_end_gap", F.abs(re_ - ce)).withColumn(
+        "_ub", F.greatest(F.abs(re_ - cs), F.abs(rs - ce))).checkpoint(eager=True)  # groups x buckets rows
+    lb = bc.groupBy(*g, "n_ref", "n_cur").agg(F.max("_end_gap").alias("_lb"))
+    cand = (bc.join(lb.select(*g, "_lb"), g).where(F.col("_ub") > F.col("_lb"))
+            .select(*g, "_b", (F.col("_re") - F.col("c_ref")).alias("_r0"), (F.col("_ce") - F.col("c_cur")).alias("_c0"),
+                    "n_ref", "n_cur"))
+    n_cand = cand.count()
+    if n_cand == 0:
+        return lb.select(*g, "n_ref", "n_cur", F.col("_lb").alias("ks_statistic"))
+    inside = with_b.join(maybe_broadcast(cand.select(*g, "_b"), n_cand), g + ["_b"], "left_semi")
+    vc = inside.groupBy(*g, "_b", "value").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
+    pre = prefix_sums_by_value(vc, g + ["_b"], "value", ["c_ref", "c_cur"], n_groups=n_cand)
+    swept = pre.join(maybe_broadcast(cand, n_cand), g + ["_b"]).select(
+        *g, F.abs((F.col("_r0") + F.col("cum_c_ref")) / F.col("n_ref")
+                  - (F.col("_c0") + F.col("cum_c_cur")) / F.col("n_cur")).alias("_gap"))
+    best = swept.groupBy(*g).agg(F.max("_gap").alias("_sweep"))
+    out = lb.join(best, g, "left")
+    return out.select(*g, "n_ref", "n_cur",
+                      F.greatest(F.col("_lb"), F.coalesce(F.col("_sweep"), F.col("_lb"))).alias("ks_statistic"))
+
+
 def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     """Asymptotic two-sided p-value Q(lambda), lambda = D sqrt(nm / (n + m)).
 
@@ -70,8 +129,10 @@ def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Colu
 def ks_test(df: DataFrame, features, period: str = "period", threshold: float = DEFAULT_THRESHOLD,
             by=(), num_partitions=None, counts: DataFrame | None = None) -> DataFrame:
     """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected)."""
-    counts = counts if counts is not None else period_counts(df, features, period, by)
-    ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
+    if counts is None:
+        ks = ks_pruned(df, features, period, by)
+    else:
+        ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
     p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     return ks.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
 
