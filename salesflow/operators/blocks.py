@@ -135,6 +135,26 @@ def prefix_sums(df: DataFrame, group_cols, order_cols, value_cols, prefix: str =
     return out
 
 
+def bucket_index(value, bounds, size: int):
+    """Number of elements of the sorted array ``bounds`` (at most ``size`` long) that are < ``value``.
+
+    A binary search written as nested CASE expressions: each row evaluates
+    log2(size) comparisons, whatever the number of buckets (a higher-order
+    ``filter`` over the array would cost ``size`` comparisons per row).
+    Positions past the end of a shorter array read NULL and count as +inf.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    b = F.col(bounds) if isinstance(bounds, str) else bounds
+
+    def search(lo: int, hi: int):
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.try_element_at(b, F.lit(mid + 1)) < v, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, size)
+
+
 def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, prefix: str = "cum_",
                          buckets: int | None = None, n_groups: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` per group in ascending ``value_col`` order.
@@ -156,7 +176,8 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
     # bounds: one row per group (n - 1 numbers each); offsets: groups x buckets rows
     j = df.join(maybe_broadcast(bounds, ng * n), group_cols, "inner") if group_cols else \
         attach(df, bounds)
-    j = j.withColumn("_bkt", F.size(F.filter(F.array_distinct("_bounds"), lambda b: b < v))).drop("_bounds")
+    j = j.withColumn("_bounds", F.array_sort(F.array_distinct("_bounds"))) \
+        .withColumn("_bkt", bucket_index(v, "_bounds", len(probs))).drop("_bounds")
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     local = j.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in sum_cols])
     tot = j.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])

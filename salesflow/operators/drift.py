@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import (attach, exact_quantiles, group_count, maybe_broadcast, prefix_sums_by_value,
-                                       quantiles_from_counts, value_counts)
+from salesflow.operators.blocks import (attach, bucket_index, exact_quantiles, group_count, maybe_broadcast,
+                                       prefix_sums_by_value, quantiles_from_counts, value_counts)
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -49,14 +49,20 @@ def ks_from_counts(counts: DataFrame, by=(), num_partitions=None, n_features: in
 
 
 def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_partitions=None,
-                  method: str = "pruned") -> DataFrame:
-    """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values."""
+                  method: str = "counts") -> DataFrame:
+    """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values.
+
+    ``counts``: one materialised value-count table + bucketed prefix sums (all
+    distinct values are sorted, distributed). ``pruned``: bucket bounds from a
+    sketch, only buckets that can hold the supremum are swept - fewer rows
+    shuffled for huge continuous features, more passes and a larger sketch.
+    """
     if method == "pruned":
         return ks_pruned(df, features, period, by)
     return ks_from_counts(period_counts(df, features, period, by), by, num_partitions, len(list(features)))
 
 
-KS_BUCKETS = 1000
+KS_BUCKETS = 256
 
 
 def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: int = KS_BUCKETS) -> DataFrame:
@@ -81,7 +87,7 @@ def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: i
     bounds = bounds.checkpoint(eager=True)  # groups x buckets numbers, read twice
     ng = group_count(bounds, g)
     with_b = long.join(maybe_broadcast(bounds, ng * buckets), g, "inner") \
-        .withColumn("_b", F.size(F.filter("_bounds", lambda x: x < F.col("value")))).drop("_bounds")
+        .withColumn("_b", bucket_index("value", "_bounds", len(probs))).drop("_bounds")
     bc = with_b.groupBy(*g, "_b").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
     w = Window.partitionBy(*g).orderBy("_b")  # <= buckets rows per group
     tot = Window.partitionBy(*g)
@@ -130,9 +136,8 @@ def ks_test(df: DataFrame, features, period: str = "period", threshold: float =
             by=(), num_partitions=None, counts: DataFrame | None = None) -> DataFrame:
     """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected)."""
     if counts is None:
-        ks = ks_pruned(df, features, period, by)
-    else:
-        ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
+        counts = period_counts(df, features, period, by)
+    ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
     p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     return ks.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
 

@@ -90,3 +90,12 @@ def test_retrain_decision_and_gate(spark):
     g = PM.retrain_gate(PM.retrain_decision(perf, drift), F.lit("2024-01-01 00:00:00").cast("timestamp"),
                         F.lit("2024-01-01 06:00:00").cast("timestamp")).first()
     assert g.proceed  # HIGH priority ignores the 24 h cooldown
+
+
+@pytest.mark.parametrize("shift", [0.0, 0.3])
+def test_pruned_ks_equals_full_ecdf(spark, shift):
+    pdf, df = _two_samples(spark, shift=shift, n=2000, seed=7)
+    got = {r.feature: r.ks_statistic for r in D.ks_pruned(df, ["f1", "f2"], buckets=32).collect()}
+    for f in ("f1", "f2"):
+        exp = _ks_numpy(pdf[pdf.period == "reference"][f].to_numpy(), pdf[pdf.period == "current"][f].to_numpy())
+        assert abs(got[f] - exp) < 1e-12
