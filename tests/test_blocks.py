@@ -81,3 +81,20 @@ def test_attach_one_row(spark):
     df = spark.range(5).withColumnRenamed("id", "v")
     stats = df.agg(F.max("v").alias("mx"))
     assert [r.mx for r in B.attach(df, stats).collect()] == [4] * 5
+
+
+def test_prefix_sums_by_value_many_buckets(spark):
+    # cluster-sized bucket counts: the binary-search bucket expression must stay exact
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 5000), "v": rng.normal(size=5000), "n": 1})
+    out = B.prefix_sums_by_value(spark.createDataFrame(pdf), ["g"], "v", ["n"], buckets=1024).toPandas()
+    out = out.sort_values(["g", "v"])
+    exp = pdf.sort_values(["g", "v"]).groupby("g")["n"].cumsum()
+    assert np.allclose(out["cum_n"].to_numpy(), exp.to_numpy())
+
+
+def test_bucket_index_binary_search(spark):
+    df = spark.createDataFrame([(v,) for v in (-1.0, 0.0, 0.5, 1.0, 2.5, 9.0)], "v double")
+    got = [r.b for r in df.select(B.bucket_index("v", F.array(*[F.lit(x) for x in (0.0, 1.0, 2.0)]), 7)
+                                  .alias("b")).collect()]
+    assert got == [0, 0, 1, 1, 3, 3]
