@@ -112,3 +112,17 @@ def test_version_status_new_unchanged_changed(spark):
     assert IO.version_status(IO.fingerprint(df.orderBy(F.desc("id")), "t"), path, spark).first().status == "unchanged"
     changed = df.withColumn("v", F.when(F.col("id") == 3, 99).otherwise(F.col("v")))
     assert IO.version_status(IO.fingerprint(changed, "t"), path, spark).first().status == "changed"
+
+
+def test_oracle_sql_needs_no_spark_session():
+    # the driver may ask for the oracle SQL before (or without) creating a session
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r); import __spark_entry__ as E; "
+            "o = E.oracle_sql(); q = E.queries(); print(len(o), len(q))" % repo)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd="/tmp")
+    assert out.returncode == 0, out.stderr[-2000:]
+    n_sql, n_q = map(int, out.stdout.split()[-2:])
+    assert n_sql >= 100 and n_q >= n_sql
