@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import ngram_join, packing, quality, sharding, suffixes
+from salesflow.llm import (
+    fingerprints, html_text, language, licenses, ngram_join, packing, pii, quality, sharding, suffixes,
+)
 from salesflow.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -18,6 +20,10 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -32,17 +38,39 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), quality.held_out()
+    found = language.predict(docs, language.train(docs, ~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.detect(docs, pii.train(docs))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, labels))
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_packing, op3_ngram_join, op4_decontamination, op8_quality, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_fingerprints, op2_packing, op3_ngram_join, op4_decontamination, op5_language, op6_html_text, op7_pii, op8_quality,
+    op9_licenses, op10_sharding)}
 
+#: hashes, tokenizers, trees and message passing have no SQL; tests/llm hold brute-force versions
 ORACLE_SQL: dict[str, str] = {}
