@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesflow.llm import ngram_join, packing, quality, suffixes
+from salesflow.llm import ngram_join, packing, pii, quality, suffixes
 from salesflow.llm.common import table, written
 from salesflow.llm.queries import vocabulary_path
 
@@ -29,13 +29,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return suffixes.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data in the texts by its kind; every document stays."""
+    return pii.mask(docs, pii.train(docs))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the texts into sequences of at most 2048 tokens."""
     return packing.pack(docs, vocabulary_path())
 
 
 STAGES = [("quality", quality_filter), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
-          ("packing", packed)]
+          ("private_data", private_data), ("packing", packed)]
 
 #: no SQL: trees, suffix arrays, message passing and a merge vocabulary are not expressible; see tests/llm
 ORACLE_SQL = None
