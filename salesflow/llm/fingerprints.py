@@ -3,7 +3,8 @@
 A text is cut into paragraphs (lines; a line is cut again after its sentences, and
 a very long sentence at content-defined words), each hashed to a 64-bit digest; the
 k-th occurrence of an equal paragraph counts as its own digest, so fingerprints are
-of multisets. Each digest is added to one cell in each of three sub-tables (count,
+of multisets. A digest's low 12 bits are its paragraph's length, so likeness can weigh
+what differs by characters. Each digest is added to one cell in each of three sub-tables (count,
 xor of digests, xor of check hashes). Subtracting two tables leaves the digests in
 which the versions differ; peeling cells that hold exactly one recovers them. Where
 peeling stops short, the pair is tried again with tables ``GROW`` times larger,
@@ -38,9 +39,10 @@ from salesflow.llm.textbytes import mix
 
 CELLS = 30   # cells of a published fingerprint, a multiple of three
 GROW = 4
-LONG = 400   # characters of a sentence that is cut further
+LONG = 160   # characters of a sentence that is cut further
 
 U = np.uint64
+LENGTH = U(0xFFF)
 _SALT = mix(np.arange(11, 15, dtype=np.uint64))
 
 
@@ -54,7 +56,7 @@ def paragraphs(text: str) -> list[str]:
         run: list[str] = []
         for word in piece.split(" "):
             if len(word) > LONG:  # no blanks: pieces of a fixed length
-                out += [" ".join(run)] * bool(run) + [word[i:i + LONG // 4] for i in range(0, len(word), LONG // 4)]
+                out += [" ".join(run)] * bool(run) + [word[i:i + LONG // 2] for i in range(0, len(word), LONG // 2)]
                 run = []
                 continue
             run.append(word)
@@ -68,13 +70,14 @@ def paragraphs(text: str) -> list[str]:
 
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Digests of all paragraphs of all texts, and their number by text."""
-    value, sizes = [], []
+    value, length, sizes = [], [], []
     for text in texts:
         parts = paragraphs(text)
         value += [xxhash.xxh3_64_intdigest(p) for p in parts]
+        length += [len(p) for p in parts]
         sizes.append(len(parts))
     sizes = np.array(sizes, np.int64)
-    value = np.array(value, np.uint64)
+    value = np.array(value, np.uint64) & ~LENGTH | np.minimum(np.array(length, np.uint64), LENGTH)
     row = np.repeat(np.arange(len(sizes)), sizes)
     # the k-th occurrence within a text is a digest of its own
     order = np.lexsort((value, row))
@@ -82,7 +85,12 @@ def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     new = np.r_[True, (v[1:] != v[:-1]) | (r[1:] != r[:-1])] if len(v) else np.zeros(0, bool)
     first = np.maximum.accumulate(np.where(new, np.arange(len(v)), 0)) if len(v) else np.zeros(0, np.int64)
     again = (np.arange(len(v)) - first).astype(np.uint64)
-    return mix(v + mix(again + _SALT[3])), sizes
+    return mix(v + mix(again + _SALT[3])) & ~LENGTH | v & LENGTH, sizes
+
+
+def weights(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Characters of all paragraphs of each text."""
+    return np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=keys & LENGTH, minlength=len(sizes))
 
 
 def _check(keys: np.ndarray) -> np.ndarray:
@@ -170,26 +178,28 @@ def difference(a: str, b: str) -> tuple[list[int], list[int]] | None:
 
 
 def likeness(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray, m: int = CELLS) -> np.ndarray:
-    """Shared paragraphs of all paragraphs of each pair of rows (digests flat, numbers by row)."""
+    """Characters in shared paragraphs of those in all paragraphs, for each pair of rows (digests flat, numbers by row)."""
     n = len(na)
     out = np.ones(n)
     start_a, start_b = np.cumsum(na) - na, np.cumsum(nb) - nb
+    wa, wb = weights(a, na), weights(b, nb)
     todo = np.flatnonzero(na + nb)
     pick = lambda start, size: np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
     while len(todo):
         ka, kb = a[pick(start_a[todo], na[todo])], b[pick(start_b[todo], nb[todo])]
         t = tables_of(ka, na[todo], m).minus(tables_of(kb, nb[todo], m))
-        row, _, sign, whole = t.peel()
-        only_a = np.bincount(row, weights=sign > 0, minlength=len(todo))
-        only_b = np.bincount(row, weights=sign < 0, minlength=len(todo))
-        shared = na[todo] - only_a
-        whole &= shared == nb[todo] - only_b
+        row, key, sign, whole = t.peel()
+        only_a = np.bincount(row, weights=(sign > 0) * (key & LENGTH), minlength=len(todo))
+        only_b = np.bincount(row, weights=(sign < 0) * (key & LENGTH), minlength=len(todo))
+        shared = wa[todo] - only_a
+        whole &= shared == wb[todo] - only_b
         out[todo[whole]] = (shared / np.maximum(shared + only_a + only_b, 1))[whole]
         todo = todo[~whole]
         roomy = m > 8 * (na[todo] + nb[todo])
         for i in todo[roomy]:
             x = np.intersect1d(a[start_a[i]:start_a[i] + na[i]], b[start_b[i]:start_b[i] + nb[i]])
-            out[i] = len(x) / (na[i] + nb[i] - len(x))
+            shared = float((x & LENGTH).sum())
+            out[i] = shared / max(wa[i] + wb[i] - shared, 1)
         todo = todo[~roomy]
         m *= GROW
     return out
