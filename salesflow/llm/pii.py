@@ -364,6 +364,14 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[end:]
 
 
+def clean(text: str, field: Field) -> str:
+    """All spans masked; what then matches a base pattern (two numbers had run together) is masked too."""
+    text = masked(text, all_spans(text, field)[1])
+    while spans := base_spans(text):
+        text = masked(text, spans)
+    return text
+
+
 def mask(docs: DataFrame, field: Field) -> DataFrame:
     """All rows and columns, personal data in ``text`` replaced by its kind; an ``n_chars`` column follows the text."""
     model = docs.sparkSession.sparkContext.broadcast(field)
@@ -373,7 +381,7 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 old = part.column("text").to_pylist()
-                new = [masked(t, all_spans(t, model.value)[1]) if t else t for t in old]
+                new = [clean(t, model.value) if t else t for t in old]
                 columns = dict(zip(names, part.columns, strict=True))
                 columns["text"] = pa.array(new, part.schema.field("text").type)
                 if "n_chars" in columns:

@@ -27,7 +27,7 @@ def texts():
             (7, "One", None), (8, "Zwei Wörter", "de"), (9, "zwei wörter", "de"), (10, "... !!! 123", "fr"), (11, prose(2, 40), "fr"),
             (12, prose(3, 20_000), "en"), (13, "x" * 50_000, "en"), (14, "日本語のテキスト。" * 20, "ja"), (15, " \t\n ", "en"),
             (16, "a b c d e", "en"), (17, "A B  C\td e", "en"), (18, "\u0085nbsp word é É", "fr"), (19, prose(2, 41), "fr"),
-            (20, "+1 (988) 555-2485 a@b.co 10.0.0.1 4337166598464399", "en")]
+            (20, "+1 (988) 555-2485 a@b.co 10.0.0.1 and 4337166598464399", "en")]
     return rows
 
 
