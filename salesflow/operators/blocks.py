@@ -32,14 +32,26 @@ from pyspark.sql import types as T
 from salesflow.session import checkpoint_dir
 
 _PID = "_sf_pid"
-# Largest side (rows) broadcast without measurement by AQE: the per-group
-# tables below have (groups x buckets) rows, so their size is checked first.
-MAX_BROADCAST_ROWS = 2_000_000
+# Largest side (cells: rows x columns, arrays counted by their longest) that gets a
+# broadcast hint: about 32 MB of numbers. Larger sides are joined as Spark plans them,
+# with the same result.
+MAX_BROADCAST_CELLS = 2_000_000
 
 
 def maybe_broadcast(df: DataFrame, rows_upper_bound: int) -> DataFrame:
     """Broadcast hint only when the caller has proven the row bound; else leave it to AQE."""
-    return F.broadcast(df) if rows_upper_bound <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if rows_upper_bound * len(df.columns) <= MAX_BROADCAST_CELLS else df
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL equals NULL; the key columns come out once, from the left."""
+    keys = list(keys)
+    r = right.withColumnsRenamed({k: f"_sf_r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_sf_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_sf_r_{k}" for k in keys])
 
 
 def group_count(df: DataFrame, group_cols) -> int:
@@ -174,7 +186,7 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
     bounds = df.groupBy(*group_cols).agg(F.percentile_approx(v, probs, 1000).alias("_bounds"))
     ng = n_groups if n_groups is not None else group_count(df, group_cols)
     # bounds: one row per group (n - 1 numbers each); offsets: groups x buckets rows
-    j = df.join(maybe_broadcast(bounds, ng * n), group_cols, "inner") if group_cols else \
+    j = null_safe_join(df, maybe_broadcast(bounds, ng * n), group_cols) if group_cols else \
         attach(df, bounds)
     j = j.withColumn("_bounds", F.array_sort(F.array_distinct("_bounds"))) \
         .withColumn("_bkt", bucket_index(v, "_bounds", len(probs))).drop("_bounds")
@@ -185,21 +197,25 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
         .rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*group_cols, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(wo), F.lit(0)).alias(f"_o_{c}")
                                             for c in sum_cols])
-    out = local.join(maybe_broadcast(off, ng * n), group_cols + ["_bkt"], "inner")
+    out = null_safe_join(local, maybe_broadcast(off, ng * n), group_cols + ["_bkt"])
     return out.select(*df.columns, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).cast("double").alias(f"{prefix}{c}")
                                      for c in sum_cols])
 
 
-def attach(df: DataFrame, stats: DataFrame, by=()) -> DataFrame:
-    """Join per-group statistics back onto rows.
+def attach(df: DataFrame, stats: DataFrame, by=(), width: int = 1) -> DataFrame:
+    """Join per-group statistics back onto rows (a NULL group keeps its own statistics).
 
-    With keys the join is left to AQE (broadcast only under the measured size
-    threshold). Without keys ``stats`` is a global aggregate with exactly one
+    With keys ``stats`` is materialised in the shared folder, so its rows can be
+    counted (``width``: longest array in it): a table of a few groups is broadcast
+    and the rows are not shuffled by a key of few values; a large one is joined as
+    Spark plans it. Without keys ``stats`` is a global aggregate with exactly one
     row: it becomes a scalar subquery (run once, then a literal) - no join.
     """
     by = list(by)
     if by:
-        return df.join(stats, by, "inner")
+        checkpoint_dir(df.sparkSession)
+        stats = stats.checkpoint(eager=True)
+        return null_safe_join(df, maybe_broadcast(stats, stats.count() * width), by)
     cols = stats.columns
     s = stats.select(F.struct(*[F.col(c) for c in cols]).alias("_sf_s")).scalar()
     return df.withColumn("_sf_s", s).select(
@@ -270,72 +286,67 @@ BRACKET_ACCURACY = 10_000
 
 
 def bracket_quantiles(df: DataFrame, group_cols, value_col: str, probs, accuracy: int = BRACKET_ACCURACY,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, spread: float = 3.0) -> DataFrame:
     """Exact linear-interpolated quantiles by bracket-and-select.
 
     Pass 1 (one aggregate): per group n, min, max and approximate quantiles
     (GK sketch, rank error <= n / accuracy) just below and above each target
-    -> a bracket [L, U] per (group, p). Pass 2 (one aggregate over the data,
-    the groups x probs bracket table broadcast): rows below L are counted and
-    only rows inside [L, U] (about 6 n / accuracy of them) are value-counted.
-    The target order statistics are then selected inside the small band.
-    Every target rank is verified to lie inside its band; if one does not,
-    the full value-count method answers instead, so the result is exact.
+    -> a bracket [L, U] for each p. Pass 2 (one aggregate): every row stays one
+    row; it gets its place between the sorted bracket ends of its group, and keeps
+    its value only inside a bracket (about 6 n / accuracy rows for each p), so the
+    count table has one row for each gap and for each value in a bracket. The
+    running count over that table gives the values at the target ranks. A rank
+    that falls into a gap (the sketch's bound excludes it) is tried again with
+    brackets ten times wider, which end as the whole range.
     """
     g = list(group_cols)
     spark = df.sparkSession
     checkpoint_dir(spark)
     probs = [float(p) for p in probs]
-    eps = 3.0 / accuracy
+    eps = spread / accuracy
     lows = [max(0.0, p - eps) for p in probs]
     highs = [min(1.0, p + eps) for p in probs]
     grid = sorted(set(lows + highs))
     v = F.col(value_col).cast("double")
-    base = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull())
+    base = df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     s1 = base.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
                               F.percentile_approx("_v", grid, accuracy).alias("_aq"))
-    items = []
-    for p, lo_q, hi_q in zip(probs, lows, highs):
-        lower = F.col("_min") if lo_q == 0.0 else F.col("_aq")[grid.index(lo_q)]
-        upper = F.col("_max") if hi_q == 1.0 else F.col("_aq")[grid.index(hi_q)]
-        items.append(F.struct(F.lit(p).alias("p"), lower.alias("_L"), upper.alias("_U")))
-    targets = (s1.select(*g, "_n", F.inline(F.array(*items)))
+    lower = [F.col("_min") if q == 0.0 else F.col("_aq")[grid.index(q)] for q in lows]
+    upper = [F.col("_max") if q == 1.0 else F.col("_aq")[grid.index(q)] for q in highs]
+    s1 = s1.where("_n > 0").select(
+        *g, "_n", F.array(*[F.struct(a.alias("L"), b.alias("U")) for a, b in zip(lower, upper)]).alias("_br"),
+        F.array_sort(F.array_distinct(F.array(*lower, *upper))).alias("_ends"))
+    s1 = s1.checkpoint(eager=True)  # one row for each group, read three times below
+    ng = s1.count()
+    ends = s1.select(*g, "_br", "_ends")
+    j = null_safe_join(base, maybe_broadcast(ends, ng * 4 * len(probs)), g) if g else attach(base, ends)
+    place = bucket_index("_v", "_ends", 2 * len(probs))
+    inside = F.exists("_br", lambda x: (x["L"] <= F.col("_v")) & (F.col("_v") <= x["U"]))
+    # a gap stands between two bracket ends: any number between them keeps the order
+    below, above = F.try_element_at("_ends", F.col("_at")), F.try_element_at("_ends", F.col("_at") + 1)
+    step = lambda x: F.greatest(F.lit(1.0), F.abs(x) / 1e9)
+    gap = F.when(F.col("_at") == 0, above - step(above)).otherwise(F.coalesce(below / 2 + above / 2, below + step(below)))
+    band = (j.withColumn("_at", place.cast("int")).withColumn("_in", inside)
+            .select(*g, "_in", F.when(F.col("_in"), F.col("_v")).otherwise(gap).alias("_bv"))
+            .groupBy(*g, "_in", "_bv").agg(F.count(F.lit(1)).alias("_c")))
+    band = band.checkpoint(eager=True)  # small: a row for each gap and for each value in a bracket
+    pre = prefix_sums_by_value(band, g, "_bv", ["_c"], buckets=num_partitions, n_groups=ng)
+    targets = (s1.select(*g, "_n", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p"))
                .withColumn("_pos", (F.col("_n") - 1) * F.col("p"))
                .withColumn("_lo", F.floor("_pos").cast("long")).withColumn("_hi", F.ceil("_pos").cast("long")))
-    targets = targets.checkpoint(eager=True)  # groups x probs rows, read three times below
-    ng = group_count(targets, g)
-    tb = maybe_broadcast(targets.select(*g, "p", "_L", "_U"), ng * len(probs))
-    if g:
-        j = base.join(tb, g, "inner")
-    else:  # one group: the <= len(probs) brackets ride along as a scalar subquery, no join
-        arr = targets.agg(F.collect_list(F.struct("p", "_L", "_U")).alias("_br"))
-        j = attach(base, arr).select("_v", F.inline("_br"))
-    inb = (F.col("_v") >= F.col("_L")) & (F.col("_v") <= F.col("_U"))
-    band = (j.select(*g, "p", F.when(inb, F.col("_v")).alias("_bv"), (F.col("_v") < F.col("_L")).alias("_isb"))
-            .groupBy(*g, "p", "_bv").agg(F.count_if("_isb").alias("_below"), F.count(F.lit(1)).alias("_c")))
-    band = band.checkpoint(eager=True)  # small: the in-band distinct values and one row of below-counts
-    below = band.where(F.col("_bv").isNull()).groupBy(*g, "p").agg(F.sum("_below").alias("_below"))
-    inband = band.where(F.col("_bv").isNotNull()).select(*g, "p", "_bv", "_c")
-    tot = inband.groupBy(*g, "p").agg(F.sum("_c").alias("_inb"))
-    t2 = (targets.join(below, g + ["p"], "left").join(tot, g + ["p"], "left")
-          .withColumn("_below", F.coalesce("_below", F.lit(0))).withColumn("_inb", F.coalesce("_inb", F.lit(0))))
-    ok = (F.col("_lo") >= F.col("_below")) & (F.col("_hi") < F.col("_below") + F.col("_inb"))
-    if t2.where(~ok).limit(1).count() > 0:  # bracket missed (does not happen with the GK guarantee)
-        counts = value_counts(df, g, value_col)
-        return quantiles_from_counts(counts, g, value_col, probs, "_n", num_partitions)
-    pre = prefix_sums_by_value(inband.withColumnRenamed("p", "_p"), g + ["_p"], "_bv", ["_c"],
-                               buckets=num_partitions, n_groups=ng * len(probs)).withColumnRenamed("_p", "p")
-    ranks = t2.select(*[F.col(x).alias(f"_k_{x}") for x in g], F.col("p").alias("_kp"), "_pos", "_lo", "_hi",
-                      F.explode(F.array(F.col("_lo") - F.col("_below"), F.col("_hi") - F.col("_below"))).alias("_r"),
-                      F.col("_below").alias("_kb")).distinct()
+    ranks = targets.select(*[F.col(x).alias(f"_k_{x}") for x in g], "p", "_pos", "_lo", "_hi",
+                           F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
     ranks = maybe_broadcast(ranks, ng * len(probs) * 2)
     cond = [F.col(x).eqNullSafe(F.col(f"_k_{x}")) for x in g] + [
-        F.col("p") == F.col("_kp"), F.col("cum__c") - F.col("_c") <= F.col("_r"), F.col("_r") < F.col("cum__c")]
-    hit = pre.join(ranks, cond).select(*[F.col(f"_k_{x}").alias(x) for x in g], F.col("_kp").alias("p"), "_pos",
-                                       "_lo", "_hi", (F.col("_r") + F.col("_kb")).alias("_r"), F.col("_bv").alias("_v"))
+        F.col("cum__c") - F.col("_c") <= F.col("_r"), F.col("_r") < F.col("cum__c")]
+    hit = pre.join(ranks, cond).select(*[F.col(f"_k_{x}").alias(x) for x in g], "p", "_pos", "_lo", "_hi", "_r",
+                                       "_in", F.col("_bv").alias("_v"))
     res = hit.groupBy(*g, "p", "_pos", "_lo", "_hi").agg(
-        F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.bool_and("_in").alias("_ok"), F.max(F.when(F.col("_r") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("_r") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
+    res = res.checkpoint(eager=True)  # groups x probs rows
+    if res.where(~F.col("_ok")).head(1):
+        return bracket_quantiles(df, group_cols, value_col, probs, accuracy, num_partitions, spread * 10)
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
     return res.select(*g, "p", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(q).alias("q"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.operators.blocks import (attach, bucket_index, exact_quantiles, group_count, maybe_broadcast,
-                                       prefix_sums_by_value, quantiles_from_counts, value_counts)
+                                       null_safe_join, prefix_sums_by_value, quantiles_from_counts, value_counts)
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -173,31 +173,33 @@ def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
         long = _long(df, features, period, by)
         q = exact_quantiles(long.where(F.col(period) == REF), g, "value", probs)
         edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-        rows = attach(long, edges, g).select(*g, "edges", "value", (F.col(period) == REF).cast("int").alias("c_ref"),
+        rows = attach(long, edges, g, width=bins + 1).select(*g, "edges", "value", (F.col(period) == REF).cast("int").alias("c_ref"),
                                              (F.col(period) == CUR).cast("int").alias("c_cur"))
     else:
         q = quantiles_from_counts(counts, g, "value", probs, count_col="c_ref",
                                   n_groups=None if by else len(list(features)))
         edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-        rows = attach(counts, edges, g)
+        rows = attach(counts, edges, g, width=bins + 1)
     inner = F.slice(F.col("edges"), 1, F.size("edges") - 1)
     slot = F.size(F.filter(inner, lambda e: e <= F.col("value")))
     per_slot = rows.groupBy(*g, slot.alias("slot")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
-    totals = per_slot.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
+    # a group with rows in one period only has no PSI (as it has no KS)
+    totals = (per_slot.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
+              .where("n_ref > 0 and n_cur > 0"))
     grid = edges.select(*g, F.explode(F.sequence(F.lit(0), F.size("edges") - 1)).alias("slot"))
-    full = grid.join(per_slot, g + ["slot"], "left").join(totals, g, "inner")
+    full = null_safe_join(null_safe_join(grid, per_slot, g + ["slot"], "left"), totals, g)
     r = F.coalesce(F.col("c_ref"), F.lit(0)) / F.col("n_ref") + PSI_EPS
     c = F.coalesce(F.col("c_cur"), F.lit(0)) / F.col("n_cur") + PSI_EPS
     return full.groupBy(*g).agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
 
 
-def psi_bands(p: DataFrame, col: str = "psi") -> DataFrame:
-    """Stable / moderate / significant, ranked by PSI (1 = largest)."""
+def psi_bands(p: DataFrame, col: str = "psi", by=()) -> DataFrame:
+    """Stable / moderate / significant, ranked by PSI (1 = largest) within each ``by`` group."""
     band = F.when(F.col(col) < PSI_MODERATE, F.lit("stable")).when(
         F.col(col) <= PSI_SIGNIFICANT, F.lit("moderate")).otherwise(F.lit("significant"))
-    # the PSI table has one row per feature: ranking it is a tiny sort
-    return p.withColumn("band", band).withColumn(
-        "rank", F.row_number().over(Window.orderBy(F.desc(col), F.asc("feature"))))
+    # one row per feature (and group): a group's ranking is a tiny sort
+    w = Window.partitionBy(*by).orderBy(F.desc(col), F.asc("feature"))
+    return p.withColumn("band", band).withColumn("rank", F.row_number().over(w))
 
 
 def drift_history(dm: DataFrame, threshold: float = 0.5, features=None) -> DataFrame:
@@ -217,7 +219,7 @@ def monitoring_run(df: DataFrame, features, date: str = "date", as_of=None, days
     ks = ks_test(lab, features, "period", threshold, by, counts=counts)
     p = psi(lab, features, "period", bins, by, counts=counts)
     g = list(by) + ["feature"]
-    out = ks.join(p, g, "full")
+    out = null_safe_join(ks, p, g, "left")  # both exist for the same groups: those with rows in both periods
     return out.select(*by, F.lit(as_of).cast("date").alias("as_of"), F.col("feature").alias("feature_name"),
                       F.col("ks_statistic").alias("drift_score"), "drift_detected", "ks_statistic",
                       F.col("p_value").alias("ks_pvalue"), F.col("psi").alias("psi_score"))

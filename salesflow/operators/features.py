@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesflow.functions import exprs as X
 from salesflow.operators import windows as W
-from salesflow.operators.blocks import attach, maybe_broadcast
+from salesflow.operators.blocks import attach
 
 TIME_FEATURES = ("year", "month", "day", "day_of_week", "day_of_year", "week_of_year", "quarter",
                  "is_weekend", "is_month_start", "is_month_end", "is_quarter_start", "is_quarter_end",
@@ -57,7 +57,8 @@ def add_interactions(df: DataFrame, cols, plan=None) -> DataFrame:
     for a, b, can_div in plan:
         new.append((F.col(a) * F.col(b)).alias(f"{a}_x_{b}"))
         if can_div:
-            new.append((F.col(a) / F.col(b)).alias(f"{a}_div_{b}"))
+            # the plan may come from other rows (serving): a zero there gives NULL, not an error
+            new.append(F.try_divide(F.col(a), F.col(b)).alias(f"{a}_div_{b}"))
     return df.select("*", *new)
 
 
@@ -84,13 +85,13 @@ def add_group_stats(df: DataFrame, target: str, keys, aggs=("mean", "sum", "std"
 
 
 # F5 ---------------------------------------------------------------------------------------------
-def add_all_features(df: DataFrame, target: str = "sales", group=("region", "product"), order=("date",),
+def add_all_features(df: DataFrame, order, target: str = "sales", group=("region", "product"),
                      lags=(1, 7, 30), windows=(7, 30), interaction_cols=("price", "quantity"),
-                     chunk_rows="auto") -> DataFrame:
+                     chunk_rows: int = W.CHUNK_ROWS) -> DataFrame:
     """F1 -> W1 -> W2 -> F3 in one plan; one shared window for lags and rolling stats.
 
-    ``chunk_rows="auto"`` measures the largest group first and switches to the
-    halo-chunked window only when a group is too big for one task.
+    ``order`` must be total within a group (end it with a unique key). Groups are
+    always cut into halo chunks of ``chunk_rows`` rows, so no group is one task.
     """
     out = add_time_features(df)
     if target in out.columns:
@@ -122,11 +123,11 @@ def demand_index(df: DataFrame, date: str, region: str, product: str, actual: st
     base = df.groupBy(product).agg(F.avg(actual).alias("_base"))
     out = df.join(base, product, "left")
     if preferences is not None:  # (region, product, preference) - a small user table
-        out = out.join(maybe_broadcast(preferences, preferences.count()), [region, product], "left")
+        out = out.join(preferences, [region, product], "left")
     else:
         out = out.withColumn("preference", F.lit(None).cast("double"))
     if weekend_boost is not None:  # (product, weekend_boost)
-        out = out.join(maybe_broadcast(weekend_boost, weekend_boost.count()), product, "left")
+        out = out.join(weekend_boost, product, "left")
     else:
         out = out.withColumn("weekend_boost", F.lit(None).cast("double"))
     month_m = F.element_at(F.array(*[F.lit(x) for x in MONTH_MULTIPLIERS]), F.month(date))

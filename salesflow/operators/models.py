@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesflow.functions.exprs import nan_to_null
+
 EPS = 2.220446049250313e-16  # float64 machine epsilon (MAPE denominator guard)
 LOWER_IS_BETTER = {"rmse": True, "mae": True, "mape": True, "r2": False}
 
@@ -23,8 +25,9 @@ LOWER_IS_BETTER = {"rmse": True, "mae": True, "mape": True, "r2": False}
 # M6 ---------------------------------------------------------------------------------------------
 def metric_exprs(actual: str, predicted: str, prefix: str = "", where: Column | None = None) -> list[Column]:
     """Aggregate expressions for n, rmse, mae, r2, mape; ``where`` restricts the rows (conditional agg)."""
-    y = F.col(actual).cast("double")
-    p = F.col(predicted).cast("double")
+    y = nan_to_null(F.col(actual).cast("double"))
+    p = nan_to_null(F.col(predicted).cast("double"))
+    y, p = F.when(p.isNotNull(), y), F.when(y.isNotNull(), p)  # complete pairs only
     if where is not None:
         y, p = F.when(where, y), F.when(where, p)
     e = y - p
@@ -118,6 +121,7 @@ def transition(versions: DataFrame, model: str, ver: int, to_stage: str, name: s
 
 
 # M1-M4 (MLlib) ---------------------------------------------------------------------------------
+# The default hyperparameters of the three model kinds.
 DEFAULT_PARAMS = {
     "linear": {},
     "random_forest": {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 10, "seed": 42},
@@ -170,7 +174,7 @@ def train(df: DataFrame, features, target: str, kind: str, params=None, split_co
 
 
 RUN_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
-    ("run_id", T.StringType()), ("model", T.StringType()), ("status", T.StringType()),
+    ("run_id", T.StringType()), ("model", T.StringType()), ("status", T.StringType()), ("error", T.StringType()),
     ("training_seconds", T.DoubleType()), ("rmse", T.DoubleType()), ("mae", T.DoubleType()),
     ("r2", T.DoubleType()), ("mape", T.DoubleType()), ("test_rmse", T.DoubleType()),
     ("test_mae", T.DoubleType()), ("test_r2", T.DoubleType()), ("test_mape", T.DoubleType()))])
@@ -188,8 +192,7 @@ def train_many(df: DataFrame, features, target: str, kinds=("linear", "random_fo
                 m, row = train(cached, features, target, k, (params or {}).get(k), split_col)
                 models[k] = m
             except Exception as exc:  # noqa: BLE001 - a failed model is a run row, not a crash
-                row = {"run_id": k, "model": k, "status": "FAILED", "training_seconds": None}
-                _ = exc
+                row = {"run_id": k, "model": k, "status": "FAILED", "error": f"{type(exc).__name__}: {exc}"}
             rows.append(tuple(row.get(f.name) for f in RUN_SCHEMA.fields))
     finally:
         cached.unpersist()

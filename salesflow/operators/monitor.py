@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesflow.operators import windows as W
-from salesflow.operators.blocks import attach
+from salesflow.operators.blocks import attach, null_safe_join
 from salesflow.operators.models import metric_exprs
-from salesflow.operators.relational import recent
+from salesflow.operators.relational import recent, recent_rows
 
 # Default baseline metrics of the reference monitoring job.
 DEFAULT_BASELINE = {"rmse": 100.0, "mae": 80.0, "r2": 0.85}
@@ -35,13 +35,19 @@ def baseline_frame(spark, baseline: dict) -> DataFrame:
 
 # PM1 --------------------------------------------------------------------------------------------
 def check_performance(df: DataFrame, baseline: DataFrame, actual: str, predicted: str, as_of=None,
-                      window_days: int = 7, ts: str = "timestamp", by=(), one_sided: bool = False) -> DataFrame:
-    """Per (group, metric): current, baseline, degradation_pct, is_degraded, degradation_detected."""
+                      window_days: int = 7, ts: str = "timestamp", by=(), one_sided: bool = False,
+                      order=None) -> DataFrame:
+    """Per (group, metric): current, baseline, degradation_pct, is_degraded, degradation_detected.
+
+    ``as_of`` defaults to the newest timestamp. Without a ``ts`` column the last
+    ``window_days * 100`` rows in ``order`` count. A baseline with the ``by`` columns
+    holds one value for each group.
+    """
     by = list(by)
-    cur = recent(df, ts, as_of, window_days) if as_of is not None else df
+    cur = recent(df, ts, as_of, window_days) if ts in df.columns else recent_rows(df, order, window_days)
     m = cur.groupBy(*by).agg(*metric_exprs(actual, predicted))
     long = m.unpivot(by + ["n"], list(METRICS), "metric", "current").withColumnRenamed("n", "sample_size")
-    j = long.join(F.broadcast(baseline), "metric", "inner")  # baseline: one row per metric name
+    j = null_safe_join(long, baseline, [b for b in by if b in baseline.columns] + ["metric"])
     pct = F.when(F.col("baseline") != 0, (F.col("current") - F.col("baseline")) / F.abs(F.col("baseline")) * 100) \
         .otherwise(F.lit(0.0))
     degraded = (pct > DEGRADATION_PCT) if one_sided else (F.abs(pct) > DEGRADATION_PCT)
@@ -53,13 +59,14 @@ def check_performance(df: DataFrame, baseline: DataFrame, actual: str, predicted
 
 # PM2 --------------------------------------------------------------------------------------------
 def performance_trend(df: DataFrame, actual: str, predicted: str, order, window_size: int = 100,
-                      ts: str | None = "timestamp") -> DataFrame:
+                      ts: str | None = "timestamp", by=()) -> DataFrame:
     """M6 over hopping row windows (size n, step n // 2), labelled by last timestamp and end index."""
-    h = W.hopping_windows(df, order, window_size)
+    by = list(by)
+    h = W.hopping_windows(df, order, window_size, by=by)
     aggs = metric_exprs(actual, predicted)
     if ts:
         aggs.append(F.max_by(F.col(ts), F.col("row_idx")).alias("timestamp"))
-    return h.groupBy("window_id", F.col("window_end").alias("row_index")).agg(*aggs)
+    return h.groupBy(*by, "window_id", F.col("window_end").alias("row_index")).agg(*aggs)
 
 
 # PM3 --------------------------------------------------------------------------------------------
@@ -68,7 +75,7 @@ def retrain_decision(perf: DataFrame, drift: DataFrame | None = None, by=()) ->
     by = list(by)
     p = perf.groupBy(*by).agg(F.bool_or("degradation_detected").alias("degradation_detected"))
     if drift is not None:
-        p = p.join(drift.select(*by, "has_drift", "drift_percentage"), by, "left") if by else \
+        p = null_safe_join(p, drift.select(*by, "has_drift", "drift_percentage"), by, "left") if by else \
             attach(p, drift.select("has_drift", "drift_percentage"))
     else:
         p = p.withColumn("has_drift", F.lit(False)).withColumn("drift_percentage", F.lit(0.0))
@@ -81,22 +88,23 @@ def retrain_decision(perf: DataFrame, drift: DataFrame | None = None, by=()) ->
 
 
 # PM4 --------------------------------------------------------------------------------------------
-def generate_alerts(drift_report: DataFrame, psi_scores: DataFrame, perf: DataFrame, ts: Column) -> DataFrame:
-    """DATA_DRIFT, HIGH_PSI (one per feature) and PERFORMANCE_DEGRADATION alert rows."""
+def generate_alerts(drift_report: DataFrame, psi_scores: DataFrame, perf: DataFrame, ts: Column, by=()) -> DataFrame:
+    """DATA_DRIFT, HIGH_PSI (one per feature) and PERFORMANCE_DEGRADATION alert rows, for each ``by`` group."""
+    # the messages are fixed values of the alert format
     dd = drift_report.where(F.col("has_drift")).select(
-        F.lit("DATA_DRIFT").alias("alert_type"),
+        *by, F.lit("DATA_DRIFT").alias("alert_type"),
         F.when(F.col("drift_percentage") > DRIFT_HIGH_PCT, F.lit("HIGH")).otherwise(F.lit("MEDIUM")).alias("severity"),
         F.concat(F.lit("Data drift detected in "), F.col("drift_count").cast("string"), F.lit(" features"))
         .alias("message"), F.col("drifted_features").alias("subject"))
     hp = psi_scores.where(F.col("psi") > PSI_ALERT).select(
-        F.lit("HIGH_PSI").alias("alert_type"),
+        *by, F.lit("HIGH_PSI").alias("alert_type"),
         F.when(F.col("psi") > PSI_HIGH, F.lit("HIGH")).otherwise(F.lit("MEDIUM")).alias("severity"),
         F.concat(F.lit("High PSI score for "), F.col("feature"), F.lit(": "), F.format_number("psi", 4))
         .alias("message"), F.col("feature").alias("subject"))
-    pd_ = perf.where(F.col("degradation_detected")).select(
-        F.lit("PERFORMANCE_DEGRADATION").alias("alert_type"), F.lit("HIGH").alias("severity"),
-        F.lit("Model performance has degraded").alias("message"), F.lit(None).cast("string").alias("subject")
-    ).limit(1)
+    degraded = perf.groupBy(*by).agg(F.bool_or("degradation_detected").alias("degradation_detected"))
+    pd_ = degraded.where(F.col("degradation_detected")).select(
+        *by, F.lit("PERFORMANCE_DEGRADATION").alias("alert_type"), F.lit("HIGH").alias("severity"),
+        F.lit("Model performance has degraded").alias("message"), F.lit(None).cast("string").alias("subject"))
     return dd.unionByName(hp).unionByName(pd_).withColumn("timestamp", ts).withColumn("resolved", F.lit(False))
 
 
@@ -115,21 +123,31 @@ def open_alerts(alerts: DataFrame, n: int = 10, by_rank: bool = False) -> DataFr
 
 
 # PM6 --------------------------------------------------------------------------------------------
-def retrain_gate(decision: DataFrame, last_training: Column, now: Column) -> DataFrame:
-    """Proceed if retraining is requested and (>= 24 h since last training, or HIGH priority)."""
+def retrain_gate(decision: DataFrame, last_training: Column, now: Column, cooldown_hours: float = COOLDOWN_HOURS) -> DataFrame:
+    """Proceed if retraining is requested and (>= ``cooldown_hours`` since last training, or HIGH priority)."""
     hours = F.timestamp_diff("SECOND", last_training, now) / 3600.0
-    cooled = last_training.isNull() | (hours >= COOLDOWN_HOURS) | (F.col("priority") == "HIGH")
+    cooled = last_training.isNull() | (hours >= cooldown_hours) | (F.col("priority") == "HIGH")
     return decision.withColumn("hours_since_training", hours).withColumn(
         "proceed", F.col("should_retrain") & cooled)
 
 
 # PM7 --------------------------------------------------------------------------------------------
 def monitoring_summary(ts: Column, drift_report: DataFrame, perf: DataFrame, alerts: DataFrame,
-                       current_metrics: DataFrame) -> DataFrame:
-    """One row: timestamp, drift summary, degradation flag, alert count, current metrics.
+                       current_metrics: DataFrame, by=()) -> DataFrame:
+    """One row (for each ``by`` group): timestamp, drift summary, degradation flag, alert count, current metrics.
 
-    Every input is a one-row report, attached as scalar subqueries.
+    Without groups every input is a one-row report, attached as scalar subqueries;
+    with groups they are joined on the group, a group without alerts counting none.
     """
+    by = list(by)
+    if by:
+        flag = perf.groupBy(*by).agg(F.coalesce(F.bool_or("degradation_detected"), F.lit(False)).alias("degradation_detected"))
+        count = alerts.groupBy(*by).agg(F.count(F.lit(1)).alias("alert_count"))
+        cur = current_metrics.select(*by, *[F.col(m).alias(f"current_{m}") for m in METRICS])
+        out = drift_report.select(*by, "has_drift", "drift_percentage", "drifted_features")
+        for part in (flag, count, cur):
+            out = null_safe_join(out, part, by, "left")
+        return out.withColumn("alert_count", F.coalesce("alert_count", F.lit(0).cast("long"))).withColumn("timestamp", ts)
     flag = perf.agg(F.coalesce(F.bool_or("degradation_detected"), F.lit(False)).alias("degradation_detected"))
     cur = current_metrics.select(*[F.col(m).alias(f"current_{m}") for m in METRICS])
     ac = alerts.agg(F.count(F.lit(1)).alias("alert_count"))

@@ -8,13 +8,16 @@ Transforms are lazy column expressions.
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, exact_quantiles, quantile_columns, row_index
+from salesflow.functions.exprs import nan_to_null
+from salesflow.operators.blocks import attach, exact_quantiles, maybe_broadcast, quantile_columns, row_index
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -72,45 +75,38 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, cols=None) -> Scaler:
-    """Population std (scikit-learn StandardScaler); std 0 or undefined -> 1."""
+    """Population std (scikit-learn StandardScaler); std 0 or undefined -> 1; NaN counts as missing."""
     cols = list(cols or numeric_columns(df))
-    row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                 *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).collect()[0]
+    x = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
+    row = df.agg(*[F.avg(x[c]).alias(f"m_{c}") for c in cols],
+                 *[F.stddev_pop(x[c]).alias(f"s_{c}") for c in cols]).collect()[0]
     stds = tuple(1.0 if not row[f"s_{c}"] else float(row[f"s_{c}"]) for c in cols)
     means = tuple(float(row[f"m_{c}"]) if row[f"m_{c}"] is not None else 0.0 for c in cols)
     return Scaler(tuple(cols), means, stds)
 
 
 # T4 / T5 ------------------------------------------------------------------------------------------
-# Domains up to this many levels are kept as literals on the driver (fitted state);
-# larger label domains become a distributed (value, code) table joined on the value.
-MAX_LITERAL_LEVELS = 10_000
-MAX_ONEHOT_LEVELS = 1_000
-
-
 @dataclass(frozen=True)
 class Encoder:
+    """Fitted domains. One-hot keeps each column's levels (they are the output columns);
+    label codes are a (value, code) table for each column, joined on the value."""
+
     method: str
-    classes: dict = field(default_factory=dict)  # column -> sorted tuple of values
+    classes: dict = field(default_factory=dict)  # one-hot: column -> sorted tuple of values
     unseen: str = "error"
-    tables: dict = field(default_factory=dict)  # column -> DataFrame(value, code) for large domains
+    tables: dict = field(default_factory=dict)  # label: column -> DataFrame(value, code)
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df
         for c, values in self.classes.items():
-            if self.method == "onehot":
-                # drop the first level; NULL and unseen values -> all zeros
-                new = [F.coalesce((F.col(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
-                       for v in values[1:]]
-                keep = [x for x in out.columns if x != c]
-                out = out.select(*keep, *new)
-            else:
-                m = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(v), F.lit(i))])
-                code = F.element_at(m, F.col(c).cast("string")) if values else F.lit(None).cast("int")
-                out = out.withColumn(c, self._check(c, code).cast("int"))
+            # drop the first level; NULL and unseen values -> all zeros
+            new = [F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+                   for v in values[1:]]
+            keep = [x for x in out.columns if x != c]
+            out = out.select(*keep, *new)
         for c, table in self.tables.items():
             t = table.select(F.col("value").alias("_sf_v"), F.col("code").alias("_sf_code"))
-            j = out.join(t, F.col(c).cast("string") == F.col("_sf_v"), "left")
+            j = out.join(maybe_broadcast(t, t.count()), F.col(c).cast("string") == F.col("_sf_v"), "left")
             out = j.withColumn(c, self._check(c, F.col("_sf_code")).cast("int")).drop("_sf_v", "_sf_code")
         return out
 
@@ -121,37 +117,47 @@ class Encoder:
             F.raise_error(F.concat(F.lit(f"unseen label in {c}: "), F.col(c).cast("string"))))
 
     def to_df(self, spark: SparkSession) -> DataFrame:
+        """(method, unseen, column, value, code) rows; ``from_df`` reads them back."""
         rows = [(c, v, i) for c, vs in self.classes.items() for i, v in enumerate(vs)]
         out = spark.createDataFrame(rows, "column string, value string, code int")
         for c, t in self.tables.items():
             out = out.unionByName(t.select(F.lit(c).alias("column"), "value", F.col("code").cast("int")))
-        return out
+        return out.select(F.lit(self.method).alias("method"), F.lit(self.unseen).alias("unseen"), "column", "value", "code")
+
+    @staticmethod
+    def from_df(df: DataFrame) -> Encoder:
+        heads = df.select("method", "unseen", "column").distinct().collect()  # one row for each column
+        if not heads:
+            return Encoder("label")
+        method, unseen = heads[0]["method"], heads[0]["unseen"]
+        cols = sorted(r["column"] for r in heads)
+        if method == "onehot":
+            rows = df.orderBy("column", "code").collect()
+            return Encoder(method, {c: tuple(r["value"] for r in rows if r["column"] == c) for c in cols}, unseen)
+        return Encoder(method, {}, unseen, {c: df.where(F.col("column") == c).select("value", "code") for c in cols})
+
+
+def categorical_columns(df: DataFrame, exclude=()) -> list[str]:
+    return [c for c, t in df.dtypes if t == "string" and c not in exclude]
 
 
-def fit_encoder(df: DataFrame, cols, method: str = "onehot", unseen: str = "error") -> Encoder:
-    """Sorted distinct domain per categorical column.
+def fit_encoder(df: DataFrame, cols=None, method: str = "onehot", unseen: str = "error") -> Encoder:
+    """Sorted distinct domain per categorical column (default: every string column).
 
-    A size check first (approximate distinct count per column, one pass):
-    small domains are collected as literals; a label domain above
-    MAX_LITERAL_LEVELS stays distributed as a (value, code) table built with
-    the row-index block; one-hot refuses domains above MAX_ONEHOT_LEVELS.
+    Label codes stay a distributed (value, code) table at every size, numbered by the
+    row-index block. A one-hot encoder has an output column for each level but the
+    first, so its levels are column names of the plan and are read by the driver.
     """
-    cols = list(cols)
-    approx = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).collect()[0].asDict()
-    small = [c for c in cols if approx[c] <= MAX_LITERAL_LEVELS]
-    large = [c for c in cols if c not in small]
-    if method == "onehot" and any(approx[c] > MAX_ONEHOT_LEVELS for c in cols):
-        raise ValueError(f"one-hot domain too large: { {c: approx[c] for c in cols} }")
-    classes = {}
-    if small:
-        long = df.select(*[F.col(c).cast("string").alias(c) for c in small]).unpivot([], small, "column", "value")
+    cols = list(cols if cols is not None else categorical_columns(df))
+    if method == "onehot":
+        long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
         dom = long.where(F.col("value").isNotNull()).distinct().collect()
-        classes = {c: tuple(sorted(r["value"] for r in dom if r["column"] == c)) for c in small}
+        return Encoder(method, {c: tuple(sorted(r["value"] for r in dom if r["column"] == c)) for c in cols}, unseen)
     tables = {}
-    for c in large:
+    for c in cols:
         distinct = df.select(F.col(c).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
         tables[c] = row_index(distinct, ["value"], name="code").checkpoint(eager=True)
-    return Encoder(method, classes, unseen, tables)
+    return Encoder(method, {}, unseen, tables)
 
 
 # T6 / T7 ------------------------------------------------------------------------------------------
@@ -167,18 +173,30 @@ class Imputer:
             return df
         return df.fillna(self.values)
 
+    def to_df(self, spark: SparkSession) -> DataFrame:
+        """(strategy, column, type, value) rows; ``from_df`` reads them back."""
+        rows = [(self.strategy, c, type(v).__name__, str(v)) for c, v in self.values.items()] or [(self.strategy, None, None, None)]
+        return spark.createDataFrame(rows, "strategy string, column string, type string, value string")
+
+    @staticmethod
+    def from_df(df: DataFrame) -> Imputer:
+        read = {"int": int, "float": float, "bool": lambda v: v == "True", "str": str,
+                "date": datetime.date.fromisoformat, "datetime": datetime.datetime.fromisoformat, "Decimal": decimal.Decimal}
+        rows = df.collect()  # one row for each column
+        return Imputer(rows[0]["strategy"], {r["column"]: read[r["type"]](r["value"]) for r in rows if r["column"] is not None})
+
 
 def fit_imputer(df: DataFrame, strategy: str = "drop", fill_value=None, cols=None) -> Imputer:
     if strategy == "drop":
         return Imputer("drop", {})
     if strategy == "constant":
         if fill_value is None:
-            raise ValueError("fill_value required for constant strategy")
+            raise ValueError("strategy 'constant' needs a fill_value")
         return Imputer("constant", {c: fill_value for c in (cols or df.columns)})
     if strategy in ("mean", "median"):
         cols = list(cols or numeric_columns(df))
         if strategy == "mean":
-            row = df.agg(*[F.avg(c).alias(c) for c in cols]).collect()[0].asDict()
+            row = df.agg(*[F.avg(nan_to_null(F.col(c).cast("double"))).alias(c) for c in cols]).collect()[0].asDict()
         else:
             qs = quantile_columns(df, cols, [0.5], ["median"]).collect()
             row = {r["column"]: r["median"] for r in qs}
@@ -187,7 +205,8 @@ def fit_imputer(df: DataFrame, strategy: str = "drop", fill_value=None, cols=Non
         cols = list(cols or df.columns)
         vals = {}
         for c in cols:
-            counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+            present = F.col(c).isNotNull() & ~F.isnan(c) if dict(df.dtypes)[c] in ("double", "float") else F.col(c).isNotNull()
+            counts = df.where(present).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
             best = counts.agg(F.min_by(F.col(c), F.struct(-F.col("_n"), F.col(c))).alias("m")).collect()[0]["m"]
             if best is not None:
                 vals[c] = best
@@ -219,7 +238,7 @@ def outlier_fences(df: DataFrame, cols, method: str = "iqr", threshold: float =
     for c in cols:
         src = cur if mode == "sequential" else df
         if method == "iqr":
-            q = exact_quantiles(src.select(F.col(c).cast("double").alias("v")), [], "v", (0.25, 0.75)).collect()
+            q = exact_quantiles(src.select(nan_to_null(F.col(c).cast("double")).alias("v")), [], "v", (0.25, 0.75)).collect()
             qd = {r["p"]: r["q"] for r in q}
             if 0.25 not in qd:
                 lo = hi = float("nan")
@@ -228,7 +247,8 @@ def outlier_fences(df: DataFrame, cols, method: str = "iqr", threshold: float =
                 lo, hi = qd[0.25] - threshold * iqr, qd[0.75] + threshold * iqr
             fences.append((c, lo, hi, True))
         elif method == "zscore":
-            r = src.agg(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).collect()[0]
+            x = nan_to_null(F.col(c).cast("double"))
+            r = src.agg(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).collect()[0]
             m, s = r["m"], r["s"]
             if m is None or not s:
                 lo = hi = float("nan")
@@ -272,6 +292,18 @@ class Preprocessor:
             out = self.encoder.transform(out)
         return self.scaler.transform(out)
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """One parquet table for each fitted part, in ``path``."""
+        self.imputer.to_df(spark).write.mode("overwrite").parquet(f"{path}/imputer")
+        self.scaler.to_df(spark).write.mode("overwrite").parquet(f"{path}/scaler")
+        (self.encoder or Encoder("label")).to_df(spark).write.mode("overwrite").parquet(f"{path}/encoder")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Preprocessor:
+        encoder = Encoder.from_df(spark.read.parquet(f"{path}/encoder"))
+        return Preprocessor(Imputer.from_df(spark.read.parquet(f"{path}/imputer")),
+                            encoder if encoder.classes or encoder.tables else None, Scaler.from_df(spark.read.parquet(f"{path}/scaler")))
+
 
 def preprocess(df: DataFrame, order_by, target: str, categorical=(), numeric=None,
                missing: str = "drop", encode: str = "label", test_size: float = 0.2,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, maybe_broadcast
+from salesflow.operators.blocks import attach
 
 
 def _c(c) -> Column:
@@ -27,21 +27,29 @@ def diagonal_range(df: DataFrame, actual: str, predicted: str) -> DataFrame:
                   F.count(F.lit(1)).alias("n_points"))
 
 
-def point_sample(df: DataFrame, key, every: int = 100, seed: int = 42) -> DataFrame:
-    """Deterministic 1-in-``every`` sample for plotting (the sample is the feature)."""
+def scatter_points(df: DataFrame, key, actual: str, predicted: str) -> DataFrame:
+    """Every (actual, predicted) point of the rows that have an actual."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.where(F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(every)) == 0)
+    return df.where(F.col(actual).isNotNull()).select(*keys, actual, predicted)
 
 
 # P3 / P5 ----------------------------------------------------------------------------------------
-def recent(df: DataFrame, ts: str, as_of, days: int) -> DataFrame:
-    return df.where(F.col(ts) >= _c(as_of) - F.make_interval(days=F.lit(days)))
+def recent(df: DataFrame, ts: str, as_of=None, days: int = 7) -> DataFrame:
+    """Rows of the last ``days`` before ``as_of`` (default: the newest ``ts``)."""
+    end = df.select(F.max(ts)).scalar() if as_of is None else _c(as_of)
+    return df.where(F.col(ts) >= end - F.make_interval(days=F.lit(days)))
+
+
+def recent_rows(df: DataFrame, order, days: int = 7, rows_per_day: int = 100) -> DataFrame:
+    """Without a time column: the last ``days * rows_per_day`` rows in the given (total) order."""
+    return top_n(df, order, days * rows_per_day)
 
 
 def label_period(df: DataFrame, date: str, as_of, days: int = 30, name: str = "period") -> DataFrame:
-    """reference (< cutoff) / current (>= cutoff), cutoff = as_of - days."""
+    """reference (< cutoff) / current (>= cutoff), cutoff = as_of - days; NULL dates are in neither (NULL)."""
     cutoff = F.date_sub(_c(as_of), days)
-    return df.withColumn(name, F.when(F.col(date) >= cutoff, F.lit("current")).otherwise(F.lit("reference")))
+    return df.withColumn(name, F.when(F.col(date) >= cutoff, F.lit("current"))
+                         .when(F.col(date) < cutoff, F.lit("reference")))
 
 
 # P4 / P6 / P7 -------------------------------------------------------------------------------------
@@ -94,11 +102,8 @@ def attach_by_key(left: DataFrame, right: DataFrame, key, how: str = "left") ->
 
 
 # J2 ---------------------------------------------------------------------------------------------
-def lookup(df: DataFrame, dim: DataFrame, key, how: str = "left", check_size: bool = True) -> DataFrame:
-    """Dimension lookup: broadcast only after counting the dimension under the row bound;
-    otherwise a shuffle join on the key (AQE may still convert it on measured size)."""
-    if check_size:
-        return df.join(maybe_broadcast(dim, dim.count()), key, how)
+def lookup(df: DataFrame, dim: DataFrame, key, how: str = "left") -> DataFrame:
+    """Dimension lookup; Spark broadcasts the dimension only if its measured bytes allow it."""
     return df.join(dim, key, how)
 
 

@@ -11,6 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesflow.functions.exprs import nan_to_null
 from salesflow.operators.blocks import attach, exact_quantiles, pair_moments, pearson
 from salesflow.operators.windows import rank_table
 
@@ -25,7 +26,7 @@ def _ranked(scores: DataFrame, score: str = "score", desc: bool = True) -> DataF
 def by_variance(df: DataFrame, cols, threshold: float = 0.01) -> DataFrame:
     """Population variance > threshold (strict)."""
     cols = list(cols)
-    row = df.agg(*[F.var_pop(F.col(c).cast("double")).alias(c) for c in cols])
+    row = df.agg(*[F.var_pop(nan_to_null(F.col(c).cast("double"))).alias(c) for c in cols])
     long = row.unpivot([], cols, "feature", "score")
     return _ranked(long).withColumn("selected", F.coalesce(F.col("score") > threshold, F.lit(False)))
 
@@ -43,19 +44,33 @@ def correlations(df: DataFrame, cols, target: str, method: str = "pearson", key=
 
 
 def _spearman(df: DataFrame, cols, target: str) -> DataFrame:
-    """Pearson on average-tie ranks, in long form: one rank table, two joins, one grouped pass."""
+    """Pearson on average-tie ranks of the rows where both the feature and the target are present.
+
+    Features without missing values share one ranking of the target, joined to the
+    rows once; a feature with missing values ranks its own complete pairs.
+    """
+    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in [*cols, target]])
+    df = df.where(F.col(target).isNotNull())
+    n = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()  # d numbers
+    whole = [c for c in cols if not n[c]]
+    parts = [_rank_moments(df, whole, target)] if whole else []
+    parts += [_rank_moments(df.where(F.col(c).isNotNull()), [c], target) for c in cols if n[c]]
+    m = parts[0]
+    for p in parts[1:]:
+        m = m.unionByName(p)
+    return m.select("feature", pearson("cov", "var_a", "var_b").alias("corr"), "n")
+
+
+def _rank_moments(df: DataFrame, cols, target: str) -> DataFrame:
+    """Moments of the ranks of complete columns and the target's rank, by feature."""
     ranks = rank_table(df, cols + [target])
-    y = F.col(target).cast("double")
-    long = (df.select(y.alias("_y"), *[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot(["_y"], cols, "feature", "_x")
-            .where(F.col("_x").isNotNull() & F.col("_y").isNotNull()))
+    ry = ranks.where(F.col("column") == target).select(F.col("value").alias(target), F.col("rank").alias("ry"))
+    long = df.select(target, *cols).join(ry, target).unpivot(["ry"], cols, "feature", "_x")
     rx = ranks.where(F.col("column") != target).select(
         F.col("column").alias("feature"), F.col("value").alias("_x"), F.col("rank").alias("rx"))
-    ry = ranks.where(F.col("column") == target).select(F.col("value").alias("_y"), F.col("rank").alias("ry"))
-    j = long.join(rx, ["feature", "_x"]).join(ry, "_y")
-    m = j.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.covar_pop("rx", "ry").alias("cov"),
-                                 F.var_pop("rx").alias("var_a"), F.var_pop("ry").alias("var_b"))
-    return m.select("feature", pearson("cov", "var_a", "var_b").alias("corr"), "n")
+    return long.join(rx, ["feature", "_x"]).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.covar_pop("rx", "ry").alias("cov"),
+        F.var_pop("rx").alias("var_a"), F.var_pop("ry").alias("var_b"))
 
 
 def by_correlation(df: DataFrame, cols, target: str, threshold: float = 0.1, method: str = "pearson") -> DataFrame:
@@ -69,7 +84,8 @@ def by_f_test(df: DataFrame, cols, target: str, k: int = 20) -> DataFrame:
     """Univariate F = r^2 / (1 - r^2) (n - 2) (f_regression); top k."""
     c = correlations(df, cols, target)
     r2 = F.col("corr") * F.col("corr")
-    s = c.select("feature", (r2 / (1 - r2) * (F.col("n") - 2)).alias("score"))
+    f = F.when(r2 >= 1, F.lit(float("inf"))).otherwise(F.try_divide(r2, 1 - r2) * (F.col("n") - 2))
+    s = c.select("feature", f.alias("score"))
     return _ranked(s).withColumn("selected", F.col("rank") <= k)
 
 
@@ -83,8 +99,8 @@ def by_mutual_info(df: DataFrame, cols, target: str, k: int = 20, bins: int = 10
     """
     cols = list(cols)
     allc = cols + [target]
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in allc])
-            .unpivot([], allc, "column", "value").where(F.col("value").isNotNull()))
+    df = df.select(*[nan_to_null(F.col(c).cast("double")).alias(c) for c in allc])
+    long = df.unpivot([], allc, "column", "value").where(F.col("value").isNotNull())
     probs = [i / bins for i in range(bins + 1)]
     q = exact_quantiles(long, ["column"], "value", probs)
     edges = q.groupBy("column").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))

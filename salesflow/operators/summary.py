@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.exprs import nan_to_null
-from salesflow.operators.blocks import attach, exact_quantiles, quantiles_from_counts, unpivot_numeric
+from salesflow.operators.blocks import attach, exact_quantiles, null_safe_join, quantiles_from_counts, unpivot_numeric
 from salesflow.operators.blocks import value_counts as value_counts_table
 
 
@@ -21,9 +21,10 @@ def _c(c) -> Column:
 
 # A1 ---------------------------------------------------------------------------------------------
 def group_totals(df: DataFrame, key, value: str) -> DataFrame:
-    """Sum / mean / count of ``value`` by one key."""
+    """Sum / mean / count of ``value`` by one key; NaN counts as missing."""
+    v = nan_to_null(value) if dict(df.dtypes).get(value) in ("double", "float") else F.col(value)
     return df.groupBy(key).agg(
-        F.sum(value).alias("total"), F.avg(value).alias("mean"), F.count(value).alias("count"))
+        F.sum(v).alias("total"), F.avg(v).alias("mean"), F.count(v).alias("count"))
 
 
 # A2 ---------------------------------------------------------------------------------------------
@@ -183,7 +184,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
     counts = attach(base, rng, by).select(*by, idx.alias("bin")).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
     grid = rng.select(*by, "_min", "_max", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("_max") - F.col("_min")) / bins
-    out = grid.join(counts, by + ["bin"], "left")
+    out = null_safe_join(grid, counts, by + ["bin"], "left")
     return out.select(*by, "bin", (F.col("_min") + F.col("bin") * w).alias("lo"),
                       (F.col("_min") + (F.col("bin") + 1) * w).alias("hi"),
                       F.coalesce("count", F.lit(0)).cast("long").alias("count"))
@@ -219,7 +220,7 @@ def share_of_total(df: DataFrame, key, value: str) -> DataFrame:
     t = df.groupBy(key).agg(F.sum(value).alias("total"))
     grand = t.agg(F.sum("total").alias("_grand"))  # one row -> scalar subquery
     return attach(t, grand).select(*([key] if isinstance(key, str) else key), "total",
-                                   (F.col("total") * 100.0 / F.col("_grand")).alias("share_pct"))
+                                   F.try_divide(F.col("total") * 100.0, F.col("_grand")).alias("share_pct"))
 
 
 # A15 --------------------------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index, value_counts
+from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index, unpivot_numeric, value_counts
 
 AGG_FUNCS = {
     "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum,
@@ -39,30 +39,23 @@ def _chunked(df: DataFrame, group, order, halo: int, chunk_rows: int):
     return out.withColumn("_halo", F.col("_chunk") != F.col("_home")).drop("_home")
 
 
-AUTO_CHUNK_ROWS = 2_000_000
-
-
-def auto_chunk_rows(df: DataFrame, group) -> int | None:
-    """Size check: chunk only when the largest group exceeds AUTO_CHUNK_ROWS rows.
-
-    One partially aggregated count per group; the answer is a single number.
-    """
-    if not group:
-        return AUTO_CHUNK_ROWS
-    biggest = df.groupBy(*group).count().agg(F.max("count")).collect()[0][0] or 0
-    return AUTO_CHUNK_ROWS if biggest > AUTO_CHUNK_ROWS else None
+#: rows of a group that one task windows over
+CHUNK_ROWS = 100_000
 
 
 def add_history(df: DataFrame, target: str, group, order, lags=(1, 7, 30), windows=(7, 30),
                 aggs=("mean", "std", "min", "max"), min_periods: int = 1,
-                include_current: bool = True, chunk_rows: int | None = None) -> DataFrame:
-    """W1 + W2: ``{t}_lag_{n}`` and ``{t}_rolling_{w}_{agg}`` per group, by rows."""
+                include_current: bool = True, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+    """W1 + W2: ``{t}_lag_{n}`` and ``{t}_rolling_{w}_{agg}`` per group, by rows.
+
+    Groups are cut into chunks of ``chunk_rows`` (at least the halo) rows, each
+    with the rows before it that its windows reach; None windows whole groups.
+    """
     group, order = list(group), list(order)
     lags, windows = list(lags or []), list(windows or [])
-    if chunk_rows == "auto":
-        chunk_rows = auto_chunk_rows(df, group)
     halo = max([0] + lags + [w - 1 + (0 if include_current else 1) for w in windows])
     if chunk_rows:
+        chunk_rows = max(chunk_rows, halo)
         base = _chunked(df, group, order, halo, chunk_rows)
         part, ordr = group + ["_chunk"], ["_ri"]
     else:
@@ -88,12 +81,12 @@ def add_history(df: DataFrame, target: str, group, order, lags=(1, 7, 30), windo
     return out
 
 
-def add_lags(df, target, group, order, lags=(1, 7, 30), chunk_rows=None):
+def add_lags(df, target, group, order, lags=(1, 7, 30), chunk_rows=CHUNK_ROWS):
     return add_history(df, target, group, order, lags=lags, windows=(), chunk_rows=chunk_rows)
 
 
 def add_rolling(df, target, group, order, windows=(7, 30), aggs=("mean", "std", "min", "max"),
-                min_periods=1, include_current=True, chunk_rows=None):
+                min_periods=1, include_current=True, chunk_rows=CHUNK_ROWS):
     return add_history(df, target, group, order, lags=(), windows=windows, aggs=aggs,
                        min_periods=min_periods, include_current=include_current,
                        chunk_rows=chunk_rows)
@@ -119,19 +112,20 @@ def moving_averages(daily: DataFrame, order: str, value: str, windows=(7, 30, 90
 
 
 # W5 ---------------------------------------------------------------------------------------------
-def hopping_windows(df: DataFrame, order, size: int, idx_col: str = "row_idx") -> DataFrame:
+def hopping_windows(df: DataFrame, order, size: int, idx_col: str = "row_idx", by=()) -> DataFrame:
     """Assign rows to hopping row windows: ends range(size, n, size // 2), rows [end-size, end).
 
     Adds ``window_id`` (k) and ``window_end`` (exclusive end row index); each row
     appears in at most ceil(size / step) windows. Window ends equal to n are
-    not produced (same as the reference loop).
+    not produced (same as the reference loop). With ``by`` each group has windows of its own.
     """
     if size < 2:
         raise ValueError("window size must be >= 2 (step = size // 2 must be positive)")
     step = size // 2
-    idx = row_index(df, order, name=idx_col) if idx_col not in df.columns else df
-    n = idx.agg(F.count(F.lit(1)).alias("_n"))
-    j = attach(idx, n)
+    by = list(by)
+    idx = row_index(df, order, by, name=idx_col) if idx_col not in df.columns else df
+    n = idx.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    j = attach(idx, n, by)
     i = F.col(idx_col)
     k_lo = F.greatest(F.lit(0), F.floor((i - size) / step) + 1)
     k_hi = F.floor(i / step)
@@ -150,8 +144,7 @@ def global_row_index(df: DataFrame, order, name: str = "row_idx") -> DataFrame:
 def rank_table(df: DataFrame, cols) -> DataFrame:
     """(column, value, rank): average-tie rank of every distinct value of each column."""
     cols = list(cols)
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], cols, "column", "value").where(F.col("value").isNotNull()))
+    long = unpivot_numeric(df, cols).where(F.col("value").isNotNull())
     counts = value_counts(long, ["column"], "value")
     pre = prefix_sums_by_value(counts, ["column"], "value", ["_n"])
     return pre.select("column", "value", (F.col("cum__n") - (F.col("_n") - 1) / 2.0).alias("rank"))

@@ -191,8 +191,7 @@ def train_models(spark, sf_dir):
     from salesflow.operators.preprocess import split
     s = sales(spark, sf_dir, KEY + ["l_extendedprice", "date", *fx.FEATURE_COLS, "sales"])
     data = split(s.withColumn("quantity", F.col("quantity").cast("double")), fx.SALES_ORDER, 0.2)
-    _, runs = M.train_many(data, list(fx.FEATURE_COLS), "sales", params={
-        "random_forest": {"numTrees": 20, "maxDepth": 8}, "gbt": {"maxIter": 20}})
+    _, runs = M.train_many(data, list(fx.FEATURE_COLS), "sales")
     return runs.select("run_id", "status", "rmse", "test_rmse", "r2", "test_r2")
 
 

@@ -71,11 +71,20 @@ def performance_trend(spark, sf_dir):
 
 
 # PM3 / PM4 / PM6 / PM7 combine the predictions performance report with the drift report on sales
-def _drift(spark, sf_dir):
+def _labelled(spark, sf_dir):
     s = sales(spark, sf_dir, ["date", *FEATURES])
-    lab = label_period(s, "date", max_scalar(s, "date"), 30)
-    ks = D.ks_test(lab, FEATURES, "period")
-    return D.drift_report(ks, FEATURES), D.psi(lab, FEATURES, "period")
+    return label_period(s, "date", max_scalar(s, "date"), 30)
+
+
+def _report(spark, sf_dir, counts=None):
+    ks = D.ks_test(_labelled(spark, sf_dir), FEATURES, "period", counts=counts)
+    return D.drift_report(ks, FEATURES)
+
+
+def _drift(spark, sf_dir):
+    lab = _labelled(spark, sf_dir)
+    counts = D.period_counts(lab, FEATURES, "period")  # one pass over the data for both tests
+    return _report(spark, sf_dir, counts), D.psi(lab, FEATURES, "period", counts=counts)
 
 
 _REPORT_SQL = _with(f"""SELECT count(*) FILTER (WHERE p_value < 0.05) > 0 AS has_drift,
@@ -93,8 +102,7 @@ FROM (SELECT bool_or(degradation_detected) AS degradation_detected FROM ({_perf_
 
 
 def _decision(spark, sf_dir):
-    rep, _ = _drift(spark, sf_dir)
-    return PM.retrain_decision(_perf(spark, sf_dir), rep)
+    return PM.retrain_decision(_perf(spark, sf_dir), _report(spark, sf_dir))
 
 
 @register("pm3_retrain_decision", _DECISION_SQL, ("PM3",))

@@ -189,8 +189,8 @@ def scalar_functions(spark, sf_dir):
     return rounded(out, cols=["root", "log1"])
 
 
-@register("p2_point_sample", None, ("P2",))
-def point_sample(spark, sf_dir):
-    """Deterministic 1-in-100 (actual, predicted) sample for a scatter plot; the sample is the feature."""
+@register("p2_points", with_views(f"SELECT {KEY_SQL}, sales, predicted FROM sales WHERE sales IS NOT NULL", **SALES), ("P2",))
+def points(spark, sf_dir):
+    """Every (actual, predicted) point of a scatter plot."""
     s = sales(spark, sf_dir, KEY + ["sales", "predicted"])
-    return R.point_sample(s, KEY, every=100).select(*KEY, "sales", "predicted")
+    return R.scatter_points(s, KEY, "sales", "predicted")

@@ -98,8 +98,7 @@ def mutual_info(spark, sf_dir):
 
 @register("fs6_importance", None, ("FS6", "FS7"))
 def importance(spark, sf_dir):
-    return _out(FS.by_importance(_frame(spark, sf_dir), FEATS, TARGET, 5, "random_forest",
-                                 {"numTrees": 20, "maxDepth": 8}))
+    return _out(FS.by_importance(_frame(spark, sf_dir), FEATS, TARGET, 5, "random_forest"))
 
 
 @register("fs8_rfe", None, ("FS8",))
