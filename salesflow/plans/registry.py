@@ -34,7 +34,7 @@ def register(name: str, sql: str | None, ids: tuple[str, ...] = ()):
 def load_all() -> dict[str, Query]:
     # importing the plan modules fills REGISTRY
     from salesflow.plans import (  # noqa: F401
-        drift_q, features_q, io_q, models_q, monitor_q, preprocess_q, quality_q,
+        drift_q, features_q, io_q, missing_q, models_q, monitor_q, preprocess_q, quality_q,
         relational_q, selection_q, streaming_q, summary_q, windows_q,
     )
     return REGISTRY
