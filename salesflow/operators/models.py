@@ -95,6 +95,22 @@ def next_version(versions: DataFrame, name: str = "name", version: str = "versio
     return versions.groupBy(name).agg((F.max(version) + 1).alias("next_version"))
 
 
+def register_model(versions: DataFrame, model: str, name: str = "name", stage: str = "stage", version: str = "version",
+                   **values) -> DataFrame:
+    """The version table with the model's next version appended (1 for a new model), in stage None."""
+    types = {f.name: f.dataType for f in versions.schema.fields}
+    nxt = versions.where(F.col(name) == model).agg((F.coalesce(F.max(version), F.lit(0)) + 1).alias("_v"))
+    given = {name: F.lit(model), stage: F.lit("None"), version: F.col("_v")} | {k: F.lit(v) for k, v in values.items()}
+    row = nxt.select(*[given.get(c, F.lit(None)).cast(types[c]).alias(c) for c in versions.columns])
+    return versions.unionByName(row)
+
+
+def production_version(versions: DataFrame, model: str, name: str = "name", stage: str = "stage", version: str = "version") -> DataFrame:
+    """The newest Production version of a model (no row without one)."""
+    live = versions.where((F.col(name) == model) & (F.col(stage) == "Production"))
+    return live.orderBy(F.col(version).desc()).limit(1)
+
+
 def latest_per_stage(versions: DataFrame, name: str = "name", stage: str = "stage",
                      version: str = "version") -> DataFrame:
     return versions.groupBy(name, stage).agg(

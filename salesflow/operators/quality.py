@@ -156,6 +156,31 @@ def verdict(report: DataFrame, strict: bool = False) -> DataFrame:
     return agg.withColumn("is_valid", valid)
 
 
+# limits of the checks: what ``observed`` is compared with
+THRESHOLDS = {"not_empty": 1.0, "schema": 1.0, "critical_completeness": 0.0, "completeness": 10.0, "data_types": 0.0, "value_ranges": 0.0,
+              "date_parsing": 0.0, "date_validity": 0.0, "date_range": 30.0, "business_rule": 0.01, "duplicates": 0.0, "key_duplicates": 0.0,
+              "statistical_outliers": 5.0, "expected_features": 1.0, "unexpected_features": 0.0, "infinite_values": 0.0, "zero_columns": 0.0,
+              "duplicate_columns": 0.0, "mostly_null": 50.0}
+
+
+def with_messages(report: DataFrame) -> DataFrame:
+    """The report with the ``threshold`` of each check and a ``message``."""
+    limits = F.create_map(*[x for k, v in THRESHOLDS.items() for x in (F.lit(k), F.lit(v))])
+    where = F.when(F.col("column").isNull(), F.lit("")).otherwise(F.concat(F.lit(" of "), "column"))
+    out = report.withColumn("threshold", F.try_element_at(limits, F.col("check")))
+    return out.withColumn("message", F.concat(
+        F.col("check"), where, F.lit(": "), F.col("status"), F.lit(" (observed "), F.coalesce(F.format_string("%.2f", "observed"), F.lit("nothing")),
+        F.lit(", limit "), F.format_string("%.2f", "threshold"), F.lit(")")))
+
+
+def report_text(report: DataFrame) -> str:
+    """The report as text: the verdict, then a line for each check that did not pass (one report row each)."""
+    v = verdict(report).first()
+    lines = [f"{'VALID' if v['is_valid'] else 'INVALID'}: {v['n_passed']} passed, {v['n_failed']} failed, {v['n_warnings']} warnings"]
+    rest = with_messages(report).where(F.col("status") != PASSED).orderBy("status", "check", "column")
+    return "\n".join(lines + [f"- {r['message']}" for r in rest.collect()])
+
+
 # Q10 / Q11 / Q12 -----------------------------------------------------------------------------
 def validate_features(df: DataFrame, expected=None) -> DataFrame:
     """Missing expected features (failed), unexpected extras (warning), +/-inf (failed),

@@ -142,6 +142,27 @@ def archive_old(spark, sf_dir):
     return M.archive_old(_versions(spark, sf_dir), keep=3)
 
 
+# a life cycle: register the next version of every second model, promote it, look up what serves
+_LIFE = "SELECT name FROM (SELECT name, row_number() OVER (ORDER BY name) AS i FROM (SELECT DISTINCT name FROM v)) WHERE i = 2"
+
+
+@register("m10_lifecycle", with_views(f"""
+WITH m AS ({_LIFE}), n AS (SELECT name, version, stage FROM v UNION ALL
+  SELECT name, CAST(max(version) + 1 AS INTEGER), 'None' FROM v WHERE name = (SELECT name FROM m) GROUP BY name),
+t AS (SELECT name, version, CASE WHEN name = (SELECT name FROM m) AND version = (SELECT max(version) FROM n WHERE name = (SELECT name FROM m))
+        THEN 'Production' WHEN name = (SELECT name FROM m) AND stage = 'Production' THEN 'Archived' ELSE stage END AS stage FROM n)
+SELECT name, version, stage, name = (SELECT name FROM m) AND stage = 'Production' AS serves FROM t""", v=_VERSIONS_SQL), ("M10",))
+def lifecycle(spark, sf_dir):
+    v = _versions(spark, sf_dir)
+    model = v.select("name").distinct().orderBy("name").offset(1).first()["name"]
+    new = M.register_model(v, model)
+    newest = new.where(F.col("name") == model).agg(F.max("version")).first()[0]
+    moved = M.transition(new, model, newest, "Production", archive_existing=True)
+    live = M.production_version(moved, model).select("name", "version", F.lit(True).alias("serves"))
+    out = moved.select("name", "version", "stage").join(live, ["name", "version"], "left")
+    return out.withColumn("serves", F.coalesce("serves", F.lit(False)))
+
+
 @register("m10_next_version", f"SELECT name, max(version) + 1 AS next_version FROM ({_VERSIONS_SQL}) GROUP BY name",
           ("M10",))
 def next_version(spark, sf_dir):

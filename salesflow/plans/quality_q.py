@@ -106,6 +106,19 @@ def verdict(spark, sf_dir):
                                  F.col("n_warnings").cast("int"), "is_valid")
 
 
+_LIMITS = " ".join(f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in Q.THRESHOLDS.items())
+
+
+@register("q13_report", f"""
+SELECT "check", "column", status, observed, threshold,
+  "check" || coalesce(' of ' || "column", '') || ': ' || status || ' (observed ' || coalesce(printf('%.2f', observed), 'nothing')
+    || ', limit ' || printf('%.2f', threshold) || ')' AS message
+FROM (SELECT *, CASE "check" {_LIMITS} END AS threshold FROM (({_scalar_sql()}) UNION ALL ({_dup_sql(COLS)})))""", ("Q13",))
+def report(spark, sf_dir):
+    rep = Q.validate(_frame(spark, sf_dir), as_of=_as_of(spark, sf_dir), outliers=False)
+    return rounded(Q.with_messages(rep))
+
+
 _FEAT = ("quantity", "price", "l_discount", "l_tax")
 _EXPECTED = ("quantity", "price", "l_discount", "p_size")
 

@@ -112,4 +112,4 @@ def latest_status(spark, sf_dir):
         (F.col("value") > 250).alias("drift_detected"))
     out = scratch_path(spark, "st6-out")
     J.latest_status(s, "feature_name", "timestamp", "metric_id", out, scratch_path(spark, "st6-ckpt"))
-    return rounded(spark.read.parquet(out))
+    return rounded(J.read_latest(spark, out))

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when the frame that wrote them is garbage
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -79,7 +81,7 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a private one only when none is configured."""
+    """The shared checkpoint folder; a private one only when none is configured and Spark runs in this process."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -88,6 +90,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="salesflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -96,4 +100,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint location."""
     base = checkpoint_dir(spark)
-    return base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+    path = base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this application made; returns their number.
+
+    Call it once the results that read them are written: a DataFrame over a scratch
+    table is lazy.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(p)
+        folder.getFileSystem(conf).delete(folder, True)
+    return len(paths)

@@ -7,6 +7,7 @@ on the partition column (day, split, batch_id).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,22 +25,37 @@ SALES_CSV_SCHEMA = T.StructType([
 
 # IO1 --------------------------------------------------------------------------------------------
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             header: bool = True, validate: bool = False) -> DataFrame:
+             header: bool = True, validate: bool = False, malformed: str | None = None,
+             multi_line: bool = False) -> DataFrame:
     """CSV with a declared schema; quoted commas and doubled quotes handled (escape '"').
 
-    ``validate`` runs the load-time checks (Q17) and raises on an empty input.
-    A missing path raises (Spark's PATH_NOT_FOUND).
+    ``malformed`` names a column that receives the text of rows that do not fit the
+    schema (else NULL). ``multi_line`` reads line ends inside quoted fields (a file is
+    then one task). ``validate`` compares every file's header with the schema, rejects
+    duplicate names in any header, runs the load-time checks (Q17) and raises on an
+    empty input. A missing path raises (Spark's PATH_NOT_FOUND).
     """
-    reader = spark.read.option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
-    df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", False).csv(path)
+    reader = spark.read.option("header", header).option("escape", '"').option("mode", "PERMISSIVE").option("multiLine", multi_line)
+    if schema is not None:
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if malformed:
+            reader = reader.option("columnNameOfCorruptRecord", malformed)
+            fields = T.StructType([*fields.fields, T.StructField(malformed, T.StringType())])
+        df = reader.schema(fields).csv(path)
+    else:
+        df = reader.option("inferSchema", False).csv(path)
     if validate and header:
-        # Spark renames duplicate header names (region0, region2); check the raw header line
-        first = spark.read.text(path).limit(1).collect()
-        if first:
-            names = [c.strip().strip('"') for c in first[0][0].split(",")]
+        # Spark renames duplicate header names (region0, region2): look at each file's first line
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        heads = (lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
+                 .groupBy("file").agg(F.min_by("value", "at").alias("head")).select("head").distinct())
+        for (head,) in heads.collect():  # distinct header lines
+            names = [c.strip().strip('"') for c in head.split(",")]
             dups = sorted({c for c in names if names.count(c) > 1})
             if dups:
                 raise ValueError(f"duplicate column names in {path}: {dups}")
+            if schema is not None and names != [f.name for f in fields if f.name != malformed]:
+                raise ValueError(f"header {names} in {path} differs from the schema")
     if validate:
         rep = load_checks(df).where(F.col("status") == "failed").collect()
         if rep:
@@ -167,7 +183,9 @@ def version_status(current: DataFrame, versions_path: str | None, spark: SparkSe
         return current.withColumn("status", F.lit("new"))
     try:
         prev = spark.read.parquet(versions_path)
-    except Exception:  # noqa: BLE001 - no history yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # no history yet is the only reason to call it new
+            raise
         return current.withColumn("status", F.lit("new"))
     name = current.select("dataset").first()["dataset"]
     last = prev.where(F.col("dataset") == name).agg(

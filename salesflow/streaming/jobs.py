@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesflow.operators.models import EPS
+from salesflow.operators.models import metric_exprs
 from salesflow.operators.quality import validate_records
 from salesflow.session import scratch_path
 
@@ -24,34 +24,25 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-ROWS_PER_STAGED_FILE = 1_000_000
-
-
-def stage_source(df: DataFrame, name: str, files: int | None = None, order: str = "ts") -> str:
+def stage_source(df: DataFrame, name: str, files: int = 4, order: str = "ts") -> str:
     """Stage a batch frame as a file-stream source whose arrival order follows ``order``.
 
-    The file source hands out files by modification time, so the slices of
-    the event-time range are written one after another (one file each); each
-    micro-batch (``maxFilesPerTrigger=1``) then sees later events than the one
-    before, as a live feed would. Test/fixture helper: a production stream
-    arrives from upstream.
+    One range-partitioned write in ``files`` tasks (rows without event time come
+    first); the file source hands out files by modification time, which is then set
+    to the order of the ranges. Each micro-batch (``maxFilesPerTrigger=1``) sees later
+    events than the one before, as a live feed would. Test/fixture helper: a
+    production stream arrives from upstream.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"src-{name}")
-    if files is None:  # at most ROWS_PER_STAGED_FILE rows go through one writing task
-        files = max(4, -(-df.count() // ROWS_PER_STAGED_FILE))
-    # files - 1 cut points of the event-time range (a sketch: bounded state, one small row back)
-    edges = df.agg(F.percentile_approx(order, [i / files for i in range(1, files)], 10000).alias("b")) \
-        .collect()[0]["b"] or []
-    lo = None
-    for hi in list(edges) + [None]:
-        part = df
-        if lo is not None:
-            part = part.where(F.col(order) >= F.lit(lo))
-        if hi is not None:
-            part = part.where(F.col(order) < F.lit(hi))
-        part.coalesce(1).write.mode("append").parquet(path)
-        lo = hi
+    df.repartitionByRange(files, F.col(order).asc_nulls_first()).write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
+    first = 1_000_000_000_000  # any past time
+    for i, part in enumerate(parts):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(folder, part), first + 60_000 * i, -1)
     return path
 
 
@@ -120,18 +111,10 @@ def windowed_counts(stream: DataFrame, out_path: str, checkpoint: str, ts: str =
 def sliding_error_metrics(stream: DataFrame, out_path: str, checkpoint: str, ts: str = "timestamp",
                           size: str = "2 days", slide: str = "1 day", watermark: str = "1 hour",
                           actual: str = "actual_sales", predicted: str = "predicted_sales") -> None:
-    """Sliding windows (size, size/2) of error sums -> rmse, mae, mape, r2 per closed window."""
-    y = F.col(actual)
-    e = y - F.col(predicted)
+    """Sliding windows (size, size/2) of error sums -> rmse, mae, mape, r2 (as in batch M6) per closed window."""
     agg = (stream.withWatermark(ts, watermark).groupBy(F.window(ts, size, slide).alias("w"))
-           .agg(F.count(e).alias("n"), F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"),
-                F.sum(F.abs(e) / F.greatest(F.abs(y), F.lit(EPS))).alias("sape"),
-                F.sum(y).alias("sy"), F.sum(y * y).alias("syy")))
-    sst = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    out = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n",
-                     F.sqrt(F.col("sse") / F.col("n")).alias("rmse"), (F.col("sae") / F.col("n")).alias("mae"),
-                     (F.col("sape") / F.col("n") * 100).alias("mape"),
-                     F.when(sst == 0, F.lit(None)).otherwise(1 - F.col("sse") / sst).alias("r2"))
+           .agg(*metric_exprs(actual, predicted)))
+    out = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "rmse", "mae", "mape", "r2")
     _run(out.writeStream.outputMode("append").format("parquet").option("path", out_path), checkpoint)
 
 
@@ -156,13 +139,29 @@ def score_stream(stream: DataFrame, model_path: str, out_path: str, checkpoint:
 # ST6 --------------------------------------------------------------------------------------------
 def latest_status(stream: DataFrame, key: str, ts: str, tiebreak: str, out_path: str, checkpoint: str,
                   cols=("drift_score", "drift_detected")) -> None:
-    """Current state per key (complete mode, one row per key); each batch rewrites the small table."""
+    """Current state per key (complete mode, one row per key).
+
+    Every batch writes a whole version of the small table beside the earlier ones
+    (``version=<epoch>``); ``read_latest`` takes the newest complete one, so a reader
+    never meets a half-written table and a failed batch loses nothing.
+    """
     latest = stream.groupBy(key).agg(
         F.max_by(F.struct(F.col(ts).alias("timestamp"), *[F.col(c) for c in cols]),
                  F.struct(F.col(ts), F.col(tiebreak))).alias("s"))
     out = latest.select(key, "s.*")
 
     def batch(df: DataFrame, epoch_id: int):
-        df.write.mode("overwrite").parquet(out_path)
+        df.write.mode("overwrite").parquet(f"{out_path}/version={epoch_id}")
 
     _run(out.writeStream.outputMode("complete").foreachBatch(batch), checkpoint)
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version that ``latest_status`` completed (its folder holds the commit marker)."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [s.getPath().getName() for s in fs.listStatus(folder)
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    newest = max(int(n.partition("=")[2]) for n in done)
+    return spark.read.parquet(f"{path}/version={newest}")
