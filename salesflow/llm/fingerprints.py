@@ -12,11 +12,11 @@ built from the texts, until it succeeds (at over eight cells a digest the digest
 themselves are compared).
 
 Neighbours by key: bounds of key ranges come from the keys alone, rows travel once
-to their range, and the first rows of a range travel also to the range before it.
+to their range (texts compressed), and the first rows of a range also to the range before it.
 No window over all rows, nothing but the bounds on the driver.
 
 Defined results: a null text is empty; an empty text has no paragraphs, and two
-such texts are alike (1.0); rows are ordered by key, then text, nulls first; after
+such texts are alike (1.0); rows are ordered by key, nulls first, equal keys by a hash of the text; after
 the last row comes the first, also if it is the same row; an empty table gives an
 empty table; extra columns are ignored.
 """
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -227,18 +228,22 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, docs_per_range: int = 2048
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads = {k: i - 1 for i, k in enumerate(bounds) if i}
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             home = np.array([0 if k is None else max(bisect_right(bounds, k) - 1, 0) for k in ids], np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(np.zeros(len(ids), np.int32)), *batch.columns],
-                                             ["range", "copy", "doc_id", "text"])
+            texts = batch.column("text").to_pylist()
+            tie = pa.array([xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], pa.int64())
+            packed = pa.array([squeeze(t.encode()) for t in texts], pa.binary())
+            columns = [batch.column("doc_id"), tie, packed]
+            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(np.zeros(len(ids), np.int32)), *columns], dealt_names)
             # copies for the range before; the very first rows follow the last range
             first = [k is None if unkeyed else k == bounds[0] for k in ids]
             for at, to in (([i for i, k in enumerate(ids) if k in heads], 1), ([i for i, f in enumerate(first) if f], 2)):
                 if at:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([heads[ids[i]] if to == 1 else last for i in at], pa.int32()), pa.array([to] * len(at), pa.int32()),
-                         *[c.take(pa.array(at)) for c in batch.columns]], ["range", "copy", "doc_id", "text"])
+                         *[c.take(pa.array(at)) for c in columns]], dealt_names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # rows of one range in order; a copy comes last and only follows
@@ -261,8 +266,10 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, docs_per_range: int = 2048
                  pa.array(likeness(a[:own], na[:n], a[int(na[0]):], na[1:], cells)),
                  pa.array(na[:n]), pa.array(nb)], names)
 
+        stretch = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                row = (*row[:3], stretch(row[4]).decode())
                 if held and row[0] != held[0][0]:
                     held, size = [], 0
                 if held and (row[1] or size >= 2 << 20):
@@ -273,10 +280,11 @@ def fingerprints(docs: DataFrame, cells: int = CELLS, docs_per_range: int = 2048
                     size += len(row[3])
 
     from pyspark.sql.pandas.types import to_arrow_type
+    dealt_names = ["range", "copy", "doc_id", "tie", "packed"]
     key_type = to_arrow_type(docs.schema["doc_id"].dataType)
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "paragraphs", "edited_paragraphs"]
-    dealt = keyed.mapInArrow(deal, f"range int, copy int, doc_id {kind}, text string")
+    dealt = keyed.mapInArrow(deal, f"range int, copy int, doc_id {kind}, tie long, packed binary")
     ordered = dealt.repartition(partitions, "range").sortWithinPartitions(
-        "range", F.col("copy"), F.col("doc_id").asc_nulls_first(), "text")
+        "range", F.col("copy"), F.col("doc_id").asc_nulls_first(), "tie")
     return ordered.mapInArrow(run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                                    "near_edited double, near_next double, paragraphs long, edited_paragraphs long")
