@@ -49,3 +49,12 @@ def cluttered(docs):
     for c in ("score", "predicted", "size", "shard", "slot", "component", "class", "range", "copy", "elements", "u", "v", "h", "n", "held_out", "spans"):
         out = out.withColumn(c, F.lit("clash"))
     return out
+
+
+@pytest.fixture(autouse=True, scope="session")
+def few_partitions(spark):
+    """Small tables: fewer tasks for each of the many small jobs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)

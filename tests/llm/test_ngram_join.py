@@ -63,6 +63,18 @@ def test_matches_brute_force(spark):
     want = brute(rows)
     assert len({c for _, c in want.values()}) < len(rows) - 40
     assert result(ngram_join.similar_sets(df)) == want
+    assert result(ngram_join.similar_sets(df, block=2, docs_per_bucket=30)) == want
+
+
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(1)
+    for n in (1, 3, 8, 9, 40, 300):
+        a, b = rng.integers(0, 1 << 63, n, dtype=np.uint64), rng.integers(0, 1 << 63, n + 2, dtype=np.uint64)
+        b[:n // 2] = a[:n // 2]
+        x, y = ngram_join.sketches(np.r_[a, b], np.array([n, n + 2]))
+        size = min(len(x), len(y))
+        apart = int(np.bitwise_count(ngram_join._folded(x, size) ^ ngram_join._folded(y, size)).sum())
+        assert apart <= len(np.setxor1d(a, b)) and (n < 40 or apart > len(np.setxor1d(a, b)) * 0.7)
 
 
 def test_awkward_texts(spark, docs, cluttered, texts, no_docs):
