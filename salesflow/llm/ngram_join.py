@@ -23,9 +23,13 @@ passages are dear and hence hardly ever indexed. No pair is lost by any of this.
 Equal sets are one class from the start (64-bit content hash) and are never
 compared. Signatures travel packed, 16 bytes each, by hash range. Classes with an
 equal signature form a group; each group is first verified as a star around its
-first member, and after the connected components of those links only pairs
-between different components are verified. So a large group of near copies costs
-its size, not its square. Verification compares whole sets.
+hub, the member that meets most others over all groups. After the connected
+components of those links only pairs between different components are left to
+look at. They are compared among all that met the same hub, in bounded blocks, by
+parity sketches: the sketches of two sets differ in at most as many bits as the sets in
+elements, so a pair whose sketches differ in more than H bits is ruled out for
+certain. Only pairs that pass are emitted, and verified as whole sets. So a large
+group of near copies costs its size, not its square.
 
 Defined results: null texts and texts without words have size 0, are linked with
 nothing and are their own component; with fewer than ``n`` words the whole
@@ -373,8 +377,43 @@ def candidate_groups(docs: DataFrame, common: np.ndarray, n: int, t: Threshold,
     return groups.dropDuplicates(["print"]).select("members")
 
 
+def sketches(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Parity sketch of each set: bit (hash mod bits) flips with each element; 8 bits for an element, rounded to a power of two."""
+    bits = np.maximum(64, 8 << (np.frexp(np.maximum(sizes, 1).astype(float))[1] - 1))
+    end = np.cumsum(bits // 8)
+    start = end - bits // 8
+    out = np.zeros(int(end[-1]) if len(end) else 0, np.uint8)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = (mix(values ^ _STEP[59]) & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    np.bitwise_xor.at(out, start[row] + (at >> 3), (1 << (at & 7)).astype(np.uint8))
+    return [out[x:y].tobytes() for x, y in zip(start, end, strict=True)]
+
+
+def _folded(sketch: bytes, size: int) -> np.ndarray:
+    """A sketch of ``size`` bytes: halves are laid on each other, as positions modulo the smaller number would."""
+    x = np.frombuffer(sketch, np.uint64)
+    while len(x) * 8 > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def _possible(x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray, t: Threshold) -> np.ndarray:
+    """Whether sets with these sketches and sizes can be similar."""
+    return ((np.bitwise_count(x ^ y).sum(-1, dtype=np.int64) <= t.differ(nx + ny))
+            & (np.minimum(nx, ny) * t.den >= np.maximum(nx, ny) * t.num))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs (u, v) whose whole sets are similar."""
+    """The pairs (u, v) whose whole sets are similar; most others are ruled out by their sketches."""
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+                size = min(len(a), len(b))
+                keep[i] = _possible(_folded(a, size), na[i], _folded(b, size), nb[i], t)
+            yield batch.filter(pa.array(keep)).select(["u", "v"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
@@ -386,20 +425,85 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
                 keep[i] = t.den * shared >= t.num * (len(both) - shared)
             yield batch.filter(pa.array(keep)).select(["u", "v"])
 
-    left = sets.select(F.col("class").alias("u"), F.col("elements").alias("a"), F.col("size").alias("na"))
-    right = sets.select(F.col("class").alias("v"), F.col("elements").alias("b"), F.col("size").alias("nb"))
-    close = F.least("na", "nb") * t.den >= F.greatest("na", "nb") * t.num
-    sized = (pairs.join(left.select("u", "na"), "u").join(right.select("v", "nb"), "v").where(close).select("u", "v"))
-    return (sized.join(left.drop("na"), "u").join(right.drop("nb"), "v").select("u", "v", "a", "b")
+    side = lambda key, value, *more: sets.select(F.col("class").alias(key), *more, F.col(value).alias("a" if key == "u" else "b"))
+    small = (pairs.join(side("u", "sketch", F.col("size").alias("na")), "u").join(side("v", "sketch", F.col("size").alias("nb")), "v")
+             .select("u", "v", "na", "nb", "a", "b").mapInArrow(near, "u long, v long"))
+    return (small.join(side("u", "elements"), "u").join(side("v", "elements"), "v").select("u", "v", "a", "b")
             .mapInArrow(run, "u long, v long"))
 
 
+def _open_pairs(rows: DataFrame, t: Threshold, partitions: int, block: int) -> DataFrame:
+    """Pairs of classes that met one hub and lie in different components, unless their sketches rule them out.
+
+    ``rows``: (hub, n, class, root, size, sketch). The ``n`` classes of a hub are cut into
+    parts of about ``block``, and each task compares two parts (or one with itself).
+    """
+    parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    rows = (rows.withColumn("parts", parts).withColumn("part", F.pmod(F.hash("class"), F.col("parts")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("hub", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "class", "root", "size", "sketch"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, found = None, [], []
+
+        def compare():
+            (_, i, j), rows_ = key, held
+            size = min(len(r[4]) for r in rows_)
+            x = np.array([_folded(r[4], size) for r in rows_])
+            part, cls, root, n = (np.array([r[c] for r in rows_], np.int64) for c in range(4))
+            for k in range(len(rows_) - 1):
+                ok = _possible(x[k + 1:], n[k + 1:], x[k], n[k], t) & (root[k + 1:] != root[k])
+                if i != j:
+                    ok &= part[k + 1:] != part[k]
+                if ok.any():
+                    hit = cls[k + 1:][ok]
+                    found.append(np.column_stack([np.minimum(hit, cls[k]), np.maximum(hit, cls[k])]))
+
+        def emit():
+            pairs = np.unique(np.concatenate(found), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+
+        for batch in batches:
+            for hub, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (hub, i, j) != key:
+                    if len(held) > 1:
+                        compare()
+                    key, held = (hub, i, j), []
+                    if sum(map(len, found)) > 200_000:
+                        yield emit()
+                        found.clear()
+                held.append(row)
+        if len(held) > 1:
+            compare()
+        if found:
+            yield emit()
+
+    return rows.repartition(partitions, "hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(run, "u long, v long").distinct()
+
+
+def _likely(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The documents whose doc_id may be in ``keys`` (``left_anti``: those whose doc_id certainly isn't).
+
+    A one-hash Bloom filter, 16 bits a key up to 2**24 in all; texts that it settles need
+    not travel. It is a table of 64-bit words, at most 2**18 rows, which is what is broadcast.
+    """
+    bits = 1 << min(max((16 * keys.count()).bit_length(), 10), 24)
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {bits}) % 64 as int))")
+    word = F.shiftright(at, 6)
+    words_ = keys.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    marked = docs.withColumn("__at", word).withColumn("__one", bit)
+    return marked.join(F.broadcast(words_), (F.col("__at") == F.col("__word")) & (F.col("__bits").bitwiseAND(F.col("__one")) != 0),
+                       how).drop("__at", "__one")
+
+
 def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, docs_per_bucket: int = 4096,
-                 cells: int | None = None) -> DataFrame:
+                 cells: int | None = None, block: int = 2000) -> DataFrame:
     """(doc_id, size, component) of every document: the smallest doc_id reachable by links.
 
     ``cells`` of the count sketch (a power of two; one byte each is broadcast)
-    default to 16 for a document, between 2**16 and 2**26.
+    default to 16 for a document, between 2**16 and 2**26. ``block``: members of a
+    group that one task compares.
     """
     spark, t = docs.sparkSession, Threshold(num, den)
     count = docs.count()
@@ -410,7 +514,8 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, doc
     rows = written(profile(docs, n, cells), "profile")
     known = rows.where("block is null").select("doc_id", "size", "class")
     classes = written(known.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.min("size").alias("size")), "classes")
-    groups = written(candidate_groups(docs, commonness(rows, cells), n, t, buckets, partitions), "groups")
+    groups = candidate_groups(docs, commonness(rows, cells), n, t, buckets, partitions)
+    members = written(groups.select(F.xxhash64("members").alias("g"), F.size("members").alias("n"), F.explode("members").alias("class")), "members")
 
     # whole sets of the classes that meet anywhere, taken from each class's first document
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,33 +524,32 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, doc
                 values, sizes = shingles(part.column("text"), n)
                 end = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(class_ids(values, sizes)), pa.array(sizes.astype(np.int64)),
+                    [pa.array(class_ids(values, sizes)), pa.array(sizes.astype(np.int64)), pa.array(sketches(values, sizes), pa.binary()),
                      pa.array([values[e - k:e].tobytes() for e, k in zip(end, sizes, strict=True)], pa.binary())],
-                    ["class", "size", "elements"])
+                    ["class", "size", "sketch", "elements"])
 
-    met = groups.select(F.explode("members").alias("class")).distinct()
-    firsts = written(classes.join(met, "class").select(F.col("first").alias("doc_id"), "class"), "firsts")
+    met = members.groupBy("class").agg(F.sum("n").alias("meets"))
+    met = written(met, "met")
+    firsts = written(classes.join(met.select("class"), "class").select(F.col("first").alias("doc_id"), "class"), "firsts")
     wanted = firsts.select(F.col("doc_id").alias("__first"))
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    sets = texts.mapInArrow(whole, "class long, size long, elements binary")
-    # rows that share a doc_id but not the text are told apart by their class
-    sets = written(sets.join(firsts.select("class"), "class", "left_semi").dropDuplicates(["class"]), "sets")
-
-    star = groups.select(F.col("members")[0].alias("u"), F.explode(F.expr("slice(members, 2, size(members) - 1)")).alias("v"))
-    links = written(_verified(star.distinct(), sets, t), "links")
+    texts = (_likely(docs.select("doc_id", "text"), firsts)
+             .join(wanted, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi"))
+    sets = written(texts.mapInArrow(whole, "class long, size long, sketch binary, elements binary"), "sets")
+    if sets.select("class").distinct().count() < sets.count():  # rows share a doc_id: one set of each class is enough
+        sets = written(sets.dropDuplicates(["class"]), "sets")
+
+    hubs = members.join(met, "class").groupBy("g").agg(F.max_by("class", F.struct("meets", "class")).alias("hub"))
+    star = written(members.join(written(hubs, "hubs"), "g").where("class <> hub").select("hub", "class").distinct(), "star")
+    pairs = star.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
+    links = written(_verified(pairs, sets, t), "links")
     roots = written(components(links), "roots")
 
-    # what the stars left open: pairs of a group whose classes are not connected yet
-    tagged = (groups.where(F.size("members") > 2).select(F.xxhash64("members").alias("g"), F.posexplode("members").alias("place", "class"))
-              .join(roots, F.col("class") == F.col("node"), "left")
-              .select("g", "place", "class", F.coalesce("root", "class").alias("root")))
-    tagged = written(tagged, "tagged")
-    open_groups = tagged.groupBy("g").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("g")
-    rest = written(tagged.join(written(open_groups, "open"), "g").where("place > 0"), "rest")
-    other = rest.select("g", F.col("class").alias("v"), F.col("root").alias("rv"))
-    more = (rest.select("g", F.col("class").alias("u"), F.col("root").alias("ru")).join(other, "g")
-            .where("u < v and ru <> rv").select("u", "v").distinct())
-    late = written(_verified(more, sets, t), "links")
+    # what the stars left open: pairs that met the same hub and are not connected yet
+    tagged = written(star.join(roots, F.col("class") == F.col("node"), "left").select("hub", "class", F.coalesce("root", "class").alias("root")), "tagged")
+    live = written(tagged.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
+                   .where("a <> b").select("hub", "n"), "live")
+    rest = tagged.join(live, "hub").join(sets.select("class", "size", "sketch"), "class").select("hub", "n", "class", "root", "size", "sketch")
+    late = written(_verified(_open_pairs(rest, t, partitions, block), sets, t), "links")
     linked = written(components(links.union(late)), "roots") if late.head(1) else roots
 
     label = (classes.join(linked, F.col("class") == F.col("node"), "left")
@@ -458,7 +562,14 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, doc
 
 
 def representatives(docs: DataFrame, **params) -> DataFrame:
-    """The documents that are the first (smallest doc_id) of their component, all columns kept."""
-    first = similar_sets(docs, **params).where("doc_id <=> component").select("doc_id").distinct()
-    first = written(first, "kept").withColumnRenamed("doc_id", "__first")
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi").dropDuplicates(["doc_id"])
+    """The documents that are the first (smallest doc_id) of their component, all columns kept; one row of each doc_id."""
+    first = F.col("doc_id").eqNullSafe(F.col("component"))
+    by_id = similar_sets(docs, **params).groupBy(F.col("doc_id")).agg(F.count(F.lit(1)).alias("n"), F.bool_or(first).alias("__keep"))
+    # most documents stay as they are; only removed and repeated ones are looked up
+    special = written(by_id.where("n > 1 or not __keep").select("doc_id", "__keep"), "special")
+    known = special.withColumnRenamed("doc_id", "__id")
+    looked_up = (_likely(docs, special).join(known, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+                 .where("__keep is null or __keep").drop("__id"))
+    repeated = looked_up.where("__keep").dropDuplicates(["doc_id"])
+    return (_likely(docs, special, "left_anti").unionByName(looked_up.where("__keep is null").drop("__keep"))
+            .unionByName(repeated.drop("__keep")))
