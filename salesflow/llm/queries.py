@@ -35,7 +35,7 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("items")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,5 +72,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op1_fingerprints, op2_packing, op3_ngram_join, op4_decontamination, op5_language, op6_html_text, op7_pii, op8_quality,
     op9_licenses, op10_sharding)}
 
-#: hashes, tokenizers, trees and message passing have no SQL; tests/llm hold brute-force versions
-ORACLE_SQL: dict[str, str] = {}
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP3_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[j:j + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS j FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+e AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.v, r.c FROM r JOIN e ON e.u = r.doc_id AND r.c < e.v)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id"""
+
+_OP4_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[j:j + k - 1], ' ') AS win
+       FROM (SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j FROM b WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT doc_id, k, j, array_to_string(w[j:j + k - 1], ' ') AS win
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS j FROM d, ks WHERE len(w) >= k)),
+hit AS (SELECT doc_id, item, j, dw.k FROM dw JOIN bw USING (k, win)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(j, j + k)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+#: the other queries' hashes, tokenizers, trees and message passing have no SQL; tests/llm hold brute-force versions
+ORACLE_SQL: dict[str, str] = {"op3_ngram_join": _OP3_SQL, "op4_decontamination": _OP4_SQL}

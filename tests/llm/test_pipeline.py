@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from salesflow.llm import pii, quality
-from salesflow.llm.queries import QUERIES, vocabulary_path
+from salesflow.llm.queries import ORACLE_SQL, QUERIES, vocabulary_path
 
 from .test_ngram_join import brute as brute_components
 from .test_suffixes import brute as brute_hits
@@ -94,9 +94,20 @@ def test_stages_keep_the_columns(spark, no_docs):
         assert stage(spark, no_docs, SF).count() == 0, name
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    want = con.execute(ORACLE_SQL[name]).df()
+    got = QUERIES[name](spark, SF).toPandas()[list(want.columns)]
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist()))
+
+
 def test_query_columns(spark, documents):
     out = QUERIES["op4_decontamination"](spark, SF).toPandas()
-    assert list(out.columns)[:6] == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert list(out.columns) == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").toPandas()
     want = brute_hits(list(zip(documents["doc_id"], documents["text"])), list(zip(bench["item_id"], bench["text"])))
     for r in out.itertuples():
