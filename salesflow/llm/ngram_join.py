@@ -253,7 +253,7 @@ def profile(docs: DataFrame, n: int, cells: int) -> DataFrame:
         counts = np.zeros(cells, np.uint8)
         seen = False
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text"):
                 values, sizes = shingles(part.column("text"), n)
                 at, more = np.unique(values >> U(64 - bits), return_counts=True)
                 at = at.astype(np.int64)
@@ -319,7 +319,7 @@ def candidate_groups(docs: DataFrame, common: np.ndarray, n: int, t: Threshold,
                      pa.array([cls[x:y].tobytes() for x, y in zip(b, e, strict=True)], pa.binary())], ["bucket", "sigs", "classes"])
 
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text"):
                 values, sizes = shingles(part.column("text"), n)
                 ids = class_ids(values, sizes)
                 keep = np.zeros(len(ids), bool)
@@ -331,7 +331,7 @@ def candidate_groups(docs: DataFrame, common: np.ndarray, n: int, t: Threshold,
                 sig, row = signatures(values, sizes, sketch.value, t)
                 held.append((sig, ids[row]))
                 size += len(sig)
-                if size >= 2_000_000:
+                if size >= 1_000_000:
                     yield from flush()
                     held, size = [], 0
         if size:
@@ -425,10 +425,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
                 keep[i] = t.den * shared >= t.num * (len(both) - shared)
             yield batch.filter(pa.array(keep)).select(["u", "v"])
 
-    side = lambda key, value, *more: sets.select(F.col("class").alias(key), *more, F.col(value).alias("a" if key == "u" else "b"))
-    small = (pairs.join(side("u", "sketch", F.col("size").alias("na")), "u").join(side("v", "sketch", F.col("size").alias("nb")), "v")
+    side = lambda key, of, value, *more: of.select(F.col("class").alias(key), *more, F.col(value).alias("a" if key == "u" else "b"))
+    close = (pairs.join(side("u", sets, "sketch", F.col("size").alias("na")), "u").join(side("v", sets, "sketch", F.col("size").alias("nb")), "v")
              .select("u", "v", "na", "nb", "a", "b").mapInArrow(near, "u long, v long"))
-    return (small.join(side("u", "elements"), "u").join(side("v", "elements"), "v").select("u", "v", "a", "b")
+    close = written(close, "close")
+    # few hubs stand in many pairs: only the sets that are needed on either side travel
+    need = lambda key: sets.join(written(close.select(F.col(key).alias("class")).distinct(), "need"), "class", "left_semi")
+    return (close.join(side("u", need("u"), "elements"), "u").join(side("v", need("v"), "elements"), "v").select("u", "v", "a", "b")
             .mapInArrow(run, "u long, v long"))
 
 
@@ -520,7 +523,7 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, doc
     # whole sets of the classes that meet anywhere, taken from each class's first document
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 2 << 20):
+            for part in text_slices(batch, "text"):
                 values, sizes = shingles(part.column("text"), n)
                 end = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
@@ -540,8 +543,7 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, doc
 
     hubs = members.join(met, "class").groupBy("g").agg(F.max_by("class", F.struct("meets", "class")).alias("hub"))
     star = written(members.join(written(hubs, "hubs"), "g").where("class <> hub").select("hub", "class").distinct(), "star")
-    pairs = star.select(F.least("class", "hub").alias("u"), F.greatest("class", "hub").alias("v")).distinct()
-    links = written(_verified(pairs, sets, t), "links")
+    links = written(_verified(star.select(F.col("hub").alias("u"), F.col("class").alias("v")), sets, t), "links")
     roots = written(components(links), "roots")
 
     # what the stars left open: pairs that met the same hub and are not connected yet
