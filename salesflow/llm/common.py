@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,11 +24,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``max_bytes`` of text (one row at least).
 
     Arrow batches are counted in rows; long documents would otherwise make the
-    numpy work arrays of a batch as large as the documents are long.
+    numpy work arrays of a batch as large as the documents are long. Those arrays
+    are returned to the system after the batch.
     """
     n, start, size = batch.num_rows, 0, 0
     lengths = pc.binary_length(batch.column(column)).to_pylist()
@@ -38,3 +48,4 @@ def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) ->
             start, size = i + 1, 0
     if start < n:
         yield batch.slice(start)
+    give_back()

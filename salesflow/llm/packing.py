@@ -43,7 +43,7 @@ class WordTokenizer:
     """ids of texts by words; ``tokens(text)`` is little-endian 16-bit ids."""
 
     #: words kept in each of the two generations of the cache
-    KEEP = 300_000
+    KEEP = 150_000
     # letters and ASCII that normalising only lower-cases (no composition, no special casing)
     SIMPLE = re.compile("[!-~ªµºÀ-ÖØ-öø-ÿ]+")
     # the vocabulary's word pattern over those characters
