@@ -92,7 +92,6 @@ def test_zscore_outliers_population_std(spark):
 
 
 def test_label_encoder_large_domain_uses_code_table(spark, monkeypatch):
-    monkeypatch.setattr(P, "MAX_LITERAL_LEVELS", 3)
     df = spark.createDataFrame([(f"v{i:02d}",) for i in range(10)] + [(None,)], "r string")
     enc = P.fit_encoder(df, ["r"], "label")
     assert "r" in enc.tables and not enc.classes
