@@ -40,11 +40,14 @@ def check_performance(df: DataFrame, baseline: DataFrame, actual: str, predicted
     """Per (group, metric): current, baseline, degradation_pct, is_degraded, degradation_detected.
 
     ``as_of`` defaults to the newest timestamp. Without a ``ts`` column the last
-    ``window_days * 100`` rows in ``order`` count. A baseline with the ``by`` columns
+    ``window_days * 100`` rows in ``order`` count (all rows without an order). A baseline with the ``by`` columns
     holds one value for each group.
     """
     by = list(by)
-    cur = recent(df, ts, as_of, window_days) if ts in df.columns else recent_rows(df, order, window_days)
+    if ts in df.columns:
+        cur = recent(df, ts, as_of, window_days)
+    else:
+        cur = recent_rows(df, order, window_days) if order else df
     m = cur.groupBy(*by).agg(*metric_exprs(actual, predicted))
     long = m.unpivot(by + ["n"], list(METRICS), "metric", "current").withColumnRenamed("n", "sample_size")
     j = null_safe_join(long, baseline, [b for b in by if b in baseline.columns] + ["metric"])
