@@ -4,8 +4,9 @@ Tags are read into an open-element stack with implied tags (a new list item, tab
 row, cell, option, definition or block closes what it must; end tags close what they
 match, unmatched ones are ignored; a missing body is no matter). Invisible subtrees
 are skipped: head matter, scripts, styles, templates, form controls without text,
-``hidden``, ``display: none`` and ``visibility: hidden``. What remains is emitted in
-order: blocks start lines and paragraphs-like blocks leave one blank line, ``br``
+elements with the attribute ``hidden`` or a style that ends up as ``display: none`` or
+``visibility: hidden``. Of a drop-down the option that it shows is emitted, of a list box
+all that are not hidden. What remains is emitted in order: blocks start lines and paragraphs-like blocks leave one blank line, ``br``
 breaks, ``pre`` keeps its white space, lists are indented with bullets or numbers,
 and the cells of a table are padded to common column widths.
 
@@ -30,7 +31,7 @@ from salesflow.llm.common import text_slices
 
 # fixed values: kinds of HTML elements
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style template noscript iframe object svg math canvas audio video select datalist textarea".split())
+HIDDEN = frozenset("head title script style template noscript iframe object svg math canvas audio video datalist textarea".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCK = SPACED | frozenset("address article aside body center dd details dialog div dt fieldset figcaption footer form header hgroup html "
@@ -39,18 +40,52 @@ BLOCK = SPACED | frozenset("address article aside body center dd details dialog
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "tbody": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "thead": ({"tbody", "thead", "tfoot", "caption"}, {"table"}),
-          "tfoot": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select"}),
+          "tfoot": ({"tbody", "thead", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}),
           "body": ({"head"}, set())}
 _SCOPE = frozenset("table td th caption button template".split())
 
 _MARKUP = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<other>[!?][^>]*)(?:>|\Z)|/(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
                      r"|(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))", re.S)
-_INVISIBLE = re.compile(r"(?:^|[\s\"'/])hidden(?=[\s=/]|$)|style\s*=\s*(?:\"[^\"]*|'[^']*|[^\s]*)(?:display\s*:\s*none|visibility\s*:\s*hidden)"
-                        r"|type\s*=\s*[\"']?hidden", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/=>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]*)))?")
+_MAY_HIDE = re.compile("hidden|style", re.I)
+_CSS_NOISE = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*\"|'[^']*'|\([^)]*\)", re.S)
 _START = re.compile(r"start\s*=\s*[\"']?(-?\d{1,9})", re.I)
 _WHITE = re.compile(r"[ \t\n\r\f]+")
 
 
+def _attributes(attrs: str) -> dict[str, str]:
+    """Values by lower-case name; the first of equal names counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attrs):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def _invisible(attrs: str) -> bool:
+    if not _MAY_HIDE.search(attrs):
+        return False
+    held = _attributes(attrs)
+    if "hidden" in held:
+        return True
+    # the last declaration of a property counts, an important one before others
+    style: dict[str, tuple[bool, str]] = {}
+    for declaration in _CSS_NOISE.sub(" ", held.get("style", "")).lower().split(";"):
+        name, _, value = declaration.partition(":")
+        value, _, important = (x.strip() for x in value.partition("!"))
+        if value and (important == "important") >= style.get(name.strip(), (False, ""))[0]:
+            style[name.strip()] = (important == "important", value)
+    return style.get("display", (False, ""))[1] == "none" or style.get("visibility", (False, ""))[1] == "hidden"
+
+
+def _shown(options: list[tuple[dict[str, str], bool, bool, str]], held: dict[str, str]) -> list[str]:
+    """Texts that a select with attributes ``held`` shows; options: (attributes, disabled, invisible, text)."""
+    rows = held.get("size", "").strip()
+    if "multiple" in held or rows.isdecimal() and int(rows) > 1:
+        return [text for _, _, invisible, text in options if not invisible]
+    chosen = [o for o in options if "selected" in o[0]][-1:] or [o for o in options if not o[1]][:1]
+    return [o[3] for o in chosen]
+
+
 class _Box:
     """Text under way: finished lines, the open line, and how many line ends are owed before more text."""
 
@@ -141,6 +176,7 @@ def render(page: str) -> str:
     pre = 0
     lists: list[list] = []    # [ordered, next number]
     tables: list[tuple] = []  # (outer box, rows, outer state of pre)
+    selects: list[tuple] = []  # (outer box, attributes, options)
 
     def close_top() -> None:
         nonlocal box, hidden, pre
@@ -165,6 +201,21 @@ def render(page: str) -> str:
         elif kind == "cell":
             tables[-1][1][-1].append(box.done())
             box = saved
+        elif kind == "option":
+            box, held, disabled, invisible, inner = (*saved, box)
+            text = held.get("label", "").strip() or " ".join(" ".join(inner.done()).split())
+            selects[-1][2].append((held, disabled, invisible, text))
+        elif kind == "select":
+            outer, held, options = selects.pop()
+            box = outer
+            into = tables[-1][0] if tables and box is tables[-1][2] else box
+            shown = [text for text in _shown(options, held) if text]
+            for text in shown:
+                if len(shown) > 1:
+                    into.end_line(False)
+                into.inline(f" {text} ")
+            if len(shown) > 1:
+                into.end_line(False)
         elif kind == "table":
             outer, rows, _ = tables.pop()
             box.end_line(False)
@@ -229,17 +280,29 @@ def render(page: str) -> str:
         if name in BLOCK and name not in CLOSES:
             close_to({"p"}, _SCOPE)
         if name in VOID:
-            if not hidden and not (attrs and _INVISIBLE.search(attrs)):
+            if not hidden and not (attrs and _invisible(attrs)):
                 if name == "br":
                     box.break_line()
                 elif name == "hr":
                     box.end_line(True)
             continue
-        if hidden or name in HIDDEN or attrs and _INVISIBLE.search(attrs):
+        if name == "option" and not hidden and any(s[1] == "select" for s in stack):
+            # a drop-down shows its chosen option even if that one is hidden in the open list
+            held = _attributes(attrs)
+            disabled = "disabled" in held or any(s[1] == "optgroup" and s[2] for s in stack)
+            stack.append((name, "option", (box, held, disabled, bool(attrs) and _invisible(attrs))))
+            box = _Box()
+        elif hidden or name in HIDDEN or attrs and _invisible(attrs):
             if attrs.endswith("/") and name in ("svg", "math", "iframe"):
                 continue
             stack.append((name, "hidden", None))
             hidden += 1
+        elif name == "select":
+            selects.append((box, _attributes(attrs), []))
+            stack.append((name, "select", None))
+            box = _Box()
+        elif name == "optgroup":
+            stack.append((name, "optgroup", "disabled" in _attributes(attrs)))
         elif name in ("td", "th"):
             if not tables:
                 box.end_line(False)

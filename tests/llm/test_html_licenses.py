@@ -25,6 +25,19 @@ def test_rendering(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div title=\"the hidden door\">a</div><p data-label='show hidden files'>b<a href=/hidden/valley>c</a><i class=\"md:block hidden lg:flex\">d</i>", "a\n\nbcd"),
+    ("<p title=\"style='display:none'\" data-style=\"display:none\">a<b alt='x type=hidden'>b</b>", "ab"), ("<p style='background:url(\"a;display:none\")'>a", "a"),
+    ("<p style='display:none;display:block'>a", "a"), ("<p style='display:none!important;display:block'>no", ""), ("<p style='--display:none'>a", "a"),
+    ("<p HIDDEN=''>no<p a=1 hidden/>no<p style=display:none>no<p class=x STYLE=\"Visibility: Hidden\">no<p>a", "a"),
+    ("Size <select name=s><option>S<option selected>M<option>L</select>left", "Size M left"), ("<select><option disabled>no<option>a<option>no</select>", "a"),
+    ("<select><optgroup disabled><option>no</optgroup><optgroup><option label='A'>b</select>c", "A c"), ("<select><option selected hidden>Choose<option>no</select>", "Choose"),
+    ("<select multiple><option>a<option hidden>no<option>b</select>c", "a\nb\nc"), ("<p hidden><select><option>no</select>no</p>a", "a"),
+    ("<table><tr><td><select><option>a<td>b</table>", "a  b"), ("<div><select><option>a</div>b", "a\nb"), ("<datalist><option>no</datalist>a", "a")])
+def test_only_the_attributes_themselves_hide(page, text):
+    assert html_text.render(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 50_000 + "x" + "</div>" * 50_000) == "x"
     assert html_text.render("<b>" * 20_000 + "x") == "x"
