@@ -2,7 +2,8 @@
 
 Tags are read into an open-element stack with implied tags (a new list item, table
 row, cell, option, definition or block closes what it must; end tags close what they
-match, unmatched ones are ignored; a missing body is no matter). Invisible subtrees
+match, unmatched ones are ignored; an open head ends at the first tag or text that cannot
+stand in it, so a missing body is no matter). Invisible subtrees
 are skipped: head matter, scripts, styles, templates, form controls without text,
 elements with the attribute ``hidden`` or a style that ends up as ``display: none`` or
 ``visibility: hidden``. Of a drop-down the option that it shows is emitted, of a list box
@@ -32,6 +33,7 @@ from salesflow.llm.common import text_slices
 # fixed values: kinds of HTML elements
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("head title script style template noscript iframe object svg math canvas audio video datalist textarea".split())
+HEAD = frozenset("base link meta title style script noscript template".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCK = SPACED | frozenset("address article aside body center dd details dialog div dt fieldset figcaption footer form header hgroup html "
@@ -242,6 +244,8 @@ def render(page: str) -> str:
     while at < size:
         m = _MARKUP.search(page, at)
         text = page[at:m.start() if m else size]
+        if hidden and stack[-1][0] == "head" and text.strip(" \t\n\r\f"):
+            close_top()
         if text and not hidden:
             text = html.unescape(text) if "&" in text else text
             if tables and box is tables[-1][2]:
@@ -275,6 +279,11 @@ def render(page: str) -> str:
         if not name:
             continue
         name, attrs = name.lower(), m["attrs"]
+        if hidden and stack[-1][0] == "head":
+            if name in ("head", "html"):
+                continue
+            if name not in HEAD:
+                close_top()
         if name in CLOSES:
             close_to(*CLOSES[name])
         if name in BLOCK and name not in CLOSES:

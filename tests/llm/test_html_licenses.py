@@ -38,6 +38,15 @@ def test_only_the_attributes_themselves_hide(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><h1>A</h1><p>text", "A\n\ntext"), ("<head><meta charset=x><link rel=y><base href=z>\n <style>p{}</style>text", "text"),
+    ("<head><html lang=en><head><script>no</script><noscript>no</noscript><template><p>no</p>no</template><p>a", "a"),
+    ("<head><title>no</title><br>a<title>no</title>", "a"), ("<head>\n<!-- no --><title>no</title>\n</head>\n<p>a", "a"), ("a<head>b", "ab"),
+    ("<head><title>no</title><body hidden>no", ""), ("<head><title>no", "")])
+def test_an_open_head_ends_where_the_body_begins(page, text):
+    assert html_text.render(page) == text
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 50_000 + "x" + "</div>" * 50_000) == "x"
     assert html_text.render("<b>" * 20_000 + "x") == "x"
