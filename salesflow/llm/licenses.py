@@ -10,6 +10,14 @@ accepted: the one that ``leak`` of the held-out unknown paragraphs pass, 0.5 at
 family is reported only if one of its templates confirms it: ``confirm`` of the
 template's bigrams, in the paragraph.
 
+A notice may run over line ends. Within lines that follow each other without one that
+has no word (comment marks are no words), the stretch of words that holds most bigrams
+of a template, less ``GAP`` for each other place in it, is a notice if it lies on more
+than one line, the template confirms it, and the classifier gives its words the
+template's family. It spans all its lines, and stands for the notices of its family that
+one of these lines holds alone if it has more bigrams than they; overlapping ones of a
+family are one.
+
 Lines without any template word are unknown without further work (their features
 are those of the emptiest unknown paragraph); all others are scored.
 
@@ -62,6 +70,7 @@ TEMPLATES = {
         "This work is in the public domain.", "Released under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright."],
 }
 FAMILIES = ["unknown", *sorted(TEMPLATES)]
+GAP = 0.2
 _PAIR = mix(np.arange(31, 33, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -101,6 +110,76 @@ class Scanner:
         return max((len(t & have) / len(t) for f, t in self.templates if f == family), default=0.0)
 
 
+    def matched(self, family: int, h: np.ndarray) -> int:
+        """The most bigrams that the paragraph shares with a template of the family that confirms it."""
+        have = {*h.tolist(), *_bigrams(h).tolist()}
+        return max((len(t & have) for f, t in self.templates if f == family and len(t & have) >= self.confirm * len(t)), default=0)
+
+    def stretches(self, h: np.ndarray, line: np.ndarray, row: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(first word, last word, family, bigrams) of the stretches over several lines that a template confirms."""
+        if len(h) < 2:
+            return []
+        pairs = np.unique(np.array([x for _, t in self.templates for x in t], np.uint64))
+        member = np.array([np.isin(pairs, np.array([*t], np.uint64)) for _, t in self.templates]).T
+        joined = (row[1:] == row[:-1]) & (line[1:] - line[:-1] <= 1)
+        b = _bigrams(h)
+        at = np.searchsorted(pairs, b)
+        at[at == len(pairs)] = 0
+        k = np.flatnonzero((pairs[at] == b) & joined)
+        kind, paragraph = at[k], np.r_[0, np.cumsum(~joined)][k]
+        # paragraphs with enough different bigrams of a template anywhere
+        key = np.unique(paragraph * len(pairs) + kind)
+        some, of = np.unique(key // len(pairs), return_inverse=True)
+        held = np.zeros((len(some), member.shape[1]), np.int64)
+        np.add.at(held, of, member[key % len(pairs)])
+        out = []
+        for i, j in zip(*np.nonzero(held >= self.confirm * member.sum(0)), strict=True):
+            a, z = np.searchsorted(paragraph, [some[i], some[i] + 1])
+            on = member[kind[a:z], j]
+            family, template = self.templates[j]
+            for first, last, n in _segments(k[a:z][on].tolist(), kind[a:z][on].tolist(), self.confirm * len(template)):
+                if line[first] != line[last + 1]:
+                    out.append((first, last + 1, family, n))
+        return out
+
+    def wrapped(self, h: np.ndarray, line: np.ndarray, row: np.ndarray) -> list[tuple[int, int, int, float, float, int]]:
+        """(first line, last line, family, probability, template share, bigrams) of the notices over several lines."""
+        out = []
+        for first, last, family, n in self.stretches(h, line, row):
+            core = h[first:last + 1]
+            p = self.score(core, np.zeros(len(core), np.int64), 1)[0]
+            if p[1:].argmax() + 1 == family and p[family] > self.least:
+                out.append((int(line[first]), int(line[last]), family, float(p[family]), self.confirmed(family, core), n))
+        return out
+
+
+def _segments(at: list[int], kind: list[int], least: float) -> list[tuple[int, int, int]]:
+    """(first place, last place, kinds) of the best stretches, apart from each other, with ``least`` kinds.
+
+    ``at``: ascending places with a bigram of the template, ``kind``: which one.
+    """
+    found = []
+    for i in range(len(at)):
+        seen: set[int] = set()
+        best = (0.0, 0, 0)
+        for j in range(i, len(at)):
+            places = at[j] - at[i] + 1
+            if len(seen) + 1 <= GAP * (places - len(seen) - 1):
+                break
+            if kind[j] not in seen:
+                seen.add(kind[j])
+                worth = len(seen) - GAP * (places - len(seen))
+                if worth > best[0]:
+                    best = (worth, j, len(seen))
+        if best[2] >= least:
+            found.append((best[0], at[i], at[best[1]], best[2]))
+    out: list[tuple[int, int, int]] = []
+    for _, a, b, n in sorted(found, key=lambda x: (-x[0], x[1])):
+        if all(b < c or a > d for c, d, _ in out):
+            out.append((a, b, n))
+    return sorted(out)
+
+
 def _known(vocabulary: np.ndarray, h: np.ndarray) -> np.ndarray:
     at = np.searchsorted(vocabulary, h)
     at[at == len(vocabulary)] = 0
@@ -137,11 +216,16 @@ def train(docs: DataFrame, sample_docs: int = 500, confirm: float = 0.6, leak: f
     total = docs.count()
     u = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.lit("licence")), 11) / F.lit(float(1 << 53))
     lines = (docs.where(u < F.lit(min(1.0, sample_docs / max(total, 1))))
-             .select(F.slice(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), 1, 8).alias("p"))
-             .select(F.explode("p").alias("p")))
+             .select(F.slice(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), 1, 8).alias("p")))
     rng = np.random.default_rng(seed)
     unknown = []
-    for row in sorted(r["p"] for r in lines.collect()):
+    everyday_lines = []
+    for some in (r["p"] for r in lines.collect() if r["p"]):
+        hashes = [_hashes(x) for x in some]
+        of = np.repeat(np.arange(len(some)), [len(h) for h in hashes])
+        notice = {x for a, b, *_ in blank.stretches(np.concatenate(hashes), of, np.zeros(len(of))) for x in range(of[a], of[b] + 1)}
+        everyday_lines += [x for i, x in enumerate(some) if i not in notice]
+    for row in sorted(everyday_lines):
         h = _hashes(row)
         have = {*h.tolist(), *_bigrams(h).tolist()}
         if len(h) and all(len(t & have) < confirm * len(t) for _, t in shapes):
@@ -184,6 +268,22 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
+def _merged(single: list[tuple], wrapped: list[tuple]) -> list[tuple]:
+    """Notices of one line and of several, by place; those of a family that overlap are one."""
+    wide: list[list] = []
+    for x in sorted(wrapped):
+        inside = [y for y in single if y[2] == x[2] and x[0] <= y[0] <= x[1]]
+        if any(y[5] >= x[5] for y in inside):
+            continue
+        same = next((y for y in wide if y[2] == x[2] and y[1] >= x[0]), None)
+        if same:
+            same[1] = max(same[1], x[1])
+            same[3:] = max(same[3:], list(x[3:]))
+        else:
+            wide.append(list(x))
+    return sorted([tuple(x) for x in wide] + [y for y in single if not any(x[2] == y[2] and x[0] <= y[0] <= x[1] for x in wide)])
+
+
 def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
     """doc_id, licence (family or null), its probability and template share, number of notices, spans (family:start:end)."""
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
@@ -202,6 +302,7 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
                 line = np.searchsorted(cuts, w.start, "right") - 1
                 found: list[list] = [[] for _ in range(n)]
                 if len(line):
+                    notices = []  # first line, last line, family, probability, share, bigrams
                     # only lines with a template word are scored
                     with_known = np.unique(line[_known(s.vocabulary, w.hash)])
                     pick = np.isin(line, with_known)
@@ -210,16 +311,19 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
                     p = s.score(h, of, len(with_known))
                     best = p[:, 1:].argmax(1) + 1 if len(p) else np.zeros(0, np.int64)
                     for i in np.flatnonzero((p[np.arange(len(p)), best] > s.least) & (best != 0)):
-                        share = s.confirmed(best[i], h[first[i]:first[i + 1]])
-                        if share < s.confirm:
-                            continue
-                        a = int(cuts[with_known[i]])
+                        one = h[first[i]:first[i + 1]]
+                        share = s.confirmed(best[i], one)
+                        if share >= s.confirm:
+                            at = int(with_known[i])
+                            notices.append((at, at, int(best[i]), float(p[i, best[i]]), share, s.matched(best[i], one)))
+                    for i, j, family, prob, share, _ in _merged(notices, s.wrapped(w.hash, line, w.doc)):
+                        a = int(cuts[i])
                         row = int(np.searchsorted(offsets, a, "right") - 1)
-                        b = int(min(cuts[with_known[i] + 1] if with_known[i] + 1 < len(cuts) else len(data), offsets[row + 1]))
+                        b = int(min(cuts[j + 1] if j + 1 < len(cuts) else len(data), offsets[row + 1]))
                         if b > a and data[b - 1] == 10:
                             b -= 1
                         start = len(data[offsets[row]:a].tobytes().decode())
-                        found[row].append((FAMILIES[best[i]], start, start + len(data[a:b].tobytes().decode()), float(p[i, best[i]]), share))
+                        found[row].append((FAMILIES[family], start, start + len(data[a:b].tobytes().decode()), prob, share))
                 top = [max(f, key=lambda x: (x[3], -x[1])) if f else (None, 0, 0, 0.0, 0.0) for f in found]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([t[0] for t in top], pa.string()), pa.array([t[3] for t in top], pa.float64()),

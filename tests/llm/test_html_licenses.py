@@ -101,6 +101,36 @@ def test_families_are_found_and_other_paragraphs_are_unknown(noticed):
             assert r["spans"] == "" and r["n_notices"] == 0
 
 
+_GPL = ("    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n"
+        "    the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later version.")
+_BSD = ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:")
+_APACHE = ("Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License.")
+_CC = "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License."
+
+
+@pytest.mark.parametrize("family,notice,lines", [
+    ("gpl", _GPL, 2), ("bsd", _BSD, 3), ("apache", _APACHE, 2), ("cc-by-nc", _CC, 2), ("mit", "Released under\nthe MIT License.", 2),
+    ("gpl", re.sub("(?m)^ *", " * ", _GPL), 2), ("bsd", re.sub("(?m)^", "// ", _BSD), 3)])
+def test_notices_over_several_lines(spark, noticed, family, notice, lines):
+    df, _ = noticed
+    scanner = licenses.train(df)
+    texts = [f"{before}{notice}{after}" for before, after in (("", ""), ("é alpha beta gamma\n", "\ndelta of the eta"), ("alpha\n\n", "\n\nbeta"))]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), scanner).collect()
+    want = "\n".join(notice.split("\n")[:lines])
+    for r in rows:
+        assert (r["licence"], r["n_notices"]) == (family, 1), r
+        a, b = map(int, r["spans"].split(":")[1:])
+        assert texts[r["doc_id"]][a:b] == want
+
+
+def test_a_notice_ends_with_its_paragraph_and_document(spark, noticed):
+    df, _ = noticed
+    rows = [(1, "Permission is hereby granted, free of charge, to\n\nany person obtaining a copy of this software"), (2, "Released under"), (3, "the MIT License."),
+            (4, "Released under the MIT License.\nLicensed under CC BY 4.0.")]
+    out = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), licenses.train(df)).orderBy("doc_id").collect()
+    assert [r["spans"] for r in out if r["doc_id"] != 3] == ["", "", "mit:0:31,cc-by:32:57"]
+
+
 def test_license_edge_cases(spark, docs, no_docs, cluttered):
     scanner = licenses.train(docs)
     out = licenses.scan(cluttered, scanner).collect()
