@@ -33,7 +33,8 @@ group of near copies costs its size, not its square.
 
 Defined results: null texts and texts without words have size 0, are linked with
 nothing and are their own component; with fewer than ``n`` words the whole
-sequence is the one element; rows with equal doc_id are one document; a null
+sequence is the one element; rows with equal doc_id and equal sets are one document,
+rows that repeat a doc_id (or null) with other sets are decided each by its own; a null
 doc_id is a component label only if its component has no other; an empty table
 gives an empty table; extra columns are ignored (``representatives`` keeps them).
 """
@@ -48,6 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesflow.llm.common import text_slices, written
 from salesflow.llm.components import components
@@ -500,10 +502,16 @@ def _likely(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFra
                        how).drop("__at", "__one")
 
 
-def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, docs_per_bucket: int = 4096,
-                 cells: int | None = None, block: int = 2000) -> DataFrame:
-    """(doc_id, size, component) of every document: the smallest doc_id reachable by links.
+def similar_sets(docs: DataFrame, n: int = 5, **params) -> DataFrame:
+    """(doc_id, size, component) of every document: the smallest doc_id reachable by links (``params``: of ``_labelled``)."""
+    return _labelled(docs, n, **params).select("doc_id", "size", "component")
 
+
+def _labelled(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, docs_per_bucket: int = 4096,
+              cells: int | None = None, block: int = 2000) -> DataFrame:
+    """(doc_id, size, class, component, kept) of every document; ``kept``: it stands for its component.
+
+    Of a component that is the class with the smallest doc_id, and of its documents those with that doc_id.
     ``cells`` of the count sketch (a power of two; one byte each is broadcast)
     default to 16 for a document, between 2**16 and 2**26. ``block``: members of a
     group that one task compares.
@@ -557,21 +565,35 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, doc
     label = (classes.join(linked, F.col("class") == F.col("node"), "left")
              .select("class", "first", F.coalesce("root", "class").alias("root")))
     label = written(label, "labels")
-    smallest = written(label.groupBy("root").agg(F.min("first").alias("component")), "smallest")
-    by_class = written(label.join(smallest, "root").select("class", "component"), "components")
-    out = known.where("class is not null").join(by_class, "class", "left").select("doc_id", "size", "component")
-    return out.union(known.where("class is null").select("doc_id", "size", F.col("doc_id").alias("component")))
+    smallest = written(label.groupBy("root").agg(F.min("first").alias("component"), F.min_by(
+        "class", F.struct(F.col("first").isNull(), F.col("first"), F.col("class"))).alias("chosen")), "smallest")
+    by_class = written(label.join(smallest, "root").select("class", "component", (F.col("class") == F.col("chosen")).alias("chosen")), "components")
+    out = (known.where("class is not null").join(by_class, "class", "left")
+           .select("doc_id", "size", "class", "component", (F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("component"))).alias("kept")))
+    return out.union(known.where("class is null").select("doc_id", "size", "class", F.col("doc_id").alias("component"), F.lit(True).alias("kept")))
+
+
+def _with_class(docs: DataFrame, n: int) -> DataFrame:
+    """All columns and ``__class``, the class of the row's own text (null without words)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                values, sizes = shingles(part.column("text"), n)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(class_ids(values, sizes), mask=sizes == 0)], [*part.schema.names, "__class"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__class", T.LongType())]))
 
 
-def representatives(docs: DataFrame, **params) -> DataFrame:
-    """The documents that are the first (smallest doc_id) of their component, all columns kept; one row of each doc_id."""
-    first = F.col("doc_id").eqNullSafe(F.col("component"))
-    by_id = similar_sets(docs, **params).groupBy(F.col("doc_id")).agg(F.count(F.lit(1)).alias("n"), F.bool_or(first).alias("__keep"))
+def representatives(docs: DataFrame, n: int = 5, **params) -> DataFrame:
+    """The first document (smallest doc_id) of each component, all columns kept; one row of equal doc_id and equal set."""
+    by_row = _labelled(docs, n, **params).groupBy("doc_id", "class").agg(F.count(F.lit(1)).alias("n"), F.bool_or("kept").alias("__keep"))
     # most documents stay as they are; only removed and repeated ones are looked up
-    special = written(by_id.where("n > 1 or not __keep").select("doc_id", "__keep"), "special")
-    known = special.withColumnRenamed("doc_id", "__id")
-    looked_up = (_likely(docs, special).join(known, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-                 .where("__keep is null or __keep").drop("__id"))
-    repeated = looked_up.where("__keep").dropDuplicates(["doc_id"])
-    return (_likely(docs, special, "left_anti").unionByName(looked_up.where("__keep is null").drop("__keep"))
-            .unionByName(repeated.drop("__keep")))
+    special = written(by_row.where("n > 1 or not __keep").select("doc_id", "class", "__keep"), "special")
+    known = special.withColumnsRenamed({"doc_id": "__id", "class": "__of"})
+    looked_up = (_with_class(_likely(docs, special), n)
+                 .join(known, F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("__class").eqNullSafe(F.col("__of")), "left")
+                 .where("__keep is null or __keep").drop("__id", "__of"))
+    looked_up = written(looked_up, "looked_up")
+    repeated = looked_up.where("__keep").dropDuplicates(["doc_id", "__class"])
+    return (_likely(docs, special, "left_anti").unionByName(looked_up.where("__keep is null").drop("__keep", "__class"))
+            .unionByName(repeated.drop("__keep", "__class")))

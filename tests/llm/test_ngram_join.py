@@ -96,6 +96,23 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted(str(r["doc_id"]) for r in ngram_join.representatives(df).collect()) == ["1", "3", "None"]
 
 
+def test_rows_of_one_id_are_decided_by_their_own_text(spark):
+    a, b, c, d, e = (prose(50 + i, 200) for i in range(5))
+
+    def near(text):
+        return " ".join([*text.split(" ")[:-1], "changed"])
+
+    rows = [(None, a), (1, near(a)), (None, b), (None, b.upper()), (None, near(c)), (None, c), (2, d), (2, e), (2, e), (3, near(e)),
+            (None, None), (None, " "), (4, None), (5, a)]
+    kept = [tuple(r) for r in ngram_join.representatives(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    sure = [(1, near(a)), (2, d), (2, e), (4, None)]
+    assert len(kept) == len(sure) + 3 and all(kept.count(x) == 1 for x in sure)
+    null = [t for i, t in kept if i is None]
+    assert len({b, b.upper()} & {*null}) == 1 and len({c, near(c)} & {*null}) == 1 and len({None, " "} & {*null}) == 1
+    many = [(None, prose(1000 + i, 80)) for i in range(40)]
+    assert ngram_join.representatives(spark.createDataFrame(many, "doc_id long, text string")).count() == 40
+
+
 def test_no_similar_pair_lacks_a_signature():
     """Pigeonhole guarantee itself, over random pairs near the threshold at every size."""
     rng = np.random.default_rng(2)
