@@ -140,3 +140,16 @@ def consensus(spark, sf_dir):
     ft = FS.by_f_test(x, FEATS, TARGET, k).where(F.col("selected"))
     mi = FS.by_mutual_info(x, FEATS, TARGET, k).where(F.col("selected"))
     return FS.consensus({"correlation": corr, "statistical": ft, "mutual_info": mi}, k)
+
+
+@register("fs10_consensus_importance", None, ("FS10", "U3"))
+def consensus_importance(spark, sf_dir):
+    """The reference's default votes; ``fs10_consensus`` has mutual information for the forest, which SQL cannot fit."""
+    return consensus_by_default(_frame(spark, sf_dir), 4)
+
+
+def consensus_by_default(x, k: int, cols=FEATS, target: str = TARGET):
+    imp = FS.by_importance(x, cols, target, k, "random_forest").where(F.col("selected"))
+    corr = FS.by_correlation(x, cols, target, 0.05).where(F.col("selected") & (F.col("rank") <= k))
+    ft = FS.by_f_test(x, cols, target, k).where(F.col("selected"))
+    return FS.consensus({"importance": imp, "correlation": corr, "statistical": ft}, k)

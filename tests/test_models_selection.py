@@ -94,6 +94,22 @@ def test_consensus_votes_and_fallback(spark):
     assert sel == ["a", "b"]
 
 
+def test_default_consensus_votes_with_a_forest(spark):
+    from salesflow.plans.registry import REGISTRY
+    from salesflow.plans.selection_q import consensus_by_default
+    assert "fs10_consensus_importance" in REGISTRY
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(600, 4))
+    # a is linear, b acts by its square: no correlation, but a forest sees it
+    pdf = pd.DataFrame(x, columns=list("abcd")).assign(y=x[:, 0] + 4 * x[:, 1] ** 2)
+    r = pdf[list("abcd")].corrwith(pdf["y"]).abs().sort_values(ascending=False)
+    votes = {}
+    for name in [*r[r >= 0.05].index[:2], *r.index[:2], "a", "b"]:  # correlation, F-test (monotone in |r|), forest
+        votes[name] = votes.get(name, 0) + 1
+    out = consensus_by_default(spark.createDataFrame(pdf), 2, list("abcd"), "y").collect()
+    assert {q.feature: q.votes for q in out} == votes
+
+
 class _Doubler:
     def predict(self, x):
         return x["v"] * 2.0
