@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,11 +18,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go as soon as their job has ended, not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as a table in the shared folder and read it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut lineage: write ``df`` as a table in the shared folder and read it back.
+
+    The table stands for its shuffles, whose files are freed: a long job then takes the disk of
+    its largest step, not of all steps.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with freed_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that no later step reads."""
+    for t in tables:
+        path = t.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def give_back() -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import (
-    fingerprints, html_text, language, licenses, ngram_join, packing, pii, quality, sharding, suffixes,
+    fingerprints, html_text, language, licenses, ngram_join, packing, pii, quality, repeats, sharding, suffixes,
 )
 from salesflow.llm.common import table
 
@@ -68,9 +68,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_fingerprints, op2_packing, op3_ngram_join, op4_decontamination, op5_language, op6_html_text, op7_pii, op8_quality,
-    op9_licenses, op10_sharding)}
+    op9_licenses, op10_sharding, op13_repeats)}
 
 _FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -101,5 +106,19 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+_OP13_SQL = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS o, doc_id, hex(encode(coalesce(text, ''))) AS h,
+             octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT o, j, md5_number(substr(h, 2 * j + 1, 200)) AS k FROM (SELECT o, h, unnest(range(n - 99)) AS j FROM d WHERE n >= 100)),
+f AS (SELECT k, min(o * 4294967296 + j) AS first FROM w GROUP BY k),
+g AS (SELECT o, j, coalesce(j > lag(j) OVER (PARTITION BY o ORDER BY j) + 100, true) AS opens FROM w JOIN f USING (k) WHERE o * 4294967296 + j <> first),
+s AS (SELECT o, min(j) AS a, max(j) + 100 AS b
+      FROM (SELECT o, j, sum(opens::INT) OVER (PARTITION BY o ORDER BY j) AS run FROM g) GROUP BY o, run),
+p AS (SELECT o, a, b, coalesce(lag(b) OVER (PARTITION BY o ORDER BY a), 0) AS before FROM s),
+r AS (SELECT o, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS tail,
+        string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head FROM p JOIN d USING (o) GROUP BY o)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN tail IS NULL THEN h ELSE head || substr(h, 2 * tail + 1) END)) AS kept_sha256 FROM d LEFT JOIN r USING (o)"""
+
 #: the other queries' hashes, tokenizers, trees and message passing have no SQL; tests/llm hold brute-force versions
-ORACLE_SQL: dict[str, str] = {"op3_ngram_join": _OP3_SQL, "op4_decontamination": _OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_ngram_join": _OP3_SQL, "op4_decontamination": _OP4_SQL, "op13_repeats": _OP13_SQL}
