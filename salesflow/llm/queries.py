@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import (
-    fingerprints, html_text, language, licenses, ngram_join, packing, pii, quality, repeats, sharding, suffixes,
+    fingerprints, html_text, language, licenses, ngram_join, packing, pii, prefix_trie, quality, repeats, sharding, suffixes, turn_repair,
 )
 from salesflow.llm.common import table
 
@@ -68,6 +68,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -75,7 +83,7 @@ def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_fingerprints, op2_packing, op3_ngram_join, op4_decontamination, op5_language, op6_html_text, op7_pii, op8_quality,
-    op9_licenses, op10_sharding, op13_repeats)}
+    op9_licenses, op10_sharding, op11_turn_repair, op12_prefix_trie, op13_repeats)}
 
 _FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -106,6 +114,32 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+_OP12_SQL = """
+WITH RECURSIVE c AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL),
+bits(conv_id, s, p, r) AS (SELECT conv_id, s, 0, CAST(4294967295 AS BIGINT) FROM c UNION ALL
+  SELECT conv_id, s, p + 1, xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)
+  FROM (SELECT conv_id, s, p, CASE WHEN p % 8 = 0 THEN xor(r, ascii(substr(s, p // 8 + 1, 1))) ELSE r END AS x FROM bits WHERE p < 8 * length(s))),
+h AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(r, 4294967295) % 6 AS h FROM bits WHERE p = 8 * length(s)),
+o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations),
+t AS (SELECT h.conv_id, 0 AS part, i, role, text FROM h JOIN o ON o.conv_id = h.base AND i <= h
+      UNION ALL SELECT conv_id, 1, i, role, text FROM h JOIN o USING (conv_id) WHERE i > h),
+n AS (SELECT conv_id, row_number() OVER w AS d, length(text) AS chars,
+        md5(string_agg(md5(length(role) || ':' || role || text), '' ) OVER (PARTITION BY conv_id ORDER BY part, i ROWS UNBOUNDED PRECEDING)) AS k
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)),
+m AS (SELECT conv_id, d, chars, k FROM n UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+v AS (SELECT d, k, min(conv_id) AS owner, count(*) AS n_convs, any_value(chars) AS chars FROM m GROUP BY d, k),
+p AS (SELECT v.*, up.k AS pk, above.owner AS parent FROM v LEFT JOIN m up ON up.conv_id = v.owner AND up.d = v.d - 1
+      LEFT JOIN v above ON above.d = v.d - 1 AND above.k = up.k),
+ch AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM p WHERE d > 0 GROUP BY ALL),
+x AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM p LEFT JOIN ch USING (d, k)),
+tot AS (SELECT m.d, m.k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * x.chars) AS saved
+        FROM x JOIN m ON m.conv_id = x.owner AND m.d <= x.d GROUP BY m.d, m.k),
+e AS (SELECT d, k, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ids
+      FROM (SELECT conv_id, d, k FROM m QUALIFY d = max(d) OVER (PARTITION BY conv_id)) GROUP BY d, k)
+SELECT owner AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, coalesce(ids, sha256('')) AS ends_sha256 FROM x JOIN tot USING (d, k) LEFT JOIN e USING (d, k)"""
+
 _OP13_SQL = """
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST) AS o, doc_id, hex(encode(coalesce(text, ''))) AS h,
              octet_length(encode(coalesce(text, ''))) AS n FROM documents),
@@ -121,4 +155,4 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGI
   sha256(unhex(CASE WHEN tail IS NULL THEN h ELSE head || substr(h, 2 * tail + 1) END)) AS kept_sha256 FROM d LEFT JOIN r USING (o)"""
 
 #: the other queries' hashes, tokenizers, trees and message passing have no SQL; tests/llm hold brute-force versions
-ORACLE_SQL: dict[str, str] = {"op3_ngram_join": _OP3_SQL, "op4_decontamination": _OP4_SQL, "op13_repeats": _OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_ngram_join": _OP3_SQL, "op4_decontamination": _OP4_SQL, "op12_prefix_trie": _OP12_SQL, "op13_repeats": _OP13_SQL}
