@@ -15,12 +15,12 @@ stretch lie side by side, which is all that a merge scan needs.
 
 * Runs of equal name hold equal windows; all but the earliest repeat it and leave the family.
 * Runs of one gram with different stretches may share some windows (the ends of a long match).
-  Their stretches, read from the texts again, are compared byte for byte: a suffix array of all
-  of them, in which windows of equal first ``length`` bytes are neighbours.
+  Their stretches, read from the texts again, are compared: all their windows are sorted, and neighbours of one name
+  byte for byte.
 
-Partitions are ranges of (gram, stretch): a gram that a third of all documents hold is spread over many tasks. A gram at the
-edge of a partition counts as shared, and the earliest windows of an edge gram's parts are
-brought together, one row for each part. Copies are dropped inside each task before they are shuffled.
+Partitions of a level are ranges of (gram, stretch): a gram that a third of all documents hold is spread over many tasks. A gram at the
+edge of a partition counts as shared. Stretches of a gram with over ``TOGETHER`` of them are compared in parts, and the
+earliest windows of the parts brought together, one row for each part. Copies are dropped inside each task before they are shuffled.
 Nothing is collected but counts by partition.
 
 Defined results: a null or empty text has no bytes and loses none; documents are ordered by doc_id
@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import discard, text_slices, written
+from salesflow.llm.common import discard, give_back, text_slices, written
 from salesflow.llm.textbytes import mix, text_bytes
 
 LENGTH = 100
@@ -208,13 +208,13 @@ class SuffixFamily:
             count, table, at = self.levels.pop()
             size += count
             merged.append(table)
-        rows = suffixes(texts, self.length)
+        own = rows = written(suffixes(texts, self.length), "repeats-batch")  # one scan of the texts, though ranges are sampled
         for table in [*merged, *(t for _, t, _ in self.levels)]:
             rows = rows.unionByName(table)
         # entries of larger levels only show what is known already; theirs are the earlier ords
         kept = merge_scan(rows).where(F.col("ord") >= at)
         self.levels.append((size, written(kept, "repeats-level"), at))
-        discard(*merged)
+        discard(own, *merged)
 
     def entries(self) -> DataFrame:
         """All entries as one level."""
@@ -228,122 +228,117 @@ class SuffixFamily:
         return self.levels[0][1]
 
 
+#: stretches of one gram that are compared in one task; those of a commoner gram are dealt to several
+TOGETHER = 8192
+
+
 def _stretches(texts: DataFrame, entries: DataFrame, length: int) -> DataFrame:
-    """The bytes of every shared entry's stretch, read from its text."""
+    """(gram, part, ord, at, bytes): every shared entry's stretch, read from its text; ``part`` is -1 but for a split gram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 data, offsets = text_bytes(part.column("text"))
                 raw = data.tobytes()
-                spots = part.column("spots").combine_chunks() if isinstance(part.column("spots"), pa.ChunkedArray) else part.column("spots")
+                spots = part.column("spots")
                 inner = spots.flatten()
-                gram, at, n = (inner.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+                gram, piece, at, n = (inner.field(i).to_numpy(zero_copy_only=False) for i in range(4))
                 row = np.repeat(np.arange(len(spots)), spots.value_lengths().to_numpy())
-                low = (offsets[:-1][row] + at).tolist()
-                high = (offsets[:-1][row] + at + n + length - 1).tolist()
-                order = part.column("ord").to_numpy()[row]
+                low = offsets[:-1][row] + at
+                high = (low + n + length - 1).tolist()
+                low, order = low.tolist(), part.column("ord").to_numpy()[row]
                 for i in range(0, len(low), 1 << 13):
                     j = slice(i, i + (1 << 13))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(gram[j]), pa.array(order[j]), pa.array(at[j]),
-                         pa.array([raw[a:b] for a, b in zip(low[j], high[j], strict=True)], pa.binary())], ["gram", "ord", "at", "bytes"])
-
-    spots = entries.where("shared").groupBy("ord").agg(F.collect_list(F.struct("gram", "at", "n")).alias("spots"))
-    return texts.select("ord", "text").join(spots, "ord").mapInArrow(run, "gram long, ord long, at int, bytes binary")
-
-
-def equal_windows(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """A number for each window start of the buffer, equal for windows of equal bytes (ranks by prefix doubling)."""
-    n = len(data)
-    # ranks of the first 8 bytes, then of twice as many, up to the length; a last step overlaps
-    padded = np.zeros(n + 8, np.uint8)
-    padded[:n] = data
-    rank = np.zeros(n, np.uint64)
-    for i in range(8):
-        rank = (rank << np.uint64(8)) | padded[i:i + n]
-    rank = np.unique(rank, return_inverse=True)[1].astype(np.int64)
-    size = 8
-    while size < length:
-        step = min(size, length - size)
-        if size + step == length:
-            pair = rank[starts] * (n + 1) + rank[starts + step]
-            return np.unique(pair, return_inverse=True)[1]
-        after = np.zeros(n, np.int64)
-        after[:n - step] = rank[step:]
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1]
-        size += step
-    return rank[starts]
+                        [pa.array(gram[j]), pa.array(piece[j]), pa.array(order[j]), pa.array(at[j]),
+                         pa.array([raw[a:b] for a, b in zip(low[j], high[j], strict=True)], pa.binary())], names)
+
+    names = ["gram", "part", "ord", "at", "bytes"]
+    shared = entries.where("shared").select("gram", "stretch", "ord", "at", "n")
+    common = shared.groupBy("gram").agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > TOGETHER)
+    part = F.when(F.col("count").isNull(), -1).otherwise(F.pmod(F.xxhash64("stretch"), F.ceil(F.col("count") / TOGETHER))).cast("int")
+    spots = shared.join(common, "gram", "left").groupBy("ord").agg(F.collect_list(F.struct("gram", part.alias("part"), "at", "n")).alias("spots"))
+    return texts.select("ord", "text").join(spots, "ord").mapInArrow(run, "gram long, part int, ord long, at int, bytes binary")
+
+
+def equal_windows(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows' order by content (equal ones as given) and whether each equals, byte for byte, the one before it."""
+    with np.errstate(over="ignore"):
+        name = window_hashes(data, length)[starts]
+    by = np.argsort(name, kind="stable")
+    again = np.flatnonzero(name[by[1:]] == name[by[:-1]]) + 1
+    reach = np.arange(length)
+    for i in range(0, len(again), 1 << 14):
+        k = again[i:i + (1 << 14)]
+        if (data[starts[by[k]][:, None] + reach] != data[starts[by[k - 1]][:, None] + reach]).any():
+            # two contents of one name: order by the bytes themselves
+            rows = np.ascontiguousarray(data[starts[:, None] + reach]).view(f"V{length}").ravel()
+            name = np.unique(rows, return_inverse=True)[1]
+            by = np.argsort(name, kind="stable")
+            again = np.flatnonzero(name[by[1:]] == name[by[:-1]]) + 1
+            break
+    same = np.zeros(len(by), bool)
+    same[again] = True
+    return by, same
 
 
 def _repeated_windows(stretches: DataFrame, length: int) -> DataFrame:
     """(ord, at, n) of windows of shared entries that occur earlier, and (name, ord, at) of windows still open.
 
-    A gram whose stretches lie in one partition is settled there. Of an edge gram every partition settles its own windows and
-    hands on its earliest of each: those rows, one for each partition and window, are compared in a second step.
+    A gram of at most ``TOGETHER`` stretches is settled in one task. Of a commoner one each part settles its own windows and
+    hands on its earliest of each: those rows, one for each part and window, are compared in a second step.
     """
     names = ["ord", "at", "n", "low", "high"]
 
-    def settle(gram, order, at, blobs, open_gram):
+    def windows(order, at, n, low, high):
+        none = pa.nulls(len(order), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(order), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
+             none if low is None else pa.array(low.view(np.int64)), none if high is None else pa.array(high.view(np.int64))], names)
+
+    def settle(gram, part, order, at, blobs):
+        first_of = np.lexsort((at, order))
+        part, order, at, blobs = part[first_of], order[first_of], at[first_of], [blobs[i] for i in first_of.tolist()]
         data = np.frombuffer(b"".join(blobs), np.uint8)
         sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
         first, count = np.cumsum(sizes) - sizes, sizes - length + 1
         which = np.repeat(np.arange(len(blobs)), count)
         inside = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
         starts = first[which] + inside
-        same = equal_windows(data, starts, length)
-        o, a = order[which], at[which] + inside
-        # equal windows of one gram: equal bytes are filed under equal grams, so bytes decide
-        by = np.lexsort((a, o, same))
+        # windows of equal bytes are filed under equal grams, so bytes alone decide
+        by, again = equal_windows(data, starts, length)
         later = np.zeros(len(by), bool)
-        later[by[1:]] = same[by[1:]] == same[by[:-1]]
+        later[by] = again
         k = np.flatnonzero(later)
         if len(k):  # neighbouring windows of one entry as one row
-            new = np.r_[True, (which[k[1:]] != which[k[:-1]]) | (inside[k[1:]] != inside[k[:-1]] + 1)]
-            s = np.flatnonzero(new)
-            yield _windows(o[k[s]], a[k[s]], np.diff(np.r_[s, len(k)]), None, None)
-        k = np.flatnonzero(~later & np.isin(gram[which], open_gram))
+            new = np.flatnonzero(np.r_[True, (which[k[1:]] != which[k[:-1]]) | (inside[k[1:]] != inside[k[:-1]] + 1)])
+            s = k[new]
+            yield windows(order[which[s]], at[which[s]] + inside[s], np.diff(np.r_[new, len(k)]), None, None)
+        k = np.flatnonzero(~later & (part[which] >= 0))
         if len(k):
             with np.errstate(over="ignore"):
                 low, high = window_hashes(data, length)[starts[k]], mix(window_hashes(data[::-1], length)[::-1][starts[k]])
-            yield _windows(o[k], a[k], np.ones(len(k), np.int64), low, high)
-
-    def _windows(order, at, n, low, high):
-        none = pa.nulls(len(order), pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(order), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)),
-             none if low is None else pa.array(low.view(np.int64)), none if high is None else pa.array(high.view(np.int64))], names)
+            yield windows(order[which[k]], at[which[k]] + inside[k], np.ones(len(k), np.int64), low, high)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        split: set[int] = set()  # grams with parts elsewhere: in another partition, or settled here before
-
-        def joined():
-            return [np.concatenate([r[i] for r in held]) for i in range(3)] + [[b for r in held for b in r[3]]]
-
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = [*(batch.column(i).to_numpy() for i in range(3)), batch.column(3).to_pylist()]
-            if not held and not split:
-                split.add(int(cols[0][0]))
-            held.append(cols)
+            held.append([*(batch.column(i).to_numpy() for i in range(4)), batch.column(4).to_pylist()])
             size += batch.num_rows
-            if size < 1 << 14:
+            if size < 1 << 12:
                 continue
-            whole = joined()
-            gram = whole[0]
-            cut = int(np.searchsorted(gram, gram[-1]))  # the last gram may go on
-            if not cut:
-                split.add(int(gram[-1]))
-                cut = size
-            yield from settle(*(c[:cut] for c in whole), np.array([*split]))
-            held, size = ([[c[cut:] for c in whole]], size - cut) if cut < size else ([], 0)
-        if held:
-            whole = joined()
-            yield from settle(*whole, np.array([*split, whole[0][-1]]))
-
-    rows = stretches.withColumn("_h", F.xxhash64("bytes")).repartitionByRange("gram", "_h").sortWithinPartitions("gram").drop("_h")
+            whole = [np.concatenate([r[i] for r in held]) for i in range(4)] + [[b for r in held for b in r[4]]]
+            gram, part = whole[0], whole[1]
+            # the last group may go on; a group is a gram, or a part of one
+            cut = int(np.flatnonzero((gram != gram[-1]) | (part != part[-1]))[-1]) + 1 if (gram[0], part[0]) != (gram[-1], part[-1]) else 0
+            if cut:
+                yield from settle(*(c[:cut] for c in whole))
+            held, size = [[c[cut:] for c in whole]], size - cut
+        if size:
+            yield from settle(*(np.concatenate([r[i] for r in held]) for i in range(4)), [b for r in held for b in r[4]])
+        give_back()
+
+    rows = stretches.repartition("gram", "part").sortWithinPartitions("gram", "part")
     return rows.mapInArrow(run, "ord long, at int, n int, low long, high long")
 
 

@@ -86,6 +86,18 @@ def test_levels_merge_geometrically(spark):
     assert sorted(whole.entries().select("gram", "stretch", "ord", "at").collect()) == sorted(family.entries().select("gram", "stretch", "ord", "at").collect())
 
 
+def test_two_windows_of_one_name_are_told_apart(monkeypatch):
+    monkeypatch.setattr(repeats, "window_hashes", lambda data, length: (data[:max(len(data) - length + 1, 0)] & 1).astype(np.uint64))
+    data = np.frombuffer(b"abcabcaacbbcabcabc", np.uint8)
+    starts = np.arange(len(data) - 2)
+    by, again = repeats.equal_windows(data, starts, 3)
+    text, seen = data.tobytes(), {}
+    for i, same in zip(by.tolist(), again.tolist(), strict=True):
+        assert same == (text[i:i + 3] in seen)
+        seen.setdefault(text[i:i + 3], i)
+    assert all(text[i:i + 3].find(text[seen[text[i:i + 3]]:seen[text[i:i + 3]] + 3]) == 0 and seen[text[i:i + 3]] <= i for i in starts.tolist())
+
+
 def test_many_stretches_of_one_gram(spark, monkeypatch):
     """A passage in every document: its grams have as many stretches as there are documents, over many partitions."""
     line = "A sentence of well over a hundred bytes that every one of these documents holds at some place, in the middle of other words. "
@@ -93,6 +105,7 @@ def test_many_stretches_of_one_gram(spark, monkeypatch):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "7")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(repeats, "TOGETHER", 40)
     try:
         docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOC)
         got = sorted(result(repeats.remove_repeats(docs, batches=2)))
