@@ -19,7 +19,7 @@ from .conftest import prose
     ("<table><tr><th>Name<th>Qty<tr><td>apple<td>3<tr><td>kiwi fruit<td>10</table>end", "Name        Qty\napple       3\nkiwi fruit  10\n\nend"),
     ("<table><td>a<td>b<br>c</table>", "a  b\n   c"), ("<table><tr><td><table><tr><td>in</table><td>out</table>", "in  out"),
     ("<dl><dt>t<dd>d</dl>", "t\n  d"), ("<blockquote>q<p>r</blockquote>s", "  q\n\n  r\n\ns"),
-    ("</p></div>a</b>", "a"), ("<a href='x>y'>l</a>", "l"), ("<p>unclosed <b", "unclosed"), ("a < b and 3 <4", "a < b and 3 <4"), ("<textarea>no</textarea><br>yes", "yes"),
+    ("</p></div>a</b>", "a"), ("<a href='x>y'>l</a>", "l"), ("<p>unclosed <b", "unclosed"), ("a < b and 3 <4", "a < b and 3 <4"), ("<textarea>shown</textarea><br>yes", "shown\nyes"),
     ("<li>alone", "- alone"), ("<td>cell", "cell"), ("<p>a</table></p>b", "a\n\nb")])
 def test_rendering(page, text):
     assert html_text.render(page) == text
@@ -47,6 +47,52 @@ def test_an_open_head_ends_where_the_body_begins(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<p class=x\">Hello world</p><p>More text here</p>", "Hello world\n\nMore text here"), ("<p>First.</p><img src=a.png alt=5\" width=3><p>Second", "First.\n\nSecond"),
+    ("<p data-x=it's>Hello</p>", "Hello"), ("<p 'a' \"b>c\">d", "c\">d"), ("<p a='x>y' b=\"u>v\">z", "z"), ("<p a = 'x>' >z", "z"), ("<p a=>z", "z"), ("<p =a='>'>z", "z"),
+    ("<p a='>no", ""), ("<a/b='>'/>c", "c"), ("</p a='>'>b", "b"), ("<p hidden=\"a\"b>no<p>c", "c"), ("<p title='a'hidden>no<p>c", "c")])
+def test_a_quote_opens_a_value_only_after_an_equals_sign(page, text):
+    assert html_text.render(page) == text
+
+
+@pytest.mark.parametrize("page,text", [
+    ("&#" + "9" * 5000 + ";a", "\ufffda"), ("&#x" + "f" * 5000 + ";a", "\ufffda"), ("&#" + "0" * 5000 + "65;", "A"), ("&#x" + "0" * 50 + "41 b", "A b"), ("&#0;&#1114112;", "\ufffd\ufffd"),
+    ("<select size=" + "9" * 5000 + "><option>a<option>b</select>", "a\nb"), ("<select size=00001><option>a<option>b</select>", "a"), ("<select size=²><option>a<option>b</select>", "a"),
+    ("<ol start=" + "9" * 5000 + "><li>a", "999999999. a"), ("<table><tr><td colspan=" + "9" * 5000 + ">a<td rowspan=²>b</table>", "a  b")])
+def test_long_numbers(page, text):
+    assert html_text.render(page) == text
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<table><tr><th colspan=2>Heading of two<th>Next<tr><td>a<td>b<td>c</table>", "Heading of two  Next\na  b            c"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"), ("<table><tr><td>x<td rowspan=3>y<td>z<tr><td>u<td>v<tr><td>s<td>t</table>", "x  y  z\nu     v\ns     t"),
+    ("<table><tr><td>" + "w" * 100 + "<td>b<tr><td>c<td>d</table>", "w" * 100 + "  b\nc  d"),
+    ("<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p>no</div>", "yes"), ("<p style='visibility:hidden'>no<b>no</b></p>a", "a"),
+    ("<div style='display:none'>no<p style='visibility:visible'>no</p></div>a", "a"), ("<textarea>\na &lt;b&gt; <p></textarea>", "a <b> <p>")])
+def test_spans_and_visibility(page, text):
+    assert html_text.render(page) == text
+
+
+def test_nesting_takes_linear_time_and_pages_bound_their_text():
+    import time
+
+    def spent(page):
+        start = time.perf_counter()
+        html_text.render(page)
+        return time.perf_counter() - start
+
+    for opening in ("<div>", "<ul><li>a", "<p><b>", "<blockquote>a", "<table><tr><td>", "<p><button><div>", "<dl><dt>a<dd>b"):
+        few, many = min(spent(opening * 2000) for _ in range(3)), spent(opening * 16_000)
+        assert many < 40 * few + 0.5, (opening, few, many)
+    for page in ("<table><tr><td>" + "x" * 20_000 + "</tr>" + "<tr><td><td>y" * 2000 + "</table>", "<blockquote>a" * 5000, "<ul><li>a" * 5000,
+                 "<table><tr>" + "<td>a" * 3000 + "</tr>" + "<tr><td colspan=2999><td>b" * 3000 + "</table>"):
+        assert len(html_text.render(page)) < 20 * len(page)
+    start = time.perf_counter()
+    html_text.render("word " * 200_000)
+    html_text.render("<table>" + "<tr>" + "<td colspan=1000 rowspan=9>a" * 3000 + "<tr><td>" * 3000)
+    assert time.perf_counter() - start < 20
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 50_000 + "x" + "</div>" * 50_000) == "x"
     assert html_text.render("<b>" * 20_000 + "x") == "x"
