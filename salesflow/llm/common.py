@@ -9,6 +9,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salesflow.session import scratch_path, ship_package
 
@@ -60,6 +61,13 @@ def give_back() -> None:
         trim(0)
 
 
+def text_sample(docs: DataFrame, size: int) -> DataFrame:
+    """About ``size`` different texts at most, chosen by their hash: copies and repeated or null ids count once."""
+    u = F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(1 << 53))
+    some = docs.where(F.col("text").isNotNull() & (u < F.lit(min(1.0, size / max(docs.count(), 1)))))
+    return some.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")).select("text")
+
+
 def text_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``max_bytes`` of text (one row at least).
 

@@ -8,12 +8,16 @@ potential from its shape and surroundings, neighbouring nodes share a transition
 potential, and a skip edge joins tokens that are equal or similar (same digits, same
 letters, or one holding the other) however far apart, so that a person's number is
 treated alike wherever it occurs. A token with many likenesses is joined to the next
-alike token only, in order, so the edges of a group of n are n - 1. Labels are the
-marginals of damped loopy sum-product message passing.
+alike token only, in order, so the edges of a group of n are n - 1. Tokens of base spans are
+observed; the labels of the others are the marginals of loopy sum-product message passing, in sweeps
+forward and backward through the document, so evidence reaches any distance in one sweep.
 
-Learnt piecewise from a bounded sample of about ``sample_docs`` documents, chosen by
-hash: softmax regression for the unary part, with the base spans as labels, and
-smoothed agreement counts for the pair potentials.
+Learnt from a bounded sample of about ``sample_docs`` documents, chosen by hash: unary, chain and skip
+weights together, by pseudo-likelihood (each token given the labels of its neighbours), pairs never
+seen staying at 0. Labels are the base spans and the tokens alike to one; to learn what a repeat looks like
+where a corpus has few, each sampled document with a base span also occurs with that span's bare
+digits or letters written again near its end, and with other digits of the same length, which are none.
+The confidence from which a label counts is the least at which the held-out documents keep ``precision``.
 
 Defined results: null and empty texts have no spans; repeated rows get equal spans;
 an added span never overlaps a base span; spans count code points, end exclusive;
@@ -30,10 +34,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import text_slices
+from salesflow.llm.common import text_sample, text_slices
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
@@ -46,12 +51,23 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CARRIER = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"\S+")
+_DIGIT = re.compile("[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
 _PLAIN = re.compile(r"[\W_]+")
 
 Span = tuple[int, str, int]  # start, kind, end
 
 
+def _number(text: str) -> bool:
+    """ASCII digits only: other scripts' and superscript digits are letters here."""
+    return text.isascii() and text.isdigit()
+
+
+def _octet(text: str) -> bool:
+    text = text.lstrip("0")
+    return len(text) <= 3 and int(text or "0") <= 255
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -82,7 +98,7 @@ def base_spans(text: str) -> list[Span]:
         return []
     out = [(a, 0, b) for a, b in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(map(_octet, m.group().split("."))):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = _DIGITS.sub("", m.group())
@@ -120,9 +136,9 @@ def _side(token: str | None, names: tuple[str, str, str, str, str]) -> str:
         return names[0]
     if token[0] == "+" or token[0] == "(" and names[1] == "bracket":
         return names[1]
-    if token[0] == "(" or "-" in token and any(c.isdigit() for c in token):
+    if token[0] == "(" or "-" in token and _DIGIT.search(token):
         return names[2]
-    return names[3] if token.strip(".,;:!?").isdigit() else names[4]
+    return names[3] if _number(token.strip(".,;:!?")) else names[4]
 
 
 def _features(token: str, before: str | None, after: str | None, repeats: bool) -> list[int]:
@@ -136,12 +152,12 @@ def _features(token: str, before: str | None, after: str | None, repeats: bool)
     on += ["plus"] * core.startswith("+") + ["bracket"] * ("(" in core or ")" in core)
     on += ["letters"] * any(c.isalpha() for c in core) + ["upper"] * any(c.isupper() for c in core)
     on += ["colon"] * (":" in core) + ["equals"] * ("=" in core) + ["slash"] * ("/" in core) + ["quote"] * ('"' in token or "'" in token)
-    on += ["all_digits"] * core.isdigit() + ["decimal"] * (dots == 1 and core.replace(".", "").isdigit()) + ["percent"] * ("%" in token)
+    on += ["all_digits"] * _number(core) + ["decimal"] * (dots == 1 and _number(core.replace(".", ""))) + ["percent"] * ("%" in token)
     on += ["dashed"] * ("-" in core) + ["no_digits"] * (n == 0)
     on.append("digits_" + (str(n) if n < 5 else "5_6" if n < 7 else "7_9" if n < 10 else "10_13" if n < 14 else "14_19" if n < 20 else "20"))
     on.append(f"dots_{min(dots, 4)}")
     on.append(f"parts_{min(len(core.split('-')) - 1, 3)}")
-    on += ["octets"] * (len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)) + ["repeats"] * repeats
+    on += ["octets"] * (len(parts) == 4 and all(_number(p) and len(p) <= 3 and _octet(p) for p in parts)) + ["repeats"] * repeats
     on.append("before_" + _side(before, ("none", "plus", "bracket", "digits", "word")))
     on.append("after_" + _side(after, ("none", "bracket", "dashed", "digits", "word")))
     return [_INDEX[f] for f in on]
@@ -197,89 +213,133 @@ def graph(text: str) -> Graph | None:
 @dataclass
 class Field:
     unary: np.ndarray  # features x labels
-    chain: np.ndarray  # labels x labels, log potentials
+    chain: np.ndarray  # labels x labels, log potentials: earlier token, later token
     skip: np.ndarray
+    sure: float = 0.9  # a label of at least this probability counts
 
 
 def gold(g: Graph, spans: list[Span]) -> np.ndarray:
     """The label of each node: the kind of the base span that it overlaps."""
     y = np.zeros(len(g.spans), np.int64)
-    for i, (a, b) in enumerate(g.spans):
-        for s, kind, e in spans:
-            if a < e and s < b:
+    i = 0
+    for s, kind, e in spans:
+        while i and g.spans[i - 1][1] > s:
+            i -= 1
+        while i < len(g.spans) and g.spans[i][0] < e:
+            if not y[i] and s < g.spans[i][1]:
                 y[i] = LABELS.index(kind)
-                break
+            i += 1
     return y
 
 
-def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, chain: np.ndarray, skip: np.ndarray, steps: int = 400, rate: float = 0.5,
-        decay: float = 1e-3) -> Field:
-    """Piecewise training on ``n`` nodes of each row; ``chain`` and ``skip`` count label pairs."""
+def repeated(g: Graph, y: np.ndarray) -> np.ndarray:
+    """Labels with those of alike tokens: a repeat of a labelled token is what that is."""
+    y = y.copy()
+    for pairs in (g.skip, g.skip[::-1, ::-1]):
+        for a, b in pairs.tolist():
+            if y[a] and not y[b]:
+                y[b] = y[a]
+    return y
+
+
+def neighbours(g: Graph, y: np.ndarray) -> np.ndarray:
+    """For each node the labels before and after it in the chain, and the counts of those it has skip edges with."""
     k = len(LABELS)
-    w = np.zeros((FEATURES, k))
+    out = np.zeros((len(y), 3 * k), np.int64)
+    np.add.at(out, (g.chain[:, 1], y[g.chain[:, 0]]), 1)
+    np.add.at(out, (g.chain[:, 0], k + y[g.chain[:, 1]]), 1)
+    np.add.at(out, (g.skip[:, 1], 2 * k + y[g.skip[:, 0]]), 1)
+    np.add.at(out, (g.skip[:, 0], 2 * k + y[g.skip[:, 1]]), 1)
+    return out
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    p = np.exp(z - z.max(1, keepdims=True))
+    return p / p.sum(1, keepdims=True)
+
+
+def fit(x: np.ndarray, near: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 600, rate: float = 0.5, decay: float = 2e-4) -> Field:
+    """Pseudo-likelihood of ``n`` nodes of each row: features, neighbours' labels (``neighbours``) and label."""
+    k = len(LABELS)
+    weights = np.zeros((FEATURES + 3 * k, k))
     if len(y):
+        z = np.concatenate([x, near], 1).astype(float)
         target = np.eye(k)[y]
         balance = n / np.sqrt(np.maximum(np.bincount(y, weights=n, minlength=k), 1))[y]
         balance = (balance / balance.sum())[:, None]
-        momentum = np.zeros_like(w)
+        momentum = np.zeros_like(weights)
         for _ in range(steps):
-            z = x @ w
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            momentum = 0.9 * momentum - rate * (x.T @ ((p - target) * balance) + decay * w)
-            w += momentum
-
-    def potential(n):
-        joint = (n + n.T + 0.5) / (n + n.T + 0.5).sum()
-        own = joint.sum(1)
-        return np.clip(np.log(joint / np.outer(own, own)), -4, 4)
-
-    return Field(w, potential(chain), potential(skip))
-
-
-def marginals(field: Field, g: Graph, rounds: int = 12, damping: float = 0.5) -> np.ndarray:
-    """Label marginals by loopy sum-product."""
+            slope = z.T @ ((_softmax(z @ weights) - target) * balance) + decay * weights
+            # one potential for both ends of an edge
+            before, after, skip = (slope[FEATURES + i * k:FEATURES + (i + 1) * k] for i in range(3))
+            before += after.T
+            after[:] = before.T
+            skip += skip.T.copy()
+            momentum = 0.9 * momentum - rate * slope
+            weights += momentum
+    return Field(weights[:FEATURES], weights[FEATURES:FEATURES + k], weights[FEATURES + 2 * k:])
+
+
+def marginals(field: Field, g: Graph, rounds: int = 100, damping: float = 0.5, observed: np.ndarray | None = None) -> np.ndarray:
+    """Label marginals by loopy sum-product; ``observed``: labels that are known (0: not).
+
+    A round sweeps forward, then backward: edges lead from earlier to later nodes, those of equal
+    depth in that order go together. Without cycles two rounds settle it; messages that still
+    move after twenty rounds are damped.
+    """
     unary = g.x @ field.unary
     unary -= unary.max(1, keepdims=True)
+    if observed is not None:
+        known = np.flatnonzero(observed)
+        unary[known] = -1e3
+        unary[known, observed[known]] = 0
     edges = np.concatenate([g.chain, g.skip])
     if not len(edges):
-        p = np.exp(unary)
-        return p / p.sum(1, keepdims=True)
+        return _softmax(unary)
     pair = np.concatenate([np.repeat(field.chain[None], len(g.chain), 0), np.repeat(field.skip[None], len(g.skip), 0)])
-    src, dst = np.r_[edges[:, 0], edges[:, 1]], np.r_[edges[:, 1], edges[:, 0]]
-    potential = np.concatenate([pair, pair.transpose(0, 2, 1)])
     m = len(edges)
-    back = np.r_[np.arange(m, 2 * m), np.arange(m)]
+    depth = [0] * len(unary)
+    for a, b in edges[np.argsort(edges[:, 0], kind="stable")].tolist():
+        depth[b] = max(depth[b], depth[a] + 1)
+    depth = np.array(depth)
+
+    def levels(key: np.ndarray) -> list[np.ndarray]:
+        by = np.argsort(key, kind="stable")
+        return np.split(by, np.flatnonzero(np.diff(key[by])) + 1)
+
+    ahead = [(e, edges[e, 0], edges[e, 1], pair[e], e, e + m) for e in levels(depth[edges[:, 0]])]
+    back = [(e, edges[e, 1], edges[e, 0], pair[e].transpose(0, 2, 1), e + m, e) for e in levels(-depth[edges[:, 1]])]
     message = np.zeros((2 * m, len(LABELS)))
-    for _ in range(rounds):
-        belief = unary.copy()
-        np.add.at(belief, dst, message)
-        send = (belief[src] - message[back])[:, :, None] + potential
-        top = send.max(1, keepdims=True)
-        new = np.log(np.exp(send - top).sum(1)) + top[:, 0]
-        new -= new.max(1, keepdims=True)
-        moved = np.abs(new - message).max()
-        message = damping * message + (1 - damping) * new
+    belief = unary.copy()
+    for turn in range(rounds):
+        moved, keep = 0.0, damping if turn >= 20 else 0.0
+        for _, src, dst, potential, own, reverse in (*ahead, *back):
+            send = (belief[src] - message[reverse])[:, :, None] + potential
+            top = send.max(1, keepdims=True)
+            new = np.log(np.exp(send - top).sum(1)) + top[:, 0]
+            new = keep * message[own] + (1 - keep) * (new - new.max(1, keepdims=True))
+            step = new - message[own]
+            moved = max(moved, float(np.abs(step).max()))
+            message[own] = new
+            np.add.at(belief, dst, step)
         if moved < 1e-4:
             break
-    belief = unary.copy()
-    np.add.at(belief, dst, message)
-    p = np.exp(belief - belief.max(1, keepdims=True))
-    return p / p.sum(1, keepdims=True)
+    return _softmax(belief)
 
 
-def all_spans(text: str, field: Field, sure: float = 0.9) -> tuple[list[Span], list[Span]]:
+def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """Base spans, and base and added spans, by start, then kind as listed."""
     base = base_spans(text)
     g = graph(text)
     if g is None:
         return base, base
-    p = marginals(field, g)
-    label = np.where(p.max(1) >= sure, p.argmax(1), 0)
+    known = gold(g, base)
+    p = marginals(field, g, observed=known)
+    label = np.where((p.max(1) >= field.sure) & (known == 0), p.argmax(1), 0)
     added: list[list] = []
     for i in np.flatnonzero(label):
         a, b = g.spans[i]
-        if a == b or any(a < e and s < b for s, _, e in base):
+        if a == b:
             continue
         # adjacent tokens of one kind are one span
         if added and added[-1][1] == LABELS[label[i]] and text[added[-1][2]:a].isspace():
@@ -289,43 +349,76 @@ def all_spans(text: str, field: Field, sure: float = 0.9) -> tuple[list[Span], l
     return base, sorted([*base, *map(tuple, added)], key=lambda s: (s[0], KINDS.index(s[1]), s[2]))
 
 
-def train(docs: DataFrame, sample_docs: int = 20_000) -> Field:
-    """Fit on the base spans of about ``sample_docs`` documents, chosen by hash.
+def examples(text: str) -> list[str]:
+    """A training document, and if it has a base span, the same with that span's bare form and with a number that is no repeat of it."""
+    spans = base_spans(text)
+    out = [text]
+    h = xxhash.xxh3_64_intdigest(text)
+    for start, kind, end in spans[:4]:
+        span = text[start:end]
+        if kind == "email":
+            again, other = span.partition("@")[0], f"{span.partition('@')[0][::-1]}x"
+        else:
+            digits = _DIGITS.sub("", span)
+            again = digits[-10:] if kind == "phone" else digits
+            if kind == "phone" and h & 1:
+                again = f"{again[:3]}-{again[3:6]}-{again[6:]}"
+            other = str(h)[:len(again)]
+        lead = " ".join(text[max(end, len(text) - 200):].split()[1:8])
+        out.append(f"{text}\n{lead} {again} {lead} {other}")
+        h >>= 1
+    return out
+
+
+def _threshold(field: Field, x: np.ndarray, near: np.ndarray, y: np.ndarray, n: np.ndarray, precision: float) -> float:
+    """The least confidence at which ``precision`` of the labels given to held-out nodes are right."""
+    if not len(y):
+        return 0.9
+    p = _softmax(np.concatenate([x, near], 1) @ np.concatenate([field.unary, field.chain, field.chain.T, field.skip]))
+    guess, top = p.argmax(1), p.max(1)
+    for sure in (0.5, 0.6, 0.7, 0.8, 0.9, 0.95):
+        given = (guess > 0) & (top >= sure)
+        if (n * (given & (guess == y))).sum() >= precision * (n * given).sum():
+            return sure
+    return 0.99
 
-    What comes back is counts: of each distinct set of features with its label, and
-    of each pair of labels along an edge.
+
+def train(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.99) -> Field:
+    """Fit on about ``sample_docs`` documents, chosen by hash; a fifth of them sets the confidence.
+
+    What comes back is counts: of each distinct set of features with the neighbours' labels and the label.
     """
-    total = docs.count()
-    u = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.col("text")), 11) / F.lit(float(1 << 53))
-    some = docs.where(u < F.lit(min(1.0, sample_docs / max(total, 1)))).select("text")
+    some = text_sample(docs, sample_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                g = graph(text) if text else None
-                if g is None:
+                if not text or not _CARRIER.search(text):
                     continue
-                y = gold(g, base_spans(text))
-                seen.update(("node", " ".join(map(str, np.flatnonzero(x))), int(k), 0) for x, k in zip(g.x, y, strict=True))
-                for name, edges in (("chain", g.chain), ("skip", g.skip)):
-                    seen.update((name, "", int(y[a]), int(y[b])) for a, b in edges)
+                held = xxhash.xxh3_64_intdigest(text, seed=1) % 5 == 0
+                for one in examples(text):
+                    g = graph(one)
+                    y = repeated(g, gold(g, base_spans(one)))
+                    near = neighbours(g, y)
+                    seen.update((held, " ".join(map(str, np.flatnonzero(x))), " ".join(map(str, c)), int(k)) for x, c, k in zip(g.x, near, y, strict=True))
         if seen:
             rows = [(*k, n) for k, n in seen.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["what", "on", "a", "b", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["held", "on", "near", "label", "n"])
 
-    counts = some.mapInArrow(run, "what string, on string, a long, b long, n long").groupBy("what", "on", "a", "b").agg(F.sum("n").alias("n"))
+    counts = some.mapInArrow(run, "held boolean, on string, near string, label long, n long").groupBy("held", "on", "near", "label").agg(F.sum("n").alias("n"))
     got = sorted(counts.collect())
-    nodes = [r for r in got if r["what"] == "node"]
-    x, y, n = np.zeros((len(nodes), FEATURES)), np.zeros(len(nodes), np.int64), np.zeros(len(nodes))
-    for i, r in enumerate(nodes):
-        x[i, [int(j) for j in r["on"].split()]] = 1
-        y[i], n[i] = r["a"], r["n"]
-    pairs = {name: np.zeros((len(LABELS), len(LABELS))) for name in ("chain", "skip")}
-    for r in got:
-        if r["what"] in pairs:
-            pairs[r["what"]][r["a"], r["b"]] = r["n"]
-    return fit(x, y, n, pairs["chain"], pairs["skip"])
+
+    def arrays(rows):
+        x, near = np.zeros((len(rows), FEATURES)), np.zeros((len(rows), 3 * len(LABELS)))
+        for i, r in enumerate(rows):
+            x[i, [int(j) for j in r["on"].split()]] = 1
+            near[i] = [int(j) for j in r["near"].split()]
+        return x, near, np.array([r["label"] for r in rows], np.int64), np.array([r["n"] for r in rows], float)
+
+    field = fit(*arrays([r for r in got if not r["held"]]))
+    field.sure = _threshold(field, *arrays([r for r in got if r["held"]]), precision)
+    return field
 
 
 def joined(spans: list[Span]) -> str:
