@@ -267,20 +267,40 @@ def score_with_python(df: DataFrame, model, features, prediction: str = "predict
 
 
 # M13 --------------------------------------------------------------------------------------------
+def fold_column(keys, folds: int = 5) -> Column:
+    """A deterministic fold for each row: the same at every run, whatever the partitioning."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(folds)).cast("int")
+
+
 def cross_validate(df: DataFrame, features, target: str, kind: str = "linear", folds: int = 5,
-                   key=None, params=None):
-    """K-fold CV with a deterministic hash fold column (same folds every run)."""
+                   key=None, params=None, grid: dict | None = None, fold: Column | None = None):
+    """K-fold cross-validation with a fixed fold column -> (best model or None, [(parameters, average rmse)]).
+
+    ``grid`` maps parameter names to the values to try. Linear models come from moment matrices
+    (``operators/gram.py``): one pass whatever the folds and values, ``regParam`` being the parameter.
+    Other kinds are refitted by MLlib on one persisted frame.
+    """
+    fold = fold if fold is not None else fold_column(list(key or features), folds)
+    if kind == "linear":
+        from salesflow.operators import gram
+        regs = (grid or {}).get("regParam", [0.0])
+        scores = gram.best_regularisation(gram.cross_validate(df, features, target, fold, regs)).collect()
+        by = {r["reg"]: r["avg_rmse"] for r in scores}
+        return None, [({"regParam": r}, by[r]) for r in regs if r in by]
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    keys = list(key or features)
-    data = assemble(df, features, target).withColumn(
-        "fold", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(folds)).cast("int"))
+    data = assemble(df.withColumn("fold", fold), features, target).select("features", "label", "fold").persist()
     est = make_estimator(kind, params=params)
+    maps = ParamGridBuilder()
+    for name, values in (grid or {}).items():
+        maps = maps.addGrid(est.getParam(name), values)
+    maps = maps.build()
     ev = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="rmse")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        numFolds=folds, foldCol="fold", seed=42)
-    model = cv.fit(data)
-    return model, [float(x) for x in model.avgMetrics]
+    try:
+        model = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, foldCol="fold", seed=42).fit(data)
+    finally:
+        data.unpersist()
+    return model, [({p.name: v for p, v in m.items()}, float(x)) for m, x in zip(maps, model.avgMetrics, strict=True)]
 
 
 def _nan_to_none(x):

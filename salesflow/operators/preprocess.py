@@ -13,11 +13,11 @@ import decimal
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.functions.exprs import nan_to_null
-from salesflow.operators.blocks import attach, exact_quantiles, maybe_broadcast, quantile_columns, row_index
+from salesflow.operators.blocks import exact_quantiles, label_from_rank, maybe_broadcast, quantile_columns, row_index
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -28,27 +28,26 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 
 # T1 / T2 -------------------------------------------------------------------------------------
 def split(df: DataFrame, order_by, test_size: float = 0.2, shuffle: bool = False, seed: int = 42,
-          key=None, name: str = "split") -> DataFrame:
+          key=None, name: str = "split", draw: Column | None = None) -> DataFrame:
     """Adds ``split`` in {train, test}: the last ceil(n * test_size) rows are test.
 
-    Chronological: order by ``order_by`` (must be total). Shuffled: order by a
-    seeded hash of ``key`` (exact sizes, deterministic, not the same draw as
+    Chronological: order by ``order_by`` (must be total). Shuffled: order by ``draw``, by default
+    a seeded hash of ``key`` (exact sizes, deterministic, not the same draw as
     scikit-learn). ``test_size`` 0 or None means the default 0.2.
+
+    The first test row is found by distributed selection (``blocks.row_at_rank``) and the rows are
+    labelled by comparing them with it: they are neither sorted nor shuffled nor copied.
     """
     test_size = test_size or 0.2
     order = list(order_by)
     base = df
     if shuffle:
         keys = list(key or order)
-        base = df.withColumn("_sf_h", F.xxhash64(F.lit(seed), *keys))
+        base = df.withColumn("_sf_h", draw if draw is not None else F.xxhash64(F.lit(seed), *keys))
         order = ["_sf_h"] + keys
-    idx = row_index(base, order, name="_sf_idx")
-    n = idx.agg(F.count(F.lit(1)).alias("_n"))
-    j = attach(idx, n)
-    n_test = F.ceil(F.col("_n") * F.lit(float(test_size)))
-    out = j.withColumn(name, F.when(F.col("_sf_idx") >= F.col("_n") - n_test, F.lit("test"))
-                       .otherwise(F.lit("train")))
-    return out.drop("_n", "_sf_idx", "_sf_h")
+    n = df.count()
+    n_test = math.ceil(n * float(test_size))
+    return label_from_rank(base, order, n - n_test, n, name, "train", "test").drop("_sf_h")
 
 
 # T3 ---------------------------------------------------------------------------------------------

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from salesflow.functions.exprs import rnd
+from salesflow.operators import gram as G
 from salesflow.operators import models as M
 from salesflow.operators import relational as R
 from salesflow.operators import udf as U
@@ -216,11 +218,70 @@ def train_models(spark, sf_dir):
     return runs.select("run_id", "status", "rmse", "test_rmse", "r2", "test_r2")
 
 
-@register("m13_cross_validation", None, ("M13",))
+# M1 for each group, M13: moment matrices, checked against closed forms for two features -----------------
+_REGS = (0.0, 0.1, 1.0)
+_TWO = "quantity AS x, price AS z, sales AS y"
+
+
+def _fit_sql(reg: str = "0") -> str:
+    """Coefficients bx, bz and the intercept a from population covariances, ``reg`` on standardised coefficients."""
+    vx, vz = f"(var_pop(x) * (1 + {reg}))", f"(var_pop(z) * (1 + {reg}))"
+    det = f"({vx} * {vz} - covar_pop(x, z) * covar_pop(x, z))"
+    bx = f"(covar_pop(x, y) * {vz} - covar_pop(z, y) * covar_pop(x, z)) / {det}"
+    bz = f"(covar_pop(z, y) * {vx} - covar_pop(x, y) * covar_pop(x, z)) / {det}"
+    return f"{bx} AS bx, {bz} AS bz, avg(y) - ({bx}) * avg(x) - ({bz}) * avg(z) AS a"
+
+
+@register("m1_grouped_regression", with_views(f"""
+WITH s AS (SELECT region, category, {_TWO} FROM sales), f AS (SELECT region, category, {_fit_sql()} FROM s GROUP BY region, category)
+SELECT region, category, count(*) AS n, {rsql('any_value(a)', 3)} AS intercept, {rsql('any_value(bx)', 4)} AS b_quantity, {rsql('any_value(bz)', 5)} AS b_price,
+  {rsql('sqrt(avg((y - a - bx * x - bz * z) * (y - a - bx * x - bz * z)))', 3)} AS rmse,
+  {rsql('1 - sum((y - a - bx * x - bz * z) * (y - a - bx * x - bz * z)) / (count(*) * var_pop(y))', 6)} AS r2
+FROM s JOIN f USING (region, category) GROUP BY region, category""", **SALES), ("M1", "M6"))
+def grouped_regression(spark, sf_dir):
+    s = sales(spark, sf_dir, ["region", "category", "quantity", "price", "sales"])
+    out = G.grouped_regression(s, ["quantity", "price"], "sales", by=["region", "category"])
+    return out.select("region", "category", "n", rnd("intercept", 3).alias("intercept"), rnd(F.col("coefficients")[0], 4).alias("b_quantity"),
+                      rnd(F.col("coefficients")[1], 5).alias("b_price"), rnd("rmse", 3).alias("rmse"), rnd("r2", 6).alias("r2"))
+
+
+def _folds_sql(by: str = "") -> str:
+    lead = f"{by}, " if by else ""
+    on = f"s.{by} = f.{by} AND " if by else ""
+    own = f"s.{by}, " if by else ""
+    return with_views(f"""
+WITH s AS (SELECT {lead}{_TWO}, l_orderkey % 5 AS fold FROM sales), regs AS (SELECT unnest([{', '.join(map(str, _REGS))}]) AS reg),
+k AS (SELECT DISTINCT {lead}fold AS k FROM s),
+f AS (SELECT {own}k.k AS fold, reg, count(*) AS n_train, {_fit_sql('reg')} FROM s JOIN k ON {f's.{by} = k.{by} AND ' if by else ''}s.fold <> k.k, regs
+      GROUP BY {own}k.k, reg)
+SELECT {own}reg, CAST(f.fold AS INTEGER) AS fold, any_value(n_train) AS n_train, count(*) AS n_test, {rsql('any_value(a)', 3)} AS intercept,
+  {rsql('any_value(bx)', 4)} AS b_quantity, {rsql('any_value(bz)', 5)} AS b_price,
+  {rsql('sqrt(avg((y - a - bx * x - bz * z) * (y - a - bx * x - bz * z)))', 3)} AS rmse
+FROM s JOIN f ON {on}s.fold = f.fold GROUP BY {own}reg, f.fold""", **SALES)
+
+
+def _folds(spark, sf_dir, by=()):
+    s = sales(spark, sf_dir, ["l_orderkey", "quantity", "price", "sales", *by])
+    return G.cross_validate(s, ["quantity", "price"], "sales", F.col("l_orderkey") % 5, _REGS, by)
+
+
+@register("m13_grouped_folds", _folds_sql("region"), ("M13", "M1"))
+def grouped_folds(spark, sf_dir):
+    out = _folds(spark, sf_dir, ["region"])
+    return out.select("region", "reg", "fold", "n_train", "n_test", rnd("intercept", 3).alias("intercept"), rnd(F.col("coefficients")[0], 4).alias("b_quantity"),
+                      rnd(F.col("coefficients")[1], 5).alias("b_price"), rnd("rmse", 3).alias("rmse"))
+
+
+@register("m13_cross_validation", f"""
+WITH folds AS ({_folds_sql()}), m AS (SELECT reg, avg(rmse) AS avg_rmse FROM folds GROUP BY reg)
+SELECT CAST(row_number() OVER (ORDER BY reg) - 1 AS INTEGER) AS param_map, CAST(reg AS DOUBLE) AS reg, round(avg_rmse, 2) AS avg_rmse,
+  reg = (SELECT reg FROM m ORDER BY avg_rmse, reg LIMIT 1) AS best FROM m""", ("M13",))
 def cross_validation(spark, sf_dir):
-    s = sales(spark, sf_dir, KEY + ["quantity", "price", "sales"]).withColumn("quantity", F.col("quantity").cast("double"))
-    _, metrics = M.cross_validate(s, ["quantity", "price"], "sales", "linear", folds=5, key=KEY)
-    return spark.createDataFrame([(i, m) for i, m in enumerate(metrics)], "param_map int, avg_rmse double")
+    s = sales(spark, sf_dir, ["l_orderkey", "quantity", "price", "sales"])
+    _, scores = M.cross_validate(s, ["quantity", "price"], "sales", "linear", folds=5, fold=F.col("l_orderkey") % 5, grid={"regParam": list(_REGS)})
+    least = min(m for _, m in scores)
+    rows = [(i, p["regParam"], round(m, 2), m == least) for i, (p, m) in enumerate(scores)]
+    return spark.createDataFrame(rows, "param_map int, reg double, avg_rmse double, best boolean")
 
 
 # A foreign (pandas) model applied in Arrow batches ---------------------------------------------------

@@ -34,6 +34,15 @@ def shuffled_split(spark, sf_dir):
     return out.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("t2_shuffled_split", with_views(f"""
+SELECT {KEY_SQL}, CASE WHEN row_number() OVER (ORDER BY md5(concat_ws(':', 42, {KEY_SQL})), {KEY_SQL}, l_extendedprice) - 1
+  >= count(*) OVER () - ceil(count(*) OVER () * 0.2) THEN 'test' ELSE 'train' END AS split FROM sales""", **SALES), ("T2",))
+def shuffled_split_rows(spark, sf_dir):
+    s = sales(spark, sf_dir, KEY + ["l_extendedprice"])
+    draw = F.md5(F.concat_ws(":", F.lit("42"), *[F.col(k).cast("string") for k in KEY]).cast("binary"))
+    return P.split(s, fx.SALES_ORDER, 0.2, shuffle=True, key=KEY + ["l_extendedprice"], draw=draw).drop("l_extendedprice")
+
+
 _SCALE = ("price", "quantity", "sales")
 
 
