@@ -501,12 +501,12 @@ def quantile_columns(df: DataFrame, cols, probs, names=None) -> DataFrame:
     return qs.groupBy("column").agg(*aggs)
 
 
-def unpivot_numeric(df: DataFrame, cols, name: str = "column", value: str = "value") -> DataFrame:
-    """Long (column, value double) form of numeric columns, NaN normalised to NULL."""
-    cols = list(cols)
-    casted = df.select(*[F.when(F.isnan(F.col(c).cast("double")), None)
-                         .otherwise(F.col(c).cast("double")).alias(c) for c in cols])
-    return casted.unpivot([], cols, name, value)
+def unpivot_numeric(df: DataFrame, cols, name: str = "column", value: str = "value", by=()) -> DataFrame:
+    """Long (by..., column, value double) form of numeric columns, NaN normalised to NULL."""
+    cols, by = list(cols), list(by)
+    casted = df.select(*by, *[F.when(F.isnan(F.col(c).cast("double")), None)
+                              .otherwise(F.col(c).cast("double")).alias(c) for c in cols])
+    return casted.unpivot(by, cols, name, value)
 
 
 def pair_moments(df: DataFrame, cols, pairs=None) -> DataFrame:

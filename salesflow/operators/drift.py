@@ -86,7 +86,7 @@ def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: i
         F.percentile_approx("value", probs, 10 * buckets))).alias("_bounds"))
     bounds = bounds.checkpoint(eager=True)  # groups x buckets numbers, read twice
     ng = group_count(bounds, g)
-    with_b = long.join(maybe_broadcast(bounds, ng * buckets), g, "inner") \
+    with_b = null_safe_join(long, maybe_broadcast(bounds, ng * buckets), g) \
         .withColumn("_b", bucket_index("value", "_bounds", len(probs))).drop("_bounds")
     bc = with_b.groupBy(*g, "_b").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
     w = Window.partitionBy(*g).orderBy("_b")  # <= buckets rows per group
@@ -100,20 +100,21 @@ def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: i
     bc = bc.withColumn("_end_gap", F.abs(re_ - ce)).withColumn(
         "_ub", F.greatest(F.abs(re_ - cs), F.abs(rs - ce))).checkpoint(eager=True)  # groups x buckets rows
     lb = bc.groupBy(*g, "n_ref", "n_cur").agg(F.max("_end_gap").alias("_lb"))
-    cand = (bc.join(lb.select(*g, "_lb"), g).where(F.col("_ub") > F.col("_lb"))
+    cand = (null_safe_join(bc, lb.select(*g, "_lb"), g).where(F.col("_ub") > F.col("_lb"))
             .select(*g, "_b", (F.col("_re") - F.col("c_ref")).alias("_r0"), (F.col("_ce") - F.col("c_cur")).alias("_c0"),
                     "n_ref", "n_cur"))
+    cand = cand.checkpoint(eager=True)  # at most groups x buckets rows
     n_cand = cand.count()
     if n_cand == 0:
         return lb.select(*g, "n_ref", "n_cur", F.col("_lb").alias("ks_statistic"))
-    inside = with_b.join(maybe_broadcast(cand.select(*g, "_b"), n_cand), g + ["_b"], "left_semi")
+    inside = null_safe_join(with_b, maybe_broadcast(cand.select(*g, "_b"), n_cand), g + ["_b"], "left_semi")
     vc = inside.groupBy(*g, "_b", "value").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
     pre = prefix_sums_by_value(vc, g + ["_b"], "value", ["c_ref", "c_cur"], n_groups=n_cand)
-    swept = pre.join(maybe_broadcast(cand, n_cand), g + ["_b"]).select(
+    swept = null_safe_join(pre, maybe_broadcast(cand, n_cand), g + ["_b"]).select(
         *g, F.abs((F.col("_r0") + F.col("cum_c_ref")) / F.col("n_ref")
                   - (F.col("_c0") + F.col("cum_c_cur")) / F.col("n_cur")).alias("_gap"))
     best = swept.groupBy(*g).agg(F.max("_gap").alias("_sweep"))
-    out = lb.join(best, g, "left")
+    out = null_safe_join(lb, best, g, "left")
     return out.select(*g, "n_ref", "n_cur",
                       F.greatest(F.col("_lb"), F.coalesce(F.col("_sweep"), F.col("_lb"))).alias("ks_statistic"))
 
@@ -132,13 +133,51 @@ def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Colu
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+#: largest side for which the exact distribution is computed (the reference's limit)
+EXACT_ROWS = 10_000
+
+
+def exact_pvalue(d: Column, n: Column, m: Column) -> Column:
+    """Exact two-sided p-value P(D >= d) of samples of ``n`` and ``m`` rows without ties.
+
+    A random merge of the samples is a lattice path from (0, 0) to (n, m); D < d if it stays
+    where |i/n - j/m| < d. The probability of being at (i, k - i) after k steps, never having left that
+    band, follows from the step before: i/k of it came with an i-step, (k - i)/k with a j-step. One array of the
+    band's probabilities is carried along the n + m steps, so the work is about 2 d n m.
+    """
+    n, m = n.cast("bigint"), m.cast("bigint")
+    reach = F.round(d * n * m).cast("bigint")  # |i m - j n| stays below it: both are whole numbers
+
+    def step(acc: Column, k: Column) -> Column:
+        low = F.greatest(F.floor((k * n - reach) / (n + m)) + 1, k - m, F.lit(0)).cast("bigint")
+        high = F.least(F.ceil((k * n + reach) / (n + m)) - 1, k, n).cast("bigint")
+        here = F.transform(F.sequence(low, F.greatest(low, high)), lambda i: (
+            F.coalesce(F.get(acc["p"], (i - 1 - acc["low"]).cast("int")), F.lit(0.0)) * i
+            + F.coalesce(F.get(acc["p"], (i - acc["low"]).cast("int")), F.lit(0.0)) * (k - i)) / k)
+        return F.struct(low.alias("low"), F.when(high >= low, here).otherwise(F.array(F.lit(0.0))).alias("p"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("low"), F.array(F.lit(1.0)).alias("p"))
+    inside = F.aggregate(F.sequence(F.lit(1).cast("bigint"), n + m), start, step, lambda acc: F.get(acc["p"], (n - acc["low"]).cast("int")))
+    return F.when(reach <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 1.0 - F.coalesce(inside, F.lit(0.0)))))
+
+
+def ks_pvalue(d: Column, n: Column, m: Column, exact_rows: int = EXACT_ROWS) -> Column:
+    """Exact up to ``exact_rows`` rows on the larger side, above that the asymptotic series."""
+    series = kolmogorov_pvalue(d, n.cast("double"), m.cast("double"))
+    return F.when(F.greatest(n, m) <= exact_rows, exact_pvalue(d, n, m)).otherwise(series) if exact_rows else series
+
+
 def ks_test(df: DataFrame, features, period: str = "period", threshold: float = DEFAULT_THRESHOLD,
-            by=(), num_partitions=None, counts: DataFrame | None = None) -> DataFrame:
-    """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected)."""
+            by=(), num_partitions=None, counts: DataFrame | None = None, exact_rows: int = 0) -> DataFrame:
+    """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected).
+
+    The p-value is the asymptotic one; ``exact_rows`` (say ``EXACT_ROWS``) asks for the exact
+    one where neither side has more rows.
+    """
     if counts is None:
         counts = period_counts(df, features, period, by)
     ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
-    p = kolmogorov_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), exact_rows)
     return ks.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
 
 
@@ -223,3 +262,21 @@ def monitoring_run(df: DataFrame, features, date: str = "date", as_of=None, days
     return out.select(*by, F.lit(as_of).cast("date").alias("as_of"), F.col("feature").alias("feature_name"),
                       F.col("ks_statistic").alias("drift_score"), "drift_detected", "ks_statistic",
                       F.col("p_value").alias("ks_pvalue"), F.col("psi").alias("psi_score"))
+
+
+def append_drift_metrics(run: DataFrame, path: str) -> None:
+    """Add a run's rows to the ``drift_metrics`` table, a partition for each day.
+
+    A run for a day that the table has already replaces that day only (dynamic
+    partition overwrite), so a job that is started again leaves no row twice.
+    """
+    (run.withColumn("day", F.col("as_of")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day").parquet(path))
+
+
+def read_drift_metrics(spark, path: str, features=None, since=None) -> DataFrame:
+    """Appended rows; ``since`` prunes the day partitions."""
+    out = spark.read.parquet(path)
+    if since is not None:
+        out = out.where(F.col("day") >= F.lit(since).cast("date"))
+    return (out if not features else out.where(F.col("feature_name").isin(list(features)))).drop("day")

@@ -70,17 +70,16 @@ GROUP_AGGS = {"mean": F.avg, "sum": F.sum, "std": F.stddev_samp, "min": F.min, "
 def add_group_stats(df: DataFrame, target: str, keys, aggs=("mean", "sum", "std", "min", "max", "count")) -> DataFrame:
     """``{t}_{key}_{agg}`` per key, one key at a time; NULL-key rows get NULL.
 
-    One partially-aggregated groupBy per key, joined back on the key (AQE
-    broadcasts the per-key table when its measured size is small).
+    One partially-aggregated groupBy per key, materialised and counted before it is joined back
+    (``blocks.attach``): rows are never shuffled by a key of a few values.
     """
     out = df
     t = F.col(target)
     if dict(df.dtypes).get(target) in ("double", "float"):
         t = F.when(F.isnan(target), None).otherwise(t)  # NaN is missing, as in pandas
     for k in keys:
-        stats = df.where(F.col(k).isNotNull()).groupBy(k).agg(
-            *[GROUP_AGGS[a](t).alias(f"{target}_{k}_{a}") for a in aggs])
-        out = out.join(stats, k, "left")
+        stats = df.groupBy(k).agg(*[F.when(F.col(k).isNotNull(), GROUP_AGGS[a](t)).alias(f"{target}_{k}_{a}") for a in aggs])
+        out = attach(out, stats, [k])
     return out
 
 
@@ -120,8 +119,8 @@ def demand_index(df: DataFrame, date: str, region: str, product: str, actual: st
     base = mean ``actual`` per product; trend = 1 + 15 % x years since ``start``
     (default: the first date). Adds ``expected`` and ``demand_ratio``.
     """
-    base = df.groupBy(product).agg(F.avg(actual).alias("_base"))
-    out = df.join(base, product, "left")
+    base = df.groupBy(product).agg(F.when(F.col(product).isNotNull(), F.avg(actual)).alias("_base"))
+    out = attach(df, base, [product])
     if preferences is not None:  # (region, product, preference) - a small user table
         out = out.join(preferences, [region, product], "left")
     else:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow.functions.exprs import nan_to_null
+from salesflow.operators.blocks import attach
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon (MAPE denominator guard)
 LOWER_IS_BETTER = {"rmse": True, "mae": True, "mape": True, "r2": False}
@@ -47,35 +48,44 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, by=()) -> Dat
 
 
 # M7 ---------------------------------------------------------------------------------------------
-def compare_models(runs: DataFrame, metric: str = "rmse", metrics=("rmse", "mae", "r2", "mape")) -> DataFrame:
-    """Sort by ``metric`` and flag the best value per metric (min, or max for r2).
+def compare_models(runs: DataFrame, metric: str = "rmse", metrics=("rmse", "mae", "r2", "mape"), by=()) -> DataFrame:
+    """Sort by ``metric`` and flag the best value per metric (min, or max for r2), within each ``by`` group.
 
-    The runs table has one row per trained model, so the unpartitioned window
-    ranges over a handful of rows.
+    The best values are one aggregate (a row for each group), attached to the runs.
     """
-    w = Window.partitionBy()
-    out = runs
-    for m in metrics:
-        best = F.min(m).over(w) if LOWER_IS_BETTER.get(m, True) else F.max(m).over(w)
-        out = out.withColumn(f"best_{m}", F.col(m) == best)
+    by = list(by)
+    best = runs.groupBy(*by).agg(*[(F.min if LOWER_IS_BETTER.get(m, True) else F.max)(m).alias(f"_b_{m}") for m in metrics])
+    out = attach(runs, best, by)
+    out = out.select(*runs.columns, *[(F.col(m) == F.col(f"_b_{m}")).alias(f"best_{m}") for m in metrics])
     asc = LOWER_IS_BETTER.get(metric, True)
-    return out.orderBy(F.col(metric).asc() if asc else F.col(metric).desc())
+    return out.orderBy(*by, F.col(metric).asc() if asc else F.col(metric).desc())
 
 
 # M5 ---------------------------------------------------------------------------------------------
 def best_run(runs: DataFrame, metric: str = "test_rmse", ascending: bool = True,
-             status: str = "status") -> DataFrame:
+             status: str = "status", by=()) -> DataFrame:
+    """The best run that did not fail (for each ``by`` group); ties go to the smaller ``run_id``."""
     ok = runs.where(F.col(status) != "FAILED") if status in runs.columns else runs
     order = F.col(metric).asc() if ascending else F.col(metric).desc()
-    return ok.where(F.col(metric).isNotNull()).orderBy(order, F.col("run_id")).limit(1)
+    ok = ok.where(F.col(metric).isNotNull())
+    return _first_per_group(ok, by, [order, F.col("run_id")], 1) if by else ok.orderBy(order, F.col("run_id")).limit(1)
+
+
+def _first_per_group(df: DataFrame, by, order, n: int) -> DataFrame:
+    """The first ``n`` rows of each group: ``row_number() <= n`` is cut before the shuffle (WindowGroupLimit)."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("_sf_rn", F.row_number().over(w)).where(F.col("_sf_rn") <= n).drop("_sf_rn")
 
 
 # M8 ---------------------------------------------------------------------------------------------
 def search_runs(runs: DataFrame, order_by: str = "rmse", ascending: bool = True, limit: int | None = None,
-                where: Column | None = None) -> DataFrame:
+                where: Column | None = None, by=()) -> DataFrame:
+    """Runs in order (``limit`` of them), or with ``by`` the first ``limit`` of each group."""
     out = runs.where(where) if where is not None else runs
+    if by and limit:
+        out = _first_per_group(out, by, [F.col(order_by).asc() if ascending else F.col(order_by).desc(), F.col("run_id")], limit)
     out = out.orderBy(F.col(order_by).asc() if ascending else F.col(order_by).desc(), F.col("run_id"))
-    return out.limit(limit) if limit else out
+    return out.limit(limit) if limit and not by else out
 
 
 # M9 ---------------------------------------------------------------------------------------------

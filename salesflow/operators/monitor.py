@@ -115,14 +115,18 @@ def generate_alerts(drift_report: DataFrame, psi_scores: DataFrame, perf: DataFr
 SEVERITY_RANK = {"critical": 3, "warning": 2, "info": 1, "HIGH": 3, "MEDIUM": 2, "LOW": 1}
 
 
-def open_alerts(alerts: DataFrame, n: int = 10, by_rank: bool = False) -> DataFrame:
-    """Unresolved alerts, severity desc (as text, like the reference; or by rank), newest first."""
+def open_alerts(alerts: DataFrame, n: int = 10, by_rank: bool = False, by=()) -> DataFrame:
+    """Unresolved alerts, severity desc (as text, like the reference; or by rank), newest first; ``n`` in all or for each ``by`` group."""
     sev = F.col("severity")
     if by_rank:
         m = F.create_map(*[x for k, v in SEVERITY_RANK.items() for x in (F.lit(k), F.lit(v))])
         sev = F.element_at(m, F.col("severity"))
-    return alerts.where(~F.col("resolved")).orderBy(sev.desc(), F.col("timestamp").desc(),
-                                                    F.col("alert_id").desc()).limit(n)
+    order = [sev.desc(), F.col("timestamp").desc(), F.col("alert_id").desc()]
+    rows = alerts.where(~F.col("resolved"))
+    if not by:
+        return rows.orderBy(*order).limit(n)
+    w = Window.partitionBy(*by).orderBy(*order)  # at most n rows of a group leave a task (WindowGroupLimit)
+    return rows.withColumn("_sf_rn", F.row_number().over(w)).where(F.col("_sf_rn") <= n).drop("_sf_rn")
 
 
 # PM6 --------------------------------------------------------------------------------------------

@@ -2,9 +2,10 @@
 
 Report rows: (check, column, status in {passed, failed, warning}, observed).
 All scalar measures (null counts, range violations, date bounds, infinities,
-all-zero columns, the business rule) come from ONE aggregation pass; exact and
-key duplicates share one grouping; IQR outliers use bracket-and-select quartiles. Every group is aggregated map-side first, so a hot key costs nothing
-extra.
+all-zero columns, the business rule) come from ONE aggregation pass; exact
+duplicates are counted by 128-bit row hashes, and only rows whose hash repeats are compared whole; IQR outliers use
+bracket-and-select quartiles. Every group is aggregated map-side first, so a hot key costs nothing
+extra. With ``by`` every check and the verdict come once for each group (a NULL group is one).
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import exact_quantiles, unpivot_numeric
+from salesflow.operators.blocks import attach, exact_quantiles, maybe_broadcast, null_safe_join, unpivot_numeric
 from salesflow.functions.exprs import non_blank
+from salesflow.session import checkpoint_dir
 
 REQUIRED = ("date", "region", "product", "price", "quantity", "sales")
 CRITICAL = ("date", "sales")
@@ -38,10 +40,12 @@ def _is_numeric(t: str) -> bool:
 
 
 def scalar_checks(df: DataFrame, required=REQUIRED, critical=CRITICAL, as_of=None,
-                  null_warn_pct: float = 10.0, min_span_days: int = 30) -> DataFrame:
-    """Q1-Q6, Q11, Q12, Q14 from one aggregation pass."""
+                  null_warn_pct: float = 10.0, min_span_days: int = 30, by=()) -> DataFrame:
+    """Q1-Q6, Q11, Q12, Q14 from one aggregation pass (one row of checks for each ``by`` group)."""
+    by = list(by)
     types = dict(df.dtypes)
-    cols = df.columns
+    cols = [c for c in df.columns if c not in by]
+    required, critical = ([c for c in names if c not in by] for names in (required, critical))
     aggs = {"n": F.count(F.lit(1))}
     for c in cols:
         miss = F.col(c).isNull() | (F.isnan(F.col(c)) if types[c] in ("double", "float") else F.lit(False))
@@ -63,7 +67,7 @@ def scalar_checks(df: DataFrame, required=REQUIRED, critical=CRITICAL, as_of=Non
         aggs["date_span"] = F.datediff(F.max(d), F.min(d))
     if all(c in cols and _is_numeric(types[c]) for c in ("price", "quantity", "sales")):
         aggs["business_rule"] = F.max(F.abs(F.col("price") * F.col("quantity") - F.col("sales")))
-    one = df.agg(*[v.alias(k) for k, v in aggs.items()])
+    one = df.groupBy(*by).agg(*[v.alias(k) for k, v in aggs.items()])
     n = F.col("n")
     rows = [_row("not_empty", None, n, _status(n == 0, FAILED))]
     for c in required:
@@ -94,62 +98,91 @@ def scalar_checks(df: DataFrame, required=REQUIRED, critical=CRITICAL, as_of=Non
     if "business_rule" in aggs:
         rows.append(_row("business_rule", "sales", F.col("business_rule"),
                          _status(~F.coalesce(F.col("business_rule") < 0.01, F.lit(True)), FAILED)))
-    return one.select(F.inline(F.array(*rows)))
+    return one.select(*by, F.inline(F.array(*rows)))
+
+
+def _row_hash(df: DataFrame) -> list[Column]:
+    """128 bits of a row; equal rows (as grouping sees them: NULL = NULL, -0.0 = 0.0) have equal hashes."""
+    floats = {c for c, t in df.dtypes if t in ("double", "float")}
+    cols = [F.col(c) + F.lit(0.0) if c in floats else F.col(c) for c in df.columns]
+    return [F.xxhash64(*cols).alias("_h1"), F.xxhash64(F.lit(20_261_203), *reversed(cols)).alias("_h2")]
 
 
-def duplicate_checks(df: DataFrame, keys=KEYS) -> DataFrame:
-    """Q7 exact duplicates (warning, observed = count) and Q8 key duplicates (failed).
+def exact_duplicates(df: DataFrame, by=()) -> DataFrame:
+    """(by..., dup): rows that repeat an earlier one in all columns.
 
-    NULLs compare equal (pandas ``duplicated``). One shuffle of the data:
-    groups over all columns refine the key groups, so the key counts are
-    re-aggregated from the (much smaller) all-column counts.
+    Hashes are counted first: 16 bytes a row are shuffled, pre-aggregated. Rows whose hash
+    occurs once are unique and stay where they are; only the others are grouped whole, so the
+    count is exact whatever the hash does. The repeated hashes are broadcast when their counted
+    number allows it, otherwise joined as Spark plans it.
     """
-    full = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
-    exact = full.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
-    out = exact.select(F.inline(F.array(_row("duplicates", None, F.col("dup"), _status(F.col("dup") > 0, WARNING)))))
+    by = list(by)
+    checkpoint_dir(df.sparkSession)
+    hashed = df.select("*", *_row_hash(df))
+    again = hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_h1", "_h2").checkpoint(eager=True)
+    rows = hashed.join(maybe_broadcast(again, again.count()), ["_h1", "_h2"], "left_semi")
+    full = rows.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+    return full.groupBy(*by).agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
+
+
+def duplicate_checks(df: DataFrame, keys=KEYS, by=()) -> DataFrame:
+    """Q7 exact duplicates (warning, observed = count) and Q8 key duplicates (failed); NULLs compare equal (pandas ``duplicated``)."""
+    by = list(by)
+
+    def rows(dup: DataFrame, check: str, column, level: str) -> DataFrame:
+        return dup.select(*by, F.inline(F.array(_row(check, column, F.col("dup"), _status(F.col("dup") > 0, level)))))
+
+    exact = exact_duplicates(df, by)
+    if by:  # groups without a repeated row
+        exact = null_safe_join(df.select(*by).distinct(), exact, by, "left").withColumn("dup", F.coalesce("dup", F.lit(0)))
+    out = rows(exact, "duplicates", None, WARNING)
     if all(k in df.columns for k in keys):
-        kd = full.groupBy(*keys).agg(F.sum("_c").alias("_c")).agg(
-            F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
-        out = out.unionByName(kd.select(F.inline(F.array(
-            _row("key_duplicates", ",".join(keys), F.col("dup"), _status(F.col("dup") > 0, FAILED))))))
+        groups = df.groupBy(*dict.fromkeys([*by, *keys])).agg(F.count(F.lit(1)).alias("_c"))
+        dup = groups.groupBy(*by).agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("dup"))
+        out = out.unionByName(rows(dup, "key_duplicates", ",".join(keys), FAILED))
     return out
 
 
-def outlier_check(df: DataFrame, cols=NUMERIC_REQUIRED, k: float = 3.0, max_pct: float = 5.0) -> DataFrame:
+def outlier_check(df: DataFrame, cols=NUMERIC_REQUIRED, k: float = 3.0, max_pct: float = 5.0, by=()) -> DataFrame:
     """Q9: share of rows outside the k x IQR fences per column; warning above ``max_pct``.
 
     Exact quartiles by bracket-and-select, then one aggregate over the rows
     with the per-column fences attached (NULL values count in the denominator,
     never as outliers).
     """
+    by = list(by)
     cols = [c for c in cols if c in df.columns]
-    long = unpivot_numeric(df, cols)
-    q = exact_quantiles(long, ["column"], "value", (0.25, 0.75))
-    f = q.groupBy("column").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
-                                F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
+    long = unpivot_numeric(df, cols, by=by)
+    q = exact_quantiles(long, [*by, "column"], "value", (0.25, 0.75))
+    f = q.groupBy(*by, "column").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
+                                     F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     out_cond = (F.col("value") < F.col("q1") - k * iqr) | (F.col("value") > F.col("q3") + k * iqr)
-    # the fence table has one row per column: broadcast by construction
-    per = long.join(F.broadcast(f), "column", "left").groupBy("column").agg(
+    if by:  # a column without values in a group has no fences there
+        f = null_safe_join(long.select(*by, "column").distinct(), f, [*by, "column"], "left")
+        fenced = attach(long, f, [*by, "column"])
+    else:  # the fence table has one row per column: broadcast by construction
+        fenced = long.join(F.broadcast(f), "column", "left")
+    per = fenced.groupBy(*by, "column").agg(
         F.count_if(F.coalesce(out_cond, F.lit(False))).alias("_o"), F.count(F.lit(1)).alias("_n_rows"))
     pct = F.round(F.col("_o") * 100.0 / F.col("_n_rows"), 2)
-    return per.select(F.lit("statistical_outliers").alias("check"), "column",
+    return per.select(*by, F.lit("statistical_outliers").alias("check"), "column",
                       _status(pct > max_pct, WARNING).alias("status"), pct.cast("double").alias("observed"))
 
 
-def validate(df: DataFrame, required=REQUIRED, keys=KEYS, as_of=None, outliers: bool = True) -> DataFrame:
-    """Q1-Q9 report (long form)."""
-    out = scalar_checks(df, required, as_of=as_of).unionByName(duplicate_checks(df, keys))
+def validate(df: DataFrame, required=REQUIRED, keys=KEYS, as_of=None, outliers: bool = True, by=()) -> DataFrame:
+    """Q1-Q9 report (long form), for each ``by`` group."""
+    out = scalar_checks(df, required, as_of=as_of, by=by).unionByName(duplicate_checks(df, keys, by))
     if outliers:
-        out = out.unionByName(outlier_check(df))
+        out = out.unionByName(outlier_check(df, by=by))
     return out
 
 
-def verdict(report: DataFrame, strict: bool = False) -> DataFrame:
-    """Q13: one row - valid, counts of passed / failed / warnings."""
-    agg = report.agg(F.count_if(F.col("status") == PASSED).alias("n_passed"),
-                     F.count_if(F.col("status") == FAILED).alias("n_failed"),
-                     F.count_if(F.col("status") == WARNING).alias("n_warnings"))
+def verdict(report: DataFrame, strict: bool = False, by=()) -> DataFrame:
+    """Q13: one row (for each ``by`` group) - valid, counts of passed / failed / warnings."""
+    agg = report.groupBy(*by).agg(F.count_if(F.col("status") == PASSED).alias("n_passed"),
+                                  F.count_if(F.col("status") == FAILED).alias("n_failed"),
+                                  F.count_if(F.col("status") == WARNING).alias("n_warnings"))
     valid = F.col("n_failed") == 0
     if strict:
         valid = valid & (F.col("n_warnings") == 0)

@@ -150,13 +150,16 @@ def missing_report(df: DataFrame, cols=None) -> DataFrame:
                        F.try_divide(F.col("missing") * 100.0, F.col("_n")).alias("missing_pct"))
 
 
+#: largest domain that is listed in one row
+MAX_LISTED = 100_000
+
+
 # A11 --------------------------------------------------------------------------------------------
 def distinct_values(df: DataFrame, cols, approx: bool = False, with_values: bool = False) -> DataFrame:
     """(column, n_distinct[, values]) per column.
 
-    ``with_values`` lists the domain and is meant for categorical columns
-    (regions, products), whose domain is bounded; counts alone scale to any
-    cardinality.
+    ``with_values`` lists a domain of at most ``MAX_LISTED`` values in one row (a larger one
+    raises an error: ``domain`` has it as rows, at any size); counts alone scale to any cardinality.
     """
     cols = list(cols)
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
@@ -165,9 +168,19 @@ def distinct_values(df: DataFrame, cols, approx: bool = False, with_values: bool
     # de-duplicate with a shuffle on (column, value) first; the final list is per column
     d = long.where(F.col("value").isNotNull()).distinct()
     aggs = [F.count(F.lit(1)).alias("n_distinct")]
-    if with_values:
-        aggs.append(F.array_sort(F.collect_list("value")).alias("values"))
-    return d.groupBy("column").agg(*aggs)
+    if not with_values:
+        return d.groupBy("column").agg(*aggs)
+    sizes = d.groupBy("column").agg(*aggs).agg(F.max("n_distinct")).first()[0] or 0
+    if sizes > MAX_LISTED:
+        raise ValueError(f"a domain of {sizes} values is not listed in one row; use domain()")
+    return d.groupBy("column").agg(*aggs, F.array_sort(F.collect_list("value")).alias("values"))
+
+
+def domain(df: DataFrame, cols) -> DataFrame:
+    """Distinct (column, value, n_rows) rows: a domain of any size, spread over the tasks."""
+    cols = list(cols)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "column", "value")
+    return long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # A12 --------------------------------------------------------------------------------------------

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from salesflow.operators import drift as D
 from salesflow.operators.relational import label_period
 from salesflow.plans.common import max_scalar, rounded, rsql, sales
 from salesflow.plans.registry import register
+from salesflow.session import scratch_path
 from salesflow.sources import fixtures as fx
 from salesflow.sources.fixtures import DRIFT_METRICS_SQL, sales_sql, with_views
 
@@ -89,6 +92,28 @@ def ks_test(spark, sf_dir):
     return rounded(D.ks_test(_labelled(spark, sf_dir), FEATURES, "period"))
 
 
+# small samples: customers of each nation, even keys against odd ones; the lattice-path recursion as a list carried along
+_ACCOUNTS = """SELECT c_nationkey, CASE WHEN c_custkey % 3 = 0 THEN 'current' ELSE 'reference' END AS period,
+  'balance' AS feature, CAST(c_acctbal AS DOUBLE) AS value FROM customer """
+
+
+@register("d2_ks_exact", f"""
+WITH RECURSIVE long AS ({_ACCOUNTS}), {_ks_sql(("c_nationkey",))},
+b AS (SELECT c_nationkey, feature, n_ref AS n, n_cur AS m, ks_statistic, CAST(round(ks_statistic * n_ref * n_cur) AS BIGINT) AS reach FROM ks),
+r AS (SELECT *, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS low, [CAST(1 AS DOUBLE)] AS p FROM b UNION ALL
+  SELECT c_nationkey, feature, n, m, ks_statistic, reach, k + 1, lo2, list_transform(range(lo2, hi2 + 1), lambda i:
+    (coalesce(p[i - low], 0) * i + coalesce(p[i - low + 1], 0) * (k + 1 - i)) / (k + 1))
+  FROM (SELECT *, CAST(greatest(floor(((k + 1) * n - reach) / (n + m)) + 1, k + 1 - m, 0) AS BIGINT) AS lo2,
+          CAST(least(ceil(((k + 1) * n + reach) / (n + m)) - 1, k + 1, n) AS BIGINT) AS hi2 FROM r WHERE k < n + m))
+SELECT c_nationkey, feature, n AS n_ref, m AS n_cur, {rsql('ks_statistic')} AS ks_statistic,
+  {rsql('least(1.0, greatest(0.0, 1.0 - coalesce(p[n - low + 1], 0)))')} AS p_value,
+  least(1.0, greatest(0.0, 1.0 - coalesce(p[n - low + 1], 0))) < 0.05 AS drift_detected FROM r WHERE k = n + m""", ("D2",))
+def ks_exact(spark, sf_dir):
+    c = fx.table(spark, sf_dir, "customer")
+    c = c.select("c_nationkey", F.when(F.col("c_custkey") % 3 == 0, "current").otherwise("reference").alias("period"), F.col("c_acctbal").alias("balance"))
+    return rounded(D.ks_test(c, ["balance"], "period", by=["c_nationkey"], exact_rows=D.EXACT_ROWS))
+
+
 @register("d3_drift_report", _with(f"""SELECT count(*) FILTER (WHERE p_value < 0.05) > 0 AS has_drift,
   coalesce(array_to_string(list_sort(list(feature) FILTER (WHERE p_value < 0.05)), ','), '') AS drifted_features,
   count(*) FILTER (WHERE p_value < 0.05) AS drift_count, {len(FEATURES)} AS total_features,
@@ -125,3 +150,26 @@ FROM kp JOIN ps USING (feature)""", parts=("ks", "psi")), ("D7",))
 def monitoring_run(spark, sf_dir):
     s = sales(spark, sf_dir, ["date", *FEATURES])
     return rounded(D.monitoring_run(s, FEATURES, "date"))
+
+
+def _run_sql(before: str) -> str:
+    """The monitoring run on rows up to a day: the D7 statement over a view cut there."""
+    cut = f"(SELECT * FROM ({sales_sql()}) WHERE date <= {before})"
+    inner = _with(f"""SELECT CAST((SELECT max(date) FROM lab) AS DATE) AS as_of,
+  kp.feature AS feature_name, {rsql('ks_statistic')} AS drift_score, p_value < 0.05 AS drift_detected,
+  {rsql('ks_statistic')} AS ks_statistic, {rsql('p_value')} AS ks_pvalue, {rsql('psi')} AS psi_score
+FROM kp JOIN ps USING (feature)""", parts=("ks", "psi"))
+    return inner.replace(f"({sales_sql()})", cut)
+
+
+@register("d7_appended_history", f"""
+SELECT * FROM ({_run_sql("(SELECT max(l_shipdate) - INTERVAL 45 DAY FROM lineitem)")}) UNION ALL SELECT * FROM ({_run_sql("(SELECT max(l_shipdate) FROM lineitem)")})""", ("D7", "IO8"))
+def appended_history(spark, sf_dir):
+    """Two runs appended to ``drift_metrics``, the second one twice: each day's rows stand there once."""
+    s = sales(spark, sf_dir, ["date", *FEATURES])
+    path = scratch_path(spark, "d7-drift-metrics")
+    newest = s.agg(F.max("date")).first()[0]
+    for back in (45, 0, 0):
+        upto = s.where(F.col("date") <= F.date_sub(F.lit(newest), back))
+        D.append_drift_metrics(D.monitoring_run(upto, FEATURES, "date"), path)
+    return rounded(D.read_drift_metrics(spark, path))

@@ -154,6 +154,30 @@ def dataset_info(spark, sf_dir):
                        (F.col("size_bytes") > 0).alias("has_bytes"), "columns")
 
 
+_IO11 = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
+_IO11_SQL = "CAST(('0x' || substr(md5(" + " || '|' || ".join(f"coalesce('=' || CAST({'CAST(l_shipdate AS DATE)' if c == 'l_shipdate' else c} AS VARCHAR), '-')" for c in _IO11) + "), 1, 15)) AS BIGINT)"
+
+
+@register("io11_partition_status", f"""
+SELECT l_returnflag, l_linestatus, count(*) + count(*) FILTER (WHERE again) AS n_rows,
+  CAST(sum({_IO11_SQL}) + coalesce(sum({_IO11_SQL}) FILTER (WHERE again), 0) AS VARCHAR) AS digest,
+  CASE WHEN count(*) FILTER (WHERE again) > 0 THEN 'changed' ELSE 'unchanged' END AS status, 1 AS files_read
+FROM (SELECT *, l_returnflag = 'N' AND l_linestatus = 'O' AND l_orderkey % 32 = 1 AS again FROM lineitem) GROUP BY ALL""", ("IO11",))
+def partition_status(spark, sf_dir):
+    """Rows appended to one partition: the status names it, and its new file alone is read again."""
+    li = fx.table(spark, sf_dir, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    path, parts = scratch_path(spark, "io11-table"), ["l_returnflag", "l_linestatus"]
+    li.select(*_IO11, *parts).write.partitionBy(*parts).parquet(path)
+    old = IO.fingerprint_tree(spark.read.parquet(path), parts, _IO11)
+    trees = scratch_path(spark, "io11-trees")
+    IO.write_table(old, trees)
+    old = IO.read_table(spark, trees)
+    more = li.where("l_returnflag = 'N' AND l_linestatus = 'O' AND l_orderkey % 32 = 1").select(*_IO11, *parts)
+    more.coalesce(1).write.mode("append").partitionBy(*parts).parquet(path)
+    new, read = IO.refresh_tree(spark, path, old, parts, _IO11)
+    return IO.tree_status(old, new, parts).withColumn("digest", F.col("digest").cast("string")).withColumn("files_read", F.lit(read))
+
+
 @register("io11_fingerprint", None, ("IO11",))
 def fingerprint(spark, sf_dir):
     li = fx.table(spark, sf_dir, "lineitem")

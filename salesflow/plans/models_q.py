@@ -90,6 +90,41 @@ def best_run(spark, sf_dir):
     return M.best_run(_runs(spark, sf_dir), "test_rmse")
 
 
+# runs of a model for each category within a region: the same tables, compared within the region
+_GROUP_RUNS_SQL = with_views(f"""
+SELECT region, category AS run_id, {metric_sql('sales', 'predicted', 'NOT is_test')},
+  {metric_sql('sales', 'predicted', 'is_test', 'test_')}
+FROM (SELECT *, date >= (SELECT max(date) FROM sales) - INTERVAL 365 DAY AS is_test FROM sales) GROUP BY region, category""", **SALES)
+
+
+def _group_runs(spark, sf_dir):
+    s = sales(spark, sf_dir, ["date", "region", "category", "sales", "predicted"])
+    lab = label_period(s, "date", max_scalar(s, "date"), 365)
+    test = F.col("period") == "current"
+    runs = lab.groupBy("region", F.col("category").alias("run_id")).agg(
+        *M.metric_exprs("sales", "predicted", where=~test), *M.metric_exprs("sales", "predicted", "test_", test))
+    return _round_metrics(_round_metrics(runs), "test_")
+
+
+@register("m7_compare_models_by_region", f"""
+SELECT *, rmse = min(rmse) OVER g AS best_rmse, mae = min(mae) OVER g AS best_mae, r2 = max(r2) OVER g AS best_r2,
+  mape = min(mape) OVER g AS best_mape FROM ({_GROUP_RUNS_SQL}) WINDOW g AS (PARTITION BY region)""", ("M7",))
+def compare_models_by_region(spark, sf_dir):
+    return M.compare_models(_group_runs(spark, sf_dir), "rmse", by=["region"])
+
+
+@register("m5_best_run_by_region", f"""
+SELECT * FROM ({_GROUP_RUNS_SQL}) WHERE test_rmse IS NOT NULL QUALIFY row_number() OVER (PARTITION BY region ORDER BY test_rmse, run_id) = 1""", ("M5",))
+def best_run_by_region(spark, sf_dir):
+    return M.best_run(_group_runs(spark, sf_dir), "test_rmse", by=["region"])
+
+
+@register("m8_top_runs_by_region", f"""
+SELECT * FROM ({_GROUP_RUNS_SQL}) QUALIFY row_number() OVER (PARTITION BY region ORDER BY r2 DESC, run_id) <= 3""", ("M8",))
+def top_runs_by_region(spark, sf_dir):
+    return M.search_runs(_group_runs(spark, sf_dir), "r2", False, 3, by=["region"])
+
+
 @register("m8_run_search", f"SELECT * FROM ({_RUNS_SQL}) ORDER BY rmse, run_id LIMIT 10", ("M8",))
 def run_search(spark, sf_dir):
     return M.search_runs(_runs(spark, sf_dir), "rmse", True, 10)

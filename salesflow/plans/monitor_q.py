@@ -128,6 +128,14 @@ def alerts(spark, sf_dir):
     return a.select("alert_type", "severity", "message", "subject")
 
 
+@register("pm5_open_alerts_by_type", with_views("""
+SELECT * FROM alerts WHERE NOT resolved QUALIFY row_number() OVER (PARTITION BY alert_type
+  ORDER BY CASE severity WHEN 'critical' THEN 3 WHEN 'warning' THEN 2 WHEN 'info' THEN 1 END DESC, "timestamp" DESC, alert_id DESC) <= 3""",
+                                          alerts=ALERTS_SQL), ("PM5", "W8"))
+def open_alerts_by_type(spark, sf_dir):
+    return PM.open_alerts(fx.alerts(spark, sf_dir), 3, by_rank=True, by=["alert_type"])
+
+
 @register("pm5_open_alerts", with_views("""
 SELECT * FROM alerts WHERE NOT resolved ORDER BY severity DESC, "timestamp" DESC, alert_id DESC LIMIT 10""",
                                         alerts=ALERTS_SQL), ("PM5",))

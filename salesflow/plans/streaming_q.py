@@ -16,7 +16,7 @@ PRED = {"predictions": PREDICTIONS_SQL}
 
 def _events_stream(spark, sf_dir, name):
     src = J.stage_source(fx.table(spark, sf_dir, "events"), name)
-    return J.read_stream(spark, src)
+    return J.read_stream(spark, src, files_per_trigger=J.files_for(spark, src))
 
 
 @register("st1_ingest_gate", with_views("""

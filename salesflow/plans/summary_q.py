@@ -200,6 +200,12 @@ def distinct_values(spark, sf_dir):
     return out.withColumn("values", F.array_join("values", ","))
 
 
+@register("a11_domain", with_views(" UNION ALL ".join(f"""
+SELECT '{c}' AS "column", {c} AS value, count(*) AS n_rows FROM sales WHERE {c} IS NOT NULL GROUP BY {c}""" for c in _A5_COLS), **SALES), ("A11",))
+def domain(spark, sf_dir):
+    return S.domain(sales(spark, sf_dir, _A5_COLS), _A5_COLS)
+
+
 # A12 ------------------------------------------------------------------------------------------
 @register("a12_price_histogram", with_views(f"""
 WITH r AS (SELECT min(price) AS mn, max(price) AS mx FROM sales),

@@ -200,3 +200,68 @@ def version_status(current: DataFrame, versions_path: str | None, spark: SparkSe
 
 def record_version(fp: DataFrame, versions_path: str) -> None:
     write_table(fp.withColumn("recorded_at", F.current_timestamp()), versions_path, mode="append")
+
+
+def row_digest(df: DataFrame, columns=None):
+    """A number below 2^60 for each row: 15 hex digits of the md5 of its values as text, NULL apart from any text."""
+    text = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (columns or df.columns)]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def fingerprint_tree(df: DataFrame, partitions, columns=None) -> DataFrame:
+    """The leaves: (partition..., file, bytes, modified, n_rows, digest) for every file that ``df`` reads.
+
+    ``digest`` is the sum of the row digests, so it depends on neither the order nor the layout of the rows, and a
+    parent's digest is the sum of its children's (``roll_up``). One aggregation, pre-summed in each task.
+    """
+    partitions = list(partitions)
+    columns = list(columns or [c for c in df.columns if c not in partitions])
+    meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+            F.col("_metadata.file_modification_time").alias("modified")]
+    rows = df.select(*partitions, *meta, row_digest(df, columns).alias("_d"))
+    return rows.groupBy(*partitions, "file", "bytes", "modified").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("_d").alias("digest"))
+
+
+def roll_up(leaves: DataFrame, level) -> DataFrame:
+    """(level..., files, bytes, n_rows, digest): children summed to their parent; no columns: the whole data set."""
+    return leaves.groupBy(*level).agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("n_rows").alias("n_rows"),
+                                      F.sum("digest").alias("digest"))
+
+
+def file_listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, file, bytes, modified) of the data files below ``path``, from the file system, without opening one."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"),
+                        F.col("_metadata.file_modification_time").alias("modified"))
+
+
+def refresh_tree(spark: SparkSession, path: str, old: DataFrame, partitions, columns=None) -> tuple[DataFrame, int]:
+    """The tree of the files as they are now, and how many of them were read: those that are new or differ in size or time.
+
+    Only their names come to the driver, to be read.
+    """
+    now = file_listing(spark, path)
+    same = now.join(old, ["file", "bytes", "modified"], "left_semi").select("file")
+    fresh = [r["path"] for r in now.join(same, "file", "left_anti").select("path").collect()]
+    kept = old.join(same, "file", "left_semi")
+    if not fresh:
+        return kept, 0
+    read = fingerprint_tree(spark.read.option("basePath", path).parquet(*fresh), partitions, columns)
+    return kept.unionByName(read), len(fresh)
+
+
+def tree_status(old: DataFrame, new: DataFrame, partitions) -> DataFrame:
+    """(partition..., n_rows, digest, status): new, changed, unchanged or removed, by content, not by files."""
+    partitions = list(partitions)
+    before = roll_up(old, partitions).select(*partitions, F.col("n_rows").alias("_rows"), F.col("digest").alias("_digest"), F.lit(True).alias("_old"))
+    after = roll_up(new, partitions).select(*partitions, "n_rows", "digest", F.lit(True).alias("_new"))
+    keys = [F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in partitions]
+    on = None
+    for c in partitions:
+        same = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+        on = same if on is None else on & same
+    both = after.alias("a").join(before.alias("b"), on, "full_outer")
+    status = F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "removed").when(
+        (F.col("n_rows") == F.col("_rows")) & (F.col("digest") == F.col("_digest")), "unchanged").otherwise("changed")
+    return both.select(*keys, F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"), F.coalesce("digest", F.lit(0).cast("decimal(38,0)")).alias("digest"),
+                       status.alias("status"))

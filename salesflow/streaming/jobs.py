@@ -24,18 +24,20 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def stage_source(df: DataFrame, name: str, files: int = 4, order: str = "ts") -> str:
+def stage_source(df: DataFrame, name: str, files: int | None = None, order: str = "ts", rows_per_file: int = 1_000_000) -> str:
     """Stage a batch frame as a file-stream source whose arrival order follows ``order``.
 
-    One range-partitioned write in ``files`` tasks (rows without event time come
-    first); the file source hands out files by modification time, which is then set
-    to the order of the ranges. Each micro-batch (``maxFilesPerTrigger=1``) sees later
+    One range-partitioned write, a range for every ``rows_per_file`` rows (four at least); rows without
+    event time come first, spread over as many ranges as they fill by a hash of the row. The file
+    source hands out files by modification time, which is then set
+    to the order of the ranges. Each micro-batch sees later
     events than the one before, as a live feed would. Test/fixture helper: a
     production stream arrives from upstream.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"src-{name}")
-    df.repartitionByRange(files, F.col(order).asc_nulls_first()).write.parquet(path)
+    files = files or max(4, -(-df.count() // rows_per_file))
+    df.repartitionByRange(files, F.col(order).asc_nulls_first(), F.xxhash64(*df.columns)).write.parquet(path)
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -46,6 +48,15 @@ def stage_source(df: DataFrame, name: str, files: int = 4, order: str = "ts") ->
     return path
 
 
+def files_for(spark: SparkSession, path: str, batches: int = 4) -> int:
+    """Files for each trigger such that what is staged makes about ``batches`` micro-batches, whatever its size."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    n = sum(s.getPath().getName().startswith("part-") for s in fs.listStatus(folder))
+    return max(1, -(-n // batches))
+
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType = EVENTS_SCHEMA,
                 files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path))
