@@ -73,3 +73,51 @@ def test_empty_and_repeated(spark, no_docs, tokenizer):
     twice = spark.createDataFrame([(1, "same text")] * 3, "doc_id long, text string")
     got = packing.pack(twice, vocabulary_path()).collect()
     assert len(got) == 3 and len({(r["sequence_id"], r["offset"]) for r in got}) == 3
+
+
+def test_words_of_many_slices_keep_their_ids(tokenizer, monkeypatch):
+    """Generations that fill up, words of one hash, long words and awkward characters: always the tokenizer's own ids."""
+    import random
+
+    import pyarrow as pa
+
+    from salesflow.llm.textbytes import text_bytes
+
+    monkeypatch.setattr(packing.WordTokenizer, "KEEP", 60)
+    monkeypatch.setattr(packing.WordTokenizer, "KEEP_LONG", 5)
+    tok = packing.WordTokenizer(vocabulary_path())
+    r = random.Random(3)
+    pool = ["a", "don't", "É", "naïve", "日本語", "x" * 17, "y" * 300, "12345678", "12345678abcdefgh", "12345678abcdefgi", "…", " ", "á", "İ", "<s>", "[MASK]", "\x0b", "ß"]
+    pool += ["".join(r.choice("abcdéè'.-0") for _ in range(r.randrange(1, 20))) for _ in range(300)]
+    for _ in range(40):
+        texts = [r.choice([" ", "\n", "\t ", "  "]).join(r.choice(pool) for _ in range(r.randrange(0, 40))) for _ in range(5)] + [None, ""]
+        ids, count = tok.ids(*text_bytes(pa.array(texts)))
+        want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert count.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+    simple = [chr(c) for c in range(256) if tok.SIMPLE.fullmatch(chr(c))]
+    assert all(tok.SIMPLE.fullmatch(c.lower()) for c in simple)
+
+
+def test_words_of_one_hash_are_told_apart(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    from salesflow.llm.textbytes import text_bytes
+
+    plain = packing.words
+
+    def clash(*args, **kwargs):
+        w = plain(*args, **kwargs)
+        w.hash = w.hash % np.uint64(3)
+        return w
+
+    monkeypatch.setattr(packing, "words", clash)
+    tok = packing.WordTokenizer(vocabulary_path())
+    for text in ["one two three four two one", "five one six", "seven " + "long" * 9 + " eight one " + "gnol" * 9, "two"]:
+        ids, _ = tok.ids(*text_bytes(pa.array([text])))
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_blocks_are_packed_alike_in_every_order(spark, docs):
+    first = sorted(map(tuple, packing.pack(docs.coalesce(1).orderBy("doc_id"), vocabulary_path()).select("doc_id", "start", "length", "sequence_id", "offset").collect()))
+    again = sorted(map(tuple, packing.pack(docs.coalesce(1).orderBy("text"), vocabulary_path()).select("doc_id", "start", "length", "sequence_id", "offset").collect()))
+    assert first == again
