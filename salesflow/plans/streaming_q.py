@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesflow.plans.common import rounded, rsql, sig, sig_sql
+from salesflow.plans.models_q import metric_sql
 from salesflow.plans.registry import register
 from salesflow.session import scratch_path
 from salesflow.sources import fixtures as fx
 from salesflow.sources.fixtures import PREDICTIONS_SQL, with_views
 from salesflow.streaming import jobs as J
+from salesflow.streaming import stateful as ST
 
 PRED = {"predictions": PREDICTIONS_SQL}
 
 
-def _events_stream(spark, sf_dir, name):
-    src = J.stage_source(fx.table(spark, sf_dir, "events"), name)
+def _events_stream(spark, sf_dir, name, tie=None):
+    src = J.stage_source(fx.table(spark, sf_dir, "events"), name, tie=tie)
     return J.read_stream(spark, src, files_per_trigger=J.files_for(spark, src))
 
 
@@ -72,6 +74,21 @@ def sliding_metrics(spark, sf_dir):
     return rounded(r, cols=["rmse", "mae", "r2"]).withColumn("mape", sig("mape", 9))
 
 
+@register("st3_row_windows", with_views(f"""
+WITH i AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY "timestamp", prediction_id) - 1 AS idx FROM predictions),
+n AS (SELECT region, count(*) AS n FROM predictions GROUP BY region),
+k AS (SELECT region, unnest(range(0, greatest((n - 1 - 100) // 50 + 1, 0))) AS window_id FROM n WHERE n > 100),
+w AS (SELECT k.window_id, i.* FROM k JOIN i ON i.region = k.region AND i.idx >= k.window_id * 50 AND i.idx < 100 + k.window_id * 50)
+SELECT region, window_id, 100 + window_id * 50 AS row_index, {metric_sql('actual_sales', 'predicted_sales')},
+  arg_max("timestamp", idx) AS "timestamp" FROM w GROUP BY region, window_id""", **PRED), ("ST3", "PM2"))
+def row_windows(spark, sf_dir):
+    """The hopping row windows of PM2 for each region, from a stream."""
+    s = J.as_predictions(_events_stream(spark, sf_dir, "st3-rows", tie="event_id"))
+    out = scratch_path(spark, "st3-rows-out")
+    ST.row_windows(s, "region", 100, out, scratch_path(spark, "st3-rows-ckpt"))
+    return rounded(spark.read.parquet(out), cols=["rmse", "mae", "r2"]).withColumn("mape", sig("mape", 9))
+
+
 @register("st4_dedupe_keys", with_views("SELECT DISTINCT region, product FROM predictions", **PRED), ("ST4", "U2"))
 def dedupe_keys(spark, sf_dir):
     s = J.as_predictions(_events_stream(spark, sf_dir, "st4"))
@@ -113,3 +130,19 @@ def latest_status(spark, sf_dir):
     out = scratch_path(spark, "st6-out")
     J.latest_status(s, "feature_name", "timestamp", "metric_id", out, scratch_path(spark, "st6-ckpt"))
     return rounded(J.read_latest(spark, out))
+
+
+@register("st6_status_updates", with_views(f"""
+SELECT feature_name, "timestamp", {rsql('drift_score')} AS drift_score, drift_detected FROM (
+  SELECT event_type AS feature_name, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp", value / 500.0 AS drift_score,
+         value > 250 AS drift_detected, event_id FROM events)
+QUALIFY row_number() OVER (PARTITION BY feature_name ORDER BY "timestamp" DESC, event_id DESC) = 1"""), ("ST6", "P10"))
+def status_updates(spark, sf_dir):
+    """The current status kept in update mode, changed keys merged into the table."""
+    s = _events_stream(spark, sf_dir, "st6-updates").select(
+        F.col("event_id").alias("metric_id"), F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.col("event_type").alias("feature_name"), (F.col("value") / 500.0).alias("drift_score"),
+        (F.col("value") > 250).alias("drift_detected"))
+    out = scratch_path(spark, "st6-updates-out")
+    ST.current_status(s, "feature_name", "timestamp", "metric_id", out, scratch_path(spark, "st6-updates-ckpt"))
+    return rounded(ST.read_status(spark, out))

@@ -24,11 +24,12 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def stage_source(df: DataFrame, name: str, files: int | None = None, order: str = "ts", rows_per_file: int = 1_000_000) -> str:
+def stage_source(df: DataFrame, name: str, files: int | None = None, order: str = "ts", rows_per_file: int = 1_000_000,
+                 tie: str | None = None) -> str:
     """Stage a batch frame as a file-stream source whose arrival order follows ``order``.
 
     One range-partitioned write, a range for every ``rows_per_file`` rows (four at least); rows without
-    event time come first, spread over as many ranges as they fill by a hash of the row. The file
+    event time come first, spread over as many ranges as they fill by ``tie`` (an id) or a hash of the row. The file
     source hands out files by modification time, which is then set
     to the order of the ranges. Each micro-batch sees later
     events than the one before, as a live feed would. Test/fixture helper: a
@@ -37,7 +38,7 @@ def stage_source(df: DataFrame, name: str, files: int | None = None, order: str
     spark = df.sparkSession
     path = scratch_path(spark, f"src-{name}")
     files = files or max(4, -(-df.count() // rows_per_file))
-    df.repartitionByRange(files, F.col(order).asc_nulls_first(), F.xxhash64(*df.columns)).write.parquet(path)
+    df.repartitionByRange(files, F.col(order).asc_nulls_first(), F.col(tie) if tie else F.xxhash64(*df.columns)).write.parquet(path)
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
