@@ -25,7 +25,7 @@ compared. Signatures travel packed, 16 bytes each, by hash range. Classes with a
 equal signature form a group; each group is first verified as a star around its
 hub, the member that meets most others over all groups. After the connected
 components of those links only pairs between different components are left to
-look at. They are compared among all that met the same hub, in bounded blocks, by
+look at: of all that met the same hub, those outside its largest component against all others, in bounded blocks, by
 parity sketches: the sketches of two sets differ in at most as many bits as the sets in
 elements, so a pair whose sketches differ in more than H bits is ruled out for
 certain. Only pairs that pass are emitted, and verified as whole sets. So a large
@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesflow.llm.common import text_slices, written
+from salesflow.llm.common import discard, text_slices, written
 from salesflow.llm.components import components
 from salesflow.llm.textbytes import NOT_SPACE, mix, text_bytes, words
 
@@ -245,6 +245,7 @@ def signatures(values: np.ndarray, sizes: np.ndarray, common: np.ndarray, t: Thr
 # ---------------------------------------------------------------- the join
 
 BLOCK = 1 << 14  # sketch cells of a row
+LIST = 4096  # classes of a signature in one row
 
 
 def profile(docs: DataFrame, n: int, cells: int) -> DataFrame:
@@ -294,13 +295,14 @@ def commonness(rows: DataFrame, cells: int) -> np.ndarray:
 
     out = np.zeros(cells, np.uint8)
     blocks = rows.where("block is not null").select("block", "counts")
-    for b, c in blocks.repartition("block").mapInArrow(add, "block int, counts binary").toLocalIterator():
+    # one byte a cell: at most 64 MB, whatever the documents
+    for b, c in blocks.repartition("block").mapInArrow(add, "block int, counts binary").collect():
         out[b * width:(b + 1) * width] = np.frombuffer(c, np.uint8)
     return out
 
 
 def candidate_groups(docs: DataFrame, common: np.ndarray, n: int, t: Threshold, buckets: int, partitions: int) -> DataFrame:
-    """Distinct lists of classes that share a signature (ascending, two at least)."""
+    """(g, n, members): classes that share a signature, each set of them once (``g``, ``n`` of them), in lists of at most ``LIST``."""
     sketch = docs.sparkSession.sparkContext.broadcast(common)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,15 +370,21 @@ def candidate_groups(docs: DataFrame, common: np.ndarray, n: int, t: Threshold,
         print_ = mix(np.add.reduceat(mix(cls.view(np.uint64)), begin) + size.astype(np.uint64))
         _, once = np.unique(print_, return_index=True)  # the same classes meet in many signatures
         once = once[size[once] > 1]
-        for i in range(0, len(once), 2048):
-            some = once[i:i + 2048]
+        # a common signature's classes are many rows, none of them large
+        pieces = -(-size[once] // LIST)
+        piece = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        once = np.repeat(once, pieces)
+        for i in range(0, len(once), 1024):
+            some, k = once[i:i + 1024], piece[i:i + 1024]
+            low = begin[some] + k * LIST
+            high = np.minimum(low + LIST, begin[some] + size[some])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(print_[some].view(np.int64)), pa.array([cls[b:b + k] for b, k in zip(begin[some], size[some], strict=True)], pa.list_(pa.int64()))],
-                ["print", "members"])
+                [pa.array(print_[some].view(np.int64)), pa.array(k.astype(np.int32)), pa.array(size[some]),
+                 pa.array([cls[a:b] for a, b in zip(low, high, strict=True)], pa.list_(pa.int64()))], ["g", "piece", "n", "members"])
 
     packed = docs.select("text").mapInArrow(index, "bucket int, sigs binary, classes binary")
-    groups = packed.repartition(partitions, "bucket").mapInArrow(meet, "print long, members array<long>")
-    return groups.dropDuplicates(["print"]).select("members")
+    groups = packed.repartition(partitions, "bucket").mapInArrow(meet, "g long, piece int, n long, members array<long>")
+    return groups.dropDuplicates(["g", "piece"]).select("g", "n", "members")
 
 
 def sketches(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -432,58 +440,83 @@ def _verified(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
              .select("u", "v", "na", "nb", "a", "b").mapInArrow(near, "u long, v long"))
     close = written(close, "close")
     # few hubs stand in many pairs: only the sets that are needed on either side travel
-    need = lambda key: sets.join(written(close.select(F.col(key).alias("class")).distinct(), "need"), "class", "left_semi")
-    return (close.join(side("u", need("u"), "elements"), "u").join(side("v", need("v"), "elements"), "v").select("u", "v", "a", "b")
-            .mapInArrow(run, "u long, v long"))
+    need = lambda key: sets.join(close.select(F.col(key).alias("class")).distinct(), "class", "left_semi")
+    out = written(close.join(side("u", need("u"), "elements"), "u").join(side("v", need("v"), "elements"), "v").select("u", "v", "a", "b")
+                  .mapInArrow(run, "u long, v long"), "links")
+    discard(close)
+    return out
 
 
-def _open_pairs(rows: DataFrame, t: Threshold, partitions: int, block: int) -> DataFrame:
-    """Pairs of classes that met one hub and lie in different components, unless their sketches rule them out.
+def _open_pairs(tagged: DataFrame, sets: DataFrame, t: Threshold, partitions: int, block: int) -> DataFrame | None:
+    """Pairs of classes that met one hub and lie in different components, unless their sketches rule them out; None without any.
 
-    ``rows``: (hub, n, class, root, size, sketch). The ``n`` classes of a hub are cut into
-    parts of about ``block``, and each task compares two parts (or one with itself).
+    ``tagged``: (hub, class, root). Of a hub's components the largest is never compared with itself: the classes of
+    the others are compared with its classes and with each other, so a group of n with one stray member
+    costs n. Both kinds are cut into parts of about ``block`` and each task compares two parts (or one with itself).
     """
-    parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    rows = (rows.withColumn("parts", parts).withColumn("part", F.pmod(F.hash("class"), F.col("parts")))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("hub", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "class", "root", "size", "sketch"))
+    by_root = tagged.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("n"))
+    live = written(by_root.groupBy("hub").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"))
+                   .where("n > most"), "live")
+    if not live.head(1):
+        discard(live)
+        return None
+    parts = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    rows = tagged.join(live, "hub").withColumn("large", F.col("root") == F.col("main"))
+    rows = rows.withColumn("p", parts(F.col("most"))).withColumn("q", parts(F.col("n") - F.col("most")))
+    rows = rows.withColumn("part", F.pmod(F.hash("class"), F.when(F.col("large"), F.col("p")).otherwise(F.col("q"))))
+    # (i, j, large ones on the other side) of every task that a class takes part in
+    place = lambda i, j, mixed: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(mixed).alias("mixed"))
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    small = F.concat(F.transform(every(F.col("p")), lambda k: place(F.col("part"), k, True)),
+                     F.transform(every(F.col("q")), lambda k: place(F.least(F.col("part"), k), F.greatest(F.col("part"), k), False)))
+    big = F.transform(every(F.col("q")), lambda k: place(k, F.col("part"), True))
+    rows = rows.join(sets.select("class", "size", "sketch"), "class").withColumn("task", F.explode(F.when(F.col("large"), big).otherwise(small)))
+    rows = rows.select("hub", "task.i", "task.j", "task.mixed", "large", "part", "class", "root", "size", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, found = None, [], []
 
         def compare():
-            (_, i, j), rows_ = key, held
-            size = min(len(r[4]) for r in rows_)
-            x = np.array([_folded(r[4], size) for r in rows_])
-            part, cls, root, n = (np.array([r[c] for r in rows_], np.int64) for c in range(4))
-            for k in range(len(rows_) - 1):
-                ok = _possible(x[k + 1:], n[k + 1:], x[k], n[k], t) & (root[k + 1:] != root[k])
-                if i != j:
-                    ok &= part[k + 1:] != part[k]
-                if ok.any():
-                    hit = cls[k + 1:][ok]
-                    found.append(np.column_stack([np.minimum(hit, cls[k]), np.maximum(hit, cls[k])]))
+            _, i, j, mixed = key
+            size = min(len(r[5]) for r in held)
+            x = np.array([_folded(r[5], size) for r in held])
+            side, part, cls, root, n = (np.array([r[c] for r in held], np.int64) for c in range(5))
+            if mixed:  # the fewer ones, one after the other, against all of the other side
+                few = np.flatnonzero(side == 0)
+                many = np.flatnonzero(side == 1)
+                if len(few) > len(many):
+                    few, many = many, few
+                turns = [(k, many) for k in few]
+            elif i == j:
+                turns = [(k, np.arange(k + 1, len(held))) for k in range(len(held) - 1)]
+            else:
+                other = np.flatnonzero(part != i)
+                turns = [(k, other) for k in np.flatnonzero(part == i)]
+            for k, others in turns:
+                hit = others[_possible(x[others], n[others], x[k], n[k], t) & (root[others] != root[k])]
+                if len(hit):
+                    found.append(np.column_stack([np.minimum(cls[hit], cls[k]), np.maximum(cls[hit], cls[k])]))
 
         def emit():
             pairs = np.unique(np.concatenate(found), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
         for batch in batches:
-            for hub, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (hub, i, j) != key:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:4] != key:
                     if len(held) > 1:
                         compare()
-                    key, held = (hub, i, j), []
+                    key, held = row[:4], []
                     if sum(map(len, found)) > 200_000:
                         yield emit()
                         found.clear()
-                held.append(row)
+                held.append(row[4:])
         if len(held) > 1:
             compare()
         if found:
             yield emit()
 
-    return rows.repartition(partitions, "hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(run, "u long, v long").distinct()
+    return rows.repartition(partitions, "hub", "i", "j", "mixed").sortWithinPartitions("hub", "i", "j", "mixed").mapInArrow(run, "u long, v long").distinct()
 
 
 def _likely(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -502,6 +535,22 @@ def _likely(docs: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFra
                        how).drop("__at", "__one")
 
 
+def _one_of_each(sets: DataFrame) -> DataFrame:
+    """One row of every class; only the numbers of rows that repeat a class are looked up."""
+    numbered = sets.withColumn("__row", F.monotonically_increasing_id())
+    again = written(numbered.groupBy("class").agg(F.min("__row").alias("__keep"), F.count(F.lit(1)).alias("__n")).where("__n > 1")
+                    .select("class", "__keep"), "again")
+    out = sets.drop("doc_id")
+    if again.head(1):
+        out = numbered.join(again, "class", "left").where("__keep is null or __keep = __row").drop("doc_id", "__row", "__keep")
+        out = written(out, "sets")
+        discard(sets)
+    else:
+        out._scratch_path = sets._scratch_path
+    discard(again)
+    return out
+
+
 def similar_sets(docs: DataFrame, n: int = 5, **params) -> DataFrame:
     """(doc_id, size, component) of every document: the smallest doc_id reachable by links (``params``: of ``_labelled``)."""
     return _labelled(docs, n, **params).select("doc_id", "size", "component")
@@ -526,7 +575,7 @@ def _labelled(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, docs_p
     known = rows.where("block is null").select("doc_id", "size", "class")
     classes = written(known.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("first"), F.min("size").alias("size")), "classes")
     groups = candidate_groups(docs, commonness(rows, cells), n, t, buckets, partitions)
-    members = written(groups.select(F.xxhash64("members").alias("g"), F.size("members").alias("n"), F.explode("members").alias("class")), "members")
+    members = written(groups.select("g", "n", F.explode("members").alias("class")), "members")
 
     # whole sets of the classes that meet anywhere, taken from each class's first document
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -535,32 +584,37 @@ def _labelled(docs: DataFrame, n: int = 5, num: int = 75, den: int = 100, docs_p
                 values, sizes = shingles(part.column("text"), n)
                 end = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(class_ids(values, sizes)), pa.array(sizes.astype(np.int64)), pa.array(sketches(values, sizes), pa.binary()),
+                    [part.column("doc_id"), pa.array(class_ids(values, sizes)), pa.array(sizes.astype(np.int64)), pa.array(sketches(values, sizes), pa.binary()),
                      pa.array([values[e - k:e].tobytes() for e, k in zip(end, sizes, strict=True)], pa.binary())],
-                    ["class", "size", "sketch", "elements"])
+                    ["doc_id", "class", "size", "sketch", "elements"])
 
     met = members.groupBy("class").agg(F.sum("n").alias("meets"))
     met = written(met, "met")
     firsts = written(classes.join(met.select("class"), "class").select(F.col("first").alias("doc_id"), "class"), "firsts")
-    wanted = firsts.select(F.col("doc_id").alias("__first"))
-    texts = (_likely(docs.select("doc_id", "text"), firsts)
-             .join(wanted, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi"))
-    sets = written(texts.mapInArrow(whole, "class long, size long, sketch binary, elements binary"), "sets")
-    if sets.select("class").distinct().count() < sets.count():  # rows share a doc_id: one set of each class is enough
-        sets = written(sets.dropDuplicates(["class"]), "sets")
+    # no text is shuffled: the filter lets some other documents through, whose sets nobody asks for, or which repeat a class
+    likely = _likely(docs.select("doc_id", "text"), firsts)
+    sets = written(likely.mapInArrow(whole, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, class long, size long, sketch binary, elements binary"), "sets")
+    sets = _one_of_each(sets)
+    discard(firsts)
 
+    # each step's tables go as soon as the next ones are written
     hubs = members.join(met, "class").groupBy("g").agg(F.max_by("class", F.struct("meets", "class")).alias("hub"))
-    star = written(members.join(written(hubs, "hubs"), "g").where("class <> hub").select("hub", "class").distinct(), "star")
-    links = written(_verified(star.select(F.col("hub").alias("u"), F.col("class").alias("v")), sets, t), "links")
+    star = written(members.join(hubs, "g").where("class <> hub").select("hub", "class").distinct(), "star")
+    discard(members, met)
+    links = _verified(star.select(F.col("hub").alias("u"), F.col("class").alias("v")), sets, t)
     roots = written(components(links), "roots")
 
     # what the stars left open: pairs that met the same hub and are not connected yet
     tagged = written(star.join(roots, F.col("class") == F.col("node"), "left").select("hub", "class", F.coalesce("root", "class").alias("root")), "tagged")
-    live = written(tagged.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
-                   .where("a <> b").select("hub", "n"), "live")
-    rest = tagged.join(live, "hub").join(sets.select("class", "size", "sketch"), "class").select("hub", "n", "class", "root", "size", "sketch")
-    late = written(_verified(_open_pairs(rest, t, partitions, block), sets, t), "links")
-    linked = written(components(links.union(late)), "roots") if late.head(1) else roots
+    discard(star)
+    open_ = _open_pairs(tagged, sets, t, partitions, block)
+    linked = roots
+    if open_ is not None:
+        open_ = written(open_, "open")
+        late = _verified(open_, sets, t) if open_.head(1) else open_
+        if late.head(1):
+            linked = written(components(links.union(late)), "roots")
+    discard(tagged, sets)
 
     label = (classes.join(linked, F.col("class") == F.col("node"), "left")
              .select("class", "first", F.coalesce("root", "class").alias("root")))

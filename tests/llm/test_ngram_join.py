@@ -1,7 +1,9 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from salesflow.llm import ngram_join
 from salesflow.llm.components import components
@@ -143,3 +145,31 @@ def test_one_deletion_neighbourhoods_are_allocated_somewhere():
 def test_components(spark, edges, want):
     df = spark.createDataFrame(edges, "u long, v long")
     assert {r["node"]: r["root"] for r in components(df).collect()} == want
+
+
+def test_one_stray_member_is_compared_with_the_large_group_only(spark):
+    """A group of near copies with a stray member: its classes are copied once, not compared among themselves."""
+    base = prose(1, 200).split()
+    rows = []
+    for i in range(90):
+        w = list(base)
+        w[40] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    rows.append((500, " ".join(base[:8] + [f"other{k}" for k in range(60)])))
+    tagged = spark.createDataFrame([(7, i, 1) for i in range(90)] + [(7, 500, 500)], "hub long, class long, root long")
+    values = [(i, *(lambda v, n: (int(n[0]), v))(*ngram_join.shingles(pa.array([t])))) for i, t in rows]
+    sets = spark.createDataFrame([(i, n, bytearray(ngram_join.sketches(v, np.array([n]))[0])) for i, n, v in values], "class long, size long, sketch binary")
+    pairs = ngram_join._open_pairs(tagged, sets, ngram_join.Threshold(), 3, 40)
+    assert pairs.count() == 0
+    assert ngram_join._open_pairs(tagged.where("class < 90"), sets, ngram_join.Threshold(), 3, 40) is None
+    # three components: all pairs between them are looked at, none within the largest
+    three = tagged.where("class < 90").unionByName(spark.createDataFrame([(7, 91, 91), (7, 92, 92)], "hub long, class long, root long"))
+    more = sets.where("class < 90").unionByName(sets.where("class in (0, 1)").withColumn("class", F.col("class") + 91))
+    got = {tuple(r) for r in ngram_join._open_pairs(three, more, ngram_join.Threshold(), 3, 40).collect()}
+    assert got == {(i, c) for i in range(90) for c in (91, 92)} | {(91, 92)}
+
+
+def test_lists_of_a_common_signature_are_cut(spark, docs, monkeypatch):
+    whole = sorted(map(tuple, ngram_join.similar_sets(docs).collect()), key=str)
+    monkeypatch.setattr(ngram_join, "LIST", 2)
+    assert sorted(map(tuple, ngram_join.similar_sets(docs).collect()), key=str) == whole
