@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesflow.operators import drift as D
+from salesflow.operators import sketched as SK
 from salesflow.operators.relational import label_period
-from salesflow.plans.common import max_scalar, rounded, rsql, sales
+from salesflow.plans.common import max_scalar, rounded, rsql, sales, sig
+from salesflow.plans.models_q import metric_sql
 from salesflow.plans.registry import register
 from salesflow.session import scratch_path
 from salesflow.sources import fixtures as fx
@@ -173,3 +175,31 @@ def appended_history(spark, sf_dir):
         upto = s.where(F.col("date") <= F.date_sub(F.lit(newest), back))
         D.append_drift_metrics(D.monitoring_run(upto, FEATURES, "date"), path)
     return rounded(D.read_drift_metrics(spark, path))
+
+
+@register("d7_sketched_decisions", _with("""SELECT CAST((SELECT max(date) FROM lab) AS DATE) AS as_of, kp.feature AS feature_name,
+  p_value < 0.05 AS drift_detected, psi > 0.2 AS psi_significant FROM kp JOIN ps USING (feature)""", parts=("ks", "psi")), ("D7", "PM7"))
+def sketched_decisions(spark, sf_dir):
+    """The run's decisions from stored daily sketches; the second update reads the newest days only."""
+    s = sales(spark, sf_dir, ["date", *FEATURES])
+    path = scratch_path(spark, "d7-summaries")
+    newest = s.agg(F.max("date")).first()[0]
+    summarise = lambda df: SK.daily_summaries(df, FEATURES)
+    SK.update(s.where(F.col("date") <= F.date_sub(F.lit(newest), 20)), path, summarise)
+    SK.update(s, path, summarise)
+    run = SK.monitoring_run(s, SK.stored(spark, path), FEATURES, newest)
+    return run.select("as_of", "feature_name", "drift_detected", "psi_significant")
+
+
+@register("pm7_stored_errors", with_views(f"""
+SELECT region, {metric_sql('sales', 'predicted')} FROM sales WHERE date > (SELECT max(date) FROM sales) - INTERVAL 90 DAY GROUP BY region""",
+                                          sales=sales_sql()), ("PM7", "PM1"))
+def stored_errors(spark, sf_dir):
+    """Error metrics of the last 90 days from daily sums."""
+    s = sales(spark, sf_dir, ["date", "region", "sales", "predicted"])
+    path = scratch_path(spark, "pm7-errors")
+    SK.update(s, path, lambda df: SK.daily_errors(df, "sales", "predicted", by=["region"]))
+    errors = SK.stored(spark, path)
+    newest = errors.agg(F.max("day")).first()[0]
+    out = SK.metrics_of(errors.where(F.col("day") > F.date_sub(F.lit(newest), 90)), ["region"])
+    return rounded(out, 6, cols=["rmse", "mae", "r2"]).withColumn("mape", sig("mape", 9))
