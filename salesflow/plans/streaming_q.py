@@ -116,6 +116,40 @@ def stream_scoring(spark, sf_dir):
     return rounded(spark.read.parquet(out), 4)
 
 
+@register("st5_versioned_scoring", with_views(f"""
+WITH e AS (SELECT min(prediction_id) AS lo, max(prediction_id) AS hi FROM predictions),
+c AS (SELECT regr_slope(actual_sales, predicted_sales) AS b, regr_intercept(actual_sales, predicted_sales) AS a FROM predictions)
+SELECT prediction_id, CASE WHEN prediction_id * 2 <= lo + hi THEN 1 ELSE 2 END AS model_version,
+  {rsql('CASE WHEN prediction_id * 2 <= lo + hi THEN (SELECT a + b * predicted_sales FROM c) ELSE (SELECT avg(actual_sales) FROM predictions) END', 4)} AS predicted
+FROM predictions, e""", **PRED), ("ST5", "M10"))
+def versioned_scoring(spark, sf_dir):
+    """The first half of the ids is scored before version 2 is promoted, the other half after it."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    from salesflow.operators import models as M
+    batch = fx.predictions(spark, sf_dir).withColumn("label", F.col("actual_sales"))
+    models = scratch_path(spark, "st5v-models")
+    line = Pipeline(stages=[VectorAssembler(inputCols=["predicted_sales"], outputCol="features"), M.make_estimator("linear")])
+    line.fit(batch).write().overwrite().save(f"{models}/sales/1")
+    mean = Pipeline(stages=[SQLTransformer(statement="SELECT *, 0.0 AS zero FROM __THIS__"), VectorAssembler(inputCols=["zero"], outputCol="features"),
+                            M.make_estimator("linear")])
+    mean.fit(batch).write().overwrite().save(f"{models}/sales/2")
+    versions = spark.createDataFrame([("sales", 1, "Production"), ("sales", 2, "Staging")], "name string, version int, stage string")
+    table, out, ckpt = (scratch_path(spark, f"st5v-{n}") for n in ("versions", "out", "ckpt"))
+    versions.write.parquet(table)
+    lo, hi = batch.agg(F.min("prediction_id"), F.max("prediction_id")).first()
+    early = F.col("event_id") * 2 <= lo + hi
+    events = fx.table(spark, sf_dir, "events")
+    src = J.stage_source(events.where(early), "st5v")
+    run = lambda: J.score_following_versions(J.as_predictions(J.read_stream(spark, src)), table, models, "sales", out, ckpt, "prediction_id")
+    run()
+    M.transition(versions, "sales", 2, "Production", archive_existing=True).write.mode("overwrite").parquet(table)
+    events.where(~early).write.mode("append").parquet(src)
+    run()
+    return rounded(spark.read.parquet(out).select("prediction_id", "model_version", "predicted"), 4)
+
+
 @register("st6_latest_status", with_views(f"""
 SELECT feature_name, "timestamp", {rsql('drift_score')} AS drift_score, drift_detected FROM (
   SELECT event_type AS feature_name, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS "timestamp", value / 500.0 AS drift_score,

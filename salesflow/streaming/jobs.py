@@ -10,6 +10,7 @@ tables). The driver never collects stream data.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,3 +178,48 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
             if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
     newest = max(int(n.partition("=")[2]) for n in done)
     return spark.read.parquet(f"{path}/version={newest}")
+
+
+# ST5 with the version table --------------------------------------------------------------------
+def version_scorer(spark: SparkSession, versions_path: str, models_path: str, model: str, out_path: str, decisions_path: str, key: str):
+    """foreachBatch function: each micro-batch is scored with the Production version at its own start.
+
+    The version is recorded for the batch before anything is scored; a batch that is replayed finds that
+    record and takes the same version again, whatever has been promoted since. Output and record are
+    partitions of the epoch, so a replay replaces them. A batch without a Production version fails.
+    """
+    from pyspark.ml import PipelineModel
+
+    from salesflow.operators.models import production_version
+    loaded: dict[int, PipelineModel] = {}
+
+    def decided(epoch: int) -> int:
+        try:
+            row = spark.read.parquet(decisions_path).where(F.col("epoch") == epoch).select("version").first()
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no decision yet
+                raise
+            row = None
+        if row is None:
+            row = production_version(spark.read.parquet(versions_path), model).select("version").first()
+            if row is None:
+                raise RuntimeError(f"model {model} has no Production version")
+            spark.createDataFrame([(int(row["version"]), epoch)], "version int, epoch long").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(decisions_path)
+        return int(row["version"])
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        version = decided(epoch)
+        if version not in loaded:
+            loaded[version] = PipelineModel.load(f"{models_path}/{model}/{version}")
+        out = loaded[version].transform(df).select(
+            key, F.col("prediction").alias("predicted"), F.lit(model).alias("model_name"), F.lit(version).alias("model_version"), F.lit(epoch).alias("epoch"))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(out_path)
+
+    return batch
+
+
+def score_following_versions(stream: DataFrame, versions_path: str, models_path: str, model: str, out_path: str, checkpoint: str, key: str) -> None:
+    """ST5 that follows M10's version table; ``{checkpoint}-decisions`` holds the version of each micro-batch."""
+    _run(stream.writeStream.foreachBatch(version_scorer(stream.sparkSession, versions_path, models_path, model, out_path, f"{checkpoint}-decisions", key)),
+         checkpoint)

@@ -51,3 +51,31 @@ def test_a_replayed_batch_changes_nothing(spark):
         ST.merge_by_key(spark, out, "k", batch, epoch)
         now = {r["k"]: r["y"] for r in ST.read_status(spark, out).collect()}
     assert now == {"b": 3.0, "c": 4.0} and ST.versions(spark, out) == [0, 1]
+
+
+def test_scoring_follows_the_version_table_and_replays_alike(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+
+    from salesflow.operators import models as M
+    base = scratch_path(spark, "follow")
+    for version, slope in ((1, 2.0), (2, 5.0)):
+        train = spark.createDataFrame([(float(x), slope * x) for x in range(5)], "p double, label double")
+        Pipeline(stages=[VectorAssembler(inputCols=["p"], outputCol="features"), M.make_estimator("linear")]).fit(train).write().save(f"{base}/models/m/{version}")
+    versions = spark.createDataFrame([("m", 1, "Production"), ("m", 2, "Staging")], "name string, version int, stage string")
+    versions.write.parquet(f"{base}/versions")
+    df = spark.createDataFrame([(i, i, "k", 0.0, float(i)) for i in range(6)], "id long, s long, k string, y double, p double").select(
+        "id", F.timestamp_seconds("s").alias("ts"), "k", "y", "p")
+    src = J.stage_source(df.where("id < 3"), "follow", 1)
+    run = lambda: J.score_following_versions(J.read_stream(spark, src, SCHEMA), f"{base}/versions", f"{base}/models", "m", f"{base}/out", f"{base}/ckpt", "id")
+    run()
+    M.transition(versions, "m", 2, "Production", archive_existing=True).write.mode("overwrite").parquet(f"{base}/versions")
+    df.where("id >= 3").coalesce(1).write.mode("append").parquet(src)
+    run()  # a restart from the checkpoint
+    want = {i: (1, 2.0 * i) if i < 3 else (2, 5.0 * i) for i in range(6)}
+    read = lambda: {r["id"]: (r["model_version"], round(r["predicted"], 6)) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert read() == want
+    # the first batch once more, after the promotion: the version it had
+    again = J.version_scorer(spark, f"{base}/versions", f"{base}/models", "m", f"{base}/out", f"{base}/ckpt-decisions", "id")
+    again(df.where("id < 3"), 0)
+    assert read() == want
