@@ -6,9 +6,11 @@ regression over them is trained on the templates (whole, with words dropped, wit
 other words around them) and, as the unknown class, on paragraphs of a bounded,
 hash-chosen sample of the documents and on shuffled template words. Its temperature
 is fitted on a held-out part, and so is the least probability at which a family is
-accepted: the one that ``leak`` of the held-out unknown paragraphs pass, 0.5 at least. A
-family is reported only if one of its templates confirms it: ``confirm`` of the
-template's bigrams, in the paragraph.
+accepted: the one that ``leak`` of the held-out unknown paragraphs that a template confirms pass, 0.5 at least. The unknown class also holds
+notices of licences without templates. A family is reported only if one of its templates confirms it: ``confirm`` of the
+template's bigrams, in the paragraph, with a word that marks the family and none that marks a sibling (Lesser,
+Affero, NonCommercial). A whole sentence such as "All rights reserved" must end where its template does, unless the paragraph
+says copyright.
 
 A notice may run over line ends. Within lines that follow each other without one that
 has no word (comment marks are no words), the stretch of words that holds most bigrams
@@ -36,11 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import text_slices
+from salesflow.llm.common import text_sample, text_slices
 from salesflow.llm.textbytes import ALNUM, mix, text_bytes, words
 
 # fixed values: short customary notices of each family
 TEMPLATES = {
+    "agpl": [
+        "Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
@@ -53,12 +58,26 @@ TEMPLATES = {
         "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "cc-by-nc": [
         "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."],
     "cc-by-sa": [
         "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0"],
     "gpl": [
-        "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GPL v3.",
+        "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GPL v3.", "Licensed under the GPL v2.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: GPL-3.0-only",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "SPDX-License-Identifier: GPL-3.0-or-later"],
+    "isc": [
+        "Licensed under the ISC License.", "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "lgpl": [
+        "Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
     "mit": [
         "Released under the MIT License.", "Licensed under the MIT License.", "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
@@ -70,6 +89,24 @@ TEMPLATES = {
         "This work is in the public domain.", "Released under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright."],
 }
 FAMILIES = ["unknown", *sorted(TEMPLATES)]
+# fixed values: words, or pairs of words, of which a notice of the family has one
+MARKS = {"agpl": ["affero", "agpl"], "apache": ["apache"], "bsd": ["bsd", "redistribution"], "cc-by": ["cc by", "creative commons"],
+         "cc-by-nc": ["by nc", "noncommercial"], "cc-by-nd": ["by nd", "noderivatives"], "cc-by-sa": ["by sa", "sharealike"], "epl": ["eclipse", "epl"],
+         "gpl": ["gpl", "gnu"], "isc": ["isc", "granted"], "lgpl": ["lesser", "lgpl"], "mit": ["mit", "granted"], "mpl": ["mozilla", "mpl"]}
+# fixed values: words, or pairs of words, of which a notice of the family has none, as they mark another one
+_TERMS = {"nc": ["noncommercial", "by nc", "nc sa", "nc nd"], "nd": ["noderivatives", "noderivs", "by nd", "nc nd"], "sa": ["sharealike", "by sa", "nc sa"]}
+FOREIGN = {"agpl": ["lesser", "lgpl"], "gpl": ["lesser", "lgpl", "affero", "agpl"], "lgpl": ["affero", "agpl"],
+           "cc-by": [*_TERMS["nc"], *_TERMS["nd"], *_TERMS["sa"]], "cc-by-nc": [*_TERMS["nd"], *_TERMS["sa"]],
+           "cc-by-nd": [*_TERMS["nc"], *_TERMS["sa"]], "cc-by-sa": [*_TERMS["nc"], *_TERMS["nd"]]}
+#: families whose templates are sentences of everyday words: they end where the template does
+SENTENCES = ("proprietary", "public-domain")
+# fixed values: notices of licences without a family
+OTHERS = [
+    "SPDX-License-Identifier: OFL-1.1", "SPDX-License-Identifier: Zlib", "SPDX-License-Identifier: WTFPL", "SPDX-License-Identifier: BSL-1.0",
+    "Licensed under the Artistic License 2.0.", "Released under the Boost Software License, Version 1.0.", "Licensed under the Open Software License version 3.0.",
+    "Licensed under the European Union Public Licence v1.2.", "Licensed under CC BY-NC-ND 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."]
 GAP = 0.2
 _PAIR = mix(np.arange(31, 33, dtype=np.uint64)) | np.uint64(1)
 
@@ -82,6 +119,33 @@ def _hashes(text: str) -> np.ndarray:
     return words(*text_bytes(pa.array([text])), ALNUM).hash
 
 
+def _term(text: str) -> int:
+    """The hash of a word, or of a pair of words."""
+    h = _hashes(text)
+    return int(h[0] if len(h) == 1 else _bigrams(h)[0])
+
+
+_MARKS = {FAMILIES.index(f): frozenset(map(_term, w)) for f, w in MARKS.items()}
+_FOREIGN = {FAMILIES.index(f): frozenset(map(_term, w)) for f, w in FOREIGN.items()}
+_SENTENCES = frozenset(map(FAMILIES.index, SENTENCES))
+_COPYRIGHT = frozenset(map(_term, ("copyright", "©")))
+
+
+def allowed(h: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """(lines, families): whether a line has a mark of the family and none of a sibling; the unknown class always is."""
+    same = line[1:] == line[:-1]
+    key, of = np.r_[h, _bigrams(h)[same]], np.r_[line, line[1:][same]]
+    hits = np.isin(key, np.array(sorted(frozenset().union(*_MARKS.values(), *_FOREIGN.values())), np.uint64))
+    key, of = key[hits], of[hits]
+    out = np.ones((lines, len(FAMILIES)), bool)
+    for k in range(1, len(FAMILIES)):
+        if k in _MARKS:
+            out[:, k] = np.bincount(of[np.isin(key, np.array(sorted(_MARKS[k]), np.uint64))], minlength=lines) > 0
+        if k in _FOREIGN:
+            out[of[np.isin(key, np.array(sorted(_FOREIGN[k]), np.uint64))], k] = False
+    return out
+
+
 @dataclass
 class Scanner:
     vocabulary: np.ndarray         # sorted hashes of template unigrams and bigrams
@@ -90,9 +154,10 @@ class Scanner:
     least: float
     templates: list[tuple[int, frozenset]]  # family and its bigrams (or its word, of a one-word template)
     confirm: float
+    ends: list[int]                # the last bigram (or word) of each template
 
     def score(self, h: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
-        """Family probabilities of each line; ``h``: word hashes, ``line``: their lines, ascending."""
+        """Probabilities of each line's allowed families; ``h``: word hashes, ``line``: their lines, ascending."""
         x_line, x_cell = features(self.vocabulary, h, line)
         n = np.bincount(line, minlength=lines)
         known = np.bincount(line, weights=_known(self.vocabulary, h), minlength=lines)
@@ -101,14 +166,23 @@ class Scanner:
         for k in range(len(FAMILIES)):
             z[:, k] = np.bincount(x_line, weights=self.weight[x_cell, k], minlength=lines) / root
         z += np.column_stack([1 - known / np.maximum(n, 1), np.log1p(n)]) @ self.weight[-2:] + self.bias
-        p = np.exp(z - z.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
-
-    def confirmed(self, family: int, h: np.ndarray) -> float:
-        """The largest share of a template of the family that the paragraph holds."""
-        have = {*h.tolist(), *_bigrams(h).tolist()}
-        return max((len(t & have) / len(t) for f, t in self.templates if f == family), default=0.0)
-
+        return _softmax(np.where(allowed(h, line, lines), z, -np.inf))
+
+    def allowed(self, family: int, have: set) -> bool:
+        """Whether the words and pairs of a paragraph hold a mark of the family and none of a sibling."""
+        return (family not in _MARKS or not _MARKS[family].isdisjoint(have)) and _FOREIGN.get(family, frozenset()).isdisjoint(have)
+
+    def confirmed(self, family: int, h: np.ndarray, runs_on: np.ndarray | None = None) -> float:
+        """The largest share of a template of the family that the paragraph holds; ``runs_on``: words that another one follows at once."""
+        pairs = _bigrams(h).tolist()
+        have = {*h.tolist(), *pairs}
+        if not self.allowed(family, have):
+            return 0.0
+        ended = have
+        if family in _SENTENCES and runs_on is not None and have.isdisjoint(_COPYRIGHT):
+            ended = {x for x, on in zip([*h.tolist(), *pairs], [*runs_on.tolist(), *runs_on[1:].tolist()], strict=True) if not on}
+        return max((len(t & have) / len(t) for (f, t), end in zip(self.templates, self.ends, strict=True)
+                    if f == family and (end not in have or end in ended)), default=0.0)
 
     def matched(self, family: int, h: np.ndarray) -> int:
         """The most bigrams that the paragraph shares with a template of the family that confirms it."""
@@ -148,7 +222,9 @@ class Scanner:
         for first, last, family, n in self.stretches(h, line, row):
             core = h[first:last + 1]
             p = self.score(core, np.zeros(len(core), np.int64), 1)[0]
-            if p[1:].argmax() + 1 == family and p[family] > self.least:
+            around = np.flatnonzero((line >= line[first]) & (line <= line[last]) & (row == row[first]))
+            have = {*h[around].tolist(), *_bigrams(h[around]).tolist()}
+            if p[1:].argmax() + 1 == family and p[family] > self.least and self.allowed(family, have):
                 out.append((int(line[first]), int(line[last]), family, float(p[family]), self.confirmed(family, core), n))
         return out
 
@@ -212,10 +288,9 @@ def train(docs: DataFrame, sample_docs: int = 500, confirm: float = 0.6, leak: f
     templates = [(FAMILIES.index(f), _hashes(t)) for f in sorted(TEMPLATES) for t in TEMPLATES[f]]
     vocabulary = np.unique(np.concatenate([np.r_[h, _bigrams(h)] for _, h in templates]))
     shapes = [(f, frozenset((_bigrams(h) if len(h) > 1 else h).tolist())) for f, h in templates]
-    blank = Scanner(vocabulary, np.zeros((len(vocabulary) + 2, len(FAMILIES))), np.zeros(len(FAMILIES)), 1.0, shapes, confirm)
-    total = docs.count()
-    u = F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.lit("licence")), 11) / F.lit(float(1 << 53))
-    lines = (docs.where(u < F.lit(min(1.0, sample_docs / max(total, 1))))
+    ends = [int(_bigrams(h)[-1] if len(h) > 1 else h[-1]) for _, h in templates]
+    blank = Scanner(vocabulary, np.zeros((len(vocabulary) + 2, len(FAMILIES))), np.zeros(len(FAMILIES)), 1.0, shapes, confirm, ends)
+    lines = (text_sample(docs, sample_docs)
              .select(F.slice(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), 1, 8).alias("p")))
     rng = np.random.default_rng(seed)
     unknown = []
@@ -240,6 +315,9 @@ def train(docs: DataFrame, sample_docs: int = 500, confirm: float = 0.6, leak: f
             rows.append(np.r_[around[0], some, around[1]]), y.append(family)
     unknown += [rng.permutation(rng.choice(bag, int(rng.integers(1, 12)))) for _ in range(len(rows) // 2)]
     unknown += [np.r_[rng.choice(bag, int(rng.integers(1, 4))), rng.choice(everyday, int(rng.integers(3, 30)))] for _ in range(len(rows) // 2)]
+    for h in map(_hashes, OTHERS):
+        for c in range(copies):
+            unknown.append(np.r_[h, rng.choice(everyday, int(rng.integers(0, 5)) if c > copies // 2 else 0)])
     y = np.array(y + [0] * len(unknown))
     x = _matrix(vocabulary, rows + unknown).astype(np.float32)
     held = rng.random(len(y)) < 0.25
@@ -248,17 +326,24 @@ def train(docs: DataFrame, sample_docs: int = 500, confirm: float = 0.6, leak: f
     balance = (balance / balance.sum())[:, None].astype(np.float32)
     target, move, move_b = np.eye(len(FAMILIES), dtype=np.float32)[y[~held]], np.float32(0), np.float32(0)
     learn = x[~held]
+    # what the marks rule out is not the regression's to tell apart; a thinned notice may have lost its mark
+    every = rows + unknown
+    barred = ~allowed(np.concatenate(every), np.repeat(np.arange(len(every)), [len(h) for h in every]), len(every))
+    barred[np.arange(len(y)), y] = False
+    wall = np.where(barred, np.float32(-1e9), np.float32(0))
     for _ in range(200):
-        p = _softmax(learn @ weight + bias)
+        p = _softmax(learn @ weight + bias + wall[~held])
         g = (p - target) * balance
         move = 0.9 * move - 2.0 * (learn.T @ g + 1e-4 * weight)
         move_b = 0.9 * move_b - 2.0 * g.sum(0)
         weight, bias = weight + move, bias + move_b
-    z = x[held] @ weight + bias
+    z = x[held] @ weight + bias + wall[held]
     heat = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 5.0), key=lambda t: -np.log(_softmax(z / t)[np.arange(len(z)), y[held]] + 1e-12).mean())
     p = _softmax(z / heat)
-    unknown_p = p[y[held] == 0, 1:].max(1)
-    least = max(0.5, float(np.quantile(unknown_p, 1 - leak))) if len(unknown_p) else 0.5
+    # paragraphs that no template confirms are never reported, whatever their probability
+    passes = [any(blank.confirmed(f, h) >= confirm for f in range(1, len(FAMILIES))) for h, k, out in zip(every, y, held, strict=True) if out and not k]
+    unknown_p = p[y[held] == 0, 1:].max(1)[np.array(passes, bool)]
+    least = max(0.5, float(np.quantile(unknown_p, 1 - leak))) if len(unknown_p) >= 1 / leak else 0.5
     blank.weight, blank.bias, blank.least = weight / heat, bias / heat, least
     return blank
 
@@ -307,12 +392,17 @@ def scan(docs: DataFrame, scanner: Scanner) -> DataFrame:
                     with_known = np.unique(line[_known(s.vocabulary, w.hash)])
                     pick = np.isin(line, with_known)
                     h, of = w.hash[pick], np.searchsorted(with_known, line[pick])
+                    # a word with one blank between it and the next
+                    stop = w.start + w.length
+                    runs_on = np.zeros(len(stop), bool)
+                    runs_on[:-1] = (w.start[1:] == stop[:-1] + 1) & (data[np.minimum(stop[:-1], len(data) - 1)] == 0x20) & (w.doc[1:] == w.doc[:-1])
+                    runs_on = runs_on[pick]
                     first = np.searchsorted(of, np.arange(len(with_known) + 1))
                     p = s.score(h, of, len(with_known))
                     best = p[:, 1:].argmax(1) + 1 if len(p) else np.zeros(0, np.int64)
                     for i in np.flatnonzero((p[np.arange(len(p)), best] > s.least) & (best != 0)):
                         one = h[first[i]:first[i + 1]]
-                        share = s.confirmed(best[i], one)
+                        share = s.confirmed(int(best[i]), one, runs_on[first[i]:first[i + 1]])
                         if share >= s.confirm:
                             at = int(with_known[i])
                             notices.append((at, at, int(best[i]), float(p[i, best[i]]), share, s.matched(best[i], one)))

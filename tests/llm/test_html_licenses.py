@@ -185,3 +185,42 @@ def test_license_edge_cases(spark, docs, no_docs, cluttered):
     wide = spark.createDataFrame([(1, "é日本\nAll rights reserved.\nReleased under the MIT License.\n")] * 2, "doc_id long, text string")
     rows = licenses.scan(wide, scanner).collect()
     assert len(rows) == 2 and rows[0] == rows[1] and rows[0]["spans"] == "proprietary:4:24,mit:25:56" and rows[0]["n_notices"] == 2
+
+
+@pytest.mark.parametrize("notice,family", [
+    ("SPDX-License-Identifier: GPL-2.0-only", "gpl"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "gpl"), ("# SPDX-License-Identifier: LGPL-2.1-or-later", "lgpl"),
+    ("SPDX-License-Identifier: AGPL-3.0-only", "agpl"), ("# SPDX-License-Identifier: ISC", "isc"), ("SPDX-License-Identifier: WTFPL", None), ("SPDX-License-Identifier: OFL-1.1", None),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the FSF.", "lgpl"),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published", "agpl"),
+    ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published", "gpl"),
+    ("Unless stated otherwise, all pages are licensed under CC BY-ND 4.0.", "cc-by-nd"), ("All pages are licensed under CC BY-NC-ND 4.0.", None), ("Text licensed under CC BY 4.0, sa maison.", "cc-by"),
+    ("This work is in the public domain debate of the city.", None), ("The hotel has all rights reserved for guests.", None), ("This work is in the public domain.", "public-domain"),
+    ("(c) 2020 Example Corp. All rights reserved.", "proprietary"), ("Copyright 2020 Example. All rights reserved by Example Corp.", "proprietary"),
+    ("The code is released under the MIT License, see the file.", "mit"), ("Distributed under the Boost Software License, Version 1.0.", None)])
+def test_siblings_and_sentences_that_sound_alike(scanner, spark, notice, family):
+    lead, tail = prose(5, 12).replace("\n", " "), prose(6, 12).replace("\n", " ")
+    out = licenses.scan(spark.createDataFrame([(1, f"{lead}\n{notice}\n{tail}")], "doc_id long, text string"), scanner).first()
+    assert out["licence"] == family, out
+
+
+@pytest.fixture(scope="module")
+def scanner(noticed):
+    return licenses.train(noticed[0])
+
+
+def test_scores_equal_a_plain_regression(scanner):
+    """The sparse scores against a sum over each paragraph's words and pairs, one by one."""
+    import numpy as np
+    cell = {int(h): i for i, h in enumerate(scanner.vocabulary)}
+    for text in [*licenses.OTHERS, prose(3, 30), "MIT", "Licensed under the MIT License and the Apache License, Version 2.0"]:
+        h = licenses._hashes(text)
+        z = np.array(scanner.bias, float)
+        for x in [*h.tolist(), *licenses._bigrams(h).tolist()]:
+            if x in cell:
+                z += scanner.weight[cell[x]] / len(h) ** 0.5
+        known = sum(int(x) in cell for x in h)
+        z += (1 - known / len(h)) * scanner.weight[-2] + np.log1p(len(h)) * scanner.weight[-1]
+        have = {*h.tolist(), *licenses._bigrams(h).tolist()}
+        z[[k > 0 and not scanner.allowed(k, have) for k in range(len(z))]] = -np.inf
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert np.allclose(scanner.score(h, np.zeros(len(h), np.int64), 1)[0], p, atol=1e-5)
