@@ -29,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesflow.llm.common import written
+
 
 @dataclass(frozen=True)
 class Shard:
@@ -99,27 +101,27 @@ def place(df: DataFrame, key: str, shards: list[Shard], grown: list[Shard] | Non
     return out if grown is None else out.withColumn(grown_col, shard_column(F.col(key), grown))
 
 
-def number_slots(df: DataFrame, keys: DataFrame, key: str, order: list[str], rows_per_range: int = 100_000,
-                 shard_col: str = "shard", slot_col: str = "slot") -> DataFrame:
-    """Number the rows of each shard from 0, without gaps, in the order of the key's hash.
+def number_slots(rows: DataFrame, rows_per_range: int = 100_000, shard_col: str = "shard", count_col: str = "copies", slot_col: str = "slot") -> DataFrame:
+    """Number the rows of each shard from 0, without gaps, in the order of a hash of the whole row.
 
-    ``keys`` holds (key, shard) of the same rows and is read first, alone, to count
-    rows by shard and hash range; the number of ranges follows the row count, so no
-    task numbers a whole shard. The counts (shards x ranges rows) are the only table
-    joined back.
+    ``rows`` are different rows with their number of copies. They fall into hash ranges whose number follows the row
+    count, so no task numbers a whole shard, whatever the keys are; copies of a row are one row until they have their
+    numbers. The counts (shards x ranges rows) are the only table joined back.
     """
-    n = keys.count()
-    ranges = max(1, -(-n // rows_per_range))
-    h = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    rows = written(rows, "slots")
+    ranges = max(1, -(-(rows.agg(F.sum(count_col)).first()[0] or 0) // rows_per_range))
+    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in rows.columns if c != count_col])
     part = F.floor((F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))) * F.lit(float(ranges))).cast("int")
-    counts = keys.groupBy(F.col(shard_col), part.alias("__range")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = rows.withColumn("__h", h).withColumn("__range", part)
+    counts = rows.groupBy(shard_col, "__range").agg(F.sum(count_col).alias("__n"))
     before = Window.partitionBy(shard_col).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(shard_col, "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    inside = Window.partitionBy(shard_col, "__range").orderBy(F.col("__h"), *[F.col(c).asc_nulls_first() for c in order])
-    rows = df.withColumn("__h", h).withColumn("__range", part)
-    return (rows.join(starts, [shard_col, "__range"])
-            .withColumn(slot_col, (F.col("__first") + F.row_number().over(inside) - 1).cast("long"))
-            .drop("__h", "__range", "__first"))
+    inside = Window.partitionBy(shard_col, "__range").orderBy("__h", *[F.col(c).asc_nulls_first() for c in rows.columns if not c.startswith("__")]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    first = F.col("__first") + F.coalesce(F.sum(count_col).over(inside), F.lit(0))
+    out = rows.join(starts, [shard_col, "__range"]).withColumn("__from", first)
+    return out.withColumn(slot_col, F.explode(F.sequence(F.col("__from"), F.col("__from") + F.col(count_col) - 1))).drop(
+        "__h", "__range", "__first", "__from", count_col)
 
 
 def shard_documents(docs: DataFrame, shards: int = 16, rows_per_range: int = 100_000) -> DataFrame:
@@ -130,6 +132,5 @@ def shard_documents(docs: DataFrame, shards: int = 16, rows_per_range: int = 100
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.lit("key").alias("law")), "doc_id", now, later)
-    keys = place(docs.select("doc_id"), "doc_id", now)
-    out = number_slots(rows, keys, "doc_id", ["doc_id", "size", "text_crc32"], rows_per_range)
-    return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    out = number_slots(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies")), rows_per_range)
+    return out.select("doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
