@@ -176,8 +176,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
     rows = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
             .groupBy("doc_id").agg(F.min(label).cast("int").alias("__y"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    # at most sample_rows rows of 12 bytes
-    known = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("text", "__y")
+    # at most sample_rows rows of 12 bytes; one text for each of them, though rows repeat its id
+    known = (docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+             .groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("__y").alias("__y")).select("text", "__y"))
     width = len(NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
