@@ -8,7 +8,7 @@ potential from its shape and surroundings, neighbouring nodes share a transition
 potential, and a skip edge joins tokens that are equal or similar (same digits, same
 letters, or one holding the other) however far apart, so that a person's number is
 treated alike wherever it occurs. A token with many likenesses is joined to the next
-alike token only, in order, so the edges of a group of n are n - 1. Tokens of base spans are
+alike token, in order, and to the first of them that a base span holds, so the edges of a group of n are under 2 n. Tokens of base spans are
 observed; the labels of the others are the marginals of loopy sum-product message passing, in sweeps
 forward and backward through the document, so evidence reaches any distance in one sweep.
 
@@ -28,9 +28,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -164,9 +166,9 @@ def _features(token: str, before: str | None, after: str | None, repeats: bool)
 
 
 def _keys(token: str) -> list[str]:
-    """What makes two tokens alike: their digits (five at least; also the last seven), their letters and digits."""
+    """What makes two tokens alike: their digits (five at least; also the last seven), their letters and digits (four at least)."""
     digits, plain = _DIGITS.sub("", token), _PLAIN.sub("", token).lower()
-    out = ["p" + plain] if len(plain) >= 5 else []
+    out = ["p" + plain] if len(plain) >= 4 else []
     if len(digits) >= 5:
         out.append("d" + digits)
     if len(digits) >= 7:
@@ -176,7 +178,7 @@ def _keys(token: str) -> list[str]:
     return out
 
 
-def graph(text: str) -> Graph | None:
+def graph(text: str, base: list[Span] = ()) -> Graph | None:
     """The random field's nodes and edges of a document; None without any token that can carry personal data."""
     if not _CARRIER.search(text):
         return None
@@ -193,7 +195,19 @@ def graph(text: str) -> Graph | None:
     for i, t in enumerate(nodes):
         for k in _keys(word(t)):
             alike.setdefault(k, []).append(i)
-    skip = sorted({(a, b) for g in alike.values() for a, b in zip(g, g[1:], strict=False)})
+    starts = [s for s, _, _ in base]
+    ends = list(accumulate((e for _, _, e in base), max))
+
+    def in_base(t: int) -> bool:
+        i = bisect_left(starts, tokens[t][1])
+        return i > 0 and ends[i - 1] > tokens[t][0]
+
+    pairs = {(a, b) for g in alike.values() for a, b in zip(g, g[1:], strict=False)}
+    for g in alike.values():
+        anchor = next((i for i in g if in_base(nodes[i])), None) if base and len(g) > 2 else None
+        if anchor is not None:
+            pairs.update((min(anchor, i), max(anchor, i)) for i in g if i != anchor)
+    skip = sorted(pairs)
     joined = {i for pair in skip for i in pair}
     x = np.zeros((len(nodes), FEATURES))
     spans = []
@@ -330,7 +344,7 @@ def marginals(field: Field, g: Graph, rounds: int = 100, damping: float = 0.5, o
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """Base spans, and base and added spans, by start, then kind as listed."""
     base = base_spans(text)
-    g = graph(text)
+    g = graph(text, base)
     if g is None:
         return base, base
     known = gold(g, base)
@@ -398,8 +412,9 @@ def train(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.99) -
                     continue
                 held = xxhash.xxh3_64_intdigest(text, seed=1) % 5 == 0
                 for one in examples(text):
-                    g = graph(one)
-                    y = repeated(g, gold(g, base_spans(one)))
+                    base = base_spans(one)
+                    g = graph(one, base)
+                    y = repeated(g, gold(g, base))
                     near = neighbours(g, y)
                     seen.update((held, " ".join(map(str, np.flatnonzero(x))), " ".join(map(str, c)), int(k)) for x, c, k in zip(g.x, near, y, strict=True))
         if seen:

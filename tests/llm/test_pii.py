@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from salesflow.llm import pii
 
@@ -111,3 +112,59 @@ def test_awkward_texts(spark, docs, no_docs, cluttered, texts):
     assert rows[4]["text"] is None and rows[20]["n_chars"] == len(rows[20]["text"]) and rows[1]["text"] == dict((i, t) for i, t, _ in texts)[1]
     assert pii.detect(no_docs, pii.train(no_docs)).count() == 0
     assert pii.masked("ab cd ef", [(0, "phone", 4), (3, "card", 5), (6, "ip", 8)]) == "[PHONE] [IP]"
+
+
+def test_digits_of_other_scripts_and_long_numbers():
+    for text in ["server 10.0.0.5² up", "v1.2.3.٤ and １.２.３.４ or 10.0.0.٥", "0" * 5000 + ".1.1.1", "1" * 5000 + ".1.1.1", "1.1.1." + "0" * 6000 + "7", "+1 (988) ５55-2485²",
+                 "x@y.z² a²@b.co", "²³¹@٣.٣"]:
+        assert pii.base_spans(text) == brute_long(text), text
+        pii.all_spans(text, chain_field())
+        pii.clean(text, chain_field())
+
+
+def brute_long(text):
+    """``brute`` with the parts of an address compared as text."""
+    small = lambda p: len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255
+    out = [s for s in brute(re.sub("[0-9]{400,}", lambda m: "x" * len(m.group()), text))]
+    out += [(m.start(), "ip", m.end()) for m in IP.finditer(text) if all(map(small, m.group().split(".")))]
+    return sorted(set(out), key=lambda s: (s[0], pii.KINDS.index(s[1]), s[2]))
+
+
+def test_one_hostile_row_does_not_end_the_query(spark, corpus_field):
+    rows = [(1, "server 10.0.0.5² up"), (2, "0" * 5000 + ".1.1.1"), (3, None), (4, "fine")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert pii.detect(df, corpus_field).count() == 4 and pii.mask(df, corpus_field).count() == 4
+
+
+@pytest.fixture(scope="module")
+def corpus_field(spark):
+    return pii.train(corpus(spark, 400)[0])
+
+
+def test_the_trained_field_finds_distant_repeats_and_leaves_clean_numbers(corpus_field):
+    """A number or address written again without what marks it, far from its first place."""
+    r = random.Random(12)
+    planted = found = wrong = clean = 0
+    for i in range(150):
+        area, line = r.randint(200, 999), r.randint(1000, 9999)
+        phone = f"+1 ({area}) 555-{line}"
+        name = f"{r.choice(['anna', 'john', 'maria', 'peter'])}.{r.choice(['smith', 'jones', 'weber'])}{r.randint(10, 99)}"
+        again, mail = r.choice([f"{area}555{line}", f"{area}-555-{line}"]), f"{name}@corp.example.com"
+        text = f"call {phone} or {mail} {prose(i, 80)} once more {again} {prose(i + 500, 80)} and {name} {prose(i + 900, 20)}"
+        spans = {text[a:b]: k for a, k, b in pii.all_spans(text, corpus_field)[1]}
+        planted += 2
+        found += (spans.get(again) == "phone") + (spans.get(name) == "email")
+        # numbers of the same shape that repeat nothing, in documents with and without personal data
+        other = f"{r.randint(1000000000, 9999999999)}"
+        text = f"{'call ' + phone if i % 2 else 'it'} {prose(i, 40)} order {other} of {r.randint(100, 99999)} pieces in 19{r.randint(10, 99)} {prose(i + 7, 20)}"
+        base, spans = pii.all_spans(text, corpus_field)
+        clean += 4
+        wrong += len(spans) - len(base)
+    assert found >= 0.9 * planted, (found, planted)
+    assert wrong <= 0.02 * clean, (wrong, clean)
+
+
+def test_evidence_reaches_the_last_of_many_repeats(corpus_field):
+    text = "call +1 (988) 555-2485 " + " ".join(f"{prose(i, 3)} 9885552485" for i in range(300))
+    spans = pii.all_spans(text, corpus_field)[1]
+    assert sum(text[a:b] == "9885552485" and k == "phone" for a, k, b in spans) == 300

@@ -110,3 +110,16 @@ def test_language_ambiguity_and_edge_cases(spark, docs, no_docs, cluttered):
     assert {r["lang_pred"] for r in language.predict(docs, only).collect()} == {"und", "de"}
     even = language.decode(np.zeros((1, model.words.shape[1])), model)
     assert even[2][0]
+
+
+def test_held_out_figures_on_the_given_tables(spark):
+    """Accuracy of the languages and ranking of the quality labels on rows that were not learnt from."""
+    from salesflow.llm.queries import QUERIES
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    found = QUERIES["op5_language"](spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'")
+    rows = found.select("lang", "lang_pred").collect()
+    assert len(rows) > 100 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+    scored = QUERIES["op8_quality"](spark, "/root/testdata/sf0.01").join(labels.select("doc_id", "quality"), "doc_id").where("held_out").select("score", "quality").collect()
+    good, bad = [r["score"] for r in scored if r["quality"] == 1], [r["score"] for r in scored if r["quality"] == 0]
+    assert len(good) > 20 and len(bad) > 10
+    assert sum((g > b) + 0.5 * (g == b) for g in good for b in bad) >= 0.95 * len(good) * len(bad)
