@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from salesflow.operators import selection as FS
 from salesflow.plans.common import rounded, rsql, sales, sig, sig_sql
+from salesflow.plans.models_q import _fit_sql
 from salesflow.plans.registry import register
 from salesflow.sources import fixtures as fx
 from salesflow.sources.fixtures import sales_sql, with_views
@@ -101,6 +102,24 @@ def importance(spark, sf_dir):
     return _out(FS.by_importance(_frame(spark, sf_dir), FEATS, TARGET, 5, "random_forest"))
 
 
+@register("fs6_importance_gbt", None, ("FS6",))
+def importance_gbt(spark, sf_dir):
+    """Boosted trees; twenty rounds, as every round is a pass over the rows."""
+    return _out(FS.by_importance(_frame(spark, sf_dir), FEATS, TARGET, 5, "gbt", {"maxIter": 20}))
+
+
+# |coefficient| of a linear model, two features in closed form
+_FS7 = with_views(f"""WITH f AS (SELECT {_fit_sql()} FROM (SELECT quantity AS x, price AS z, sales AS y FROM sales))
+SELECT 'quantity' AS feature, abs(bx) AS score FROM f UNION ALL SELECT 'price', abs(bz) FROM f""", sales=sales_sql())
+
+
+@register("fs7_linear_importance", _ranked_sql(_FS7, "row_number() OVER (ORDER BY score DESC NULLS LAST, feature) <= 1").replace(
+    sig_sql("score", 10), sig_sql("score", 6)), ("FS7",))
+def linear_importance(spark, sf_dir):
+    out = FS.by_importance(_frame(spark, sf_dir), ["quantity", "price"], TARGET, 1, "linear")
+    return out.withColumn("score", sig("score", 6))
+
+
 @register("fs8_rfe", None, ("FS8",))
 def rfe(spark, sf_dir):
     return FS.by_rfe(_frame(spark, sf_dir), FEATS, TARGET, 4)
