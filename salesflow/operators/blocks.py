@@ -65,6 +65,15 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
+#: rows that one task sorts: a larger table gets more tasks than ``spark.sql.shuffle.partitions``
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """Tasks for ``rows`` rows: the configured number, or as many as keep a task within ``ROWS_PER_TASK``."""
+    return max(_num_partitions(df, None), -(-rows // ROWS_PER_TASK))
+
+
 def _local_running_sums(group_cols, value_cols, out_cols):
     """Per-partition running sums of value_cols within contiguous groups."""
 
@@ -147,8 +156,8 @@ def prefix_sums(df: DataFrame, group_cols, order_cols, value_cols, prefix: str =
     return out
 
 
-def bucket_index(value, bounds, size: int):
-    """Number of elements of the sorted array ``bounds`` (at most ``size`` long) that are < ``value``.
+def bucket_index(value, bounds, size: int, inclusive: bool = False):
+    """Number of elements of the sorted array ``bounds`` (at most ``size`` long) that are < (``inclusive``: <=) ``value``.
 
     A binary search written as nested CASE expressions: each row evaluates
     log2(size) comparisons, whatever the number of buckets (a higher-order
@@ -162,7 +171,8 @@ def bucket_index(value, bounds, size: int):
         if lo >= hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(F.try_element_at(b, F.lit(mid + 1)) < v, search(mid + 1, hi)).otherwise(search(lo, mid))
+        bound = F.try_element_at(b, F.lit(mid + 1))
+        return F.when(bound <= v if inclusive else bound < v, search(mid + 1, hi)).otherwise(search(lo, mid))
 
     return search(0, size)
 
@@ -176,20 +186,26 @@ def prefix_sums_by_value(df: DataFrame, group_cols, value_col: str, sum_cols, pr
     boundaries cut each group into ``buckets`` ranges of similar size, a
     window runs inside each (group, bucket), and a carry-in from the bucket
     totals (at most groups x buckets rows, broadcast) finishes the sum. A group
-    with billions of distinct values is therefore spread over many tasks.
+    with billions of distinct values is therefore spread over many tasks: as many
+    as keep each within ``ROWS_PER_TASK``. ``df`` is read several times: materialise it.
     """
     group_cols, sum_cols = list(group_cols), list(sum_cols)
-    n = buckets or _num_partitions(df, None)
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows"))
+    groups, rows, most = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_rows"), F.lit(0))).first()
+    n = buckets or tasks_for(df, most)
     probs = [i / n for i in range(1, n)]
     v = F.col(value_col).cast("double")
-    # boundaries only balance the buckets; their precision does not affect the result
-    bounds = df.groupBy(*group_cols).agg(F.percentile_approx(v, probs, 1000).alias("_bounds"))
-    ng = n_groups if n_groups is not None else group_count(df, group_cols)
+    # boundaries only balance the buckets; their precision does not affect the result. They are put in
+    # order here, once for each group: after the join it would be done for every row
+    bounds = df.groupBy(*group_cols).agg(F.array_sort(F.array_distinct(F.percentile_approx(v, probs, max(1000, 4 * n)))).alias("_bounds"))
+    ng = n_groups if n_groups is not None else groups
     # bounds: one row per group (n - 1 numbers each); offsets: groups x buckets rows
     j = null_safe_join(df, maybe_broadcast(bounds, ng * n), group_cols) if group_cols else \
         attach(df, bounds)
-    j = j.withColumn("_bounds", F.array_sort(F.array_distinct("_bounds"))) \
-        .withColumn("_bkt", bucket_index(v, "_bounds", len(probs))).drop("_bounds")
+    j = j.withColumn("_bkt", bucket_index(v, "_bounds", len(probs))).drop("_bounds")
+    tasks = tasks_for(df, rows)
+    if tasks > _num_partitions(df, None):
+        j = j.repartition(tasks, *group_cols, "_bkt")  # as the window below needs them
     w = Window.partitionBy(*group_cols, "_bkt").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     local = j.select("*", *[F.sum(c).over(w).alias(f"_l_{c}") for c in sum_cols])
     tot = j.groupBy(*group_cols, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
@@ -388,12 +404,15 @@ def bracket_quantiles(df: DataFrame, group_cols, value_col: str, probs, accuracy
         F.array_sort(F.array_distinct(F.array(*lower, *upper))).alias("_ends"))
     s1 = s1.checkpoint(eager=True)  # one row for each group, read three times below
     ng = s1.count()
-    ends = s1.select(*g, "_br", "_ends")
+    # a value between two ends that follow each other is inside a bracket if one spans both: told once for each group
+    spans = F.transform("_ends", lambda e, i: F.exists("_br", lambda x: (x["L"] <= F.get("_ends", i - 1)) & (e <= x["U"])))
+    ends = s1.select(*g, "_ends", spans.alias("_spans"))
     j = null_safe_join(base, maybe_broadcast(ends, ng * 4 * len(probs)), g) if g else attach(base, ends)
     place = bucket_index("_v", "_ends", 2 * len(probs))
-    inside = F.exists("_br", lambda x: (x["L"] <= F.col("_v")) & (F.col("_v") <= x["U"]))
+    above = F.try_element_at("_ends", F.col("_at") + 1)
+    inside = F.coalesce((above == F.col("_v")) | F.try_element_at("_spans", F.col("_at") + 1), F.lit(False))
     # a gap stands between two bracket ends: any number between them keeps the order
-    below, above = F.try_element_at("_ends", F.col("_at")), F.try_element_at("_ends", F.col("_at") + 1)
+    below = F.try_element_at("_ends", F.col("_at"))
     step = lambda x: F.greatest(F.lit(1.0), F.abs(x) / 1e9)
     gap = F.when(F.col("_at") == 0, above - step(above)).otherwise(F.coalesce(below / 2 + above / 2, below + step(below)))
     band = (j.withColumn("_at", place.cast("int")).withColumn("_in", inside)

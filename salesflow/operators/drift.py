@@ -108,7 +108,7 @@ def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: i
     if n_cand == 0:
         return lb.select(*g, "n_ref", "n_cur", F.col("_lb").alias("ks_statistic"))
     inside = null_safe_join(with_b, maybe_broadcast(cand.select(*g, "_b"), n_cand), g + ["_b"], "left_semi")
-    vc = inside.groupBy(*g, "_b", "value").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
+    vc = inside.groupBy(*g, "_b", "value").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur")).checkpoint(eager=True)
     pre = prefix_sums_by_value(vc, g + ["_b"], "value", ["c_ref", "c_cur"], n_groups=n_cand)
     swept = null_safe_join(pre, maybe_broadcast(cand, n_cand), g + ["_b"]).select(
         *g, F.abs((F.col("_r0") + F.col("cum_c_ref")) / F.col("n_ref")
@@ -219,8 +219,8 @@ def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
                                   n_groups=None if by else len(list(features)))
         edges = q.groupBy(*g).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
         rows = attach(counts, edges, g, width=bins + 1)
-    inner = F.slice(F.col("edges"), 1, F.size("edges") - 1)
-    slot = F.size(F.filter(inner, lambda e: e <= F.col("value")))
+    # the edges up to the value, without the last one
+    slot = F.least(bucket_index("value", "edges", bins + 1, inclusive=True), F.size("edges") - 1)
     per_slot = rows.groupBy(*g, slot.alias("slot")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
     # a group with rows in one period only has no PSI (as it has no KS)
     totals = (per_slot.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
