@@ -31,11 +31,16 @@ def rank_error(k: int = SKETCH_K) -> float:
 
 
 def daily_summaries(df: DataFrame, features, date: str = "date", by=(), k: int = SKETCH_K) -> DataFrame:
-    """(day, by..., feature, n, sketch): one aggregation, pre-merged in each task."""
+    """(day, by..., feature, n, sketch): one aggregation, pre-merged in each task.
+
+    The features are aggregated side by side and made rows of afterwards: a row of ``df`` stays one row.
+    """
     by, features = list(by), list(features)
     cast = df.select(F.to_date(date).alias("day"), *by, *[nan_to_null(F.col(c).cast("double")).alias(c) for c in features])
-    long = cast.unpivot(["day", *by], features, "feature", "value").where("value is not null")
-    return long.groupBy("day", *by, "feature").agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("value", k).alias("sketch"))
+    daily = cast.groupBy("day", *by).agg(*[a for i, c in enumerate(features) for a in (
+        F.count(c).alias(f"_n{i}"), F.kll_sketch_agg_double(c, k).alias(f"_s{i}"))])
+    rows = [F.struct(F.lit(c).alias("feature"), F.col(f"_n{i}").alias("n"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(features)]
+    return daily.select("day", *by, F.inline(F.array(*rows))).where("n > 0")
 
 
 def daily_errors(df: DataFrame, actual: str, predicted: str, date: str = "date", by=()) -> DataFrame:
