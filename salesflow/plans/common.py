@@ -67,6 +67,17 @@ def sig_sql(expr: str, digits: int = 9) -> str:
     return f"(CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL THEN ({expr}) ELSE round(({expr}) / {e}, {digits - 1}) * {e} END + 0.0)"
 
 
+def spool(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that several passes read some columns of to the scratch folder as parquet.
+
+    The joins of the view run once, and every pass reads the columns it needs only.
+    """
+    from salesflow.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame that several passes will read to the shared checkpoint folder.
 

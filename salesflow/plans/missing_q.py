@@ -15,7 +15,7 @@ from salesflow.operators import preprocess as P
 from salesflow.operators import selection as FS
 from salesflow.operators import summary as S
 from salesflow.operators.relational import label_period
-from salesflow.plans.common import max_literal, null_every, null_every_sql, rounded, rsql, sales
+from salesflow.plans.common import max_literal, null_every, null_every_sql, rounded, rsql, sales, spool
 from salesflow.plans.drift_q import FEATURES, _long_sql, _psi_sql
 from salesflow.plans.models_q import metric_sql
 from salesflow.plans.monitor_q import BASE, _perf_sql
@@ -48,7 +48,9 @@ SELECT '{c}' AS feature, {rsql('corr(rx, ry)')} AS corr, count(*) AS n FROM (
          rank() OVER (ORDER BY sales) + (count(*) OVER (PARTITION BY sales) - 1) / 2.0 AS ry
   FROM h WHERE {c} IS NOT NULL AND sales IS NOT NULL)""" for c in ("price", "predicted")), h=_NAN_SQL), ("FS3",))
 def spearman_nulls(spark, sf_dir):
-    out = FS.correlations(_nan(spark, sf_dir), ["price", "predicted"], "sales", "spearman")
+    # null counts, value counts and the joins of the ranks read one copy of the three columns
+    x = spool(_nan(spark, sf_dir).select("price", "predicted", "sales"), "fs3-columns")
+    out = FS.correlations(x, ["price", "predicted"], "sales", "spearman")
     return rounded(out.select("feature", "corr", "n"), cols=["corr"])
 
 
