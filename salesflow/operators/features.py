@@ -92,11 +92,13 @@ def add_all_features(df: DataFrame, order, target: str = "sales", group=("region
     ``order`` must be total within a group (end it with a unique key). Groups are
     always cut into halo chunks of ``chunk_rows`` rows, so no group is one task.
     """
-    out = add_time_features(df)
+    out = rows = add_time_features(df)
     if target in out.columns:
         out = W.add_history(out, target, group, order, lags=lags, windows=windows, chunk_rows=chunk_rows)
     present = [c for c in interaction_cols if c in out.columns]
-    return add_interactions(out, present)
+    # the history keeps every row as it is, so the divisors are looked at before it where they are there
+    plan = interaction_plan(rows, present) if len(present) > 1 and set(present) <= set(rows.columns) - {target} else None
+    return add_interactions(out, present, plan)
 
 
 def feature_names(df: DataFrame, target: str = "sales", exclude=("date",)) -> list[str]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index, unpivot_numeric, value_counts
+from salesflow.operators.blocks import attach, prefix_sums_by_value, row_index, tasks_for, unpivot_numeric, value_counts
 
 AGG_FUNCS = {
     "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "sum": F.sum,
@@ -28,15 +28,21 @@ def _keys_present(group) -> Column:
 
 
 def _chunked(df: DataFrame, group, order, halo: int, chunk_rows: int):
-    """Rows tagged with (_chunk, _halo); halo copies carry the previous chunk's tail."""
+    """Rows tagged with (_chunk, _halo); halo copies carry the previous chunk's tail.
+
+    The rows are counted first: a large table is sorted, and then dealt by (group, chunk), in as
+    many tasks as keep each within ``blocks.ROWS_PER_TASK``.
+    """
     if halo > chunk_rows:
         raise ValueError("halo larger than chunk_rows")
-    idx = row_index(df, order, group, name="_ri")
+    tasks = tasks_for(df, df.count())
+    idx = row_index(df, order, group, name="_ri", num_partitions=tasks)
     chunk = F.floor(F.col("_ri") / chunk_rows).cast("long")
     tail = F.pmod(F.col("_ri"), F.lit(chunk_rows)) >= chunk_rows - halo
     ids = F.when(tail & F.lit(halo > 0), F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     out = idx.withColumn("_home", chunk).withColumn("_chunk", F.explode(ids))
-    return out.withColumn("_halo", F.col("_chunk") != F.col("_home")).drop("_home")
+    out = out.withColumn("_halo", F.col("_chunk") != F.col("_home")).drop("_home")
+    return out.repartition(tasks, *group, "_chunk") if tasks > tasks_for(df, 0) else out
 
 
 #: rows of a group that one task windows over
