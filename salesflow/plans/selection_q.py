@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesflow.operators import selection as FS
-from salesflow.plans.common import materialize, rounded, rsql, sales, sig, sig_sql
+from salesflow.plans.common import materialize, rounded, rsql, sales, sig, sig_sql, spool
 from salesflow.plans.models_q import _fit_sql
 from salesflow.plans.registry import register
 from salesflow.sources import fixtures as fx
@@ -154,7 +154,8 @@ FROM r, ok""", **X)
 
 @register("fs10_consensus", _consensus_sql(4), ("FS10", "U3"))
 def consensus(spark, sf_dir):
-    x = _frame(spark, sf_dir)
+    # seven passes: two for each of the moments, three for the deciles and the bins
+    x = spool(_frame(spark, sf_dir).select(*FEATS, TARGET), "fs10-columns")
     k = 4
     corr = FS.by_correlation(x, FEATS, TARGET, 0.05).where(F.col("selected") & (F.col("rank") <= k))
     ft = FS.by_f_test(x, FEATS, TARGET, k).where(F.col("selected"))
