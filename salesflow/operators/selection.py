@@ -129,11 +129,19 @@ def _bin(x, edges):
 # FS6 / FS7 -------------------------------------------------------------------------------------
 def by_importance(df: DataFrame, cols, target: str, k: int = 20, kind: str = "random_forest",
                   params=None) -> DataFrame:
-    """Tree importances (or |coef| for a linear model) from an MLlib fit; top k."""
-    from salesflow.operators.models import assemble, feature_importances, make_estimator
-    data = assemble(df, cols, target)
-    model = make_estimator(kind, params=params).fit(data)
-    imp = feature_importances(model, list(cols))
+    """Tree importances (or |coef| for a linear model); top k.
+
+    Forests of bootstrapped trees are grown by ``operators/forest.py``, which reads ``df`` three times; other models,
+    and forests with other parameters than it knows, are MLlib fits.
+    """
+    from salesflow.operators import forest
+    from salesflow.operators.models import DEFAULT_PARAMS, assemble, feature_importances, make_estimator
+    p = {**DEFAULT_PARAMS.get(kind, {}), **(params or {})}
+    if kind == "random_forest" and forest.knows(p):
+        imp = forest.importances(df, cols, target, **p)
+    else:
+        model = make_estimator(kind, params=params).fit(assemble(df, cols, target))
+        imp = feature_importances(model, list(cols))
     s = df.sparkSession.createDataFrame([(f, float(v)) for f, v in imp], "feature string, score double")
     return _ranked(s).withColumn("selected", F.col("rank") <= k)
 

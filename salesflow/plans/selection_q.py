@@ -100,7 +100,9 @@ def mutual_info(spark, sf_dir):
 
 @register("fs6_importance", None, ("FS6", "FS7"))
 def importance(spark, sf_dir):
-    return _out(FS.by_importance(_frame(spark, sf_dir), FEATS, TARGET, 5, "random_forest"))
+    # label checks, thresholds and bins: three passes over one copy of the nine columns
+    x = spool(_frame(spark, sf_dir).select(*FEATS, TARGET), "fs6-columns")
+    return _out(FS.by_importance(x, FEATS, TARGET, 5, "random_forest"))
 
 
 @register("fs6_importance_gbt", None, ("FS6",))
