@@ -168,7 +168,8 @@ def consensus(spark, sf_dir):
 @register("fs10_consensus_importance", None, ("FS10", "U3"))
 def consensus_importance(spark, sf_dir):
     """The reference's default votes; ``fs10_consensus`` has mutual information for the forest, which SQL cannot fit."""
-    return consensus_by_default(_frame(spark, sf_dir), 4)
+    # seven passes: three for the forest, two for each of the moments
+    return consensus_by_default(spool(_frame(spark, sf_dir).select(*FEATS, TARGET), "fs10-columns"), 4)
 
 
 def consensus_by_default(x, k: int, cols=FEATS, target: str = TARGET):
