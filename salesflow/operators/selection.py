@@ -131,14 +131,14 @@ def by_importance(df: DataFrame, cols, target: str, k: int = 20, kind: str = "ra
                   params=None) -> DataFrame:
     """Tree importances (or |coef| for a linear model); top k.
 
-    Forests of bootstrapped trees are grown by ``operators/forest.py``, which reads ``df`` three times; other models,
-    and forests with other parameters than it knows, are MLlib fits.
+    Forests of bootstrapped trees and boosted trees are grown by ``operators/forest.py``, which reads ``df`` three times;
+    other models, and trees with other parameters than it knows, are MLlib fits.
     """
     from salesflow.operators import forest
     from salesflow.operators.models import DEFAULT_PARAMS, assemble, feature_importances, make_estimator
     p = {**DEFAULT_PARAMS.get(kind, {}), **(params or {})}
-    if kind == "random_forest" and forest.knows(p):
-        imp = forest.importances(df, cols, target, **p)
+    if forest.knows(p, kind):
+        imp = forest.importances(df, cols, target, kind=kind, **p)
     else:
         model = make_estimator(kind, params=params).fit(assemble(df, cols, target))
         imp = feature_importances(model, list(cols))

@@ -108,7 +108,8 @@ def importance(spark, sf_dir):
 @register("fs6_importance_gbt", None, ("FS6",))
 def importance_gbt(spark, sf_dir):
     """Boosted trees; twenty rounds, as every round is a pass over the rows."""
-    return _out(FS.by_importance(_frame(spark, sf_dir), FEATS, TARGET, 5, "gbt", {"maxIter": 20}))
+    x = spool(_frame(spark, sf_dir).select(*FEATS, TARGET), "fs6-gbt-columns")
+    return _out(FS.by_importance(x, FEATS, TARGET, 5, "gbt", {"maxIter": 20}))
 
 
 # |coefficient| of a linear model, two features in closed form
