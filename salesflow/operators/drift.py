@@ -8,11 +8,14 @@ distinct values is still spread over many tasks.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.operators.blocks import (attach, bucket_index, exact_quantiles, group_count, maybe_broadcast,
-                                       null_safe_join, prefix_sums_by_value, quantiles_from_counts, value_counts)
+from salesflow.operators.blocks import (attach, bucket_index, exact_quantiles, maybe_broadcast, null_safe_join, prefix_sums_by_value,
+                                       quantiles_from_counts, row_index, value_counts)
+from salesflow.session import checkpoint_dir
 
 REF, CUR = "reference", "current"
 PSI_EPS = 1e-10
@@ -20,6 +23,8 @@ PSI_EPS = 1e-10
 # default KS p-value threshold.
 PSI_MODERATE, PSI_SIGNIFICANT = 0.1, 0.2
 DEFAULT_THRESHOLD = 0.05
+#: values (rows x features) up to which a monitoring run counts every distinct one
+COUNTED_VALUES = 5_000_000
 
 
 def _long(df: DataFrame, features, period: str, by=()) -> DataFrame:
@@ -53,70 +58,181 @@ def ks_statistics(df: DataFrame, features, period: str = "period", by=(), num_pa
     """(by..., feature, n_ref, n_cur, ks_statistic) - sup |F_ref - F_cur| over all observed values.
 
     ``counts``: one materialised value-count table + bucketed prefix sums (all
-    distinct values are sorted, distributed). ``pruned``: bucket bounds from a
-    sketch, only buckets that can hold the supremum are swept - fewer rows
-    shuffled for huge continuous features, more passes and a larger sketch.
+    distinct values are sorted, distributed). ``pruned``: counts of
+    cells of values in rounds, only cells that can hold the supremum are swept - few
+    rows shuffled for huge continuous features, more passes.
     """
     if method == "pruned":
         return ks_pruned(df, features, period, by)
     return ks_from_counts(period_counts(df, features, period, by), by, num_partitions, len(list(features)))
 
 
-KS_BUCKETS = 256
+#: cells of a group in a round (fewer where there are many groups), and of all groups together
+KS_BUCKETS, KS_CELLS = 16_384, 2_000_000
+#: values that are ordered at the end; while more could matter, their cells are divided again
+SWEPT_VALUES = 1_000_000
+#: rounds after which what is left is ordered, whatever its size
+KS_ROUNDS = 6
+
+_ENDS = ("_min", "_max", "_low", "_high", "_n")
+_GROUP = ("_g", "n_ref", "n_cur")
 
 
-def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: int = KS_BUCKETS) -> DataFrame:
-    """Exact two-sample KS statistic without sorting every distinct value.
+@dataclass(frozen=True)
+class PeriodCells:
+    """Counts of both periods in cells of values, and the rows to divide cells further.
 
-    1. Per group, approximate quantiles of the pooled values cut the value
-       range into buckets (bucket b holds bound[b-1] < v <= bound[b]).
-    2. Per-bucket counts give the exact ECDF gap at every bucket end (the
-       largest value in it): LB = max of those is attained. Inside a bucket
-       both ECDFs only rise by the bucket's mass, so the gap there is at most
-       UB_b = max(|R_end - C_start|, |R_start - C_end|).
-    3. Only buckets with UB_b > LB can hold the supremum; their values are
-       value-counted and swept exactly (bucketed prefix sums). D = max(LB, sweep).
+    ``groups``: (by..., feature, _g, n_ref, n_cur), a row for each group with rows in both periods. ``rows``: (_cell, value, _r, _c),
+    ``_cell`` being the group's number. ``first``: the cells of the first round, ``inside`` the rows in them.
     """
-    by = list(by)
-    g = by + ["feature"]
-    long = _long(df, features, period, by).withColumn("_r", (F.col(period) == REF).cast("long")) \
-        .withColumn("_c", (F.col(period) == CUR).cast("long"))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = long.groupBy(*g).agg(F.array_sort(F.array_distinct(
-        F.percentile_approx("value", probs, 10 * buckets))).alias("_bounds"))
-    bounds = bounds.checkpoint(eager=True)  # groups x buckets numbers, read twice
-    ng = group_count(bounds, g)
-    with_b = null_safe_join(long, maybe_broadcast(bounds, ng * buckets), g) \
-        .withColumn("_b", bucket_index("value", "_bounds", len(probs))).drop("_bounds")
-    bc = with_b.groupBy(*g, "_b").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur"))
-    w = Window.partitionBy(*g).orderBy("_b")  # <= buckets rows per group
-    tot = Window.partitionBy(*g)
-    bc = (bc.withColumn("n_ref", F.sum("c_ref").over(tot)).withColumn("n_cur", F.sum("c_cur").over(tot))
-          .withColumn("_re", F.sum("c_ref").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-          .withColumn("_ce", F.sum("c_cur").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-          .where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)))
-    rs, re_ = (F.col("_re") - F.col("c_ref")) / F.col("n_ref"), F.col("_re") / F.col("n_ref")
-    cs, ce = (F.col("_ce") - F.col("c_cur")) / F.col("n_cur"), F.col("_ce") / F.col("n_cur")
-    bc = bc.withColumn("_end_gap", F.abs(re_ - ce)).withColumn(
-        "_ub", F.greatest(F.abs(re_ - cs), F.abs(rs - ce))).checkpoint(eager=True)  # groups x buckets rows
-    lb = bc.groupBy(*g, "n_ref", "n_cur").agg(F.max("_end_gap").alias("_lb"))
-    cand = (null_safe_join(bc, lb.select(*g, "_lb"), g).where(F.col("_ub") > F.col("_lb"))
-            .select(*g, "_b", (F.col("_re") - F.col("c_ref")).alias("_r0"), (F.col("_ce") - F.col("c_cur")).alias("_c0"),
-                    "n_ref", "n_cur"))
-    cand = cand.checkpoint(eager=True)  # at most groups x buckets rows
-    n_cand = cand.count()
-    if n_cand == 0:
-        return lb.select(*g, "n_ref", "n_cur", F.col("_lb").alias("ks_statistic"))
-    inside = null_safe_join(with_b, maybe_broadcast(cand.select(*g, "_b"), n_cand), g + ["_b"], "left_semi")
-    vc = inside.groupBy(*g, "_b", "value").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur")).checkpoint(eager=True)
-    pre = prefix_sums_by_value(vc, g + ["_b"], "value", ["c_ref", "c_cur"], n_groups=n_cand)
-    swept = null_safe_join(pre, maybe_broadcast(cand, n_cand), g + ["_b"]).select(
-        *g, F.abs((F.col("_r0") + F.col("cum_c_ref")) / F.col("n_ref")
-                  - (F.col("_c0") + F.col("cum_c_cur")) / F.col("n_cur")).alias("_gap"))
-    best = swept.groupBy(*g).agg(F.max("_gap").alias("_sweep"))
-    out = null_safe_join(lb, best, g, "left")
-    return out.select(*g, "n_ref", "n_cur",
-                      F.greatest(F.col("_lb"), F.coalesce(F.col("_sweep"), F.col("_lb"))).alias("ks_statistic"))
+
+    groups: DataFrame
+    n_groups: int
+    rows: DataFrame
+    first: DataFrame
+    inside: DataFrame
+    buckets: int
+
+
+def _by_magnitude(x: Column) -> Column:
+    """Keeps the order of values and spreads those of many magnitudes."""
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def _ends() -> list[Column]:
+    finite = F.when(F.abs("value") < float("inf"), F.col("value"))
+    return [F.min("value").alias("_min"), F.max("value").alias("_max"), F.min(finite).alias("_low"), F.max(finite).alias("_high"),
+            F.count(F.lit(1)).alias("_n")]
+
+
+def _divide(rows: DataFrame, open_: DataFrame, n_open: int, n_groups: int, buckets: int, scale=lambda x: x):
+    """A round: the rows of the open cells in finer ones (numbered in the order of groups and values), and those cells' counts.
+
+    A cell's finite range is divided evenly on ``scale``, in more cells the more rows it has. Rounding moves ends, not the order: of two
+    values in a cell the larger one is in the same finer cell or a later one.
+    """
+    low, high = scale(F.col("_low")), scale(F.col("_high"))
+    share = F.col("_n") / F.sum("_n").over(Window.partitionBy("_g"))
+    opened = open_.withColumn("_width", (F.ceil(share * max(2, min(buckets, KS_CELLS // max(1, n_groups)))) + 1).cast("long")).select(
+        F.col("_cell").alias("_up"), low.alias("_low"), F.when(high > low, F.col("_width") / (high - low)).otherwise(float("inf")).alias("_scale"), "_width",
+        # one task, of a row for each open cell
+        (F.sum("_width").over(Window.orderBy("_cell")) - F.col("_width")).alias("_base"), "_r0", "_c0", *_GROUP).checkpoint(eager=True)
+    place = opened.select(F.col("_up").alias("_cell"), "_low", "_scale", "_width", "_base")
+    x = scale(F.col("value"))
+    at = F.when(x <= F.col("_low"), 0.0).otherwise(F.least((x - F.col("_low")) * F.col("_scale"), F.col("_width") - 1.0))
+    rows = rows.join(maybe_broadcast(place, n_open), "_cell").select(
+        F.col("_cell").alias("_up"), (F.col("_base") + F.coalesce(at, F.lit(0.0)).cast("long")).alias("_cell"), "value", "_r", "_c")
+    counts = rows.groupBy("_up", "_cell").agg(F.sum("_r").alias("_dr"), F.sum("_c").alias("_dc"), *_ends())
+    w = Window.partitionBy("_up").orderBy("_cell")  # the cells of one opened cell
+    cells = (counts.join(maybe_broadcast(opened.select("_up", "_r0", "_c0", *_GROUP), n_open), "_up")
+             .withColumn("_re", F.col("_r0") + F.sum("_dr").over(w)).withColumn("_ce", F.col("_c0") + F.sum("_dc").over(w))
+             .withColumn("_r0", F.col("_re") - F.col("_dr")).withColumn("_c0", F.col("_ce") - F.col("_dc")))
+    return rows.drop("_up"), cells.drop("_up").checkpoint(eager=True)
+
+
+def period_cells(df: DataFrame, features, period: str = "period", by=(), buckets: int = KS_BUCKETS) -> PeriodCells:
+    """The first round over all values, for KS and PSI. ``df`` is read in every round, a round shuffles a row for each cell and task."""
+    by, features = list(by), list(features)
+    checkpoint_dir(df.sparkSession)
+    x = [F.col(c).cast("double") for c in features]
+    side = df.select(*by, (F.col(period) == REF).cast("long").alias("_r"), (F.col(period) == CUR).cast("long").alias("_c"),
+                     F.explode(F.array(*[F.struct(F.lit(i).cast("long").alias("_f"), F.when(~F.isnan(v), v).alias("value")) for i, v in enumerate(x)])).alias("_x"))
+    rows = side.select(*by, "_r", "_c", "_x.*").where(F.col("value").isNotNull())
+    counts = rows.groupBy(*by, "_f").agg(F.sum("_r").alias("n_ref"), F.sum("_c").alias("n_cur"), *_ends()) \
+        .where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).checkpoint(eager=True)
+    n_groups = counts.count()
+    if by:
+        groups = row_index(counts, [*by, "_f"], name="_g").checkpoint(eager=True)
+        rows = null_safe_join(rows, maybe_broadcast(groups.select(*by, "_f", "_g"), n_groups), [*by, "_f"])
+    else:
+        groups, rows = counts.withColumn("_g", F.col("_f")), rows.withColumn("_g", F.col("_f"))
+    name = F.element_at(F.array(*[F.lit(c) for c in features]), (F.col("_f") + 1).cast("int"))
+    rows = rows.select(F.col("_g").alias("_cell"), "value", "_r", "_c")
+    none = F.lit(0).cast("long")
+    root = groups.select(*_GROUP, F.col("_g").alias("_cell"), *_ENDS, none.alias("_r0"), none.alias("_c0"))
+    inside, first = _divide(rows, root, n_groups, n_groups, buckets, _by_magnitude)
+    return PeriodCells(groups.select(*by, name.alias("feature"), *_GROUP), n_groups, rows, first, inside, buckets)
+
+
+def _narrowed(cells: PeriodCells, wanted):
+    """Rounds until few values are in the cells that ``wanted`` picks from those of a round: (rows, those cells, their number)."""
+    rows, found = cells.inside, cells.first
+    for i in range(KS_ROUNDS):
+        open_ = wanted(found).checkpoint(eager=True)
+        n_open, left = open_.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+        if left <= SWEPT_VALUES or i == KS_ROUNDS - 1:
+            break
+        rows, found = _divide(rows, open_, n_open, cells.n_groups, cells.buckets)
+    return rows, open_, n_open
+
+
+def _swept(rows: DataFrame, open_: DataFrame, n_open: int) -> DataFrame:
+    """The values of the open cells with both ECDFs' counts up to each, ``cum_c_ref`` and ``cum_c_cur``."""
+    inside = rows.join(maybe_broadcast(open_.select("_cell"), n_open), "_cell", "left_semi")
+    vc = inside.groupBy("_cell", "value").agg(F.sum("_r").alias("c_ref"), F.sum("_c").alias("c_cur")).checkpoint(eager=True)
+    pre = prefix_sums_by_value(vc, ["_cell"], "value", ["c_ref", "c_cur"], n_groups=n_open)
+    at = open_.select(F.col("_cell"), "_r0", "_c0", *_GROUP)
+    return null_safe_join(pre, maybe_broadcast(at, n_open), ["_cell"]) \
+        .withColumns({"cum_c_ref": F.col("_r0") + F.col("cum_c_ref"), "cum_c_cur": F.col("_c0") + F.col("cum_c_cur")})
+
+
+def ks_pruned(df: DataFrame, features, period: str = "period", by=(), buckets: int = KS_BUCKETS, cells: PeriodCells | None = None) -> DataFrame:
+    """Exact two-sample KS statistic without sorting or shuffling every distinct value.
+
+    1. The range of each group is divided into cells, and one aggregate counts both periods in every cell. That gives
+       the exact ECDF gap at every cell's end: LB = max of those is attained. Inside a cell both ECDFs only rise by
+       the cell's mass, so the gap there is at most UB = max(|R_end - C_start|, |R_start - C_end|).
+    2. Only cells of several values with UB > LB can hold the supremum. While more than ``SWEPT_VALUES`` rows are in
+       such cells these are divided again, by their rows, and counted in the same way.
+    3. The values that are left are counted and swept exactly (bucketed prefix sums). D = max(LB, sweep).
+    """
+    g = [*by, "feature"]
+    cells = cells or period_cells(df, features, period, by, buckets)
+    best = None
+
+    def wanted(found):
+        nonlocal best
+        rs, re_ = F.col("_r0") / F.col("n_ref"), F.col("_re") / F.col("n_ref")
+        cs, ce = F.col("_c0") / F.col("n_cur"), F.col("_ce") / F.col("n_cur")
+        seen = found.select("_g", F.abs(re_ - ce).alias("_lb"))
+        best = (seen if best is None else best.unionByName(seen)).groupBy("_g").agg(F.max("_lb").alias("_lb")).checkpoint(eager=True)
+        ub = F.greatest(F.abs(re_ - cs), F.abs(rs - ce))
+        return found.join(maybe_broadcast(best, cells.n_groups), "_g").where((F.col("_min") != F.col("_max")) & (ub > F.col("_lb"))).drop("_lb")
+
+    rows, open_, n_open = _narrowed(cells, wanted)
+    if n_open:
+        gap = F.abs(F.col("cum_c_ref") / F.col("n_ref") - F.col("cum_c_cur") / F.col("n_cur"))
+        best = best.unionByName(_swept(rows, open_, n_open).select("_g", gap.alias("_lb"))).groupBy("_g").agg(F.max("_lb").alias("_lb"))
+    return cells.groups.join(best, "_g").select(*g, "n_ref", "n_cur", F.col("_lb").alias("ks_statistic"))
+
+
+def _cell_quantiles(cells: PeriodCells, probs) -> DataFrame:
+    """(_g, p, q): ``quantile_cont`` of the reference, ordering the values of the cells that hold the target ranks only."""
+    pos = (F.col("n_ref") - 1) * F.col("p")
+    targets = cells.groups.select(*_GROUP, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")) \
+        .select("_g", "p", pos.alias("_pos"), F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"))
+    ranks = targets.select("_g", F.explode(F.array("_lo", "_hi")).alias("_rank")).distinct().checkpoint(eager=True)
+    n_ranks = 2 * len(probs) * cells.n_groups
+    held = (F.col("_r0") <= F.col("_rank")) & (F.col("_rank") < F.col("_re"))
+    settled = []
+
+    def wanted(found):
+        hit = found.join(maybe_broadcast(ranks, n_ranks), "_g").where(held)
+        settled.append(hit.where("_min = _max").select("_g", "_rank", F.col("_min").alias("value")))
+        return hit.where("_min != _max").drop("_rank").distinct()
+
+    rows, open_, n_open = _narrowed(cells, wanted)
+    found = settled[0]
+    for x in settled[1:]:
+        found = found.unionByName(x)
+    if n_open:
+        swept = _swept(rows, open_, n_open).select("_g", "value", (F.col("cum_c_ref") - F.col("c_ref")).alias("_r0"), F.col("cum_c_ref").alias("_re"))
+        found = found.unionByName(swept.join(maybe_broadcast(ranks, n_ranks), "_g").where(held).select("_g", "_rank", "value"))
+    found = found.checkpoint(eager=True)
+    at = lambda end: found.select("_g", F.col("_rank").alias(f"_{end}"), F.col("value").alias(f"_v{end}"))
+    q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_lo"))
+    return targets.join(at("lo"), ["_g", "_lo"]).join(at("hi"), ["_g", "_hi"]) \
+        .select("_g", "p", F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(q).alias("q"))
 
 
 def kolmogorov_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -168,15 +284,17 @@ def ks_pvalue(d: Column, n: Column, m: Column, exact_rows: int = EXACT_ROWS) ->
 
 
 def ks_test(df: DataFrame, features, period: str = "period", threshold: float = DEFAULT_THRESHOLD,
-            by=(), num_partitions=None, counts: DataFrame | None = None, exact_rows: int = 0) -> DataFrame:
+            by=(), num_partitions=None, counts: DataFrame | None = None, exact_rows: int = 0, cells: PeriodCells | None = None) -> DataFrame:
     """D1 + D2: (by..., feature, n_ref, n_cur, ks_statistic, p_value, drift_detected).
 
     The p-value is the asymptotic one; ``exact_rows`` (say ``EXACT_ROWS``) asks for the exact
     one where neither side has more rows.
     """
-    if counts is None:
-        counts = period_counts(df, features, period, by)
-    ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
+    if cells is not None:
+        ks = ks_pruned(df, features, period, by, cells=cells)
+    else:
+        counts = counts if counts is not None else period_counts(df, features, period, by)
+        ks = ks_from_counts(counts, by, num_partitions, len(list(features)))
     p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), exact_rows)
     return ks.withColumn("p_value", p).withColumn("drift_detected", F.col("p_value") < threshold)
 
@@ -196,18 +314,25 @@ def drift_report(ks: DataFrame, features, threshold: float = DEFAULT_THRESHOLD,
 
 
 def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
-        counts: DataFrame | None = None) -> DataFrame:
+        counts: DataFrame | None = None, cells: PeriodCells | None = None) -> DataFrame:
     """PSI per feature with bins from reference percentiles (see SURVEY §8-D).
 
     edges = unique(percentiles 0..100 step 100/bins) of the reference rows;
     slot = number of edges[:-1] <= x (slot 0 is below the reference minimum);
     proportions + 1e-10 on both sides, PSI = sum (c - r) ln(c / r).
     Standalone: bracket-and-select deciles and one counting pass; with a
-    shared per-period value-count table (D7), everything comes from that table.
+    shared per-period value-count table (D7), everything comes from that table; with
+    shared ``cells`` the deciles do, and one pass counts the rows per slot.
     """
     g = list(by) + ["feature"]
     probs = [i / bins for i in range(bins + 1)]
-    if counts is None:
+    if cells is not None:
+        q = _cell_quantiles(cells, probs)
+        edges = q.groupBy("_g").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges")).checkpoint(eager=True)
+        rows = cells.rows.join(maybe_broadcast(edges.select(F.col("_g").alias("_cell"), "edges"), cells.n_groups * (bins + 1)), "_cell")
+        rows = rows.select(F.col("_cell").alias("_g"), "edges", "value", F.col("_r").alias("c_ref"), F.col("_c").alias("c_cur"))
+        groups, g = cells.groups.select(*g, "_g"), ["_g"]
+    elif counts is None:
         # standalone: exact reference deciles by bracket-and-select, then one pass counting rows per slot
         long = _long(df, features, period, by)
         q = exact_quantiles(long.where(F.col(period) == REF), g, "value", probs)
@@ -222,6 +347,8 @@ def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
     # the edges up to the value, without the last one
     slot = F.least(bucket_index("value", "edges", bins + 1, inclusive=True), F.size("edges") - 1)
     per_slot = rows.groupBy(*g, slot.alias("slot")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    if cells is not None:
+        per_slot = per_slot.checkpoint(eager=True)  # read twice below
     # a group with rows in one period only has no PSI (as it has no KS)
     totals = (per_slot.groupBy(*g).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
               .where("n_ref > 0 and n_cur > 0"))
@@ -229,7 +356,8 @@ def psi(df: DataFrame, features, period: str = "period", bins: int = 10, by=(),
     full = null_safe_join(null_safe_join(grid, per_slot, g + ["slot"], "left"), totals, g)
     r = F.coalesce(F.col("c_ref"), F.lit(0)) / F.col("n_ref") + PSI_EPS
     c = F.coalesce(F.col("c_cur"), F.lit(0)) / F.col("n_cur") + PSI_EPS
-    return full.groupBy(*g).agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
+    out = full.groupBy(*g).agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
+    return out if cells is None else out.join(groups, "_g").select(*by, "feature", "psi")
 
 
 def psi_bands(p: DataFrame, col: str = "psi", by=()) -> DataFrame:
@@ -250,13 +378,22 @@ def drift_history(dm: DataFrame, threshold: float = 0.5, features=None) -> DataF
 
 def monitoring_run(df: DataFrame, features, date: str = "date", as_of=None, days: int = 30,
                    threshold: float = DEFAULT_THRESHOLD, bins: int = 10, by=()) -> DataFrame:
-    """Split at as_of - days, KS + PSI per feature -> ``drift_metrics`` rows."""
+    """Split at as_of - days, KS + PSI per feature -> ``drift_metrics`` rows.
+
+    Up to ``COUNTED_VALUES`` values both tests read one table of value counts. More are not sorted: both begin with the counts of
+    cells of values and look into those that matter, with the same results; ``df`` is read for each round.
+    """
     from salesflow.operators.relational import label_period
-    as_of = as_of if as_of is not None else df.select(F.max(date)).scalar()
+    features = list(features)
+    n, newest = df.agg(F.count(F.lit(1)), F.max(date).cast("date")).first()
+    as_of = as_of if as_of is not None else F.lit(newest).cast("date")
     lab = label_period(df, date, as_of, days)
-    counts = period_counts(lab, features, "period", by)  # one pass over the data for both tests
-    ks = ks_test(lab, features, "period", threshold, by, counts=counts)
-    p = psi(lab, features, "period", bins, by, counts=counts)
+    if n * len(features) <= COUNTED_VALUES:
+        both = {"counts": period_counts(lab, features, "period", by)}  # one pass over the data for both tests
+    else:
+        both = {"cells": period_cells(lab, features, "period", by)}
+    ks = ks_test(lab, features, "period", threshold, by, **both)
+    p = psi(lab, features, "period", bins, by, **both)
     g = list(by) + ["feature"]
     out = null_safe_join(ks, p, g, "left")  # both exist for the same groups: those with rows in both periods
     return out.select(*by, F.lit(as_of).cast("date").alias("as_of"), F.col("feature").alias("feature_name"),

@@ -99,3 +99,29 @@ def test_pruned_ks_equals_full_ecdf(spark, shift):
     for f in ("f1", "f2"):
         exp = _ks_numpy(pdf[pdf.period == "reference"][f].to_numpy(), pdf[pdf.period == "current"][f].to_numpy())
         assert abs(got[f] - exp) < 1e-12
+
+
+def test_large_run_counts_cells_instead_of_values(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = []
+    for g in ("a", None):
+        for i in range(600):
+            x = float(rng.choice([np.inf, -np.inf, np.nan])) if i % 50 == 0 else float(rng.normal())
+            day = None if i % 40 == 0 else "2024-02-20" if i % 3 == 0 else "2024-01-01"
+            rows.append((g, day, x, float(rng.integers(0, 4)) if i % 7 else None, float(np.exp(20 * rng.normal()))))
+    rows.append(("one period", "2024-02-20", 1.0, 1.0, 1.0))
+    df = spark.createDataFrame(rows, "g string, day string, x double, k double, wide double").withColumn("day", F.to_date("day")).checkpoint()
+
+    def run():
+        return {(r["g"], r["feature_name"]): r for r in D.monitoring_run(df, ["x", "k", "wide"], "day", by=["g"]).collect()}
+
+    counted = run()
+    monkeypatch.setattr(D, "COUNTED_VALUES", 100)
+    monkeypatch.setattr(D, "SWEPT_VALUES", 200)  # takes more than one round
+    monkeypatch.setattr(D, "KS_CELLS", 60)
+    monkeypatch.setattr(D, "period_counts", lambda *a, **k: pytest.fail("a table of all distinct values"))
+    pruned = run()
+    assert counted.keys() == pruned.keys() and len(counted) == 6
+    for k, r in counted.items():
+        assert abs(r["ks_statistic"] - pruned[k]["ks_statistic"]) < 1e-12 and abs(r["psi_score"] - pruned[k]["psi_score"]) < 1e-9
+        assert (r["as_of"], r["drift_detected"], r["ks_pvalue"]) == (pruned[k]["as_of"], pruned[k]["drift_detected"], pruned[k]["ks_pvalue"])
