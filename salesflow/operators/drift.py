@@ -4,6 +4,8 @@ Both tests reduce the data to value counts per (group, feature, value) with
 map-side combining, then work on that reduced table. The ECDFs for KS come
 from the range-partitioned prefix-sum block, so a feature with billions of
 distinct values is still spread over many tasks.
+Large monitoring runs count cells of values instead (``period_cells``) and look
+only into the cells that can decide KS or a decile.
 """
 
 from __future__ import annotations
